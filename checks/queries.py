@@ -1,0 +1,22 @@
+"""Registered datasets on the driver fixtures: name -> (spark, sf_dir) -> DataFrame."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from checks.params import AS_OF, AS_OF_PEOPLE, LABEL_B, PRICE_LIST, RULES
+from possum.operators import sales
+from possum.sources.adapters import fixture_bundle, fixture_branch_parts
+
+
+def _one(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(fixture_bundle(spark, sf_dir))
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "sales_by_store_day": _one(lambda b: sales.sales_by_store_day(b, RULES)),
+}
