@@ -5,18 +5,68 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks.params import AS_OF, AS_OF_PEOPLE, LABEL_B, PRICE_LIST, RULES
-from possum.operators import sales
-from possum.sources.adapters import fixture_bundle, fixture_branch_parts
+from possum.bundle import Bundle
+from possum.functions.money import out
+from possum.operators import pricing, sales, stock
+from possum.sources.adapters import fixture_branch_parts, fixture_bundle
 
 
-def _one(fn):
+def _one(fn: Callable[[Bundle], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(fixture_bundle(spark, sf_dir))
     return run
 
 
+def catalogue(b: Bundle) -> DataFrame:
+    return stock.item_catalogue(stock.stock_lines(b, RULES))
+
+
+def imputed(b: Bundle) -> DataFrame:
+    return pricing.impute_cost(catalogue(b))
+
+
+def priced(b: Bundle) -> DataFrame:
+    return pricing.apply_price_list(imputed(b), PRICE_LIST)
+
+
+def items_flat(items: DataFrame) -> DataFrame:
+    return items.select("branch", "key", "n", "b", "mn", "d", out(F.col("p")).alias("p"),
+                        out(F.col("q")).alias("q"))
+
+
+def revalued(b: Bundle) -> tuple[DataFrame, DataFrame]:
+    return pricing.revalue_stock(stock.stock_summary(b, RULES), stock.stock_by_department(b, RULES),
+                                 priced(b), RULES)
+
+
+def stock_lines_out(b: Bundle) -> DataFrame:
+    lines = stock.stock_lines(b, RULES)
+    return lines.select("branch", "Name", "BarcodeNumber", "ModelNumber", "StoreName",
+                        out(F.col("Qty")).alias("Qty"), "Department", out(F.col("Price")).alias("Price"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # stock job
+    "stock_summary": _one(lambda b: stock.finish_stock_summary(stock.stock_summary(b, RULES))),
+    "low_stock": _one(lambda b: stock.low_stock(b, RULES)),
+    "stock_by_department": _one(lambda b: stock.finish_stock_by_department(
+        stock.stock_by_department(b, RULES))),
+    "stock_lines": _one(stock_lines_out),
+    "item_catalogue": _one(lambda b: stock.flatten_catalogue(catalogue(b))),
+    "impute_cost": _one(lambda b: items_flat(imputed(b))),
+    "apply_price_list": _one(lambda b: items_flat(priced(b))),
+    "revalue_stock": _one(lambda b: stock.finish_stock_summary(revalued(b)[0])),
+    "revalue_stock_by_department": _one(lambda b: stock.finish_stock_by_department(revalued(b)[1])),
+    "monthly_sales": _one(lambda b: sales.monthly_sales(b, RULES, AS_OF)),
+    "stock_report": _one(lambda b: stock.flatten_stock_report(stock.stock_report(b, RULES))),
+    # daily job
     "sales_by_store_day": _one(lambda b: sales.sales_by_store_day(b, RULES)),
+    "sales_by_department_day": _one(lambda b: sales.sales_by_department_day(b, RULES)),
+    "sales_by_seller_day": _one(lambda b: sales.sales_by_seller_day(b, RULES)),
+    "sales_daily": _one(lambda b: sales.sales_daily(b, RULES)),
+    "sales_by_hour": _one(lambda b: sales.sales_by_hour(b, RULES, AS_OF)),
+    "today_total": _one(lambda b: sales.today_total(sales.sales_by_store_day(b, RULES), AS_OF)),
 }

@@ -44,3 +44,123 @@ def sales_by_store_day(bundle: Bundle, rules: Rules) -> DataFrame:
     merged = _merge(per_branch, ["SaleDate", "StoreName"], ["TotalSales", "Transactions"])
     return merged.select("SaleDate", "StoreName", out(F.col("TotalSales")).alias("TotalSales"),
                          F.col("Transactions").cast("bigint").alias("Transactions"))
+
+
+def sale_lines(bundle: Bundle, rules: Rules) -> DataFrame:
+    """Live sale lines (entry types not excluded) of sale transactions."""
+    te = bundle["transaction_entry"].where(
+        fact_live(F.col("Status"))
+        & ~F.col("TransactionEntryType").isin(*rules.excluded_entry_types)
+    ).select("branch", "TransactionID", "DepartmentID", F.col("Total").alias("LineTotal"))
+    t = sales_transactions(bundle, rules).select("branch", "TransactionID", "SaleTime")
+    return te.join(t, ["branch", "TransactionID"])
+
+
+def sales_by_department_day(bundle: Bundle, rules: Rules) -> DataFrame:
+    """SaleDate, Dept, TotalSales. The department is the line's own."""
+    lines = sale_lines(bundle, rules).withColumn("SaleDate", day_label(F.col("SaleTime")))
+    per_dept = lines.groupBy("branch", "SaleDate", "DepartmentID").agg(
+        F.sum("LineTotal").alias("TotalSales"))
+    d = bundle["department"].select("branch", "DepartmentID", F.col("Name").alias("DeptName"))
+    labelled = per_dept.join(d, ["branch", "DepartmentID"], "left").withColumn(
+        "Dept", F.coalesce(F.col("DeptName"), F.lit(rules.no_department)))
+    merged = _merge(labelled, ["SaleDate", "Dept"], ["TotalSales"])
+    return merged.select("SaleDate", "Dept",
+                         out(F.coalesce(F.col("TotalSales"), F.lit(0))).alias("TotalSales"))
+
+
+def sales_by_seller_day(bundle: Bundle, rules: Rules) -> DataFrame:
+    """SaleDate, SellerName, TotalSales, Transactions.
+
+    A seller's name is ``rtrim(first) + ' ' + rtrim(last)``; a missing part or
+    an unknown seller gives the unknown label.
+    """
+    t = sales_transactions(bundle, rules).select("branch", "TransactionID", "SaleTime",
+                                                 "SellerID", "Total")
+    u = bundle["users"].where(master_live(F.col("Status"))).select(
+        "branch", F.col("UserId").alias("SellerID"), "UserFName", "UserLName")
+    j = t.join(u, ["branch", "SellerID"], "left").withColumn("SaleDate", day_label(F.col("SaleTime")))
+    per_branch = j.groupBy("branch", "SaleDate", "UserFName", "UserLName").agg(
+        F.sum("Total").alias("TotalSales"),
+        F.countDistinct("TransactionID").alias("Transactions"))
+    named = per_branch.withColumn("SellerName", F.coalesce(
+        plus(F.rtrim("UserFName"), F.lit(" "), F.rtrim("UserLName")), F.lit(rules.unknown_seller)))
+    merged = _merge(named, ["SaleDate", "SellerName"], ["TotalSales", "Transactions"])
+    return merged.select("SaleDate", "SellerName",
+                         out(F.coalesce(F.col("TotalSales"), F.lit(0))).alias("TotalSales"),
+                         F.col("Transactions").cast("bigint").alias("Transactions"))
+
+
+def sales_daily(bundle: Bundle, rules: Rules) -> DataFrame:
+    """SaleDate, TotalSales, Transactions."""
+    t = sales_transactions(bundle, rules).withColumn("SaleDate", day_label(F.col("SaleTime")))
+    per_branch = t.groupBy("branch", "SaleDate").agg(
+        F.coalesce(F.sum("Total"), F.lit(0)).alias("TotalSales"),
+        F.countDistinct("TransactionID").alias("Transactions"))
+    merged = _merge(per_branch, ["SaleDate"], ["TotalSales", "Transactions"])
+    return merged.select("SaleDate", out(F.col("TotalSales")).alias("TotalSales"),
+                         F.col("Transactions").cast("bigint").alias("Transactions"))
+
+
+def sales_by_hour(bundle: Bundle, rules: Rules, as_of: datetime) -> DataFrame:
+    """Branch, Hour, StoreName, Transactions, TotalSales over the last 90 days.
+
+    Appended over branches (each branch keeps its own rows)."""
+    t = sales_transactions(bundle, rules).where(
+        F.col("SaleTime") >= lookback(as_of, rules.hours_days, "DAY"))
+    per_store = t.groupBy("branch", F.hour("SaleTime").alias("Hour"), "StoreID", "StoreName").agg(
+        F.countDistinct("TransactionID").alias("Transactions"),
+        dec(F.coalesce(F.sum("Total"), F.lit(0)), 2).alias("TotalSales"))
+    return per_store.select("branch", F.col("Hour").cast("int").alias("Hour"), "StoreName",
+                            F.col("Transactions").cast("bigint").alias("Transactions"),
+                            out(F.col("TotalSales")).alias("TotalSales"))
+
+
+def today_total(stores: DataFrame, as_of: datetime) -> DataFrame:
+    """One row, today's total over the store list (0 when there is none)."""
+    day = today_iso(as_of)
+    return stores.where(F.col("SaleDate") == F.lit(day)).agg(
+        F.lit(day).alias("today"),
+        F.round(F.coalesce(F.sum("TotalSales"), F.lit(0.0)), 2).alias("TodayTotal"))
+
+
+def sales_item_dimension(bundle: Bundle, rules: Rules) -> DataFrame:
+    """Item attributes of the sales and stock reports: labels, trimmed name,
+    model code and size."""
+    from possum.operators.base import main_group
+    items = item_dimension(bundle, rules).join(main_group(bundle), ["branch", "ItemID"], "left")
+    return items.select(
+        "branch", "ItemID",
+        F.coalesce(F.col("DeptName"), F.lit(rules.no_department)).alias("dept"),
+        F.coalesce(F.col("GroupName"), F.lit(rules.no_group)).alias("g"),
+        ustrip(F.col("Name")).alias("n"),
+        codes.model_code(F.col("BarcodeNumber")).alias("mc"),
+        codes.size_code(F.col("BarcodeNumber")).alias("sz"))
+
+
+def monthly_sales(bundle: Bundle, rules: Rules, as_of: datetime) -> DataFrame:
+    """Units sold in the last 13 months by month, department, main group,
+    trimmed name, model code, size and store; positive totals only.
+
+    Lines are first summed per (month, store, item-store) right after the
+    one fact-fact join, so the dimension joins see one row per item, store
+    and month instead of one per sale line.
+    """
+    te = bundle["transaction_entry"].where(
+        fact_live(F.col("Status"))
+        & ~F.col("TransactionEntryType").isin(*rules.excluded_entry_types)
+    ).select("branch", "TransactionID", "ItemStoreID", "Qty")
+    t = bundle["pos_transaction"].where(
+        fact_live(F.col("Status")) & (F.col("SaleTime") >= lookback(as_of, rules.sales_months, "MONTH"))
+    ).select("branch", "TransactionID", "StoreID", month_label(F.col("SaleTime")).alias("ym"))
+    per_item_store = te.join(t, ["branch", "TransactionID"]).groupBy(
+        "branch", "ym", "StoreID", "ItemStoreID").agg(F.sum("Qty").alias("QtySold"))
+    ist = bundle["item_store"].where(fact_live(F.col("Status"))).select("branch", "ItemStoreID", "ItemID")
+    j = (per_item_store.join(ist, ["branch", "ItemStoreID"])
+         .join(sales_item_dimension(bundle, rules), ["branch", "ItemID"])
+         .join(live_stores(bundle).select("branch", "StoreID", F.col("StoreName").alias("st")),
+               ["branch", "StoreID"]))
+    res = j.groupBy("branch", "ym", "dept", "g", "n", "mc", "sz", "st").agg(
+        F.sum("QtySold").alias("q"))
+    return res.where(F.col("q") > 0).select(
+        "branch", "ym", "dept", "g", "n", "mc", "sz", "st", whole(F.col("q")).cast("bigint").alias("q"))
