@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from checks.params import AS_OF, AS_OF_PEOPLE, LABEL_B, PRICE_LIST, RULES
 from possum.bundle import Bundle
 from possum.functions.money import out
-from possum.operators import pricing, sales, stock
+from possum.operators import (assemble, attendance, branches, ledger, payments, people, pricing,
+                              promotions, sales, stock, suppliers)
 from possum.sources.adapters import fixture_branch_parts, fixture_bundle
 
 
@@ -48,6 +49,43 @@ def stock_lines_out(b: Bundle) -> DataFrame:
                         out(F.col("Qty")).alias("Qty"), "Department", out(F.col("Price")).alias("Price"))
 
 
+def _parts(spark: SparkSession, sf_dir: str) -> Bundle:
+    return branches.union_branches(fixture_branch_parts(spark, sf_dir, LABEL_B))
+
+
+def relabelled_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = _parts(spark, sf_dir)
+    return stock.flatten_catalogue(branches.relabel_branch(catalogue(u), u))
+
+
+def merged_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = fixture_branch_parts(spark, sf_dir, LABEL_B)
+    per_branch = None
+    for rank, (bundle, _label) in enumerate(parts):
+        df = sales.sales_by_seller_day(bundle, RULES).withColumn("rank", F.lit(rank))
+        per_branch = df if per_branch is None else per_branch.unionByName(df)
+    m = branches.merge_sum(per_branch, ["SaleDate", "SellerName"], ["TotalSales", "Transactions"], ["rank"])
+    return m.select("SaleDate", "SellerName", F.round("TotalSales", 2).alias("TotalSales"), "Transactions")
+
+
+def deduped_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = _parts(spark, sf_dir)
+    return people.dedupe_first(people.user_directory(u, RULES), u, ["user", "hash"], ["no"])
+
+
+def branch_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales.sales_by_store_day(_parts(spark, sf_dir), RULES)
+
+
+def day_docs(b: Bundle) -> DataFrame:
+    return assemble.day_documents(sales.sales_by_store_day(b, RULES), sales.sales_by_department_day(b, RULES),
+                                  sales.sales_by_seller_day(b, RULES), payments.payments_by_day(b, RULES))
+
+
+def net_days(b: Bundle) -> DataFrame:
+    return assemble.net_feed_days(b["net_feed"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # stock job
     "stock_summary": _one(lambda b: stock.finish_stock_summary(stock.stock_summary(b, RULES))),
@@ -69,4 +107,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_daily": _one(lambda b: sales.sales_daily(b, RULES)),
     "sales_by_hour": _one(lambda b: sales.sales_by_hour(b, RULES, AS_OF)),
     "today_total": _one(lambda b: sales.today_total(sales.sales_by_store_day(b, RULES), AS_OF)),
+    "payments_by_day": _one(lambda b: payments.payments_by_day(b, RULES)),
+    "ledger_monthly": _one(lambda b: ledger.ledger_monthly(b["ledger_monthly"])),
+    "ledger_invoices": _one(lambda b: ledger.ledger_invoices(b["ledger_invoices"])),
+    "supplier_monthly": _one(lambda b: suppliers.supplier_monthly(b, RULES, AS_OF)),
+    "supplier_documents": _one(lambda b: suppliers.supplier_documents(b, RULES, AS_OF)),
+    "attendance": _one(lambda b: attendance.flatten_attendance(attendance.attendance(b, RULES, AS_OF_PEOPLE))),
+    "promotion_redemptions": _one(lambda b: promotions.finish_redemptions(
+        promotions.promotion_redemptions(b, RULES, AS_OF))),
+    "promotion_matrix": _one(lambda b: promotions.flatten_promotion_matrix(promotions.promotion_matrix(
+        promotions.promotion_redemptions(b, RULES, AS_OF), b, RULES))),
+    "day_documents": _one(lambda b: assemble.flatten_day_documents(day_docs(b))),
+    "net_feed_days": _one(lambda b: net_days(b).select("day", out(F.col("net")).alias("net"))),
+    "net_feed_today": _one(lambda b: assemble.net_feed_today(net_days(b), AS_OF_PEOPLE).select(
+        "day", out(F.col("net")).alias("net"))),
+    "user_directory": _one(lambda b: people.user_directory(b, RULES)),
+    # branches
+    "union_branches": branch_sales,
+    "relabel_branch": relabelled_catalogue,
+    "merge_sum": merged_sellers,
+    "dedupe_first": deduped_users,
 }
