@@ -15,6 +15,11 @@ from possum.rules import Rules
 
 
 
+def _base(bundle: Bundle, rules: Rules, base: DataFrame | None) -> DataFrame:
+    """The stock base, or a materialized copy of it passed by a job plan."""
+    return stock_base(bundle, rules) if base is None else base
+
+
 def _positive_qty():
     return F.when(F.col("Qty") > 0, F.col("Qty")).otherwise(F.lit(0))
 
@@ -23,13 +28,13 @@ def _stock_value():
     return F.when(F.col("Qty") > 0, F.col("Qty") * F.coalesce(F.col("AVGCost"), F.lit(0))).otherwise(F.lit(0))
 
 
-def stock_summary(bundle: Bundle, rules: Rules) -> DataFrame:
+def stock_summary(bundle: Bundle, rules: Rules, base: DataFrame | None = None) -> DataFrame:
     """Per active store: SKUs, in-stock / zero / low counts, units, value.
 
     Columns: branch, StoreName, StoreCode, TotalSKUs, InStock, ZeroStock,
     LowStock, TotalUnits, StockValue (decimal), Sort, StoreNameOrig.
     """
-    b = stock_base(bundle, rules)
+    b = _base(bundle, rules, base)
     q, rp = F.col("Qty"), F.col("ReorderPoint")
     low = rp.isNotNull() & (q >= 0) & (q <= rp) & (rp > 0)
     agg = b.groupBy("branch", "StoreID", "StoreName", "StoreNameOrig", "Code", "Sort").agg(
@@ -54,7 +59,8 @@ def finish_stock_summary(summary: DataFrame) -> DataFrame:
                           out(F.col("StockValue")).alias("StockValue"), "Sort")
 
 
-def low_stock(bundle: Bundle, rules: Rules, n: int | None = None) -> DataFrame:
+def low_stock(bundle: Bundle, rules: Rules, n: int | None = None,
+              base: DataFrame | None = None) -> DataFrame:
     """Items at or under their reorder point, largest shortage first.
 
     Top ``n`` (300) per branch, ranked 1..n in ``Rank``. One branch plans a
@@ -63,7 +69,7 @@ def low_stock(bundle: Bundle, rules: Rules, n: int | None = None) -> DataFrame:
     per branch.
     """
     n = rules.low_stock_limit if n is None else n
-    b = stock_base(bundle, rules)
+    b = _base(bundle, rules, base)
     q, rp = F.col("Qty"), F.col("ReorderPoint")
     cand = b.where(rp.isNotNull() & (rp > 0) & (q >= 0) & (q <= rp)).select(
         "branch", "Name", "BarcodeNumber", "ModelNumber", "StoreName",
@@ -82,13 +88,13 @@ def low_stock(bundle: Bundle, rules: Rules, n: int | None = None) -> DataFrame:
                          out(F.col("Price")).alias("Price"), "Department")
 
 
-def stock_by_department(bundle: Bundle, rules: Rules) -> DataFrame:
+def stock_by_department(bundle: Bundle, rules: Rules, base: DataFrame | None = None) -> DataFrame:
     """D3: in-stock SKUs, units and value by department and store.
 
     Columns: branch, Department, StoreName, InStock, TotalUnits, Value
     (decimal), Sort, StoreNameOrig.
     """
-    b = stock_base(bundle, rules).where(F.col("Qty") > 0)
+    b = _base(bundle, rules, base).where(F.col("Qty") > 0)
     agg = b.groupBy("branch", "DeptName", "StoreNameOrig", "StoreName", "Sort").agg(
         F.sum(F.when(F.col("Qty") > 0, 1).otherwise(0)).alias("InStock"),
         dec(F.sum(_positive_qty()), 1).alias("TotalUnits"),
@@ -106,9 +112,9 @@ def finish_stock_by_department(by_dept: DataFrame) -> DataFrame:
                           out(F.col("Value")).alias("Value"))
 
 
-def stock_lines(bundle: Bundle, rules: Rules) -> DataFrame:
+def stock_lines(bundle: Bundle, rules: Rules, base: DataFrame | None = None) -> DataFrame:
     """Item x store lines in stock with the resolved unit cost (decimal)."""
-    b = stock_base(bundle, rules).where(F.col("Qty") > 0)
+    b = _base(bundle, rules, base).where(F.col("Qty") > 0)
     return b.select("branch", "ItemID", "OnHandRowID", "AttrRowID", "Name", "BarcodeNumber",
                     "ModelNumber", "StoreName", "StoreNameOrig", dec(F.col("Qty"), 1).alias("Qty"),
                     F.col("DeptName").alias("Department"),
@@ -163,11 +169,11 @@ def flatten_catalogue(items: DataFrame) -> DataFrame:
                     F.explode("s").alias("store", "store_qty"))
 
 
-def stock_report(bundle: Bundle, rules: Rules) -> DataFrame:
+def stock_report(bundle: Bundle, rules: Rules, base: DataFrame | None = None) -> DataFrame:
     """Stock (qty >= 0) by department, group, trimmed name, model code
     and size, with a store -> qty map and the total."""
     from possum.functions import codes
-    b = stock_base(bundle, rules).where(F.col("Qty") >= 0).join(
+    b = _base(bundle, rules, base).where(F.col("Qty") >= 0).join(
         main_group(bundle), ["branch", "ItemID"], "left")
     keyed = b.select(
         "branch", "StoreNameOrig", "Qty",
