@@ -12,13 +12,7 @@ from possum.bundle import Bundle
 from possum.functions.money import out
 from possum.operators import (assemble, attendance, branches, ledger, payments, people, pricing,
                               promotions, sales, stock, suppliers)
-from possum.sources.adapters import fixture_branch_parts, fixture_bundle
-
-
-def _one(fn: Callable[[Bundle], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(fixture_bundle(spark, sf_dir))
-    return run
+from possum.sources.adapters import fixture_bundle, split_branches
 
 
 def catalogue(b: Bundle) -> DataFrame:
@@ -49,17 +43,15 @@ def stock_lines_out(b: Bundle) -> DataFrame:
                         out(F.col("Qty")).alias("Qty"), "Department", out(F.col("Price")).alias("Price"))
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> Bundle:
-    return branches.union_branches(fixture_branch_parts(spark, sf_dir, LABEL_B))
+Parts = list[tuple[Bundle, "str | None"]]
 
 
-def relabelled_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = _parts(spark, sf_dir)
+def relabelled_catalogue(parts: Parts) -> DataFrame:
+    u = branches.union_branches(parts)
     return stock.flatten_catalogue(branches.relabel_branch(catalogue(u), u))
 
 
-def merged_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = fixture_branch_parts(spark, sf_dir, LABEL_B)
+def merged_sellers(parts: Parts) -> DataFrame:
     per_branch = None
     for rank, (bundle, _label) in enumerate(parts):
         df = sales.sales_by_seller_day(bundle, RULES).withColumn("rank", F.lit(rank))
@@ -68,13 +60,13 @@ def merged_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("SaleDate", "SellerName", F.round("TotalSales", 2).alias("TotalSales"), "Transactions")
 
 
-def deduped_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = _parts(spark, sf_dir)
+def deduped_users(parts: Parts) -> DataFrame:
+    u = branches.union_branches(parts)
     return people.dedupe_first(people.user_directory(u, RULES), u, ["user", "hash"], ["no"])
 
 
-def branch_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales.sales_by_store_day(_parts(spark, sf_dir), RULES)
+def branch_sales(parts: Parts) -> DataFrame:
+    return sales.sales_by_store_day(branches.union_branches(parts), RULES)
 
 
 def day_docs(b: Bundle) -> DataFrame:
@@ -86,45 +78,66 @@ def net_days(b: Bundle) -> DataFrame:
     return assemble.net_feed_days(b["net_feed"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+ON_BUNDLE: dict[str, Callable[[Bundle], DataFrame]] = {
     # stock job
-    "stock_summary": _one(lambda b: stock.finish_stock_summary(stock.stock_summary(b, RULES))),
-    "low_stock": _one(lambda b: stock.low_stock(b, RULES)),
-    "stock_by_department": _one(lambda b: stock.finish_stock_by_department(
-        stock.stock_by_department(b, RULES))),
-    "stock_lines": _one(stock_lines_out),
-    "item_catalogue": _one(lambda b: stock.flatten_catalogue(catalogue(b))),
-    "impute_cost": _one(lambda b: items_flat(imputed(b))),
-    "apply_price_list": _one(lambda b: items_flat(priced(b))),
-    "revalue_stock": _one(lambda b: stock.finish_stock_summary(revalued(b)[0])),
-    "revalue_stock_by_department": _one(lambda b: stock.finish_stock_by_department(revalued(b)[1])),
-    "monthly_sales": _one(lambda b: sales.monthly_sales(b, RULES, AS_OF)),
-    "stock_report": _one(lambda b: stock.flatten_stock_report(stock.stock_report(b, RULES))),
+    "stock_summary": lambda b: stock.finish_stock_summary(stock.stock_summary(b, RULES)),
+    "low_stock": lambda b: stock.low_stock(b, RULES),
+    "stock_by_department": lambda b: stock.finish_stock_by_department(
+        stock.stock_by_department(b, RULES)),
+    "stock_lines": stock_lines_out,
+    "item_catalogue": lambda b: stock.flatten_catalogue(catalogue(b)),
+    "impute_cost": lambda b: items_flat(imputed(b)),
+    "apply_price_list": lambda b: items_flat(priced(b)),
+    "revalue_stock": lambda b: stock.finish_stock_summary(revalued(b)[0]),
+    "revalue_stock_by_department": lambda b: stock.finish_stock_by_department(revalued(b)[1]),
+    "monthly_sales": lambda b: sales.monthly_sales(b, RULES, AS_OF),
+    "stock_report": lambda b: stock.flatten_stock_report(stock.stock_report(b, RULES)),
     # daily job
-    "sales_by_store_day": _one(lambda b: sales.sales_by_store_day(b, RULES)),
-    "sales_by_department_day": _one(lambda b: sales.sales_by_department_day(b, RULES)),
-    "sales_by_seller_day": _one(lambda b: sales.sales_by_seller_day(b, RULES)),
-    "sales_daily": _one(lambda b: sales.sales_daily(b, RULES)),
-    "sales_by_hour": _one(lambda b: sales.sales_by_hour(b, RULES, AS_OF)),
-    "today_total": _one(lambda b: sales.today_total(sales.sales_by_store_day(b, RULES), AS_OF)),
-    "payments_by_day": _one(lambda b: payments.payments_by_day(b, RULES)),
-    "ledger_monthly": _one(lambda b: ledger.ledger_monthly(b["ledger_monthly"])),
-    "ledger_invoices": _one(lambda b: ledger.ledger_invoices(b["ledger_invoices"])),
-    "supplier_monthly": _one(lambda b: suppliers.supplier_monthly(b, RULES, AS_OF)),
-    "supplier_documents": _one(lambda b: suppliers.supplier_documents(b, RULES, AS_OF)),
-    "attendance": _one(lambda b: attendance.flatten_attendance(attendance.attendance(b, RULES, AS_OF_PEOPLE))),
-    "promotion_redemptions": _one(lambda b: promotions.finish_redemptions(
-        promotions.promotion_redemptions(b, RULES, AS_OF))),
-    "promotion_matrix": _one(lambda b: promotions.flatten_promotion_matrix(promotions.promotion_matrix(
-        promotions.promotion_redemptions(b, RULES, AS_OF), b, RULES))),
-    "day_documents": _one(lambda b: assemble.flatten_day_documents(day_docs(b))),
-    "net_feed_days": _one(lambda b: net_days(b).select("day", out(F.col("net")).alias("net"))),
-    "net_feed_today": _one(lambda b: assemble.net_feed_today(net_days(b), AS_OF_PEOPLE).select(
-        "day", out(F.col("net")).alias("net"))),
-    "user_directory": _one(lambda b: people.user_directory(b, RULES)),
-    # branches
+    "sales_by_store_day": lambda b: sales.sales_by_store_day(b, RULES),
+    "sales_by_department_day": lambda b: sales.sales_by_department_day(b, RULES),
+    "sales_by_seller_day": lambda b: sales.sales_by_seller_day(b, RULES),
+    "sales_daily": lambda b: sales.sales_daily(b, RULES),
+    "sales_by_hour": lambda b: sales.sales_by_hour(b, RULES, AS_OF),
+    "today_total": lambda b: sales.today_total(sales.sales_by_store_day(b, RULES), AS_OF),
+    "payments_by_day": lambda b: payments.payments_by_day(b, RULES),
+    "ledger_monthly": lambda b: ledger.ledger_monthly(b["ledger_monthly"]),
+    "ledger_invoices": lambda b: ledger.ledger_invoices(b["ledger_invoices"]),
+    "supplier_monthly": lambda b: suppliers.supplier_monthly(b, RULES, AS_OF),
+    "supplier_documents": lambda b: suppliers.supplier_documents(b, RULES, AS_OF),
+    "attendance": lambda b: attendance.flatten_attendance(attendance.attendance(b, RULES, AS_OF_PEOPLE)),
+    "promotion_redemptions": lambda b: promotions.finish_redemptions(
+        promotions.promotion_redemptions(b, RULES, AS_OF)),
+    "promotion_matrix": lambda b: promotions.flatten_promotion_matrix(promotions.promotion_matrix(
+        promotions.promotion_redemptions(b, RULES, AS_OF), b, RULES)),
+    "day_documents": lambda b: assemble.flatten_day_documents(day_docs(b)),
+    "net_feed_days": lambda b: net_days(b).select("day", out(F.col("net")).alias("net")),
+    "net_feed_today": lambda b: assemble.net_feed_today(net_days(b), AS_OF_PEOPLE).select(
+        "day", out(F.col("net")).alias("net")),
+    "user_directory": lambda b: people.user_directory(b, RULES),
+}
+
+# datasets over two branches (A: even stores; B: odd stores, labelled)
+ON_PARTS: dict[str, Callable[[Parts], DataFrame]] = {
     "union_branches": branch_sales,
     "relabel_branch": relabelled_catalogue,
     "merge_sum": merged_sellers,
     "dedupe_first": deduped_users,
 }
+
+
+def on_bundle(name: str, bundle: Bundle) -> DataFrame:
+    """Dataset ``name`` over a canonical single-branch bundle."""
+    if name in ON_BUNDLE:
+        return ON_BUNDLE[name](bundle)
+    return ON_PARTS[name](split_branches(bundle, LABEL_B))
+
+
+def _fixture(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return on_bundle(name, fixture_bundle(spark, sf_dir))
+    run.__name__ = name
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: _fixture(name) for name in [*ON_BUNDLE, *ON_PARTS]}

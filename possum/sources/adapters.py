@@ -40,17 +40,20 @@ def fixture_bundle(spark: SparkSession, sf_dir: str, branch: str = "main") -> Bu
     return Bundle(tag_branch(canonical_views(spark, sf_dir), branch), (Branch(branch),))
 
 
-def fixture_branch_parts(spark: SparkSession, sf_dir: str,
-                         label_b: str | None = "Branch B") -> list[tuple[Bundle, str | None]]:
+def split_branches(bundle: Bundle, label_b: str | None = "Branch B") -> list[tuple[Bundle, str | None]]:
     """Two branches as in FIXTURES.md: A holds the even stores, B the odd ones.
 
     Both databases hold the same items, users and documents; only the store
     table differs, so every store-joined fact lands in exactly one branch.
     """
-    views = canonical_views(spark, sf_dir)
     parts = []
     for name, parity, label in (("A", 0, None), ("B", 1, label_b)):
-        tables = dict(views)
-        tables["store"] = views["store"].where(F.col("StoreID") % 2 == parity)
-        parts.append((Bundle(tag_branch(tables, name), (Branch(name),)), label))
+        tables = {k: v.withColumn("branch", F.lit(name)) for k, v in bundle.tables.items()}
+        tables["store"] = tables["store"].where(F.col("StoreID") % 2 == parity)
+        parts.append((Bundle(tables, (Branch(name),)), label))
     return parts
+
+
+def fixture_branch_parts(spark: SparkSession, sf_dir: str,
+                         label_b: str | None = "Branch B") -> list[tuple[Bundle, str | None]]:
+    return split_branches(fixture_bundle(spark, sf_dir), label_b)

@@ -1,0 +1,97 @@
+"""Plan checks: no Python in the plans, no cartesian products, the top-k is
+planned as one, and filters / column pruning reach the Parquet scan."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import os
+import re
+import tempfile
+
+import pytest
+
+from checks.params import AS_OF, RULES
+from checks.queries import QUERIES, on_bundle
+from possum.operators import sales, stock, suppliers
+from possum.sources.parquet import read_bundle, write_bundle
+
+from conftest import ROOT, SF_SMALL
+
+FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
+             "BroadcastNestedLoopJoin", "FlatMapGroupsInPandas", "MapInPandas")
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+@pytest.fixture(scope="module")
+def staged(spark, fixture_bundle):
+    """Canonical tables as Parquet, as production reads them (the fixture
+    views themselves are test scaffolding and are not checked)."""
+    root = tempfile.mkdtemp(prefix="possum-staged-")
+    write_bundle(fixture_bundle, root)
+    return read_bundle(spark, root)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_and_no_cartesian(staged, name):
+    text = plan(on_bundle(name, staged))
+    for op in FORBIDDEN:
+        assert op not in text, f"{name} plans {op}"
+
+
+def _scan_of(text: str, table: str) -> str:
+    blocks = re.split(r"\n\(\d+\) ", text)
+    hits = [b for b in blocks if b.startswith("Scan parquet") and f"/{table}]" in b]
+    assert hits, f"no scan of {table}"
+    return hits[0]
+
+
+def test_date_filter_and_pruning_reach_scan(staged):
+    text = plan(sales.sales_by_hour(staged, RULES, AS_OF))
+    scan = _scan_of(text, "pos_transaction")
+    assert "SaleTime" in scan.split("PushedFilters:")[1].split("\n")[0]
+    schema = scan.split("ReadSchema:")[1].split("\n")[0]
+    assert "SellerID" not in schema and "TransactionType" in schema
+
+
+def test_supplier_window_pushed(staged):
+    scan = _scan_of(plan(suppliers.supplier_monthly(staged, RULES, AS_OF)), "suppliers_docs")
+    pushed = scan.split("PushedFilters:")[1].split("\n")[0]
+    assert "DateT" in pushed and "DocStatus" in pushed
+
+
+def test_top_k_is_planned(staged):
+    text = plan(stock.low_stock(staged, RULES))
+    assert "WindowGroupLimit" in text or "TakeOrderedAndProject" in text
+
+
+def test_partial_aggregation_before_exchange(staged):
+    text = plan(sales.sales_by_store_day(staged, RULES))
+    assert "partial_sum" in text
+
+
+def test_library_never_collects():
+    pat = re.compile(r"\.(collect|toPandas|toLocalIterator)\(")
+    offenders = []
+    for d, _, files in os.walk(os.path.join(ROOT, "possum")):
+        for f in files:
+            if f.endswith(".py"):
+                p = os.path.join(d, f)
+                if pat.search(open(p).read()):
+                    offenders.append(p)
+    assert not offenders
+
+
+def test_no_local_checkpoint_or_udf_in_library():
+    for d, _, files in os.walk(os.path.join(ROOT, "possum")):
+        for f in files:
+            if f.endswith(".py"):
+                src = open(os.path.join(d, f)).read()
+                assert "localCheckpoint" not in src
+                assert "@udf" not in src and "F.udf(" not in src
