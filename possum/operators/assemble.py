@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from possum.functions.dates import day_key_to_iso, today_iso
-from possum.functions.money import out
 
 FAMILIES = ("stores", "depts", "sellers", "payments")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from possum.bundle import Bundle
 from possum.functions import codes
 from possum.functions.dates import day_label, lookback, month_label, today_iso
-from possum.functions.filters import catalogue_item, fact_live, master_live
+from possum.functions.filters import fact_live, master_live
 from possum.functions.money import dec, out, whole
 from possum.functions.text import plus, ustrip
 from possum.operators.base import item_dimension, live_stores

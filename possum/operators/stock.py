@@ -63,10 +63,10 @@ def low_stock(bundle: Bundle, rules: Rules, n: int | None = None,
               base: DataFrame | None = None) -> DataFrame:
     """Items at or under their reorder point, largest shortage first.
 
-    Top ``n`` (300) per branch, ranked 1..n in ``Rank``. One branch plans a
-    TakeOrderedAndProject; several branches a window whose per-partition
-    group limit runs before the shuffle, so each task ships at most n rows
-    per branch.
+    Top ``n`` (300) per branch, ranked 1..n in ``Rank``. Planned as a
+    window with a group limit (WindowGroupLimit) that also runs before the
+    shuffle, so each task ships at most n rows per branch, however large
+    a branch is. The order ends in row ids, so the cut at n is unique.
     """
     n = rules.low_stock_limit if n is None else n
     b = _base(bundle, rules, base)
