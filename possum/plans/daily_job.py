@@ -48,6 +48,11 @@ def build_daily(bundle: Bundle, rules: Rules, as_of: datetime, feed_path: str |
     return out
 
 
+# datasets keyed by the sale day: written as one folder per day, the layout
+# the incremental refresh (possum.streaming.refresh) overwrites day by day
+DAY_KEYED = ("stores", "depts", "sellers", "daily", "payments", "by_date")
+
+
 def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
     """D26 manifest: today, synced and the dataset folders (one row)."""
     return bundle.spark.createDataFrame(
@@ -62,7 +67,7 @@ def run_daily_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
     datasets = build_daily(bundle, rules, as_of, feed_path, stage)
     for name, df in datasets.items():
         path = os.path.join(out_dir, name)
-        write_dataset(df, path, fmt=fmt)
+        write_dataset(df, path, fmt=fmt, partition_by=["SaleDate"] if name in DAY_KEYED else ())
         paths[name] = path
     write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
     return paths

@@ -25,7 +25,8 @@ from pyspark.sql.streaming import StreamingQuery
 from possum import schemas
 from possum.bundle import Bundle
 from possum.functions.dates import day_label
-from possum.operators import payments, sales
+from possum.operators import assemble, payments, sales
+from possum.plans.common import Stage
 from possum.rules import Rules
 from possum.sources.sinks import write_dataset
 
@@ -52,13 +53,17 @@ def restrict_to_days(bundle: Bundle, days: DataFrame) -> Bundle:
     return bundle.with_tables(pos_transaction=keep)
 
 
-def refresh_days(bundle: Bundle, rules: Rules, days: DataFrame, out_dir: str, fmt: str = "parquet") -> None:
-    """Recompute the day-keyed datasets for ``days`` and overwrite only their
-    day partitions under ``out_dir/<dataset>/SaleDate=...``."""
+def refresh_days(bundle: Bundle, rules: Rules, days: DataFrame, out_dir: str, fmt: str = "json") -> None:
+    """Recompute the day-keyed datasets (and the date document) for ``days``
+    and overwrite only their day partitions under ``out_dir/<dataset>/SaleDate=...``
+    (the layout ``run_daily_job`` writes)."""
     scoped = restrict_to_days(bundle, days)
-    for name, build in DAY_DATASETS.items():
-        write_dataset(build(scoped, rules), os.path.join(out_dir, name), fmt=fmt,
-                      partition_by=["SaleDate"], mode="overwrite")
+    stage = Stage(bundle.spark)
+    built = {name: stage.put(name, build(scoped, rules)) for name, build in DAY_DATASETS.items()}
+    built["by_date"] = assemble.day_documents(built["stores"], built["depts"], built["sellers"],
+                                              built["payments"])
+    for name, df in built.items():
+        write_dataset(df, os.path.join(out_dir, name), fmt=fmt, partition_by=["SaleDate"], mode="overwrite")
 
 
 def start_refresh(spark: SparkSession, changes_path: str, load_bundle: Callable[[], Bundle],

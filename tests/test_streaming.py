@@ -15,7 +15,7 @@ from possum.streaming.refresh import DAY_DATASETS, start_refresh
 
 def _read(spark, path):
     # partition discovery types the day folders as dates
-    return spark.read.parquet(path).withColumn("SaleDate", F.col("SaleDate").cast("string"))
+    return spark.read.json(path).withColumn("SaleDate", F.col("SaleDate").cast("string"))
 
 
 def _rows(df, cols):
@@ -51,3 +51,5 @@ def test_refresh_touched_days_only(spark, fixture_bundle):
         inc = _read(spark, os.path.join(out, name))
         cols = sorted(full.columns)
         assert _rows(inc, cols) == _rows(full, cols), name
+    docs = _read(spark, os.path.join(out, "by_date"))
+    assert sorted(r.SaleDate for r in docs.collect()) == sorted(days)
