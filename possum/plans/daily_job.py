@@ -11,6 +11,7 @@ import os
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from possum.bundle import Bundle
 from possum.operators import assemble, attendance, ledger, payments, promotions, sales, suppliers
@@ -48,9 +49,14 @@ def build_daily(bundle: Bundle, rules: Rules, as_of: datetime, feed_path: str |
     return out
 
 
-# datasets keyed by the sale day: written as one folder per day, the layout
-# the incremental refresh (possum.streaming.refresh) overwrites day by day
+# datasets keyed by the sale day: written as one folder per sale month, the
+# layout the incremental refresh (possum.streaming.refresh) overwrites
 DAY_KEYED = ("stores", "depts", "sellers", "daily", "payments", "by_date")
+MONTH = "SaleMonth"
+
+
+def with_month(df: DataFrame) -> DataFrame:
+    return df.withColumn(MONTH, F.substring("SaleDate", 1, 7))
 
 
 def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
@@ -67,7 +73,10 @@ def run_daily_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
     datasets = build_daily(bundle, rules, as_of, feed_path, stage)
     for name, df in datasets.items():
         path = os.path.join(out_dir, name)
-        write_dataset(df, path, fmt=fmt, partition_by=["SaleDate"] if name in DAY_KEYED else ())
+        if name in DAY_KEYED:
+            write_dataset(with_month(df), path, fmt=fmt, partition_by=[MONTH])
+        else:
+            write_dataset(df, path, fmt=fmt)
         paths[name] = path
     write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
     return paths

@@ -24,9 +24,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from possum import schemas
 from possum.bundle import Bundle
-from possum.functions.dates import day_label
+from possum.functions.dates import month_label
 from possum.operators import assemble, payments, sales
 from possum.plans.common import Stage
+from possum.plans.daily_job import MONTH, with_month
 from possum.rules import Rules
 from possum.sources.sinks import write_dataset
 
@@ -39,31 +40,31 @@ DAY_DATASETS: dict[str, Callable[[Bundle, Rules], DataFrame]] = {
 }
 
 
-def touched_days(changes: DataFrame) -> DataFrame:
-    """Distinct sale days (``SaleDate``) of a batch of changed transactions."""
-    return changes.select(day_label(F.col("SaleTime")).alias("SaleDate")).distinct()
+def touched_months(changes: DataFrame) -> DataFrame:
+    """Distinct sale months (``SaleMonth``) of a batch of changed transactions."""
+    return changes.select(month_label(F.col("SaleTime")).alias(MONTH)).distinct()
 
 
-def restrict_to_days(bundle: Bundle, days: DataFrame) -> Bundle:
-    """The bundle with transactions limited to ``days`` (a left-semi join on
-    the sale day; with a day-partitioned transaction table Spark prunes the
-    other days' files at runtime)."""
+def restrict_to_months(bundle: Bundle, months: DataFrame) -> Bundle:
+    """The bundle with transactions limited to ``months`` (a left-semi join on
+    the sale month; with a month-partitioned transaction table Spark prunes
+    the other months' files at runtime)."""
     t = bundle["pos_transaction"]
-    keep = t.join(days, day_label(t["SaleTime"]) == days["SaleDate"], "left_semi")
+    keep = t.join(months, month_label(t["SaleTime"]) == months[MONTH], "left_semi")
     return bundle.with_tables(pos_transaction=keep)
 
 
-def refresh_days(bundle: Bundle, rules: Rules, days: DataFrame, out_dir: str, fmt: str = "json") -> None:
-    """Recompute the day-keyed datasets (and the date document) for ``days``
-    and overwrite only their day partitions under ``out_dir/<dataset>/SaleDate=...``
-    (the layout ``run_daily_job`` writes)."""
-    scoped = restrict_to_days(bundle, days)
+def refresh_months(bundle: Bundle, rules: Rules, months: DataFrame, out_dir: str, fmt: str = "json") -> None:
+    """Recompute the day-keyed datasets (and the date document) for ``months``
+    and overwrite only their partitions under ``out_dir/<dataset>/SaleMonth=...``."""
+    scoped = restrict_to_months(bundle, months)
     stage = Stage(bundle.spark)
     built = {name: stage.put(name, build(scoped, rules)) for name, build in DAY_DATASETS.items()}
     built["by_date"] = assemble.day_documents(built["stores"], built["depts"], built["sellers"],
                                               built["payments"])
     for name, df in built.items():
-        write_dataset(df, os.path.join(out_dir, name), fmt=fmt, partition_by=["SaleDate"], mode="overwrite")
+        write_dataset(with_month(df), os.path.join(out_dir, name), fmt=fmt, partition_by=[MONTH],
+                      mode="overwrite")
 
 
 def start_refresh(spark: SparkSession, changes_path: str, load_bundle: Callable[[], Bundle],
@@ -78,7 +79,7 @@ def start_refresh(spark: SparkSession, changes_path: str, load_bundle: Callable[
     source = spark.readStream.schema(schemas.schema("pos_transaction")).parquet(changes_path)
 
     def batch(changes: DataFrame, _epoch: int) -> None:
-        refresh_days(load_bundle(), rules, touched_days(changes), out_dir)
+        refresh_months(load_bundle(), rules, touched_months(changes), out_dir)
 
     writer = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 minutes")
