@@ -66,3 +66,25 @@ def stock_base(bundle: Bundle, rules: Rules) -> DataFrame:
     return (oh.join(attrs, ["branch", "ItemID", "StoreID"])
               .join(item_dimension(bundle, rules), ["branch", "ItemID"])
               .join(live_stores(bundle), ["branch", "StoreID"]))
+
+
+def id_floor(facts: DataFrame, col: str, qualifying: DataFrame, bundle: Bundle,
+             qualifying_col: str | None = None) -> DataFrame:
+    """Keep the ``facts`` rows whose ``col`` is at least the smallest id of
+    ``qualifying`` in the same branch.
+
+    Exact for any id order: a fact row that joins a qualifying row carries
+    one of its ids, so it is never below their minimum; the join that
+    follows removes the rest. When ids grow with time (identity keys in an
+    append-only table) the bound skips the old history: each branch's
+    minimum is a scalar subquery, evaluated once and pushed into the Parquet
+    scan as a row-group filter, so years of lines are neither read nor
+    shuffled. A branch without qualifying rows keeps no facts.
+    """
+    qcol = qualifying_col or col
+    cond = None
+    for br in bundle.branches:
+        lo = qualifying.where(F.col("branch") == br.name).agg(F.min(qcol)).scalar()
+        c = (F.col("branch") == F.lit(br.name)) & (F.col(col) >= lo)
+        cond = c if cond is None else cond | c
+    return facts.where(cond)

@@ -19,7 +19,7 @@ from possum.functions.dates import day_label, lookback, month_label, today_iso
 from possum.functions.filters import fact_live, master_live
 from possum.functions.money import dec, out, whole
 from possum.functions.text import plus, ustrip
-from possum.operators.base import item_dimension, live_stores
+from possum.operators.base import id_floor, item_dimension, live_stores
 from possum.rules import Rules
 
 
@@ -144,7 +144,8 @@ def monthly_sales(bundle: Bundle, rules: Rules, as_of: datetime) -> DataFrame:
 
     Lines are first summed per (month, store, item-store) right after the
     one fact-fact join, so the dimension joins see one row per item, store
-    and month instead of one per sale line.
+    and month instead of one per sale line. Lines carry no date: an id floor
+    taken from the window's transactions skips older lines at the scan.
     """
     te = bundle["transaction_entry"].where(
         fact_live(F.col("Status"))
@@ -153,6 +154,7 @@ def monthly_sales(bundle: Bundle, rules: Rules, as_of: datetime) -> DataFrame:
     t = bundle["pos_transaction"].where(
         fact_live(F.col("Status")) & (F.col("SaleTime") >= lookback(as_of, rules.sales_months, "MONTH"))
     ).select("branch", "TransactionID", "StoreID", month_label(F.col("SaleTime")).alias("ym"))
+    te = id_floor(te, "TransactionID", t, bundle)
     per_item_store = te.join(t, ["branch", "TransactionID"]).groupBy(
         "branch", "ym", "StoreID", "ItemStoreID").agg(F.sum("Qty").alias("QtySold"))
     ist = bundle["item_store"].where(fact_live(F.col("Status"))).select("branch", "ItemStoreID", "ItemID")

@@ -96,3 +96,10 @@ def test_no_local_checkpoint_or_udf_in_library():
                 src = open(os.path.join(d, f)).read()
                 assert "localCheckpoint" not in src
                 assert "@udf" not in src and "F.udf(" not in src
+
+
+def test_id_floor_reaches_line_scans(staged):
+    scan = _scan_of(plan(sales.monthly_sales(staged, RULES, AS_OF)), "transaction_entry")
+    assert "GreaterThanOrEqual(TransactionID,ScalarSubquery" in scan
+    scan = _scan_of(plan(suppliers.supplier_documents(staged, RULES, AS_OF)), "suppliers_docs_entry")
+    assert "GreaterThanOrEqual(ID,ScalarSubquery" in scan

@@ -280,3 +280,22 @@ def test_low_stock_limit_per_branch(spark):
 
 def test_rules_defaults_are_english():
     assert TEST_RULES.general_department == "PROMO" and R.general_department == "General"
+
+
+def test_id_floor_per_branch(spark):
+    from possum.operators.base import id_floor
+    a = frames.bundle(spark, "A", pos_transaction=[_txn(100, None), _txn(101, None)],
+                      transaction_entry=[{"TransactionEntryID": 1, "TransactionID": 100, "Status": 1},
+                                         {"TransactionEntryID": 2, "TransactionID": 101, "Status": 1},
+                                         {"TransactionEntryID": 3, "TransactionID": 99, "Status": 1}])
+    b = frames.bundle(spark, "B", pos_transaction=[_txn(1, None), _txn(2, None)],
+                      transaction_entry=[{"TransactionEntryID": 4, "TransactionID": 1, "Status": 1},
+                                         {"TransactionEntryID": 5, "TransactionID": 2, "Status": 1}])
+    u = branches.union_branches([(a, None), (b, None)])
+    qualifying = u["pos_transaction"].where(F.col("TransactionID").isin(101, 2))
+    kept = id_floor(u["transaction_entry"], "TransactionID", qualifying, u)
+    assert sorted((r.branch, r.TransactionEntryID) for r in kept.collect()) == [("A", 2), ("B", 5)]
+    # a branch without qualifying rows keeps nothing
+    none_b = u["pos_transaction"].where(F.col("TransactionID") == 101)
+    kept = id_floor(u["transaction_entry"], "TransactionID", none_b, u)
+    assert sorted((r.branch, r.TransactionEntryID) for r in kept.collect()) == [("A", 2)]
