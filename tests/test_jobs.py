@@ -62,3 +62,19 @@ def test_jdbc_options():
     assert o["lowerBound"] == "1" and o["upperBound"] == "1000" and o["dbtable"] == "[Transaction]"
     assert "s3cr3t-pw" not in repr(src)
     assert "partitionColumn" not in jdbc_options(src, "Store")
+
+
+def test_command_line_over_a_parquet_bundle(spark, fixture_bundle):
+    from possum.plans.run import load_rules, main
+    from possum.sources.parquet import write_bundle
+    root = tempfile.mkdtemp(prefix="possum-cli-")
+    write_bundle(fixture_bundle, os.path.join(root, "canonical"))
+    cfg = os.path.join(root, "job.json")
+    with open(cfg, "w") as f:
+        json.dump({"rules": {"general_department": "PROMO", "general_name_token": "cold",
+                             "barcode_deny": ["180", "240"]},
+                   "price_list": [["small widget", "11.50"], ["widget", "12.25"]]}, f)
+    paths = main(["stock", "--config", cfg, "--canonical", os.path.join(root, "canonical"),
+                  "--as-of", "2001-08-01T12:00:00", "--out", os.path.join(root, "out")], spark=spark)
+    assert spark.read.json(paths["store_summary"]).count() == QUERIES["revalue_stock"](spark, SF_SMALL).count()
+    assert load_rules({"barcode_deny": ["1"]}).barcode_deny == ("1",)
