@@ -16,7 +16,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from possum.session import build_session
     s = build_session(master="local[*]", shuffle_partitions=8, app_name="possum-tests",
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="possum-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="possum-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="possum-test-wh-")})
     yield s
     s.stop()
 

@@ -103,3 +103,21 @@ def test_id_floor_reaches_line_scans(staged):
     assert "GreaterThanOrEqual(TransactionID,ScalarSubquery" in scan
     scan = _scan_of(plan(suppliers.supplier_documents(staged, RULES, AS_OF)), "suppliers_docs_entry")
     assert "GreaterThanOrEqual(ID,ScalarSubquery" in scan
+
+
+def test_bucketed_tables_join_without_shuffle(spark, fixture_bundle):
+    from possum.operators.base import stock_base
+    from possum.sources.tables import read_bundle_tables, save_bundle_tables
+    save_bundle_tables(fixture_bundle, "possum_plan_test", 8)
+    b = read_bundle_tables(spark, "possum_plan_test")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")   # facts too big to broadcast
+    try:
+        lines = plan(sales.sale_lines(b, RULES))
+        base = plan(stock_base(b, RULES))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    tree = lines.split("\n\n")[0].replace("BroadcastExchange", "")
+    assert "SortMergeJoin" in tree and "Exchange" not in tree   # lines x transactions: no shuffle
+    assert base.count("Bucketed: true") >= 2                      # both sides of the self join
+    assert sales.sale_lines(b, RULES).count() == sales.sale_lines(fixture_bundle, RULES).count()
