@@ -62,24 +62,26 @@ def promotion_matrix(redemptions: DataFrame, bundle: Bundle, rules: Rules) -> Da
 
     Rows merge by name (a nameless promotion keys on prefix + id). ``id`` is
     the first branch's lowest id. Three aggregates: per (key, month, store)
-    cell, per month, per promotion; the maps hold at most months x stores
+    cell, per month, per promotion (the first row is carried through them
+    as a min over a struct); the maps hold at most months x stores
     entries. Order by promo_total descending at the sink.
     """
     r = redemptions.join(bundle.branch_order(), ["branch"]).withColumn(
         "key", F.when(F.col("name") != "", F.col("name")).otherwise(
             F.concat(F.lit(rules.promotion_prefix), F.col("id").cast("string"))))
-    first = r.groupBy("key").agg(F.min_by(F.struct("id", "name"),
-                                          F.struct("branch_rank", "id")).alias("first"))
-    cells = r.groupBy("key", "ym", "store").agg(F.sum("qty").alias("qty"), F.sum("total").alias("total"))
+    # the first row (first branch, then lowest id) rides along each level
+    first = F.struct("branch_rank", "id", "name")
+    cells = r.groupBy("key", "ym", "store").agg(
+        F.sum("qty").alias("qty"), F.sum("total").alias("total"), F.min(first).alias("first"))
     months = cells.groupBy("key", "ym").agg(
         F.map_from_entries(F.collect_list(F.struct(
             "store", F.struct(out(F.col("qty")).alias("qty"), out(F.col("total")).alias("total"))))
         ).alias("stores"),
-        F.sum("total").alias("month_total"))
+        F.sum("total").alias("month_total"), F.min("first").alias("first"))
     promos = months.groupBy("key").agg(
         F.map_from_entries(F.collect_list(F.struct("ym", "stores"))).alias("monthly"),
-        F.sum("month_total").alias("promo_total"))
-    return promos.join(first, ["key"]).select(
+        F.sum("month_total").alias("promo_total"), F.min("first").alias("first"))
+    return promos.select(
         "key", F.col("first.id").alias("id"), F.col("first.name").alias("name"), "monthly",
         out(F.col("promo_total")).alias("promo_total"))
 
