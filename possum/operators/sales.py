@@ -19,7 +19,7 @@ from possum.functions.dates import day_label, lookback, month_label, today_iso
 from possum.functions.filters import fact_live, master_live
 from possum.functions.money import dec, out, whole
 from possum.functions.text import plus, ustrip
-from possum.operators.base import id_floor, item_dimension, live_stores
+from possum.operators.base import id_floor, item_dimension, live_stores, main_group
 from possum.rules import Rules
 
 
@@ -127,7 +127,6 @@ def today_total(stores: DataFrame, as_of: datetime) -> DataFrame:
 def sales_item_dimension(bundle: Bundle, rules: Rules) -> DataFrame:
     """Item attributes of the sales and stock reports: labels, trimmed name,
     model code and size."""
-    from possum.operators.base import main_group
     items = item_dimension(bundle, rules).join(main_group(bundle), ["branch", "ItemID"], "left")
     return items.select(
         "branch", "ItemID",

@@ -8,6 +8,7 @@ dimensions are read in one query.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,11 @@ class JdbcBranch:
     driver: str = "com.microsoft.sqlserver.jdbc.SQLServerDriver"
     fetchsize: int = 10_000
     query_timeout_s: int = 0
+    # canonical table -> source table, where a database names them otherwise
+    table_names: Mapping[str, str] = field(default_factory=dict, repr=False)
+
+    def source_table(self, canonical: str) -> str:
+        return self.table_names.get(canonical, SOURCE_TABLES[canonical][0])
 
 
 def jdbc_options(src: JdbcBranch, table: str, partition_column: str | None = None,
@@ -78,16 +84,16 @@ def _bounds(spark: SparkSession, src: JdbcBranch, table: str, col: str) -> tuple
     """MIN/MAX of the split column: one row, computed by the database."""
     opts = jdbc_options(src, table)
     opts.pop("dbtable")
-    opts["query"] = f"SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}"
+    opts["query"] = f'SELECT MIN("{col}") AS "lo", MAX("{col}") AS "hi" FROM {table}'
     row = spark.read.format("jdbc").options(**opts).load().first()
-    if row is None or row["lo"] is None:
+    if row is None or row[0] is None:
         return None
-    return int(row["lo"]), int(row["hi"])
+    return int(row[0]), int(row[1])
 
 
 def read_table(spark: SparkSession, src: JdbcBranch, canonical: str,
                num_partitions: int = 64) -> DataFrame:
-    table, split = SOURCE_TABLES[canonical]
+    table, split = src.source_table(canonical), SOURCE_TABLES[canonical][1]
     reader = spark.read.format("jdbc")
     bounds = _bounds(spark, src, table, split) if split else None
     if bounds is not None:
