@@ -15,7 +15,9 @@ class Stage:
 
     Reading the written table back cuts the lineage: a lost executor costs
     a re-read of files on shared storage, not a recomputation of joins.
-    Each run gets its own sub-folder.
+    A job names its folder (``run_id``), so the next run of the same job
+    overwrites it and staged data does not pile up; runs that may overlap
+    pass distinct ids.
     """
 
     def __init__(self, spark: SparkSession, run_id: str | None = None):

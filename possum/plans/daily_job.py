@@ -67,8 +67,9 @@ def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
 
 
 def run_daily_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
-                  feed_path: str | None = None, fmt: str = "json") -> dict[str, str]:
-    stage = Stage(bundle.spark)
+                  feed_path: str | None = None, fmt: str = "json",
+                  run_id: str = "daily_job") -> dict[str, str]:
+    stage = Stage(bundle.spark, run_id)
     paths = {}
     datasets = build_daily(bundle, rules, as_of, feed_path, stage)
     for name, df in datasets.items():

@@ -46,9 +46,10 @@ def build_stock(bundle: Bundle, rules: Rules, as_of: datetime,
 
 
 def run_stock_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
-                  price_list: Sequence[tuple[str, str]] = (), fmt: str = "json") -> dict[str, str]:
+                  price_list: Sequence[tuple[str, str]] = (), fmt: str = "json",
+                  run_id: str = "stock_job") -> dict[str, str]:
     """Build and write every dataset; returns dataset -> folder."""
-    stage = Stage(bundle.spark)
+    stage = Stage(bundle.spark, run_id)
     paths = {}
     for name, df in build_stock(bundle, rules, as_of, price_list, stage).items():
         path = os.path.join(out_dir, name)

@@ -58,7 +58,7 @@ def refresh_months(bundle: Bundle, rules: Rules, months: DataFrame, out_dir: str
     """Recompute the day-keyed datasets (and the date document) for ``months``
     and overwrite only their partitions under ``out_dir/<dataset>/SaleMonth=...``."""
     scoped = restrict_to_months(bundle, months)
-    stage = Stage(bundle.spark)
+    stage = Stage(bundle.spark, "refresh")
     built = {name: stage.put(name, build(scoped, rules)) for name, build in DAY_DATASETS.items()}
     built["by_date"] = assemble.day_documents(built["stores"], built["depts"], built["sellers"],
                                               built["payments"])
