@@ -15,7 +15,9 @@
      "partitions": 64}
 
 Passwords are read from the environment variable each branch names. With
-``--canonical`` the tables are read from a Parquet bundle instead.
+``--canonical`` the tables are read from a Parquet bundle instead, with
+``--tables`` from catalog tables (e.g. the bucketed layout of
+``possum.sources.tables``).
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from possum.plans.stock_job import run_stock_job
 from possum.rules import Rules
 from possum.sources.jdbc import JdbcBranch, read_branch
 from possum.sources.parquet import read_bundle
+from possum.sources.tables import read_bundle_tables
 
 
 def load_rules(overrides: dict) -> Rules:
@@ -50,9 +53,12 @@ def load_rules(overrides: dict) -> Rules:
     return Rules(**args)
 
 
-def load_bundle(spark: SparkSession, config: dict, canonical: str | None) -> Bundle:
+def load_bundle(spark: SparkSession, config: dict, canonical: str | None,
+                database: str | None = None) -> Bundle:
     if canonical:
         return read_bundle(spark, canonical)
+    if database:
+        return read_bundle_tables(spark, database)
     parts = []
     for b in config["branches"]:
         env = b.get("password_env")
@@ -68,13 +74,14 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("job", choices=["stock", "daily"])
     p.add_argument("--config", help="JSON job configuration")
     p.add_argument("--canonical", help="read canonical tables from this Parquet bundle")
+    p.add_argument("--tables", help="read canonical tables from this catalog database")
     p.add_argument("--as-of", default=None, help="ISO timestamp; default: now")
     p.add_argument("--out", required=True)
     p.add_argument("--feed", default=None, help="folder of net-amount feed files (daily job)")
     p.add_argument("--format", default="json", choices=["json", "parquet"])
     a = p.parse_args(argv)
-    if not a.config and not a.canonical:
-        p.error("give --config or --canonical")
+    if not (a.config or a.canonical or a.tables):
+        p.error("give --config, --canonical or --tables")
     return a
 
 
@@ -84,7 +91,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     spark = spark or SparkSession.builder.appName(f"possum-{a.job}").getOrCreate()
     rules = load_rules(config.get("rules", {}))
     as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now().replace(microsecond=0)
-    bundle = load_bundle(spark, config, a.canonical)
+    bundle = load_bundle(spark, config, a.canonical, a.tables)
     if a.job == "stock":
         price_list = [tuple(x) for x in config.get("price_list", [])]
         return run_stock_job(bundle, rules, as_of, a.out, price_list, fmt=a.format)
