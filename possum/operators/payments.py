@@ -39,10 +39,9 @@ def payments_by_day(bundle: Bundle, rules: Rules) -> DataFrame:
              .join(tn, ["branch", "TenderID"], "left")
              .withColumn("PayMethod", F.when(F.col("gift"), F.lit(rules.gift_card)).otherwise(
                  F.coalesce(F.col("TenderNameHe"), F.col("TenderID").cast("string")))))
-    per_branch = lines.groupBy("branch", "SaleDate", "StoreName", "PayMethod").agg(
+    # one aggregate over all branches: sums and counts add up across them
+    merged = lines.groupBy("SaleDate", "StoreName", "PayMethod").agg(
         F.sum("TotalAmount").alias("TotalAmount"), F.count(F.lit(1)).alias("Cnt"))
-    merged = per_branch.groupBy("SaleDate", "StoreName", "PayMethod").agg(
-        F.sum("TotalAmount").alias("TotalAmount"), F.sum("Cnt").alias("Cnt"))
     return merged.select("SaleDate", "StoreName", "PayMethod",
                          out(F.coalesce(F.col("TotalAmount"), F.lit(0))).alias("TotalAmount"),
                          F.col("Cnt").cast("bigint").alias("Cnt"))

@@ -1,9 +1,13 @@
 """Sales datasets: D9 monthly unit sales, D10-D13 daily totals, D19 hours, D25.
 
-The daily totals (D10-D13) are merged over branches as the reference merges
-its per-branch lists: each branch is aggregated first (per-branch distinct
-transaction counts), then summed by the merge key. Both steps are
-partial/final hash aggregates, so a hot store or day is combined map-side.
+The daily totals (D10-D13) are merged over branches. The reference sums
+per-branch lists by the merge key; here one partial/final aggregate runs on
+the branch union, grouped by the merge key directly. That is exact: sums
+add up either way, and transactions of different branches are different
+transactions, so a distinct count of (branch, TransactionID) equals the sum
+of the per-branch distinct counts. A hot store or day is combined map-side;
+the distinct count first shuffles on (keys, branch, TransactionID), which
+spreads it.
 """
 
 from __future__ import annotations
@@ -31,19 +35,18 @@ def sales_transactions(bundle: Bundle, rules: Rules) -> DataFrame:
     return t.join(live_stores(bundle), ["branch", "StoreID"])
 
 
-def _merge(per_branch: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
-    return per_branch.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+def _transactions() -> F.Column:
+    """Distinct transactions across branches (ids are per branch)."""
+    return F.countDistinct("branch", "TransactionID")
 
 
 def sales_by_store_day(bundle: Bundle, rules: Rules) -> DataFrame:
     """SaleDate, StoreName, TotalSales, Transactions."""
     t = sales_transactions(bundle, rules).withColumn("SaleDate", day_label(F.col("SaleTime")))
-    per_branch = t.groupBy("branch", "SaleDate", "StoreID", "StoreName").agg(
-        F.coalesce(F.sum("Total"), F.lit(0)).alias("TotalSales"),
-        F.countDistinct("TransactionID").alias("Transactions"))
-    merged = _merge(per_branch, ["SaleDate", "StoreName"], ["TotalSales", "Transactions"])
-    return merged.select("SaleDate", "StoreName", out(F.col("TotalSales")).alias("TotalSales"),
-                         F.col("Transactions").cast("bigint").alias("Transactions"))
+    g = t.groupBy("SaleDate", "StoreName").agg(
+        F.coalesce(F.sum("Total"), F.lit(0)).alias("TotalSales"), _transactions().alias("Transactions"))
+    return g.select("SaleDate", "StoreName", out(F.col("TotalSales")).alias("TotalSales"),
+                    F.col("Transactions").cast("bigint").alias("Transactions"))
 
 
 def sale_lines(bundle: Bundle, rules: Rules) -> DataFrame:
@@ -57,16 +60,14 @@ def sale_lines(bundle: Bundle, rules: Rules) -> DataFrame:
 
 
 def sales_by_department_day(bundle: Bundle, rules: Rules) -> DataFrame:
-    """SaleDate, Dept, TotalSales. The department is the line's own."""
+    """SaleDate, Dept, TotalSales. The department is the line's own
+    (a small dimension joined before the one aggregate)."""
     lines = sale_lines(bundle, rules).withColumn("SaleDate", day_label(F.col("SaleTime")))
-    per_dept = lines.groupBy("branch", "SaleDate", "DepartmentID").agg(
-        F.sum("LineTotal").alias("TotalSales"))
     d = bundle["department"].select("branch", "DepartmentID", F.col("Name").alias("DeptName"))
-    labelled = per_dept.join(d, ["branch", "DepartmentID"], "left").withColumn(
+    labelled = lines.join(d, ["branch", "DepartmentID"], "left").withColumn(
         "Dept", F.coalesce(F.col("DeptName"), F.lit(rules.no_department)))
-    merged = _merge(labelled, ["SaleDate", "Dept"], ["TotalSales"])
-    return merged.select("SaleDate", "Dept",
-                         out(F.coalesce(F.col("TotalSales"), F.lit(0))).alias("TotalSales"))
+    g = labelled.groupBy("SaleDate", "Dept").agg(F.sum("LineTotal").alias("TotalSales"))
+    return g.select("SaleDate", "Dept", out(F.coalesce(F.col("TotalSales"), F.lit(0))).alias("TotalSales"))
 
 
 def sales_by_seller_day(bundle: Bundle, rules: Rules) -> DataFrame:
@@ -79,27 +80,24 @@ def sales_by_seller_day(bundle: Bundle, rules: Rules) -> DataFrame:
                                                  "SellerID", "Total")
     u = bundle["users"].where(master_live(F.col("Status"))).select(
         "branch", F.col("UserId").alias("SellerID"), "UserFName", "UserLName")
-    j = t.join(u, ["branch", "SellerID"], "left").withColumn("SaleDate", day_label(F.col("SaleTime")))
-    per_branch = j.groupBy("branch", "SaleDate", "UserFName", "UserLName").agg(
-        F.sum("Total").alias("TotalSales"),
-        F.countDistinct("TransactionID").alias("Transactions"))
-    named = per_branch.withColumn("SellerName", F.coalesce(
-        plus(F.rtrim("UserFName"), F.lit(" "), F.rtrim("UserLName")), F.lit(rules.unknown_seller)))
-    merged = _merge(named, ["SaleDate", "SellerName"], ["TotalSales", "Transactions"])
-    return merged.select("SaleDate", "SellerName",
-                         out(F.coalesce(F.col("TotalSales"), F.lit(0))).alias("TotalSales"),
-                         F.col("Transactions").cast("bigint").alias("Transactions"))
+    j = t.join(u, ["branch", "SellerID"], "left").select(
+        "branch", "TransactionID", "Total", day_label(F.col("SaleTime")).alias("SaleDate"),
+        F.coalesce(plus(F.rtrim("UserFName"), F.lit(" "), F.rtrim("UserLName")),
+                   F.lit(rules.unknown_seller)).alias("SellerName"))
+    # grouped by the final label: the reference's groups by raw names merge to it
+    g = j.groupBy("SaleDate", "SellerName").agg(
+        F.sum("Total").alias("TotalSales"), _transactions().alias("Transactions"))
+    return g.select("SaleDate", "SellerName", out(F.coalesce(F.col("TotalSales"), F.lit(0))).alias("TotalSales"),
+                    F.col("Transactions").cast("bigint").alias("Transactions"))
 
 
 def sales_daily(bundle: Bundle, rules: Rules) -> DataFrame:
     """SaleDate, TotalSales, Transactions."""
     t = sales_transactions(bundle, rules).withColumn("SaleDate", day_label(F.col("SaleTime")))
-    per_branch = t.groupBy("branch", "SaleDate").agg(
-        F.coalesce(F.sum("Total"), F.lit(0)).alias("TotalSales"),
-        F.countDistinct("TransactionID").alias("Transactions"))
-    merged = _merge(per_branch, ["SaleDate"], ["TotalSales", "Transactions"])
-    return merged.select("SaleDate", out(F.col("TotalSales")).alias("TotalSales"),
-                         F.col("Transactions").cast("bigint").alias("Transactions"))
+    g = t.groupBy("SaleDate").agg(
+        F.coalesce(F.sum("Total"), F.lit(0)).alias("TotalSales"), _transactions().alias("Transactions"))
+    return g.select("SaleDate", out(F.col("TotalSales")).alias("TotalSales"),
+                    F.col("Transactions").cast("bigint").alias("Transactions"))
 
 
 def sales_by_hour(bundle: Bundle, rules: Rules, as_of: datetime) -> DataFrame:
