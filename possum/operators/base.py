@@ -55,7 +55,9 @@ def stock_base(bundle: Bundle, rules: Rules) -> DataFrame:
     the item-store attributes (the reference's OnHand CTE x ItemStore).
 
     The self join is on (ItemID, StoreID): 1:1 when that pair is unique,
-    as it is in a POS item-store table.
+    as it is in a POS item-store table. Active stores (a broadcast
+    dimension) are joined first, which drops closed stores' rows before the
+    shuffled joins and keeps the on-hand side's partitioning.
     """
     ist = bundle["item_store"]
     oh = ist.where(fact_live(F.col("Status"))).select(
@@ -63,9 +65,9 @@ def stock_base(bundle: Bundle, rules: Rules) -> DataFrame:
         F.coalesce(F.col("OnHand"), F.lit(0).cast("decimal(18,1)")).alias("Qty"))
     attrs = ist.select("branch", "ItemID", "StoreID", F.col("ItemStoreID").alias("AttrRowID"),
                        "ReorderPoint", "AVGCost", "AVCostWithoutTax", "CostWithoutTax")
-    return (oh.join(attrs, ["branch", "ItemID", "StoreID"])
-              .join(item_dimension(bundle, rules), ["branch", "ItemID"])
-              .join(live_stores(bundle), ["branch", "StoreID"]))
+    return (oh.join(live_stores(bundle), ["branch", "StoreID"])
+              .join(attrs, ["branch", "ItemID", "StoreID"])
+              .join(item_dimension(bundle, rules), ["branch", "ItemID"]))
 
 
 def id_floor(facts: DataFrame, col: str, qualifying: DataFrame, bundle: Bundle,
