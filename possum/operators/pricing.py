@@ -26,10 +26,13 @@ def impute_cost(items: DataFrame) -> DataFrame:
     only (no cascade). Prefixes keep their case.
 
     Plan: one aggregate builds all three lookups (known items exploded into
-    <= 3 (level, prefix) rows); the items to fill are exploded the same way,
-    joined on (branch, level, prefix) and reduced back per key. Items
-    without a parsable code never enter the join (their null prefixes would
-    all hash to one partition); they are unioned back unchanged.
+    <= 3 (level, prefix) rows). The items to fill are exploded the same way
+    as slim (key, level, prefix) rows, joined on (branch, level, prefix) and
+    reduced to the best fill per key; only that one value per item is
+    joined back, so the wide item rows (with their store maps) are shuffled
+    once, not three times. Items without a parsable code never enter the
+    prefix join (their null prefixes would all hash to one partition); they
+    are unioned back unchanged.
     """
     lv = codes.prefix_levels(F.col("b"))
     known = (items.where((F.col("p") > 0) & (F.col("b") != ""))
@@ -40,13 +43,12 @@ def impute_cost(items: DataFrame) -> DataFrame:
     need_mask = (F.col("p") == 0) & (F.col("b") != "") & (F.size(lv) > 0)
     need = items.where(need_mask)
     rest = items.where(~need_mask | need_mask.isNull())
-    exploded = need.select(*cols, F.explode(lv).alias("e")).select(
-        *cols, F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre"))
-    hits = exploded.join(known, ["branch", "lvl", "pre"], "left")
-    filled = hits.groupBy("branch", "key").agg(
-        *[F.any_value(c).alias(c) for c in cols if c not in ("branch", "key")],
-        F.min_by("fill", F.when(F.col("fill").isNotNull(), F.col("lvl"))).alias("fill"))
-    filled = filled.withColumn("p", F.coalesce(F.col("fill"), F.col("p"))).select(*cols)
+    slim = need.select("branch", "key", F.explode(lv).alias("e")).select(
+        "branch", "key", F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre"))
+    best = slim.join(known, ["branch", "lvl", "pre"]).groupBy("branch", "key").agg(
+        F.min_by("fill", "lvl").alias("fill"))
+    filled = need.join(best, ["branch", "key"], "left").withColumn(
+        "p", F.coalesce(F.col("fill"), F.col("p"))).select(*cols)
     return rest.unionByName(filled)
 
 
