@@ -12,6 +12,16 @@ from possum.functions.dates import day_key_to_iso, today_iso
 FAMILIES = ("stores", "depts", "sellers", "payments")
 
 
+def _order(field: str, descending: bool = False):
+    """array_sort comparator on one struct field, nulls last (a total order)."""
+    def cmp(a, b):
+        x, y = (b[field], a[field]) if descending else (a[field], b[field])
+        return (F.when(a[field].isNull() & b[field].isNull(), 0)
+                .when(a[field].isNull(), 1).when(b[field].isNull(), -1)
+                .when(x < y, -1).when(x > y, 1).otherwise(0))
+    return cmp
+
+
 def day_documents(stores: DataFrame, depts: DataFrame, sellers: DataFrame,
                   payments: DataFrame) -> DataFrame:
     """SaleDate, stores, depts, sellers, payments (arrays of structs).
@@ -40,16 +50,12 @@ def day_documents(stores: DataFrame, depts: DataFrame, sellers: DataFrame,
     for p in parts[1:]:
         u = u.unionByName(p)
     g = u.groupBy("SaleDate").agg(*[F.collect_list(f).alias(f) for f in FAMILIES])
-    by_name = lambda field: (lambda a, b: F.when(a[field] < b[field], -1)
-                             .when(a[field] > b[field], 1).otherwise(0))
-    by_amount = lambda field: (lambda a, b: F.when(a[field] > b[field], -1)
-                               .when(a[field] < b[field], 1).otherwise(0))
     return g.select(
         "SaleDate",
-        F.array_sort("stores", by_name("StoreName")).alias("stores"),
-        F.array_sort("depts", by_amount("TotalSales")).alias("depts"),
-        F.array_sort("sellers", by_amount("TotalSales")).alias("sellers"),
-        F.array_sort("payments", by_amount("TotalAmount")).alias("payments"))
+        F.array_sort("stores", _order("StoreName")).alias("stores"),
+        F.array_sort("depts", _order("TotalSales", descending=True)).alias("depts"),
+        F.array_sort("sellers", _order("TotalSales", descending=True)).alias("sellers"),
+        F.array_sort("payments", _order("TotalAmount", descending=True)).alias("payments"))
 
 
 def flatten_day_documents(docs: DataFrame) -> DataFrame:

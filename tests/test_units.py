@@ -299,3 +299,16 @@ def test_id_floor_per_branch(spark):
     none_b = u["pos_transaction"].where(F.col("TransactionID") == 101)
     kept = id_floor(u["transaction_entry"], "TransactionID", none_b, u)
     assert sorted((r.branch, r.TransactionEntryID) for r in kept.collect()) == [("A", 2)]
+
+
+def test_day_document_list_order(spark):
+    stores = spark.createDataFrame([("d", "B", 1.0, 1), ("d", None, 2.0, 1), ("d", "A", 3.0, 1)],
+                                   "SaleDate string, StoreName string, TotalSales double, Transactions long")
+    depts = spark.createDataFrame([("d", "x", 1.0), ("d", "y", 5.0), ("d", "z", None)],
+                                  "SaleDate string, Dept string, TotalSales double")
+    sellers = spark.createDataFrame([], "SaleDate string, SellerName string, TotalSales double, Transactions long")
+    pays = spark.createDataFrame([], "SaleDate string, StoreName string, PayMethod string, TotalAmount double, Cnt long")
+    doc = one(assemble.day_documents(stores, depts, sellers, pays))
+    assert [s.StoreName for s in doc.stores] == ["A", "B", None]
+    assert [d.Dept for d in doc.depts] == ["y", "x", "z"]
+    assert doc.sellers == [] and doc.payments == []
