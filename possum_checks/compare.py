@@ -1,6 +1,6 @@
 """Run each registered dataset in Spark and its oracle in DuckDB; compare.
 
-    python -m checks.compare [sf_dir] [name ...]
+    python -m possum_checks.compare [sf_dir] [name ...]
 
 Rows are compared as multisets after sorting columns by name; doubles are
 compared after rounding to 6 decimals.
@@ -14,8 +14,8 @@ import time
 
 import duckdb
 
-from checks.oracle_sql import ORACLES
-from checks.queries import QUERIES
+from possum_checks.oracle_sql import ORACLES
+from possum_checks.queries import QUERIES
 from possum.session import build_session
 from possum.sources.fixtures import RAW_TABLES
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.params import AS_OF, AS_OF_PEOPLE, LABEL_B, PRICE_LIST, RULES
+from possum_checks.params import AS_OF, AS_OF_PEOPLE, LABEL_B, PRICE_LIST, RULES
 from possum.bundle import Bundle
 from possum.functions.money import out
 from possum.operators import (assemble, attendance, branches, ledger, payments, people, pricing,

@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from checks.params import AS_OF, PRICE_LIST, RULES
+from possum_checks.params import AS_OF, PRICE_LIST, RULES
 from possum.operators import branches, payments, sales
 from possum.plans.stock_job import build_stock
 from possum.sources.adapters import split_branches

@@ -8,8 +8,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from checks.params import AS_OF, PRICE_LIST, RULES
-from checks.queries import QUERIES
+from possum_checks.params import AS_OF, PRICE_LIST, RULES
+from possum_checks.queries import QUERIES
 from possum.plans.daily_job import run_daily_job
 from possum.plans.stock_job import run_stock_job
 from possum.sources.jdbc import JdbcBranch, jdbc_options

@@ -7,8 +7,8 @@ import math
 import duckdb
 import pytest
 
-from checks.oracle_sql import ORACLES
-from checks.queries import QUERIES
+from possum_checks.oracle_sql import ORACLES
+from possum_checks.queries import QUERIES
 from possum.sources.fixtures import RAW_TABLES
 
 from conftest import SF_SMALL

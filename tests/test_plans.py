@@ -11,8 +11,8 @@ import tempfile
 
 import pytest
 
-from checks.params import AS_OF, RULES
-from checks.queries import QUERIES, on_bundle
+from possum_checks.params import AS_OF, RULES
+from possum_checks.queries import QUERIES, on_bundle
 from possum.operators import sales, stock, suppliers
 from possum.sources.parquet import read_bundle, write_bundle
 

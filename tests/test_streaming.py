@@ -7,7 +7,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from checks.params import RULES
+from possum_checks.params import RULES
 from possum.functions.dates import month_label
 from possum.operators import sales
 from possum.sources.parquet import read_bundle, write_bundle
