@@ -104,3 +104,19 @@ def test_jdbc_branch_reader_against_embedded_derby(spark, fixture_bundle):
     want = sales.sales_by_seller_day(fixture_bundle, RULES)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert bundle["pos_transaction"].rdd.getNumPartitions() == 4   # range-split read
+
+
+def test_json_sink_contract(spark):
+    from datetime import datetime
+    from decimal import Decimal
+
+    from possum.sources.sinks import write_dataset
+    df = spark.createDataFrame(
+        [(datetime(2024, 1, 2, 3, 4, 5), Decimal("12.50"), None, {"a": Decimal("1.5")})],
+        "ts timestamp_ntz, amount decimal(18,2), note string, s map<string,decimal(18,1)>")
+    path = os.path.join(tempfile.mkdtemp(prefix="possum-sink-"), "d")
+    write_dataset(df, path)
+    lines = [ln for f in sorted(os.listdir(path)) if f.endswith(".json")
+             for ln in open(os.path.join(path, f), encoding="utf-8") if ln.strip()]
+    assert [json.loads(ln) for ln in lines] == [
+        {"ts": "2024-01-02 03:04", "amount": 12.5, "note": None, "s": {"a": 1.5}}]
