@@ -3,8 +3,10 @@ folder each.
 
 Plan shape: the stock base (item-store x item x store) is built once and
 staged; D1-D4 and D9b read the staged copy. The priced item catalogue
-(D5 -> D6 -> D7) is staged too, since it feeds both D8 and the search
-output. Everything else is one lazy plan per dataset.
+(D5 -> D6 -> D7) is staged twice: the catalogue before imputation reads it
+three times (known costs, items to fill, the rest), and the priced items
+feed both D8 and the search output. Everything else is one lazy plan per
+dataset.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ def build_stock(bundle: Bundle, rules: Rules, as_of: datetime,
     base = put("stock_base", stock_base(bundle, rules))
     summary = stock.stock_summary(bundle, rules, base=base)
     by_dept = stock.stock_by_department(bundle, rules, base=base)
-    items = stock.item_catalogue(stock.stock_lines(bundle, rules, base=base))
+    items = put("catalogue", stock.item_catalogue(stock.stock_lines(bundle, rules, base=base)))
     items = put("items", pricing.apply_price_list(pricing.impute_cost(items), price_list))
     summary, by_dept = pricing.revalue_stock(summary, by_dept, items, rules)
     report = stock.stock_report(bundle, rules, base=base)
