@@ -13,8 +13,8 @@ from possum.functions import codes
 from possum.functions.money import whole
 from possum.rules import Rules
 
-# A list longer than this is not a hand-kept price list; see apply_price_list.
-MAX_PRICE_LIST = 5000
+# entries per CASE expression; longer lists are split (see apply_price_list)
+PRICE_LIST_CHUNK = 200
 
 
 def impute_cost(items: DataFrame) -> DataFrame:
@@ -57,19 +57,24 @@ def apply_price_list(items: DataFrame, price_list: Sequence[tuple[str, str | Dec
     sets the cost, over everything else. An empty list changes nothing.
 
     The list is driver-side configuration (a hand-kept list), so it becomes
-    one CASE expression: a projection in whole-stage codegen, no join and no
-    shuffle. Its length is checked.
+    column expressions: a projection in whole-stage codegen, no join and no
+    shuffle. Each chunk of entries is one CASE (its first matching entry's
+    price, else null) and ``coalesce`` over the chunks keeps the first chunk
+    with a match: the first matching entry of the whole list, for a list of
+    any length, while each expression stays small enough to compile.
     """
     if not price_list:
         return items
-    if len(price_list) > MAX_PRICE_LIST:
-        raise ValueError(f"price list of {len(price_list)} entries exceeds {MAX_PRICE_LIST}")
-    expr = None
-    for name, price in price_list:
-        cond = F.col("n").contains(F.lit(name))
-        val = F.lit(Decimal(str(price))).cast("decimal(18,2)")
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return items.withColumn("p", expr.otherwise(F.col("p")))
+    entries = [(name, Decimal(str(price))) for name, price in price_list]
+    chunks = []
+    for start in range(0, len(entries), PRICE_LIST_CHUNK):
+        expr = None
+        for name, price in entries[start:start + PRICE_LIST_CHUNK]:
+            cond = F.col("n").contains(F.lit(name))
+            val = F.lit(price).cast("decimal(18,2)")
+            expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+        chunks.append(expr)
+    return items.withColumn("p", F.coalesce(*chunks, F.col("p")))
 
 
 def revalue_stock(summary: DataFrame, by_dept: DataFrame, items: DataFrame,

@@ -312,3 +312,15 @@ def test_day_document_list_order(spark):
     assert [s.StoreName for s in doc.stores] == ["A", "B", None]
     assert [d.Dept for d in doc.depts] == ["y", "x", "z"]
     assert doc.sellers == [] and doc.payments == []
+
+
+def test_long_price_list_first_entry_wins(spark):
+    from possum.operators.pricing import PRICE_LIST_CHUNK
+    n = 3 * PRICE_LIST_CHUNK + 7
+    plist = [(f"nomatch{i}", "1") for i in range(n)] + [("abc", "5"), ("a", "6")]
+    items = _items(spark, [{"key": "k", "n": "xabcx", "b": "x", "p": 4},
+                           {"key": "m", "n": "zzz", "b": "y", "p": 4},
+                           {"key": "q", "n": "nomatch12", "b": "y", "p": 4}])
+    got = _p(pricing.apply_price_list(items, plist))
+    # "nomatch12" also contains "nomatch1": the earlier entry wins
+    assert got == {"k": 5.0, "m": 4.0, "q": 1.0}
