@@ -48,7 +48,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Raises when it is unset: a machine-local folder would not survive the
     loss of an executor, so the library never invents one.
     """
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
     return path
