@@ -35,16 +35,17 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "json",
     """Write one dataset folder.
 
     JSON keeps nulls and renders timestamps as ``yyyy-MM-dd HH:mm``. With
-    ``partition_by``, rows are first hash-partitioned on those columns (one
-    file per folder) and overwrite is dynamic: only the partitions present
+    ``partition_by``, rows are first rebalanced on those columns (one file
+    per folder unless a folder is too big for one task) and overwrite is dynamic: only the partitions present
     in ``df`` are replaced, so a run that recomputes some months leaves the
     others in place. Use coarse partition columns (a month, not a day) for
     small aggregated datasets.
     """
     df = decimals_to_double(df)
     if partition_by:
-        # one task per partition value: one file per folder, not one per task
-        df = df.repartition(*partition_by)
+        # rows of one folder go to one task (one file per folder, not one per
+        # task); AQE splits a folder too large for one task (REBALANCE)
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
