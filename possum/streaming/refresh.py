@@ -3,14 +3,20 @@
 The reference recomputes the whole sales history on every run. Here a
 Structured Streaming source of changed transactions (new or edited rows of
 the transaction table, e.g. files dropped by change capture) drives the
-refresh: each micro-batch finds the sale days it touches, recomputes the
-day-keyed datasets (D10-D14) for those days only, and replaces just those
-day partitions of the outputs (dynamic partition overwrite). Days outside
-the batch are neither read for output nor rewritten.
-
-Exactness: every refreshed dataset groups by the sale day, so a day's rows
-depend only on that day's transactions; recomputing a touched day from the
-full tables gives the same rows as a full run.
+refresh: each micro-batch finds the sale months it touches, recomputes the
+day-keyed datasets (D10-D14 and the date document D23) for those months
+only, and replaces just those month folders of the outputs (dynamic
+partition overwrite), the layout ``run_daily_job`` writes. Other months are
+neither read for output nor rewritten.
+
+Exactness: every refreshed dataset groups by the sale day, so a month's
+rows depend only on that month's transactions; recomputing a touched month
+from the full tables gives the same rows as a full run.
+
+Failures: ``foreachBatch`` delivers a micro-batch at least once. The batch
+function is idempotent (recompute the touched months from the tables,
+overwrite their folders), so a batch replayed after a lost driver or
+executor leaves the same output.
 """
 
 from __future__ import annotations
