@@ -1,4 +1,4 @@
-"""The incremental refresh equals the full computation on the touched days."""
+"""The incremental refresh equals the full computation on the touched months."""
 
 from __future__ import annotations
 
