@@ -47,6 +47,12 @@ def build_stock(bundle: Bundle, rules: Rules, as_of: datetime,
     }
 
 
+def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
+    """One row: last_updated ('dd/MM/yyyy HH:mm') and the dataset folders."""
+    return bundle.spark.createDataFrame([(as_of.strftime("%d/%m/%Y %H:%M"), names)],
+                                        "last_updated string, datasets array<string>")
+
+
 def run_stock_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
                   price_list: Sequence[tuple[str, str]] = (), fmt: str = "json",
                   run_id: str = "stock_job") -> dict[str, str]:
@@ -57,4 +63,5 @@ def run_stock_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
         path = os.path.join(out_dir, name)
         write_dataset(df, path, fmt=fmt)
         paths[name] = path
+    write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
     return paths

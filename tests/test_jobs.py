@@ -27,6 +27,8 @@ def test_stock_job_writes_every_dataset(spark, fixture_bundle):
     assert spark.read.json(paths["sales_items"]).count() == QUERIES["monthly_sales"](spark, SF_SMALL).count()
     s = spark.read.json(paths["search_items"])
     assert dict(s.dtypes)["p"] == "double"
+    m = spark.read.json(os.path.join(out, "_manifest")).first()
+    assert m.last_updated == "01/08/2001 12:00" and "store_summary" in m.datasets
 
 
 def test_daily_job_writes_every_dataset_and_manifest(spark, fixture_bundle):
