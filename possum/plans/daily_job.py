@@ -30,7 +30,7 @@ def build_daily(bundle: Bundle, rules: Rules, as_of: datetime, feed_path: str |
     pays = put("payments", payments.payments_by_day(bundle, rules))
     redemptions = promotions.promotion_redemptions(bundle, rules, as_of)
     out = {
-        "daily": sales.sales_daily(bundle, rules),
+        "daily": sales.daily_from_stores(stores),
         "by_date": assemble.day_documents(stores, depts, sellers, pays),
         "stores": stores, "depts": depts, "sellers": sellers, "payments": pays,
         "rivhit": ledger.ledger_monthly(bundle["ledger_monthly"]),

@@ -41,7 +41,6 @@ DAY_DATASETS: dict[str, Callable[[Bundle, Rules], DataFrame]] = {
     "stores": sales.sales_by_store_day,
     "depts": sales.sales_by_department_day,
     "sellers": sales.sales_by_seller_day,
-    "daily": sales.sales_daily,
     "payments": payments.payments_by_day,
 }
 
@@ -66,6 +65,7 @@ def refresh_months(bundle: Bundle, rules: Rules, months: DataFrame, out_dir: str
     scoped = restrict_to_months(bundle, months)
     stage = Stage(bundle.spark, "refresh")
     built = {name: stage.put(name, build(scoped, rules)) for name, build in DAY_DATASETS.items()}
+    built["daily"] = sales.daily_from_stores(built["stores"])
     built["by_date"] = assemble.day_documents(built["stores"], built["depts"], built["sellers"],
                                               built["payments"])
     for name, df in built.items():

@@ -43,3 +43,8 @@ def test_stock_job_over_labelled_branches(fixture_bundle):
     users = out["users_list"]
     assert users.count() == users.select("user", "hash").distinct().count()
     assert {r.branch for r in users.collect()} == {"A"}
+
+
+def test_daily_totals_from_store_rows(fixture_bundle):
+    stores = sales.sales_by_store_day(fixture_bundle, RULES)
+    assert _rows(sales.daily_from_stores(stores)) == _rows(sales.sales_daily(fixture_bundle, RULES))

@@ -51,6 +51,9 @@ def test_refresh_touched_months_only(spark, fixture_bundle):
         inc = _read(spark, os.path.join(out, name))
         cols = sorted(full.columns)
         assert _rows(inc, cols) == _rows(full, cols), name
+    daily = _read(spark, os.path.join(out, "daily"))
+    full_daily = sales.sales_daily(bundle, RULES).where(F.substring("SaleDate", 1, 7).isin(months))
+    assert _rows(daily, sorted(full_daily.columns)) == _rows(full_daily, sorted(full_daily.columns))
     docs = _read(spark, os.path.join(out, "by_date"))
     full_days = sales.sales_daily(bundle, RULES).where(F.substring("SaleDate", 1, 7).isin(months))
     assert docs.count() >= full_days.count() > 0
