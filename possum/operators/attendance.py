@@ -27,26 +27,27 @@ def attendance(bundle: Bundle, rules: Rules, as_of: datetime) -> DataFrame:
     ``punches`` is array<struct<in,out>> ('HH:mm' or null) of the pairs with
     at least one side; ``hours`` adds the complete pairs, a pair past
     midnight wrapping by 1440 minutes. Days without punches are dropped.
-    All row-local: arrays and higher-order functions, no shuffle but the
-    store join.
+    All row-local: no shuffle but the store join.
     """
     pv = bundle["presence_view"].where(F.col("PreDate") >= date_lookback(as_of, rules.attendance_days))
     pv = pv.join(live_stores(bundle).select("branch", "StoreID", "StoreName"), ["branch", "StoreID"])
-    pairs = F.array(*[F.struct(F.col(f"Login{i}").alias("li"), F.col(f"Logout{i}").alias("lo"))
-                      for i in range(1, PAIRS + 1)])
-    kept = F.filter(pairs, lambda p: p["li"].isNotNull() | p["lo"].isNotNull())
-    worked = F.aggregate(kept, F.lit(0), lambda acc, p: acc + F.coalesce(
-        F.pmod(_minutes(p["lo"]) - _minutes(p["li"]), F.lit(DAY_MINUTES)), F.lit(0)))
-    punches = F.transform(kept, lambda p: F.struct(F.date_format(p["li"], "HH:mm").alias("in"),
-                                                   F.date_format(p["lo"], "HH:mm").alias("out")))
-    rows = pv.select("branch", "PreDate", "StoreName", "Name", "UserNo", "UserID",
-                     kept.alias("kept"), worked.alias("mins"), punches.alias("punches"))
-    return rows.where(F.size("kept") > 0).select(
+    li = [F.col(f"Login{i}") for i in range(1, PAIRS + 1)]
+    lo = [F.col(f"Logout{i}") for i in range(1, PAIRS + 1)]
+    # worked minutes and the "any punch" test as plain column expressions
+    # (whole-stage codegen); the list itself needs filter/transform
+    worked = sum((F.coalesce(F.pmod(_minutes(o) - _minutes(i), F.lit(DAY_MINUTES)), F.lit(0))
+                  for i, o in zip(li, lo)), F.lit(0))
+    any_punch = F.coalesce(*[c for pair in zip(li, lo) for c in pair]).isNotNull()
+    pairs = F.array(*[F.struct(i.alias("li"), o.alias("lo")) for i, o in zip(li, lo)])
+    punches = F.transform(F.filter(pairs, lambda p: p["li"].isNotNull() | p["lo"].isNotNull()),
+                          lambda p: F.struct(F.date_format(p["li"], "HH:mm").alias("in"),
+                                             F.date_format(p["lo"], "HH:mm").alias("out")))
+    return pv.where(any_punch).select(
         "branch", F.date_format("PreDate", "yyyy-MM-dd").alias("iso"),
         F.date_format("PreDate", "dd/MM").alias("date"), "StoreName",
         ustrip(F.coalesce(F.col("Name"), F.lit(""))).alias("name"),
         F.col("UserNo").alias("no"), F.col("UserID").cast("string").alias("uid"),
-        "punches", F.round(F.col("mins") / F.lit(60.0), 2).alias("hours"))
+        punches.alias("punches"), F.round(worked / F.lit(60.0), 2).alias("hours"))
 
 
 def flatten_attendance(att: DataFrame) -> DataFrame:
