@@ -42,4 +42,6 @@ def prefix_levels(barcode: Column) -> Column:
     levels = F.array(*[
         F.struct(F.lit(i).alias("lvl"), F.regexp_extract(bc, pat, 1).alias("pre"))
         for i, pat in ((1, PREFIX_FULL), (2, PREFIX_NO_YEAR), (3, PREFIX_NO_SEASON))])
-    return F.filter(levels, lambda e: e["pre"] != F.lit(""))
+    # the three patterns match together or not at all
+    empty = F.array().cast("array<struct<lvl:int,pre:string>>")
+    return F.when(levels[0]["pre"] != "", levels).otherwise(empty)

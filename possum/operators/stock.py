@@ -157,7 +157,7 @@ def item_catalogue(lines: DataFrame) -> DataFrame:
 def finish_catalogue(items: DataFrame) -> DataFrame:
     """Final projection of D5-D8 items: map and amounts as double."""
     return items.select("branch", "key", "n", "b", "mn", "d", out(F.col("p")).alias("p"),
-                        F.transform_values("s", lambda k, v: out(v)).alias("s"),
+                        F.col("s").cast("map<string,double>").alias("s"),
                         out(F.col("q")).alias("q"))
 
 
@@ -189,7 +189,7 @@ def stock_report(bundle: Bundle, rules: Rules, base: DataFrame | None = None) ->
 
 def finish_stock_report(report: DataFrame) -> DataFrame:
     return report.select("branch", "dept", "g", "n", "mc", "sz",
-                         F.transform_values("s", lambda k, v: out(v)).alias("s"),
+                         F.col("s").cast("map<string,double>").alias("s"),
                          out(F.col("q")).alias("q"))
 
 
