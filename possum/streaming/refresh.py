@@ -1,9 +1,9 @@
 """Incremental refresh of the daily datasets.
 
 The reference recomputes the whole sales history on every run. Here a
-Structured Streaming source of changed transactions (new or edited rows of
-the transaction table, e.g. files dropped by change capture) drives the
-refresh: each micro-batch finds the sale months it touches, recomputes the
+Structured Streaming source of changes (new or edited rows of the
+transaction, sale-line and tender-line tables, e.g. files dropped by change
+capture) drives the refresh: each micro-batch finds the sale months it touches, recomputes the
 day-keyed datasets (D10-D14 and the date document D23) for those months
 only, and replaces just those month folders of the outputs (dynamic
 partition overwrite), the layout ``run_daily_job`` writes. Other months are
@@ -22,7 +22,8 @@ executor leaves the same output.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +46,24 @@ DAY_DATASETS: dict[str, Callable[[Bundle, Rules], DataFrame]] = {
 }
 
 
-def touched_months(changes: DataFrame) -> DataFrame:
-    """Distinct sale months (``SaleMonth``) of a batch of changed transactions."""
-    return changes.select(month_label(F.col("SaleTime")).alias(MONTH)).distinct()
+# change feeds the refresh follows: the tables the day-keyed datasets read
+# per transaction (a change to a dimension table needs a full daily run)
+CHANGE_TABLES = ("pos_transaction", "transaction_entry", "tender_entry")
+
+
+def touched_months(changes: DataFrame, bundle: Bundle) -> DataFrame:
+    """Distinct sale months (``SaleMonth``) touched by a batch of changes.
+
+    ``changes`` has TransactionID and SaleTime; SaleTime is null for changed
+    lines (sale or tender lines carry no date), whose months come from their
+    transactions through a semi-join on the batch's ids.
+    """
+    dated = changes.where(F.col("SaleTime").isNotNull()).select(
+        month_label(F.col("SaleTime")).alias(MONTH))
+    ids = changes.where(F.col("SaleTime").isNull()).select("TransactionID")
+    t = bundle["pos_transaction"]
+    undated = t.join(ids, "TransactionID", "left_semi").select(month_label(F.col("SaleTime")).alias(MONTH))
+    return dated.unionByName(undated).distinct()
 
 
 def restrict_to_months(bundle: Bundle, months: DataFrame) -> Bundle:
@@ -73,19 +89,36 @@ def refresh_months(bundle: Bundle, rules: Rules, months: DataFrame, out_dir: str
                       mode="overwrite")
 
 
-def start_refresh(spark: SparkSession, changes_path: str, load_bundle: Callable[[], Bundle],
+def change_stream(spark: SparkSession, changes: Mapping[str, str]) -> DataFrame:
+    """One stream of (TransactionID, SaleTime) over the change feeds, given
+    as table -> folder of Parquet files with that table's schema."""
+    streams = []
+    for table, path in changes.items():
+        if table not in CHANGE_TABLES:
+            raise ValueError(f"{table} is not followed incrementally; run the full daily job")
+        s = spark.readStream.schema(schemas.schema(table)).parquet(path)
+        ts = F.col("SaleTime") if table == "pos_transaction" else F.lit(None).cast("timestamp_ntz")
+        streams.append(s.select("TransactionID", ts.alias("SaleTime")))
+    return reduce(lambda a, b: a.unionByName(b), streams)
+
+
+def start_refresh(spark: SparkSession, changes: str | Mapping[str, str], load_bundle: Callable[[], Bundle],
                   rules: Rules, out_dir: str, checkpoint_location: str,
                   available_now: bool = True) -> StreamingQuery:
-    """Start the refresh stream over Parquet files of changed transactions.
+    """Start the refresh stream over the change feeds.
 
+    ``changes`` is a folder of changed transactions, or a mapping of the
+    followed tables (``CHANGE_TABLES``) to their change folders.
     ``checkpoint_location`` must be on shared storage (the query's progress
     and source offsets live there, so a restarted driver resumes where it
     stopped). ``load_bundle`` returns the current canonical tables.
     """
-    source = spark.readStream.schema(schemas.schema("pos_transaction")).parquet(changes_path)
+    feeds = {"pos_transaction": changes} if isinstance(changes, str) else dict(changes)
+    source = change_stream(spark, feeds)
 
-    def batch(changes: DataFrame, _epoch: int) -> None:
-        refresh_months(load_bundle(), rules, touched_months(changes), out_dir)
+    def batch(batch_changes: DataFrame, _epoch: int) -> None:
+        bundle = load_bundle()
+        refresh_months(bundle, rules, touched_months(batch_changes, bundle), out_dir)
 
     writer = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 minutes")

@@ -57,3 +57,25 @@ def test_refresh_touched_months_only(spark, fixture_bundle):
     docs = _read(spark, os.path.join(out, "by_date"))
     full_days = sales.sales_daily(bundle, RULES).where(F.substring("SaleDate", 1, 7).isin(months))
     assert docs.count() >= full_days.count() > 0
+
+
+def test_changed_lines_refresh_their_transactions_month(spark, fixture_bundle):
+    root = tempfile.mkdtemp(prefix="possum-refresh-lines-")
+    canon = os.path.join(root, "canonical")
+    write_bundle(fixture_bundle, canon)
+    bundle = read_bundle(spark, canon)
+    t = bundle["pos_transaction"].withColumn("m", month_label(F.col("SaleTime")))
+    month = t.select("m").distinct().orderBy(F.desc("m")).first().m
+    ids = t.where(F.col("m") == month).select("TransactionID")
+    lines = bundle["transaction_entry"].join(ids, "TransactionID", "left_semi").drop("branch")
+    feeds = {"pos_transaction": os.path.join(root, "t"), "transaction_entry": os.path.join(root, "te")}
+    t.limit(0).drop("m", "branch").write.parquet(feeds["pos_transaction"])   # no transaction changed
+    lines.write.parquet(feeds["transaction_entry"])
+    out = os.path.join(root, "out")
+    q = start_refresh(spark, feeds, lambda: read_bundle(spark, canon), RULES, out, os.path.join(root, "ck"))
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = _read(spark, os.path.join(out, "depts"))
+    assert {r.SaleDate[:7] for r in got.select("SaleDate").distinct().collect()} == {month}
+    full = DAY_DATASETS["depts"](bundle, RULES).where(F.substring("SaleDate", 1, 7) == month)
+    assert _rows(got, sorted(full.columns)) == _rows(full, sorted(full.columns))
