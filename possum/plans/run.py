@@ -2,6 +2,8 @@
 
     python -m possum.plans.run daily --config job.json --as-of 2024-01-30T12:00 --out /shared/daily
     python -m possum.plans.run stock --canonical /shared/canonical --out /shared/stock
+    python -m possum.plans.run refresh --canonical /shared/canonical --out /shared/daily \
+        --changes pos_transaction=/shared/cdc/transactions --stream-checkpoint /shared/ckpt/refresh
 
 (or ``spark-submit --py-files possum.zip possum/plans/run.py ...`` on a cluster)
 
@@ -38,6 +40,7 @@ from possum.rules import Rules
 from possum.sources.jdbc import JdbcBranch, read_branch
 from possum.sources.parquet import read_bundle
 from possum.sources.tables import read_bundle_tables
+from possum.streaming.refresh import start_refresh
 
 
 def load_rules(overrides: dict) -> Rules:
@@ -71,7 +74,7 @@ def load_bundle(spark: SparkSession, config: dict, canonical: str | None,
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="possum.plans.run")
-    p.add_argument("job", choices=["stock", "daily"])
+    p.add_argument("job", choices=["stock", "daily", "refresh"])
     p.add_argument("--config", help="JSON job configuration")
     p.add_argument("--canonical", help="read canonical tables from this Parquet bundle")
     p.add_argument("--tables", help="read canonical tables from this catalog database")
@@ -79,9 +82,14 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--out", required=True)
     p.add_argument("--feed", default=None, help="folder of net-amount feed files (daily job)")
     p.add_argument("--format", default="json", choices=["json", "parquet"])
+    p.add_argument("--changes", action="append", default=[],
+                   help="refresh: table=folder of change files (repeatable)")
+    p.add_argument("--stream-checkpoint", help="refresh: shared folder for the stream's progress")
     a = p.parse_args(argv)
     if not (a.config or a.canonical or a.tables):
         p.error("give --config, --canonical or --tables")
+    if a.job == "refresh" and (not a.changes or not a.stream_checkpoint):
+        p.error("refresh needs --changes and --stream-checkpoint")
     return a
 
 
@@ -95,6 +103,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if a.job == "stock":
         price_list = [tuple(x) for x in config.get("price_list", [])]
         return run_stock_job(bundle, rules, as_of, a.out, price_list, fmt=a.format)
+    if a.job == "refresh":
+        feeds = dict(c.split("=", 1) for c in a.changes)
+        q = start_refresh(spark, feeds, lambda: load_bundle(spark, config, a.canonical, a.tables), rules,
+                          a.out, a.stream_checkpoint)
+        q.awaitTermination()
+        return {"refresh": a.out}
     return run_daily_job(bundle, rules, as_of, a.out, feed_path=a.feed, fmt=a.format)
 
 
