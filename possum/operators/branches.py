@@ -8,26 +8,34 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from possum import schemas
 from possum.bundle import Branch, Bundle
+from possum.sources.optional import empty
 
 
 def union_branches(parts: Sequence[tuple[Bundle, str | None]]) -> Bundle:
     """M1: one bundle over several branch databases.
 
-    Each part already tags its rows with its branch. A label replaces the
-    shown store name of every store of that branch (``StoreNameOrig`` keeps
+    Each part already tags its rows with its branch. An optional table a
+    branch lacks counts as empty (S2); a missing required table is an error.
+    A label replaces the shown store name of every store of that branch (``StoreNameOrig`` keeps
     the branch's own name for the store maps, see M2).
     """
     if not parts:
         raise ValueError("no branches")
-    names = set.intersection(*[set(b.tables) for b, _ in parts])
+    names = sorted(set().union(*[set(b.tables) for b, _ in parts]))
     branches: list[Branch] = []
     tables: dict[str, list[DataFrame]] = {n: [] for n in names}
     for bundle, label in parts:
         for br in bundle.branches:
             branches.append(Branch(br.name, label))
         for n in names:
-            df = bundle[n]
+            if n in bundle:
+                df = bundle[n]
+            elif n in schemas.OPTIONAL:   # S2: a branch without the table
+                df = empty(bundle.spark, n).withColumn("branch", F.lit(bundle.branches[0].name))
+            else:
+                raise ValueError(f"branch {bundle.branches[0].name} has no table {n}")
             if n == "store" and label is not None:
                 df = df.withColumn("StoreName", F.lit(label))
             tables[n].append(df)

@@ -324,3 +324,15 @@ def test_long_price_list_first_entry_wins(spark):
     got = _p(pricing.apply_price_list(items, plist))
     # "nomatch12" also contains "nomatch1": the earlier entry wins
     assert got == {"k": 5.0, "m": 4.0, "q": 1.0}
+
+
+def test_union_with_a_branch_lacking_an_optional_table(spark):
+    a = frames.bundle(spark, "A", ledger_monthly=[{"Year": 2024, "Month": 1, "Total": 5, "Cnt": 1}])
+    b = frames.bundle(spark, "B")
+    b = b.__class__({k: v for k, v in b.tables.items() if k != "ledger_monthly"}, b.branches)
+    u = branches.union_branches([(a, None), (b, None)])
+    assert [(r.branch, r.Year) for r in u["ledger_monthly"].collect()] == [("A", 2024)]
+    broken = b.__class__({k: v for k, v in b.tables.items() if k != "store"}, b.branches)
+    import pytest
+    with pytest.raises(ValueError):
+        branches.union_branches([(a, None), (broken, None)])
