@@ -342,7 +342,7 @@ def test_impute_no_cascade(spark):
     items = _items(spark, [
         {"key": "a", "b": "25W0303M1", "p": 7},   # known: level-3 prefix 0303
         {"key": "b", "b": "24S0303M1", "p": 0},   # filled from a at level 3
-        {"key": "c", "b": "24S0303M2", "p": 0},   # shares b's level-1 prefix 24S0303, but b's cost is imputed
+        {"key": "c", "b": "24S0303M2", "p": 0},   # shares b's level-1 prefix; lookups see observed costs only
         {"key": "d", "b": "24S9999M1", "p": 0}])  # shares only the level-2/3 shape of nothing known
     got = _p(pricing.impute_cost(items))
     assert got["b"] == 7.0 and got["c"] == 7.0 and got["d"] == 0.0
