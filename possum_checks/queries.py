@@ -1,4 +1,13 @@
-"""Registered datasets on the driver fixtures: name -> (spark, sf_dir) -> DataFrame."""
+"""Registered datasets on the driver fixtures: name -> (spark, sf_dir) -> DataFrame.
+
+Every dataset runs over the whole driver tables, projected onto the
+canonical POS views (FIXTURES.md), with the fixture parameters of
+``params.py``. Nested outputs (store maps, punch lists, the promotion
+matrix, date documents) are flattened to one row per entry so values can be
+hashed; the nested forms are checked in ``tests/``. ``on_bundle`` runs the
+same definitions over any canonical bundle (the bench and the plan checks
+use staged Parquet).
+"""
 
 from __future__ import annotations
 
