@@ -33,8 +33,8 @@ def build_daily(bundle: Bundle, rules: Rules, as_of: datetime, feed_path: str |
         "daily": sales.daily_from_stores(stores),
         "by_date": assemble.day_documents(stores, depts, sellers, pays),
         "stores": stores, "depts": depts, "sellers": sellers, "payments": pays,
-        "rivhit": ledger.ledger_monthly(bundle["ledger_monthly"]),
-        "rivhit_invoices": ledger.ledger_invoices(bundle["ledger_invoices"]),
+        "ledger_monthly": ledger.ledger_monthly(bundle["ledger_monthly"]),
+        "ledger_invoices": ledger.ledger_invoices(bundle["ledger_invoices"]),
         "sup_monthly": suppliers.supplier_monthly(bundle, rules, as_of),
         "sup_docs": suppliers.supplier_documents(bundle, rules, as_of),
         "hours_by_store": sales.sales_by_hour(bundle, rules, as_of),
@@ -44,8 +44,8 @@ def build_daily(bundle: Bundle, rules: Rules, as_of: datetime, feed_path: str |
     }
     if feed_path is not None:
         days = assemble.net_feed_days(read_feed(bundle.spark, feed_path).select("day_key", "net"))
-        out["simply_net_days"] = days
-        out["simply_net"] = assemble.net_feed_today(days, as_of)
+        out["net_feed_days"] = days
+        out["net_feed_today"] = assemble.net_feed_today(days, as_of)
     return out
 
 

@@ -18,7 +18,9 @@ from possum import schemas
 from possum.bundle import Branch, Bundle
 from possum.sources.optional import empty
 
-# fixed values: canonical table -> (source table, range-split column or None)
+# fixed values: canonical table -> (source table, range-split column or None);
+# the names are the POS database's own (the two ledger tables are extracts of
+# an accounting system kept in the same database)
 SOURCE_TABLES: dict[str, tuple[str, str | None]] = {
     "store": ("Store", None),
     "department": ("Department", None),

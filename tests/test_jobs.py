@@ -40,7 +40,7 @@ def test_daily_job_writes_every_dataset_and_manifest(spark, fixture_bundle):
     assert spark.read.json(paths["daily"]).count() == QUERIES["sales_daily"](spark, SF_SMALL).count()
     m = spark.read.json(os.path.join(out, "_manifest")).first()
     assert m.today == "2001-08-01" and m.synced == "01/08/2001 12:00" and "by_date" in m.datasets
-    assert spark.read.json(paths["simply_net"]).first().net == 7.0
+    assert spark.read.json(paths["net_feed_today"]).first().net == 7.0
 
 
 def test_seal_round_trip(spark):
