@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from possum.bundle import Bundle
 from possum.session import checkpoint_dir
+from possum.sources.sinks import sink_order, write_dataset
 
 
 class Stage:
@@ -28,3 +32,16 @@ class Stage:
         path = os.path.join(self.root, name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
+
+
+def write_ordered(bundle: Bundle, df: DataFrame, path: str, spec: Sequence[str], fmt: str,
+                  partition_by: Sequence[str] = ()) -> None:
+    """Write ``df`` sorted by ``spec`` (names, '-' for descending); ``branch``
+    sorts by the configured branch order, as branches were appended."""
+    if "branch" in spec and "branch" in df.columns:
+        df = df.join(bundle.branch_order().select("branch", "branch_rank"), ["branch"])
+        spec = ["branch_rank" if c == "branch" else c for c in spec]
+        write_dataset(df, path, fmt=fmt, partition_by=partition_by, order_by=sink_order(spec),
+                      drop=["branch_rank"])
+    else:
+        write_dataset(df, path, fmt=fmt, partition_by=partition_by, order_by=sink_order(spec))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from possum.bundle import Bundle
 from possum.operators import assemble, attendance, ledger, payments, promotions, sales, suppliers
-from possum.plans.common import Stage
+from possum.plans.common import Stage, write_ordered
 from possum.rules import Rules
 from possum.sources.feed import read_feed
 from possum.sources.sinks import write_dataset
@@ -59,6 +59,25 @@ def with_month(df: DataFrame) -> DataFrame:
     return df.withColumn(MONTH, F.substring("SaleDate", 1, 7))
 
 
+# the order of each dataset in the reference's output (sink only); the
+# month-partitioned ones are sorted within each month folder
+ORDER = {
+    "daily": ["SaleDate"],
+    "by_date": ["SaleDate"],
+    "stores": ["SaleDate", "StoreName"],
+    "depts": ["SaleDate", "-TotalSales"],
+    "sellers": ["SaleDate", "-TotalSales"],
+    "payments": ["SaleDate", "-TotalAmount"],
+    "ledger_monthly": ["branch", "Year", "Month"],
+    "ledger_invoices": ["branch", "-HenDate"],
+    "sup_monthly": ["branch", "-YearMonth", "-TotalAmount"],
+    "sup_docs": ["branch", "-DocDate"],
+    "hours_by_store": ["branch", "Hour", "StoreName"],
+    "presence": ["branch", "-iso"],
+    "promos": ["-promo_total"],
+}
+
+
 def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
     """D26 manifest: today, synced and the dataset folders (one row)."""
     return bundle.spark.createDataFrame(
@@ -75,9 +94,9 @@ def run_daily_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
     for name, df in datasets.items():
         path = os.path.join(out_dir, name)
         if name in DAY_KEYED:
-            write_dataset(with_month(df), path, fmt=fmt, partition_by=[MONTH])
+            write_ordered(bundle, with_month(df), path, ORDER.get(name, ()), fmt, partition_by=[MONTH])
         else:
-            write_dataset(df, path, fmt=fmt)
+            write_ordered(bundle, df, path, ORDER.get(name, ()), fmt)
         paths[name] = path
     write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
     return paths

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from possum.bundle import Bundle
 from possum.operators import branches, people, pricing, sales, stock
 from possum.operators.base import stock_base
-from possum.plans.common import Stage
+from possum.plans.common import Stage, write_ordered
 from possum.rules import Rules
 from possum.sources.sinks import write_dataset
 
@@ -47,6 +47,15 @@ def build_stock(bundle: Bundle, rules: Rules, as_of: datetime,
     }
 
 
+# the order of each dataset in the reference's output (sink only)
+ORDER = {
+    "store_summary": ["branch", "Sort"],
+    "low_stock": ["branch", "Rank"],
+    "by_department": ["branch", "-Value"],
+    "users_list": ["branch", "no"],
+}
+
+
 def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
     """One row: last_updated ('dd/MM/yyyy HH:mm') and the dataset folders."""
     return bundle.spark.createDataFrame([(as_of.strftime("%d/%m/%Y %H:%M"), names)],
@@ -61,7 +70,7 @@ def run_stock_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
     paths = {}
     for name, df in build_stock(bundle, rules, as_of, price_list, stage).items():
         path = os.path.join(out_dir, name)
-        write_dataset(df, path, fmt=fmt)
+        write_ordered(bundle, df, path, ORDER.get(name, ()), fmt)
         paths[name] = path
     write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
     return paths

@@ -30,8 +30,16 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def sink_order(spec: Sequence[str]) -> list[Column]:
+    """Column order from names; a leading '-' sorts descending. Ascending
+    puts nulls first and descending puts them last, as SQL Server does."""
+    return [F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_first()
+            for c in spec]
+
+
 def write_dataset(df: DataFrame, path: str, fmt: str = "json",
-                  partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+                  partition_by: Sequence[str] = (), mode: str = "overwrite",
+                  order_by: Sequence[Column] = (), drop: Sequence[str] = ()) -> None:
     """Write one dataset folder.
 
     JSON keeps nulls and renders timestamps as ``yyyy-MM-dd HH:mm``. With
@@ -40,12 +48,23 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "json",
     in ``df`` are replaced, so a run that recomputes some months leaves the
     others in place. Use coarse partition columns (a month, not a day) for
     small aggregated datasets.
+
+    ``order_by`` sorts at the sink only: a global sort (range partitions, so
+    the part files in name order hold the rows in order), or, with
+    ``partition_by``, a sort within each folder. ``drop`` removes helper
+    columns (sort keys) after sorting.
     """
     df = decimals_to_double(df)
     if partition_by:
         # rows of one folder go to one task (one file per folder, not one per
         # task); AQE splits a folder too large for one task (REBALANCE)
         df = df.hint("rebalance", *partition_by)
+        if order_by:
+            df = df.sortWithinPartitions(*order_by)
+    elif order_by:
+        df = df.orderBy(*order_by)
+    if drop:
+        df = df.drop(*drop)
     w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)

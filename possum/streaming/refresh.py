@@ -33,10 +33,9 @@ from possum import schemas
 from possum.bundle import Bundle
 from possum.functions.dates import month_label
 from possum.operators import assemble, payments, sales
-from possum.plans.common import Stage
-from possum.plans.daily_job import MONTH, with_month
+from possum.plans.common import Stage, write_ordered
+from possum.plans.daily_job import MONTH, ORDER, with_month
 from possum.rules import Rules
-from possum.sources.sinks import write_dataset
 
 DAY_DATASETS: dict[str, Callable[[Bundle, Rules], DataFrame]] = {
     "stores": sales.sales_by_store_day,
@@ -85,8 +84,8 @@ def refresh_months(bundle: Bundle, rules: Rules, months: DataFrame, out_dir: str
     built["by_date"] = assemble.day_documents(built["stores"], built["depts"], built["sellers"],
                                               built["payments"])
     for name, df in built.items():
-        write_dataset(with_month(df), os.path.join(out_dir, name), fmt=fmt, partition_by=[MONTH],
-                      mode="overwrite")
+        write_ordered(bundle, with_month(df), os.path.join(out_dir, name), ORDER.get(name, ()), fmt,
+                      partition_by=[MONTH])
 
 
 def change_stream(spark: SparkSession, changes: Mapping[str, str]) -> DataFrame:

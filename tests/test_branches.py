@@ -48,3 +48,18 @@ def test_stock_job_over_labelled_branches(fixture_bundle):
 def test_daily_totals_from_store_rows(fixture_bundle):
     stores = sales.sales_by_store_day(fixture_bundle, RULES)
     assert _rows(sales.daily_from_stores(stores)) == _rows(sales.sales_daily(fixture_bundle, RULES))
+
+
+def test_written_order_follows_branch_configuration(spark, fixture_bundle):
+    import json
+    import os
+    import tempfile
+    from possum.plans.stock_job import run_stock_job
+    a, b = split_branches(fixture_bundle, None)
+    union = branches.union_branches([b, a])            # B configured first
+    out = tempfile.mkdtemp(prefix="possum-branch-order-")
+    paths = run_stock_job(union, RULES, AS_OF, out, PRICE_LIST)
+    rows = [json.loads(ln) for f in sorted(os.listdir(paths["low_stock"])) if f.endswith(".json")
+            for ln in open(os.path.join(paths["low_stock"], f)) if ln.strip()]
+    seq = [(r["branch"], r["Rank"]) for r in rows]
+    assert seq == sorted(seq, key=lambda x: (x[0] != "B", x[1])) and {x[0] for x in seq} == {"A", "B"}

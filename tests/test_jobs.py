@@ -122,3 +122,14 @@ def test_json_sink_contract(spark):
              for ln in open(os.path.join(path, f), encoding="utf-8") if ln.strip()]
     assert [json.loads(ln) for ln in lines] == [
         {"ts": "2024-01-02 03:04", "amount": 12.5, "note": None, "s": {"a": 1.5}}]
+
+
+def test_sink_order(spark, fixture_bundle):
+    from possum.operators import stock
+    from possum.sources.sinks import write_dataset
+    path = os.path.join(tempfile.mkdtemp(prefix="possum-order-"), "low")
+    df = stock.low_stock(fixture_bundle, RULES)
+    write_dataset(df, path, order_by=[F.col("branch"), F.col("Rank")])
+    ranks = [json.loads(ln)["Rank"] for f in sorted(os.listdir(path)) if f.endswith(".json")
+             for ln in open(os.path.join(path, f)) if ln.strip()]
+    assert ranks == sorted(ranks) and len(ranks) == df.count()
