@@ -14,14 +14,6 @@ def _ts_literal(as_of: datetime | str) -> str:
     return as_of.strftime("%Y-%m-%d %H:%M:%S")
 
 
-def as_of_timestamp(as_of: datetime | str) -> Column:
-    return F.expr(f"TIMESTAMP_NTZ '{_ts_literal(as_of)}'")
-
-
-def as_of_date(as_of: datetime | str) -> Column:
-    return F.expr(f"DATE '{_ts_literal(as_of)[:10]}'")
-
-
 def lookback(as_of: datetime | str, amount: int, unit: str) -> Column:
     """``as_of - INTERVAL amount unit`` keeping the time of day.
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from possum.functions.dates import day_label, minute_label
 from possum.functions.money import out
 
 
@@ -21,7 +22,7 @@ def ledger_invoices(df: DataFrame) -> DataFrame:
     """Invoices with null amounts as 0, null comment as '', dates as text."""
     zero = F.lit(0)
     return df.select(
-        "branch", F.date_format("HenDate", "yyyy-MM-dd").alias("HenDate"),
+        "branch", day_label(F.col("HenDate")).alias("HenDate"),
         F.col("HenType").cast("int").alias("HenType"), "HenTypeName",
         F.col("HenNum").cast("bigint").alias("HenNum"), "CustName",
         out(F.coalesce(F.col("TtlMam"), zero)).alias("TtlMam"),
@@ -29,4 +30,4 @@ def ledger_invoices(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("Sgira"), zero).cast("int").alias("Sgira"),
         out(F.coalesce(F.col("SgiraSchum"), zero)).alias("SgiraSchum"),
         F.coalesce(F.col("Commnts"), F.lit("")).alias("Commnts"),
-        F.date_format("UpdatedAt", "yyyy-MM-dd HH:mm").alias("UpdatedAt"))
+        minute_label(F.col("UpdatedAt")).alias("UpdatedAt"))

@@ -52,8 +52,3 @@ def split_branches(bundle: Bundle, label_b: str | None = "Branch B") -> list[tup
         tables["store"] = tables["store"].where(F.col("StoreID") % 2 == parity)
         parts.append((Bundle(tables, (Branch(name),)), label))
     return parts
-
-
-def fixture_branch_parts(spark: SparkSession, sf_dir: str,
-                         label_b: str | None = "Branch B") -> list[tuple[Bundle, str | None]]:
-    return split_branches(fixture_bundle(spark, sf_dir), label_b)
