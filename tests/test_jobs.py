@@ -133,3 +133,16 @@ def test_sink_order(spark, fixture_bundle):
     ranks = [json.loads(ln)["Rank"] for f in sorted(os.listdir(path)) if f.endswith(".json")
              for ln in open(os.path.join(path, f)) if ln.strip()]
     assert ranks == sorted(ranks) and len(ranks) == df.count()
+
+
+def test_daily_job_over_bucketed_tables(spark, fixture_bundle):
+    from possum.plans.run import main
+    from possum.sources.tables import save_bundle_tables
+    save_bundle_tables(fixture_bundle, "possum_e2e", 4)
+    out = os.path.join(tempfile.mkdtemp(prefix="possum-bucketed-"), "daily")
+    paths = main(["daily", "--tables", "possum_e2e", "--as-of", "2001-08-01T12:00:00", "--out", out],
+                 spark=spark)
+    got = spark.read.json(paths["stores"]).drop("SaleMonth")
+    want = QUERIES["sales_by_store_day"](spark, SF_SMALL)
+    cols = sorted(want.columns)
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
