@@ -32,7 +32,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf["spark.driver.memory"] = os.environ.get("POSSUM_DRIVER_MEMORY", "16g")
     conf.update(extra or {})
     if not conf.get("spark.checkpoint.dir"):
-        # Local runs only: a cluster names its shared folder itself.
+        if not master.startswith("local"):
+            raise ValueError("name a shared spark.checkpoint.dir for a cluster master")
+        # local runs only: a scratch folder on this machine
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="possum-ckpt-")
     builder = SparkSession.builder.master(master).appName(app_name)
     for k, v in conf.items():
