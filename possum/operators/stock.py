@@ -105,10 +105,11 @@ def stock_by_department(bundle: Bundle, rules: Rules, base: DataFrame | None = N
         "Sort", "StoreNameOrig")
 
 
-def finish_stock_by_department(by_dept: DataFrame) -> DataFrame:
+def finish_stock_by_department(by_dept: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Final projection of D3 (amounts as double); ``extra`` columns pass through."""
     return by_dept.select("branch", "Department", "StoreName", "InStock",
                           out(F.col("TotalUnits")).alias("TotalUnits"),
-                          out(F.col("Value")).alias("Value"))
+                          out(F.col("Value")).alias("Value"), *extra)
 
 
 def stock_lines(bundle: Bundle, rules: Rules, base: DataFrame | None = None) -> DataFrame:

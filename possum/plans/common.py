@@ -35,13 +35,13 @@ class Stage:
 
 
 def write_ordered(bundle: Bundle, df: DataFrame, path: str, spec: Sequence[str], fmt: str,
-                  partition_by: Sequence[str] = ()) -> None:
+                  partition_by: Sequence[str] = (), drop: Sequence[str] = ()) -> None:
     """Write ``df`` sorted by ``spec`` (names, '-' for descending); ``branch``
-    sorts by the configured branch order, as branches were appended."""
+    sorts by the configured branch order, as branches were appended.
+    ``drop`` names sort-only columns removed after sorting."""
+    drop = [c for c in drop if c in df.columns]
     if "branch" in spec and "branch" in df.columns:
         df = df.join(bundle.branch_order().select("branch", "branch_rank"), ["branch"])
         spec = ["branch_rank" if c == "branch" else c for c in spec]
-        write_dataset(df, path, fmt=fmt, partition_by=partition_by, order_by=sink_order(spec),
-                      drop=["branch_rank"])
-    else:
-        write_dataset(df, path, fmt=fmt, partition_by=partition_by, order_by=sink_order(spec))
+        drop = [*drop, "branch_rank"]
+    write_dataset(df, path, fmt=fmt, partition_by=partition_by, order_by=sink_order(spec), drop=drop)

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from possum.bundle import Bundle
 from possum.operators import branches, people, pricing, sales, stock
@@ -30,7 +31,8 @@ def build_stock(bundle: Bundle, rules: Rules, as_of: datetime,
     put = stage.put if stage is not None else (lambda _name, df: df)
     base = put("stock_base", stock_base(bundle, rules))
     summary = stock.stock_summary(bundle, rules, base=base)
-    by_dept = stock.stock_by_department(bundle, rules, base=base)
+    # the reference lists departments by their value before revaluation
+    by_dept = stock.stock_by_department(bundle, rules, base=base).withColumn("SortValue", F.col("Value"))
     items = put("catalogue", stock.item_catalogue(stock.stock_lines(bundle, rules, base=base)))
     items = put("items", pricing.apply_price_list(pricing.impute_cost(items), price_list))
     summary, by_dept = pricing.revalue_stock(summary, by_dept, items, rules)
@@ -39,7 +41,7 @@ def build_stock(bundle: Bundle, rules: Rules, as_of: datetime,
     return {
         "store_summary": stock.finish_stock_summary(summary),
         "low_stock": stock.low_stock(bundle, rules, base=base),
-        "by_department": stock.finish_stock_by_department(by_dept),
+        "by_department": stock.finish_stock_by_department(by_dept, extra=("SortValue",)),
         "search_items": stock.finish_catalogue(branches.relabel_branch(items, bundle)),
         "report_items": stock.finish_stock_report(branches.relabel_branch(report, bundle)),
         "sales_items": sales.monthly_sales(bundle, rules, as_of),
@@ -51,11 +53,14 @@ def build_stock(bundle: Bundle, rules: Rules, as_of: datetime,
 ORDER = {
     "store_summary": ["branch", "Sort"],
     "low_stock": ["branch", "Rank"],
-    "by_department": ["branch", "-Value"],
+    "by_department": ["branch", "-SortValue"],
     "users_list": ["branch", "no"],
 }
 
 
+SORT_ONLY = ("SortValue",)
+
+
 def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
     """One row: last_updated ('dd/MM/yyyy HH:mm') and the dataset folders."""
     return bundle.spark.createDataFrame([(as_of.strftime("%d/%m/%Y %H:%M"), names)],
@@ -70,7 +75,7 @@ def run_stock_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
     paths = {}
     for name, df in build_stock(bundle, rules, as_of, price_list, stage).items():
         path = os.path.join(out_dir, name)
-        write_ordered(bundle, df, path, ORDER.get(name, ()), fmt)
+        write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, drop=SORT_ONLY)
         paths[name] = path
     write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
     return paths
