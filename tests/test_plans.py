@@ -121,3 +121,21 @@ def test_bucketed_tables_join_without_shuffle(spark, fixture_bundle):
     assert "SortMergeJoin" in tree and "Exchange" not in tree   # lines x transactions: no shuffle
     assert base.count("Bucketed: true") >= 2                      # both sides of the self join
     assert sales.sale_lines(b, RULES).count() == sales.sale_lines(fixture_bundle, RULES).count()
+
+
+def test_no_cartesian_even_without_broadcasts(spark, staged):
+    """As if every table were too big to broadcast: every join stays an equi-join."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        for name in QUERIES:
+            text = plan(on_bundle(name, staged))
+            assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
