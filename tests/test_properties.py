@@ -74,3 +74,49 @@ def _py_int(v):
 @given(st.lists(st.text(alphabet="0123456789_+- \t", max_size=8), min_size=1, max_size=30))
 def test_store_code_int_like_python(spark, values):
     assert _col(spark, values, _python_int) == [_py_int(v) for v in values]
+
+
+# --- D6 against a brute force written from the specification ---------------
+LEVELS = (re.compile(r"^(\d{2}[A-Za-z]+\d{2}[A-Za-z0-9]{2})", re.ASCII),
+          re.compile(r"^\d{2}([A-Za-z]+\d{2}[A-Za-z0-9]{2})", re.ASCII),
+          re.compile(r"^\d{2}[A-Za-z]+(\d{2}[A-Za-z0-9]{2})", re.ASCII))
+
+
+def _brute_impute(items: dict[str, tuple[str, int]]) -> dict[str, int]:
+    """items: key -> (code, cost). Level maps from observed costs only; a zero
+    cost takes the first level whose prefix has a known maximum."""
+    def prefix(code, lvl):
+        m = LEVELS[lvl].match(code.strip())
+        return m.group(1) if m else None
+    best = [{} for _ in LEVELS]
+    for code, cost in items.values():
+        for lvl in range(3):
+            pre = prefix(code, lvl)
+            if cost > 0 and code and pre is not None:
+                best[lvl][pre] = max(best[lvl].get(pre, 0), cost)
+    out = {}
+    for key, (code, cost) in items.items():
+        hits = [best[lvl].get(prefix(code, lvl)) for lvl in range(3)] if cost == 0 and code else []
+        out[key] = next((h for h in hits if h), cost)
+    return out
+
+
+CODES = st.builds(lambda y, s, m, c, z: f"{y}{s}{m}{c}{z}",
+                  st.sampled_from(["24", "25"]), st.sampled_from(["W", "w", "S", "SW"]),
+                  st.sampled_from(["03", "04"]), st.sampled_from(["03", "0a", "0A"]),
+                  st.sampled_from(["M1", "L2", "X"]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.one_of(CODES, st.sampled_from(["", "180", " 25W0303M1 "])),
+                          st.sampled_from([0, 0, 3, 5, 9])), min_size=1, max_size=25))
+def test_impute_like_brute_force(spark, rows):
+    from decimal import Decimal
+    from possum.operators.pricing import impute_cost
+    items = {f"k{i}": r for i, r in enumerate(rows)}
+    df = spark.createDataFrame(
+        [("main", k, "n", code, "", "", Decimal(cost), {}, Decimal(1)) for k, (code, cost) in items.items()],
+        "branch string, key string, n string, b string, mn string, d string, p decimal(18,2), "
+        "s map<string,decimal(18,1)>, q decimal(18,1)")
+    got = {r.key: int(r.p) for r in impute_cost(df).collect()}
+    assert got == _brute_impute(items)
