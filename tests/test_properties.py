@@ -120,3 +120,37 @@ def test_impute_like_brute_force(spark, rows):
         "s map<string,decimal(18,1)>, q decimal(18,1)")
     got = {r.key: int(r.p) for r in impute_cost(df).collect()}
     assert got == _brute_impute(items)
+
+
+# --- D5 against a brute force written from the specification ---------------
+def _brute_catalogue(lines):
+    """lines: (item_id, row_id, name, barcode, store, qty, price)."""
+    out = {}
+    for item, row, name, barcode, store, qty, price in sorted(lines, key=lambda x: (x[0], x[1])):
+        key = (barcode or "").strip() or name
+        e = out.setdefault(key, {"n": name, "b": barcode or "", "p": 0, "s": {}, "q": 0})
+        e["s"][store] = qty                       # later (higher ItemID) lines overwrite
+        e["q"] += qty
+        e["p"] = max(e["p"], price or 0)
+    return out
+
+
+LINES = st.lists(st.tuples(st.integers(1, 6), st.integers(1, 3), st.sampled_from(["x", "y", " z"]),
+                           st.sampled_from(["", " ", "B1", "B1 ", "B2", None]),
+                           st.sampled_from(["S1", "S2"]), st.integers(1, 9), st.sampled_from([None, 0, 4, 7])),
+                 min_size=1, max_size=20, unique_by=lambda t: (t[0], t[1]))
+
+
+@SETTINGS
+@given(LINES)
+def test_catalogue_like_brute_force(spark, lines):
+    from decimal import Decimal
+    from possum.operators.stock import item_catalogue
+    df = spark.createDataFrame(
+        [("main", i, r, r, n, b, "m", s, Decimal(q), "d", None if p is None else Decimal(p))
+         for i, r, n, b, s, q, p in lines],
+        "branch string, ItemID long, OnHandRowID long, AttrRowID long, Name string, BarcodeNumber string, "
+        "ModelNumber string, StoreNameOrig string, Qty decimal(18,1), Department string, Price decimal(18,2)")
+    got = {r.key: {"n": r.n, "b": r.b, "p": int(r.p), "s": {k: int(v) for k, v in r.s.items()}, "q": int(r.q)}
+           for r in item_catalogue(df).collect()}
+    assert got == _brute_catalogue(lines)
