@@ -154,3 +154,37 @@ def test_catalogue_like_brute_force(spark, lines):
     got = {r.key: {"n": r.n, "b": r.b, "p": int(r.p), "s": {k: int(v) for k, v in r.s.items()}, "q": int(r.q)}
            for r in item_catalogue(df).collect()}
     assert got == _brute_catalogue(lines)
+
+
+# --- D20 against a brute force written from the specification --------------
+PUNCH = st.one_of(st.none(), st.tuples(st.integers(0, 23), st.integers(0, 59)))
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.tuples(PUNCH, PUNCH), min_size=6, max_size=6), min_size=1, max_size=8))
+def test_attendance_like_brute_force(spark, days):
+    from datetime import datetime
+    import frames
+    from possum.operators.attendance import attendance
+    from possum.rules import Rules
+
+    def ts(p):
+        return None if p is None else f"2024-01-10 {p[0]:02d}:{p[1]:02d}:00"
+    pv = []
+    want = {}
+    for uid, pairs in enumerate(days, 1):
+        row = {"UserID": uid, "Name": "u", "UserNo": str(uid), "StoreID": 1, "PreDate": "2024-01-10"}
+        for i, (a, b) in enumerate(pairs, 1):
+            row[f"Login{i}"], row[f"Logout{i}"] = ts(a), ts(b)
+        pv.append(row)
+        kept = [(a, b) for a, b in pairs if a is not None or b is not None]
+        if kept:
+            mins = sum(((b[0] * 60 + b[1]) - (a[0] * 60 + a[1])) % 1440 for a, b in kept
+                       if a is not None and b is not None)
+            want[str(uid)] = (round(mins / 60.0, 2),
+                              [(None if a is None else f"{a[0]:02d}:{a[1]:02d}",
+                                None if b is None else f"{b[0]:02d}:{b[1]:02d}") for a, b in kept])
+    bundle = frames.bundle(spark, store=[frames.STORE], presence_view=pv)
+    got = {r.uid: (r.hours, [tuple(p) for p in r.punches])
+           for r in attendance(bundle, Rules(), datetime(2024, 1, 30)).collect()}
+    assert got == want
