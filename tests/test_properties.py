@@ -188,3 +188,36 @@ def test_attendance_like_brute_force(spark, days):
     got = {r.uid: (r.hours, [tuple(p) for p in r.punches])
            for r in attendance(bundle, Rules(), datetime(2024, 1, 30)).collect()}
     assert got == want
+
+
+# --- D22 against a brute force written from the specification --------------
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.integers(1, 5), st.sampled_from(["", "P", "Q"]),
+                          st.sampled_from(["2024-01", "2024-02"]), st.sampled_from(["S1", "S2"]),
+                          st.integers(0, 5), st.integers(0, 50)), min_size=1, max_size=20))
+def test_promotion_matrix_like_brute_force(spark, rows):
+    from decimal import Decimal
+    import frames
+    from possum.operators.branches import union_branches
+    from possum.operators.promotions import promotion_matrix
+    from possum.rules import Rules
+    rules = Rules()
+    order = {"A": 0, "B": 1}
+    want: dict = {}
+    for br, pid, name, ym, store, qty, total in sorted(rows, key=lambda r: (order[r[0]], r[1])):
+        key = name or f"{rules.promotion_prefix}{pid}"
+        e = want.setdefault(key, {"id": pid, "name": name, "m": {}, "t": 0})
+        cell = e["m"].setdefault(ym, {}).setdefault(store, [0, 0])
+        cell[0] += qty
+        cell[1] += total
+        e["t"] += total
+    red = spark.createDataFrame([(br, pid, name, ym, store, Decimal(q), Decimal(t))
+                                 for br, pid, name, ym, store, q, t in rows],
+                                "branch string, id int, name string, ym string, store string, "
+                                "qty decimal(18,1), total decimal(18,2)")
+    bundle = union_branches([(frames.bundle(spark, "A"), None), (frames.bundle(spark, "B"), None)])
+    got = {r.key: {"id": r.id, "name": r.name, "t": int(r.promo_total),
+                   "m": {ym: {s: [int(v.qty), int(v.total)] for s, v in cells.items()}
+                         for ym, cells in r.monthly.items()}}
+           for r in promotion_matrix(red, bundle, rules).collect()}
+    assert got == want
