@@ -14,7 +14,7 @@ from possum.functions.dates import day_key_to_iso
 from possum.functions.text import ustrip
 from possum.operators.people import _python_int
 
-SETTINGS = settings(max_examples=8, deadline=None, derandomize=True)
+SETTINGS = settings(max_examples=15, deadline=None, derandomize=True)
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        　"
 # item codes: no line terminators inside (ASCII-digit contract, see codes.py)
 CODE_CHARS = "0123456789abcWSXyz" + " \t"
