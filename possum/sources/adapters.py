@@ -6,6 +6,8 @@ database itself (``possum.sources.jdbc``) or its Parquet extracts.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +20,18 @@ def read_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def canonical_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Create the canonical views (temp views named as in FIXTURES.md)."""
-    for name, df in read_raw(spark, sf_dir).items():
-        df.createOrReplaceTempView(name)
+    """The canonical views of FIXTURES.md as DataFrames.
+
+    The shared SQL text is run with its table names bound to DataFrames
+    (``spark.sql`` arguments), so no named temp view is left in the session.
+    """
+    frames: dict[str, DataFrame] = dict(read_raw(spark, sf_dir))
     out: dict[str, DataFrame] = {}
     for name, sql in VIEWS.items():
-        df = spark.sql(sql)
-        df.createOrReplaceTempView(name)
-        out[name] = df
+        bound = re.sub(r"\b(" + "|".join(map(re.escape, frames)) + r")\b", r"{\1}", sql)
+        used = {n: frames[n] for n in frames if "{" + n + "}" in bound}
+        df = spark.sql(bound, **used)
+        frames[name] = out[name] = df
     return out
 
 
