@@ -78,6 +78,10 @@ ORDER = {
 }
 
 
+# helper columns (merge and sort keys) not in the reference's output records
+DROP = {"promos": ("key", "promo_total")}
+
+
 def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
     """D26 manifest: today, synced and the dataset folders (one row)."""
     return bundle.spark.createDataFrame(
@@ -96,7 +100,7 @@ def run_daily_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
         if name in DAY_KEYED:
             write_ordered(bundle, with_month(df), path, ORDER.get(name, ()), fmt, partition_by=[MONTH])
         else:
-            write_ordered(bundle, df, path, ORDER.get(name, ()), fmt)
+            write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, drop=DROP.get(name, ()))
         paths[name] = path
     write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
     return paths

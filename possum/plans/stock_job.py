@@ -58,7 +58,8 @@ ORDER = {
 }
 
 
-SORT_ONLY = ("SortValue",)
+# helper columns (sort keys, merge keys) not in the reference's output records
+DROP = {"store_summary": ("Sort",), "by_department": ("SortValue",), "search_items": ("key",)}
 
 
 def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
@@ -75,7 +76,7 @@ def run_stock_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
     paths = {}
     for name, df in build_stock(bundle, rules, as_of, price_list, stage).items():
         path = os.path.join(out_dir, name)
-        write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, drop=SORT_ONLY)
+        write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, drop=DROP.get(name, ()))
         paths[name] = path
     write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
     return paths
