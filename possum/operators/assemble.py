@@ -81,15 +81,20 @@ def flatten_day_documents(docs: DataFrame) -> DataFrame:
 def net_feed_days(feed: DataFrame) -> DataFrame:
     """(day, net) with ``d/m/yyyy`` keys re-keyed to ISO dates.
 
-    ``feed`` has day_key (string) and net. Unparsable keys stay as they are.
-    Two keys naming the same day keep the value of the greatest raw key.
+    ``feed`` has day_key (string) and net, and optionally raw (the entry's
+    JSON text, kept alongside). Unparsable keys stay as they are. Two keys
+    naming the same day keep the value of the greatest raw key.
     """
-    keyed = feed.select(day_key_to_iso(F.col("day_key")).alias("day"), "day_key", "net")
-    return keyed.groupBy("day").agg(F.max_by("net", "day_key").alias("net"))
+    extra = ["raw"] if "raw" in feed.columns else []
+    keyed = feed.select(day_key_to_iso(F.col("day_key")).alias("day"), "day_key", "net", *extra)
+    return keyed.groupBy("day").agg(F.max_by("net", "day_key").alias("net"),
+                                    *[F.max_by(c, "day_key").alias(c) for c in extra])
 
 
 def net_feed_today(days: DataFrame, as_of: datetime) -> DataFrame:
     """One row: today's ISO date and its net amount (null when absent)."""
     day = today_iso(as_of)
+    extra = ["raw"] if "raw" in days.columns else []
     return days.agg(F.lit(day).alias("day"),
-                    F.max(F.when(F.col("day") == F.lit(day), F.col("net"))).alias("net"))
+                    F.max(F.when(F.col("day") == F.lit(day), F.col("net"))).alias("net"),
+                    *[F.max(F.when(F.col("day") == F.lit(day), F.col(c))).alias(c) for c in extra])

@@ -43,7 +43,7 @@ def build_daily(bundle: Bundle, rules: Rules, as_of: datetime, feed_path: str |
         "today_total": sales.today_total(stores, as_of),
     }
     if feed_path is not None:
-        days = assemble.net_feed_days(read_feed(bundle.spark, feed_path).select("day_key", "net"))
+        days = assemble.net_feed_days(read_feed(bundle.spark, feed_path))
         out["net_feed_days"] = days
         out["net_feed_today"] = assemble.net_feed_today(days, as_of)
     return out

@@ -205,8 +205,10 @@ def test_feed_absent_and_present(spark):
     d = tempfile.mkdtemp(prefix="possum-feed-")
     with open(os.path.join(d, "a.json"), "w") as f:
         json.dump({"days": {"5/3/2024": 12.5, "6/3/2024": {"net": 3, "x": 1}}}, f)
-    days = assemble.net_feed_days(read_feed(spark, d).select("day_key", "net"))
+    days = assemble.net_feed_days(read_feed(spark, d))
     assert float(one(assemble.net_feed_today(days, datetime(2024, 3, 5))).net) == 12.5
+    obj = one(assemble.net_feed_today(days, datetime(2024, 3, 6)))
+    assert float(obj.net) == 3 and json.loads(obj.raw) == {"net": 3, "x": 1}
     assert {r.day for r in days.collect()} == {"2024-03-05", "2024-03-06"}
 
 
