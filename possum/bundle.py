@@ -52,3 +52,10 @@ class Bundle:
         rows = [(b.name, i, b.label) for i, b in enumerate(self.branches)]
         return F.broadcast(self.spark.createDataFrame(
             rows, "branch string, branch_rank int, branch_label string"))
+
+    def with_branch_order(self, df: DataFrame) -> DataFrame:
+        """``df`` with branch_rank and branch_label of its branch. A branch
+        missing from the configuration keeps its rows: it ranks after the
+        configured ones (then by name) and has no label."""
+        j = df.join(self.branch_order(), ["branch"], "left")
+        return j.withColumn("branch_rank", F.coalesce(F.col("branch_rank"), F.lit(len(self.branches))))

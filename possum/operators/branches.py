@@ -46,7 +46,7 @@ def union_branches(parts: Sequence[tuple[Bundle, str | None]]) -> Bundle:
 def relabel_branch(df: DataFrame, bundle: Bundle, map_col: str = "s") -> DataFrame:
     """M2: in a labelled branch, collapse a store map to ``{label: sum}``."""
     vtype = df.schema[map_col].dataType.valueType
-    labelled = df.join(bundle.branch_order().select("branch", "branch_label"), ["branch"])
+    labelled = bundle.with_branch_order(df)
     total = F.aggregate(F.map_values(map_col), F.lit(0).cast(vtype), lambda a, x: (a + x).cast(vtype))
     return labelled.withColumn(
         map_col, F.when(F.col("branch_label").isNotNull(),

@@ -32,7 +32,7 @@ def user_directory(bundle: Bundle, rules: Rules) -> DataFrame:
     first_code = us.groupBy("branch", "UserID").agg(
         F.when(F.count(F.lit(1)) > F.count("Code"), F.lit(None)).otherwise(F.min("Code")).alias("StoreCode"))
     u = bundle["users"].where(F.col("IsUser") == 1).withColumnRenamed("UserId", "UserID")
-    j = u.join(first_code, ["branch", "UserID"], "left").join(bundle.branch_order(), ["branch"])
+    j = bundle.with_branch_order(u.join(first_code, ["branch", "UserID"], "left"))
     full = F.trim(F.concat(F.coalesce(F.col("UserFName"), F.lit("")), F.lit(" "),
                            F.coalesce(F.col("UserLName"), F.lit(""))))
     display = F.when(ustrip(full) != "", ustrip(full)).otherwise(
@@ -58,7 +58,8 @@ def dedupe_first(df: DataFrame, bundle: Bundle, keys: Sequence[str],
     task reduces its rows per key before the shuffle, so a key repeated a
     billion times never gathers in one task.
     """
-    ranked = df.join(bundle.branch_order().select("branch", "branch_rank"), ["branch"])
+    ranked = bundle.with_branch_order(df)
     rest = [c for c in df.columns if c not in keys]
-    picked = ranked.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct("branch_rank", *order)).alias("r"))
+    picked = ranked.groupBy(*keys).agg(
+        F.min_by(F.struct(*rest), F.struct("branch_rank", "branch", *order)).alias("r"))
     return picked.select(*keys, *[F.col(f"r.{c}").alias(c) for c in rest]).select(*df.columns)

@@ -66,11 +66,11 @@ def promotion_matrix(redemptions: DataFrame, bundle: Bundle, rules: Rules) -> Da
     as a min over a struct); the maps hold at most months x stores
     entries. Order by promo_total descending at the sink.
     """
-    r = redemptions.join(bundle.branch_order(), ["branch"]).withColumn(
+    r = bundle.with_branch_order(redemptions).withColumn(
         "key", F.when(F.col("name") != "", F.col("name")).otherwise(
             F.concat(F.lit(rules.promotion_prefix), F.col("id").cast("string"))))
     # the first row (first branch, then lowest id) rides along each level
-    first = F.struct("branch_rank", "id", "name")
+    first = F.struct("branch_rank", "branch", "id", "name")
     cells = r.groupBy("key", "ym", "store").agg(
         F.sum("qty").alias("qty"), F.sum("total").alias("total"), F.min(first).alias("first"))
     months = cells.groupBy("key", "ym").agg(

@@ -41,7 +41,7 @@ def write_ordered(bundle: Bundle, df: DataFrame, path: str, spec: Sequence[str],
     ``drop`` names sort-only columns removed after sorting."""
     drop = [c for c in drop if c in df.columns]
     if "branch" in spec and "branch" in df.columns:
-        df = df.join(bundle.branch_order().select("branch", "branch_rank"), ["branch"])
-        spec = ["branch_rank" if c == "branch" else c for c in spec]
+        df = bundle.with_branch_order(df).drop("branch_label")
+        spec = [x for c in spec for x in (("branch_rank", "branch") if c == "branch" else (c,))]
         drop = [*drop, "branch_rank"]
     write_dataset(df, path, fmt=fmt, partition_by=partition_by, order_by=sink_order(spec), drop=drop)

@@ -32,7 +32,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from possum.bundle import Bundle
+from possum.bundle import Branch, Bundle
 from possum.operators.branches import union_branches
 from possum.plans.daily_job import run_daily_job
 from possum.plans.stock_job import run_stock_job
@@ -56,12 +56,17 @@ def load_rules(overrides: dict) -> Rules:
     return Rules(**args)
 
 
+def _branches(config: dict) -> tuple[Branch, ...]:
+    """Branch names and labels in configured order (for stored bundles)."""
+    return tuple(Branch(b["name"], b.get("label")) for b in config.get("branches", [])) or (Branch("main"),)
+
+
 def load_bundle(spark: SparkSession, config: dict, canonical: str | None,
                 database: str | None = None) -> Bundle:
     if canonical:
-        return read_bundle(spark, canonical)
+        return read_bundle(spark, canonical, _branches(config))
     if database:
-        return read_bundle_tables(spark, database)
+        return read_bundle_tables(spark, database, _branches(config))
     parts = []
     for b in config["branches"]:
         env = b.get("password_env")

@@ -63,3 +63,20 @@ def test_written_order_follows_branch_configuration(spark, fixture_bundle):
             for ln in open(os.path.join(paths["low_stock"], f)) if ln.strip()]
     seq = [(r["branch"], r["Rank"]) for r in rows]
     assert seq == sorted(seq, key=lambda x: (x[0] != "B", x[1])) and {x[0] for x in seq} == {"A", "B"}
+
+
+def test_stored_multi_branch_bundle_keeps_every_branch(spark, fixture_bundle):
+    import tempfile
+    from possum.operators import people
+    from possum.sources.parquet import read_bundle, write_bundle
+    from possum.bundle import Branch
+    union = branches.union_branches(split_branches(fixture_bundle, "Branch B"))
+    root = tempfile.mkdtemp(prefix="possum-stored-")
+    write_bundle(union, root)
+    want = _rows(people.user_directory(union, RULES))
+    configured = read_bundle(spark, root, (Branch("A"), Branch("B", "Branch B")))
+    assert _rows(people.user_directory(configured, RULES)) == want
+    # read without the branch list: no row is lost (labels are unknown then)
+    bare = people.user_directory(read_bundle(spark, root), RULES)
+    assert bare.count() == len(want)
+    assert {r.branch for r in bare.collect()} == {"A", "B"}
