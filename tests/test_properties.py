@@ -221,3 +221,20 @@ def test_promotion_matrix_like_brute_force(spark, rows):
                          for ym, cells in r.monthly.items()}}
            for r in promotion_matrix(red, bundle, rules).collect()}
     assert got == want
+
+
+# --- M3 against a brute force written from the specification ---------------
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["d1", "d2"]), st.sampled_from(["x", "y"]), st.integers(0, 9),
+                          st.integers(0, 3), st.text(alphabet="abc", max_size=2)),
+                min_size=1, max_size=20, unique_by=lambda t: (t[0], t[1], t[3])))
+def test_merge_sum_like_brute_force(spark, rows):
+    from possum.operators.branches import merge_sum
+    want = {}
+    for day, name, amount, rank, other in sorted(rows, key=lambda r: r[3]):
+        e = want.setdefault((day, name), [0, other])   # first row in rank order keeps its fields
+        e[0] += amount
+    df = spark.createDataFrame(rows, "day string, name string, amount long, rank int, other string")
+    got = {(r.day, r.name): [r.amount, r.other]
+           for r in merge_sum(df, ["day", "name"], ["amount"], ["rank"]).collect()}
+    assert got == want
