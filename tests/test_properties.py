@@ -238,3 +238,24 @@ def test_merge_sum_like_brute_force(spark, rows):
     got = {(r.day, r.name): [r.amount, r.other]
            for r in merge_sum(df, ["day", "name"], ["amount"], ["rank"]).collect()}
     assert got == want
+
+
+# --- M4 against a brute force written from the specification ---------------
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B"]), st.sampled_from(["u1", "u2", "u3"]),
+                          st.sampled_from(["h1", "h2"]), st.sampled_from(["1", "2", "3"]),
+                          st.sampled_from(["x", "y", "z"])),
+                min_size=1, max_size=20, unique_by=lambda t: (t[0], t[1], t[2], t[3])))
+def test_dedupe_first_like_brute_force(spark, rows):
+    import frames
+    from possum.operators.branches import union_branches
+    from possum.operators.people import dedupe_first
+    order = {"B": 0, "A": 1}                       # B is configured first
+    want = {}
+    for br, user, h, no, display in sorted(rows, key=lambda r: (order[r[0]], r[3])):
+        want.setdefault((user, h), (br, no, display))
+    df = spark.createDataFrame(rows, "branch string, user string, hash string, no string, display string")
+    bundle = union_branches([(frames.bundle(spark, "B"), None), (frames.bundle(spark, "A"), None)])
+    got = {(r.user, r.hash): (r.branch, r.no, r.display)
+           for r in dedupe_first(df, bundle, ["user", "hash"], ["no"]).collect()}
+    assert got == want
