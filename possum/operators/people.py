@@ -14,7 +14,8 @@ from possum.rules import Rules
 
 def _python_int(code: Column) -> Column:
     """``int(text)`` for decimal digit strings (sign, '_' separators, outer
-    whitespace allowed); null when Python would raise."""
+    whitespace allowed); null when Python would raise. ASCII digits only,
+    the same contract as item codes (Python also reads other Unicode digits)."""
     s = ustrip(code)
     ok = s.rlike(r"^[+-]?[0-9]+(_[0-9]+)*$")
     return F.when(ok, F.regexp_replace(s, "_", "").try_cast("int"))
