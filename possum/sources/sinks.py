@@ -44,10 +44,10 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "json",
 
     JSON keeps nulls and renders timestamps as ``yyyy-MM-dd HH:mm``. With
     ``partition_by``, rows are first rebalanced on those columns (one file
-    per folder unless a folder is too big for one task) and overwrite is dynamic: only the partitions present
-    in ``df`` are replaced, so a run that recomputes some months leaves the
-    others in place. Use coarse partition columns (a month, not a day) for
-    small aggregated datasets.
+    per folder unless a folder is too big for one task) and overwrite is
+    dynamic: only the partitions present in ``df`` are replaced, so a run
+    that recomputes some months leaves the others in place. Use coarse
+    partition columns (a month, not a day) for small aggregated datasets.
 
     ``order_by`` sorts at the sink only: a global sort (range partitions, so
     the part files in name order hold the rows in order), or, with
