@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from possum.llm import chat, mixing, suffix
+from possum.llm import chat, credentials, mixing, quality, suffix, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,10 +33,27 @@ def op4_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of each document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return credentials.secret_digest(credentials.secret_spans(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_chat_formatting, op4_suffix_decontamination, op6_pareto_mixing)}
+    f.__name__: f for f in (
+    op3_chat_formatting, op4_suffix_decontamination, op5_quality_classifier, op6_pareto_mixing,
+    op7_toxicity_cnn, op10_secret_scan)}
