@@ -11,13 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from possum.llm import chat, credentials, mixing, quality, suffix, toxicity
+from possum.llm import chat, credentials, mixing, quality, suffix, tagpaths, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every vector whose id is divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op2_tag_path_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return tagpaths.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and conversation -7, formatted and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -55,5 +65,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-    op3_chat_formatting, op4_suffix_decontamination, op5_quality_classifier, op6_pareto_mixing,
+    op1_norm_bucket_topk, op2_tag_path_ratios, op3_chat_formatting, op4_suffix_decontamination, op5_quality_classifier, op6_pareto_mixing,
     op7_toxicity_cnn, op10_secret_scan)}
