@@ -36,8 +36,8 @@ WINDOW = 10
 SHARD_BYTES = 4 << 20
 BLOCK_WORDS = 4_000_000  # 32 MB of hashes
 _TEXT = "__sfx_text"
-_FOUND = T.StructType.fromDDL(
-    "__sfx_n_words long, __sfx_starts array<int>, __sfx_ends array<int>, __sfx_items array<string>")
+_FOUND = [T.StructField("__sfx_n_words", T.LongType()), T.StructField("__sfx_starts", T.ArrayType(T.IntegerType())),
+          T.StructField("__sfx_ends", T.ArrayType(T.IntegerType())), T.StructField("__sfx_items", T.ArrayType(T.StringType()))]
 
 
 class TestBlock:
@@ -227,7 +227,7 @@ def find_windows(docs: DataFrame, items: DataFrame, text_col: str = "text", item
     spark = docs.sparkSession
     items = items.select(F.col(item_id_col).cast("string").alias("id"), F.col(item_text_col).alias("text"))
     place = docs.columns.index(text_col)
-    schema = T.StructType(docs.schema.fields + _FOUND.fields)
+    schema = T.StructType(docs.schema.fields + _FOUND)
     width = len(docs.columns)
 
     def run(test, depth: int):
