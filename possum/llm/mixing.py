@@ -62,14 +62,12 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     # positions without a global window: ordered ranges, counted, then offset
     parts = staged(per.repartitionByRange(F.isnull("source"), F.col("source"))
                    .withColumn("part", F.spark_partition_id()), "source_ranges")
-    counts = parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = (counts.alias("a").join(counts.alias("b"), F.col("b.part") < F.col("a.part"), "left")
-              .groupBy(F.col("a.part").alias("part"))
-              .agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before")))
+    counts = dict(parts.groupBy("part").agg(F.count(F.lit(1))).collect())  # one row per range
+    offsets = [sum(n for p, n in counts.items() if p < k) for k in range(max(counts, default=0) + 1)]
     order = Window.partitionBy("part").orderBy(F.isnull("source"), F.col("source"))
     picks = F.array(*[F.lit(w) for w in weights])
-    ranked = (parts.join(before, "part")
-              .withColumn("place", F.col("before") + F.row_number().over(order) - 1)
+    before = F.element_at(F.array(*[F.lit(n).cast("long") for n in offsets]), F.col("part") + 1)
+    ranked = (parts.withColumn("place", before + F.row_number().over(order) - 1)
               .withColumn("weight", F.element_at(picks, (F.col("place") % len(weights) + 1).cast("int")))
               .withColumn("most", F.col("source_size") * max_copies)
               .select("source", "source_size", "pull", "weight", "most"))
