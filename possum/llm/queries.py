@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from possum.llm import chat, credentials, mixing, quality, suffix, suffixtree, tagpaths, topk, toxicity
+from possum.llm import chat, credentials, mixing, neardup, quality, suffix, suffixtree, tagpaths, topk, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,11 @@ def op7_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model log probability of every document."""
     return suffixtree.score_texts(table(spark, sf_dir, "documents"))
@@ -71,4 +76,4 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
     op1_norm_bucket_topk, op2_tag_path_ratios, op3_chat_formatting, op4_suffix_decontamination, op5_quality_classifier, op6_pareto_mixing,
-    op7_toxicity_cnn, op9_suffix_tree_lm, op10_secret_scan)}
+    op7_toxicity_cnn, op8_minhash_neardup, op9_suffix_tree_lm, op10_secret_scan)}
