@@ -98,38 +98,54 @@ def _same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     return left.join(right, F.col("source").eqNullSafe(F.col("__s")), how).drop("__s")
 
 
-def plan_copies(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
-                max_copies: int = MAX_COPIES, seed: str = "mix") -> DataFrame:
-    """doc_id, source, size -> the same with source_size, target and copies.
-
-    Copies are whole, from 0 to ``max_copies``. Documents of size 0 take the
-    certain copies and are never sampled. Rows with one doc_id share their
-    random number, so repeated rows are taken or left together. The cut leaves
-    a gap smaller than the document it stops at; in ``CLOSINGS`` rounds the
-    document left out that fills it best is added (ties to the smallest
-    doc_id, null first).
+def _ranked(docs: DataFrame, facts: DataFrame, seed: str) -> DataFrame:
+    """docs (doc_id, source, size) with their source's facts, odds, bin and sub.
+
+    Documents that take no part in the draw have null odds.
     """
-    targets = staged(source_targets(sizes, weights, max_copies), "targets")
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    targets = (targets.withColumn("whole", F.least(F.floor(ratio), F.lit(max_copies)).cast("long"))
-               .withColumn("rest", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
-               .withColumn("share", F.when(F.col("source_size") > 0,
-                                           F.col("rest") / F.col("source_size")).otherwise(0.0)))
-    facts = _small(targets.select("source", "source_size", "target", "whole", "rest", "share", "pull"))
-    docs = _same_source(sizes, facts)
+    docs = _same_source(docs, facts)
     r = F.sqrt(F.col("size").cast("double")) * F.col("source_size") / F.col("pull")
     p = F.col("share") * (1 + (1 - F.col("share")) * (r - 1) / (r + 1))
+    p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
     u = uniform(F.col("doc_id"), seed)
-    docs = (docs.withColumn("p", F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12)))
-            .withColumn("odds", F.when((F.col("size") > 0) & (F.col("rest") > 0),
-                                       (u / (1 - u)) / (F.col("p") / (1 - F.col("p"))))))
+    docs = docs.withColumn("odds", F.when((F.col("size") > 0) & (F.col("rest") > 0), (u / (1 - u)) / (p / (1 - p))))
     # odds / (1 + odds) is in (0, 1) and keeps the order: two levels of bins
     place = F.col("odds") / (1 + F.col("odds")) * BINS
-    docs = (docs.withColumn("bin", F.least(F.floor(place), F.lit(BINS - 1)).cast("int"))
-            .withColumn("sub", F.least(F.floor((place - F.col("bin")) * BINS), F.lit(BINS - 1)).cast("int")))
-    keep = ["doc_id", "source", "size", "source_size", "target", "whole", "rest", "odds", "bin", "sub"]
-    docs = staged(docs.select(*keep), "ranked")
-    ranked = docs.filter(F.col("odds").isNotNull())
+    docs = docs.withColumn("bin", F.least(F.floor(place), F.lit(BINS - 1)).cast("int"))
+    return docs.withColumn("sub", F.least(F.floor((place - F.col("bin")) * BINS), F.lit(BINS - 1)).cast("int"))
+
+
+def _drawn() -> Column:
+    """Whether a ranked document lies before its source's cut, or closes its gap."""
+    before = (F.when(F.col("odds").isNull(), False)
+              .when(F.col("cut_bin").isNull(), True)
+              .when(F.col("bin") != F.col("cut_bin"), F.col("bin") < F.col("cut_bin"))
+              .when(F.col("cut_sub").isNull(), True)
+              .when(F.col("sub") != F.col("cut_sub"), F.col("sub") < F.col("cut_sub"))
+              .when(F.col("last").isNull(), False)
+              .otherwise(F.struct("odds", "doc_id") <= F.col("last")))
+    closes = F.col("odds").isNotNull() & F.exists("closing", lambda x: x["doc_id"].eqNullSafe(F.col("doc_id")))
+    return F.coalesce(before, F.lit(False)) | closes
+
+
+def source_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES,
+                seed: str = "mix") -> DataFrame:
+    """One row per source: its facts, the cut of its Pareto order and the documents that close its gap.
+
+    sizes has doc_id, source, size. The cut leaves a gap smaller than the
+    document it stops at; in ``CLOSINGS`` rounds the document left out that
+    fills it best is added (ties to the smallest doc_id, null first; the last
+    round may pass the target if that brings the source nearer).
+    """
+    targets = source_targets(sizes, weights, max_copies)
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    targets = (targets.withColumn("whole", F.least(F.floor(ratio), F.lit(max_copies)).cast("long"))
+               .withColumn("rest", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
+               .withColumn("share", F.when(F.col("source_size") > 0,
+                                           F.col("rest") / F.col("source_size")).otherwise(0.0)))
+    facts = staged(targets.select("source", "source_size", "target", "whole", "rest", "share", "pull"), "facts")
+    ranked = staged(_ranked(sizes, _small(facts), seed).filter(F.col("odds").isNotNull())
+                    .select("doc_id", "source", "size", "rest", "odds", "bin", "sub"), "ranked")
 
     def cut(rows: DataFrame, level: str, rest: str) -> DataFrame:
         """source, the level's value the cut falls in, words still open before it."""
@@ -146,43 +162,47 @@ def plan_copies(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
     last = _same_source(inside, _small(second)).filter(F.col("sub") == F.col("cut_sub"))
     run = Window.partitionBy("source").orderBy(F.struct("odds", "doc_id")).rangeBetween(
         Window.unboundedPreceding, Window.currentRow)
-    third = staged(last.withColumn("upto", F.sum("size").over(run))
-                   .groupBy("source").agg(
-                       F.max(F.when(F.col("upto") <= F.col("open_sub"), F.struct("odds", "doc_id"))).alias("__last")),
-                   "cut3")
-    cuts = _same_source(_same_source(first, second, "left"), third, "left")
-    docs = _same_source(docs, _small(cuts), "left")
-    taken = (F.when(F.col("odds").isNull(), False)
-             .when(F.col("cut_bin").isNull(), True)
-             .when(F.col("bin") != F.col("cut_bin"), F.col("bin") < F.col("cut_bin"))
-             .when(F.col("cut_sub").isNull(), True)
-             .when(F.col("sub") != F.col("cut_sub"), F.col("sub") < F.col("cut_sub"))
-             .when(F.col("__last").isNull(), False)
-             .otherwise(F.struct("odds", "doc_id") <= F.col("__last")))
-    docs = staged(docs.withColumn("extra", F.coalesce(taken, F.lit(False)))
-                  .select("doc_id", "source", "size", "source_size", "target", "whole", "rest", "odds", "extra"), "drawn")
-    for closing in range(CLOSINGS):
-        docs = staged(_close(docs, last=closing == CLOSINGS - 1), "closed")
-    return docs.select("doc_id", "source", "size", "source_size", "target",
-                       (F.col("whole") + F.col("extra").cast("long")).alias("copies"))
-
-
-def _close(docs: DataFrame, last: bool) -> DataFrame:
-    """Add to each source the left-out document that fills its gap best.
-
-    The last round may pass the target if that brings the source nearer.
-    """
+    third = staged(last.withColumn("upto", F.sum("size").over(run)).groupBy("source").agg(
+        F.max(F.when(F.col("upto") <= F.col("open_sub"), F.struct("odds", "doc_id"))).alias("last")), "cut3")
+    plan = _same_source(_same_source(_same_source(facts, first, "left"), second, "left"), third, "left")
+    kind = sizes.schema["doc_id"].dataType.simpleString()
+    plan = staged(plan.drop("open_bin", "open_sub").withColumn(
+        "closing", F.array().cast(f"array<struct<doc_id:{kind}>>")), "plan")
+    for k in range(CLOSINGS):
+        plan = staged(_close(ranked, plan, k == CLOSINGS - 1), "plan")
+    return plan
+
+
+def _close(ranked: DataFrame, plan: DataFrame, last: bool) -> DataFrame:
+    """Add to each source's plan the left-out document that fills its gap best."""
+    cuts = _small(plan.select("source", "cut_bin", "cut_sub", "last", "closing"))
+    docs = _same_source(ranked, cuts).withColumn("extra", _drawn())
     gaps = docs.groupBy("source").agg(
         (F.max("rest") - F.sum(F.when(F.col("extra"), F.col("size")).otherwise(0))).alias("gap"))
-    left_out = (_same_source(docs.filter(~F.col("extra") & F.col("odds").isNotNull()), _small(gaps))
+    left_out = (_same_source(docs.filter(~F.col("extra")), _small(gaps))
                 .groupBy("source", "doc_id").agg(F.sum("size").alias("adds"), F.max("gap").alias("gap")))
     miss = F.abs(F.col("gap") - F.col("adds"))
     fits = miss < F.col("gap") if last else F.col("adds") <= F.col("gap")
-    pick = left_out.filter(fits).groupBy("source").agg(F.min(F.struct(miss.alias("miss"), F.col("doc_id"))).alias("pick"))
-    pick = _small(staged(pick.select("source", F.col("pick.doc_id").alias("__close"), F.lit(True).alias("__has")), "closing"))
-    docs = _same_source(docs, pick, "left")
-    more = F.coalesce(F.col("__has"), F.lit(False)) & F.col("odds").isNotNull() & F.col("doc_id").eqNullSafe(F.col("__close"))
-    return docs.withColumn("extra", F.col("extra") | more).drop("__has", "__close")
+    pick = left_out.filter(fits).groupBy("source").agg(
+        F.min(F.struct(miss.alias("miss"), F.struct("doc_id").alias("one"))).alias("pick"))
+    more = F.when(F.col("pick").isNotNull(), F.array("pick.one")).otherwise(F.array().cast(plan.schema["closing"].dataType))
+    return _same_source(plan, pick, "left").withColumn("closing", F.concat("closing", more)).drop("pick")
+
+
+def apply_plan(docs: DataFrame, plan: DataFrame, seed: str = "mix") -> DataFrame:
+    """docs (with doc_id, source, size among their columns) with source_size, target, copies.
+
+    Nothing but the plan, one row per source, moves. Copies are whole, from 0
+    to the plan's most. Documents of size 0 take the certain copies and are
+    never drawn. Rows with one doc_id share their random number, so repeated
+    rows are taken or left together.
+    """
+    out = _ranked(docs, _small(plan), seed)
+    return out.select(*docs.columns, "source_size", "target", (F.col("whole") + _drawn().cast("long")).alias("copies"))
+
+
+def _sizes(docs: DataFrame) -> DataFrame:
+    return staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
 
 
 def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source",
@@ -193,6 +213,18 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source",
     order; null ids are one id. An empty table gives no rows. Other columns
     of the input are not read.
     """
-    sizes = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                               word_count(F.col(text_col)).alias("size")), "sizes")
-    return plan_copies(sizes, **kwargs).withColumn("taken", F.col("copies") * F.col("size"))
+    sizes = _sizes(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.col(text_col).alias("text")))
+    return apply_plan(sizes, source_plan(sizes, **kwargs)).withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def mixed_documents(docs: DataFrame, **kwargs) -> DataFrame:
+    """The documents the mix takes, whole, with copies (1 or more) and taken.
+
+    docs has doc_id, source and text; its other columns are kept but for those
+    named size, copies and taken.
+    """
+    plan = source_plan(_sizes(docs), **kwargs)
+    kept = docs.drop("size", "copies", "taken")
+    out = apply_plan(kept.withColumn("size", word_count(F.col("text"))), plan)
+    return (out.filter(F.col("copies") > 0).withColumn("taken", F.col("copies") * F.col("size"))
+            .select(*kept.columns, "copies", "taken"))
