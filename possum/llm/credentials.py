@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from possum.llm.tasks import arrow_map
 from possum.llm.words import LOWER, chunks, runs
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -209,7 +210,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                        ("value_start", pa.int64()), ("log10_guesses", pa.float64())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, kind)], names=["doc_id", "spans"])
 
-    return docs.mapInArrow(task, schema)
+    return arrow_map(docs, task, schema)
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]",
@@ -235,7 +236,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]",
                 b = b.set_column(place, b.schema.field(place), new)
             yield b
 
-    return docs.mapInArrow(task, docs.schema)
+    return arrow_map(docs, task, docs.schema)
 
 
 def secret_digest(spans: DataFrame) -> DataFrame:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from possum.llm.staging import staged
+from possum.llm.tasks import arrow_map
 from possum.llm.words import U, chunks, mix, split
 
 SHINGLE = 5
@@ -121,7 +122,7 @@ def _sign(docs: DataFrame) -> DataFrame:
                  pa.array(np.array(f2, np.uint64).view(np.int64)), _binary(sig)], names=["doc_id", "n", "f1", "f2", "sig"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(task, f"doc_id {kind}, n long, f1 long, f2 long, sig binary")
+    return arrow_map(docs, task, f"doc_id {kind}, n long, f1 long, f2 long, sig binary")
 
 
 def _signature_rows(col: pa.Array) -> np.ndarray:
@@ -144,7 +145,7 @@ def _frequent_pairs(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             p, n = np.unique(_pairs_of(_signature_rows(b.column(0))), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(p[n > 1]), pa.array(n[n > 1])], names=["pair", "n"])
 
-    counts = classes.select("sig").mapInArrow(task, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = arrow_map(classes.select("sig"), task, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     least = max(2, classes.count() // FREQUENT)
     got = counts.filter(F.col("n") >= least).toArrow().sort_by("pair")
     return got["pair"].to_numpy(), got["n"].to_numpy()
@@ -181,8 +182,7 @@ def _posting_lists(classes: DataFrame) -> DataFrame:
                  pa.array(np.where(lo == hi, 2, own[copy] == hi).astype(np.int8))],
                 names=["pair", "block", "cls", "n", "sketch", "side"])
 
-    posted = classes.select("cls", "n", "sig").mapInArrow(
-        post, "pair long, block long, cls long, n long, sketch long, side tinyint")
+    posted = arrow_map(classes.select("cls", "n", "sig"), post, "pair long, block long, cls long, n long, sketch long, side tinyint")
     posted = posted.repartition("pair", "block").sortWithinPartitions("pair", "block", "cls")
 
     def gather(batches):
@@ -196,7 +196,7 @@ def _posting_lists(classes: DataFrame) -> DataFrame:
         if rest is not None and rest.num_rows:
             yield from _lists([c.to_numpy() for c in rest.columns], np.array([0]), np.array([rest.num_rows]))
 
-    return staged(posted.mapInArrow(gather, "pair long, block long, middle long, cls array<long>, n array<long>, "
+    return staged(arrow_map(posted, gather, "pair long, block long, middle long, cls array<long>, n array<long>, "
                                             "sketch array<long>, side array<tinyint>"), "lists")
 
 
@@ -241,7 +241,7 @@ def _star(lists: DataFrame) -> DataFrame:
                 p = np.unique(np.stack([u, v], 1), axis=0) if len(u) else np.zeros((0, 2), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["u", "v"])
 
-    return staged(lists.mapInArrow(task, "u long, v long").distinct(), "star")
+    return staged(arrow_map(lists, task, "u long, v long").distinct(), "star")
 
 
 def _needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -278,8 +278,7 @@ def _needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataF
                      _binary([s.tobytes() for s in sig]), _binary([sets[k].tobytes() for k in new])],
                     names=["f1", "f2", "n", "sig", "items"])
 
-    found = docs.select("doc_id", F.xxhash64("doc_id").alias("id_key"), "text").mapInArrow(
-        task, "f1 long, f2 long, n long, sig binary, items binary")
+    found = arrow_map(docs.select("doc_id", F.xxhash64("doc_id").alias("id_key"), "text"), task, "f1 long, f2 long, n long, sig binary, items binary")
     found = found.withColumn("cls", F.xxhash64("f1", "f2", "n")).drop("f1", "f2")
     found = found.join(need.select("cls").distinct(), "cls", "left_semi")
     return staged(found.groupBy("cls").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("items").alias("items")), "sets")
@@ -311,7 +310,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), _binary(outside), pa.array(link, pa.bool_())],
                 names=["u", "v", "shared", "outside", "link"])
 
-    return staged(both.mapInArrow(task, "u long, v long, shared long, outside binary, link boolean"), "verified")
+    return staged(arrow_map(both, task, "u long, v long, shared long, outside binary, link boolean"), "verified")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -377,7 +376,7 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, star: DataFrame) -> DataFra
             p = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["u", "v"])
 
-    found = groups.mapInArrow(task, "u long, v long").distinct()
+    found = arrow_map(groups, task, "u long, v long").distinct()
     tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     return staged(found.join(tested, ["u", "v"], "left_anti"), "open")
 

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from possum.llm.labelled import Adam, held_out, label_sample, sigmoid, temperature, with_labels
 from possum.llm.staging import staged
+from possum.llm.tasks import arrow_map
 from possum.llm.words import ALNUM, LOWER, SPACED, U, chunks, hash_spans, mix, runs
 
 BUCKETS = 1 << 14
@@ -100,7 +101,7 @@ def context_vectors(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keep.astype(np.int32))] + [pa.array(rows[keep, k]) for k in range(DIM)], names=["bucket", *names])
 
-    parts = docs.select("text").mapInArrow(task, "bucket int, " + ", ".join(f"{n} long" for n in names))
+    parts = arrow_map(docs.select("text"), task, "bucket int, " + ", ".join(f"{n} long" for n in names))
     sums = parts.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()  # BUCKETS rows at most
     out = np.zeros((BUCKETS, DIM))
     out[sums["bucket"].to_numpy()] = np.stack([sums[n].to_numpy() for n in names], axis=1)
@@ -174,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample:
 
     rows = with_labels(docs, staged(label_sample(labels, label_col, sample), "labels"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = rows.mapInArrow(task, f"doc_id {kind}, y int, x array<double>").toArrow().sort_by("doc_id")
+    got = arrow_map(rows, task, f"doc_id {kind}, y int, x array<double>").toArrow().sort_by("doc_id")
     y = got["y"].to_numpy().astype(float)
     if len(set(y)) < 2:
         return shared, Constant(float(y.mean()) if len(y) else 0.5)
@@ -192,7 +193,7 @@ def scored(docs: DataFrame, model, text_col: str = "text", column: str = "score"
             s = network.score(document_vectors(b.column(place), vectors.value))
             yield pa.RecordBatch.from_arrays([*b.columns[:width], pa.array(s)], names=[*b.schema.names[:width], column])
 
-    return docs.mapInArrow(task, schema)
+    return arrow_map(docs, task, schema)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

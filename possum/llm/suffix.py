@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from possum.llm.tasks import arrow_map
 from possum.llm.words import ALNUM, chunks, split
 
 WINDOW = 10
@@ -252,10 +253,10 @@ def find_windows(docs: DataFrame, items: DataFrame, text_col: str = "text", item
     out, any_block = docs, False
     for test in _blocks(items, window, block_words):
         depth = int(test.length.max(initial=1))
-        out = out.mapInArrow(run(spark.sparkContext.broadcast(test), depth), schema)
+        out = arrow_map(out, run(spark.sparkContext.broadcast(test), depth), schema)
         any_block = True
     if not any_block:  # no test words at all
-        out = docs.mapInArrow(run(spark.sparkContext.broadcast(TestBlock([], window)), 1), schema)
+        out = arrow_map(docs, run(spark.sparkContext.broadcast(TestBlock([], window)), 1), schema)
     return out
 
 
@@ -314,7 +315,7 @@ def longest_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                         names=["item_id", "suffix", "match_words", "doc_id", "doc_word"])
         return task
 
-    parts = [docs.mapInArrow(run(spark.sparkContext.broadcast(t), int(t.length.max(initial=1))), schema)
+    parts = [arrow_map(docs, run(spark.sparkContext.broadcast(t), int(t.length.max(initial=1))), schema)
              for t in _blocks(items, WINDOW, block_words)]
     if not parts:
         return spark.createDataFrame([], schema)

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from possum.llm.labelled import held_out
 from possum.llm.staging import staged
+from possum.llm.tasks import arrow_map
 from possum.llm.words import LOWER, U, chunks, mix, split
 
 DEPTH = 5
@@ -146,7 +147,7 @@ def corpus_counts(train: DataFrame) -> DataFrame:
         yield from grams.rows(1)
         yield pa.RecordBatch.from_arrays([pa.array([2], pa.int8()), pa.array([0]), pa.array([texts])], names=["kind", "key", "n"])
 
-    rows = train.select("text").mapInArrow(task, "kind tinyint, key long, n long")
+    rows = arrow_map(train.select("text"), task, "kind tinyint, key long, n long")
     return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
@@ -334,9 +335,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     names=["key", "row_key", "spelled", "ends"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = staged(docs.mapInArrow(score, f"doc_id {kind}, held_out boolean, row_key long, n_tokens long, known long, "
+    rows = staged(arrow_map(docs, score, f"doc_id {kind}, held_out boolean, row_key long, n_tokens long, known long, "
                                          "part double, score double"), "scored")
-    rest = docs.mapInArrow(rare_words, "key long, row_key long, spelled float, ends boolean")
+    rest = arrow_map(docs, rare_words, "key long, row_key long, spelled float, ends boolean")
     # rare words count as unknown above: those the training part has are put right here
     r = F.when(F.col("ends"), F.lit(last)).otherwise(F.lit(1 - last))
     known = (1 - new) * (SHARE * F.col("n") / max(n_words, 1) * r + (1 - SHARE) * F.col("spelled").cast("double"))

@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from possum.llm.tasks import arrow_map
+
 THRESHOLD = 0.25
 LIFT = 0.6      # share of the section's best score that its other paths have
 OUTSIDE = 0.3   # weight of paths outside article or main, on pages that have one
@@ -249,7 +251,7 @@ def extract(pages: DataFrame, html_col: str = "html", column: str = "text") -> D
             columns[place] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
 
-    return pages.mapInArrow(task, T.StructType(fields))
+    return arrow_map(pages, task, T.StructType(fields))
 
 
 def page_texts(pages: DataFrame) -> DataFrame:

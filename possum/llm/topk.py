@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from possum.llm.staging import staged
+from possum.llm.tasks import arrow_map
 
 SCALE = 256
 BUCKET = 1024
@@ -193,7 +194,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id"
             s = Search(*q, k)
             s.table(_arrays(seeds))
             block[d] = q, s.bound
-        found = vectors.mapInArrow(run(spark.sparkContext.broadcast(block)), "query_id long, vec_id long, score long")
+        found = arrow_map(vectors, run(spark.sparkContext.broadcast(block)), "query_id long, vec_id long, score long")
         out = found if out is None else out.unionAll(found)
     if out is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
