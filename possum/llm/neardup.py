@@ -9,8 +9,10 @@
    ``K - MATCHES + 1`` rarest pairs only (prefix), and two classes that agree in
    ``MATCHES`` coordinates still meet under one of them. Frequent pairs, such as
    those of a common passage, are skipped this way.
-3. In each posting list the members are linked to the list's middle member, the
-   one nearest to the majority of the members' one-bit sketches. Linked pairs
+3. In each posting list the members are linked to the list's middle member: the
+   one with the most common pairs (the core of a large group, and so the same in
+   all its lists), or else the one nearest to the majority of the members'
+   one-bit sketches. Linked pairs
    are verified on the signatures (at least ``MATCHES`` collisions) and then on
    the full sets, and connected classes get one label.
 4. What is left are pairs of members of one list with different labels. They are
@@ -49,7 +51,7 @@ AGREE = 42        # of 64 sketch bits; two sets of similarity 0.75 agree in 56 o
 FREQUENT = 2000   # a pair is frequent if at least 1 / FREQUENT of the classes have it
 BLOCK = 2048
 SLOTS = 1 << 24   # bits of the filter of documents whose sets are needed
-OUTSIDE = 512     # bits of the sketch of what a set has outside the middle member
+MARKS = 512       # bits of the sketches of what a set lacks of the middle member, and has beside it
 _STEP = U(0x9E3779B97F4A7C15)
 
 _rng = np.random.default_rng(8)
@@ -166,6 +168,7 @@ def _posting_lists(classes: DataFrame) -> DataFrame:
                 known = np.where(pairs[at] == p, counts[at], 0)
             else:
                 known = np.zeros(p.shape, np.int64)
+            common = known.sum(axis=1)
             order = np.minimum(known, (1 << 24) - 1) << 38 | p  # rare pairs first
             pick = np.argpartition(order, PREFIX - 1, axis=1)[:, :PREFIX]
             row = np.repeat(np.arange(len(cls)), PREFIX)
@@ -179,10 +182,11 @@ def _posting_lists(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(p[copy]), pa.array(lo * blocks[copy] + hi), pa.array(cls[row[copy]]), pa.array(n[row[copy]]),
                  pa.array(sketch(sig)[row[copy]].view(np.int64)),
-                 pa.array(np.where(lo == hi, 2, own[copy] == hi).astype(np.int8))],
-                names=["pair", "block", "cls", "n", "sketch", "side"])
+                 pa.array(np.where(lo == hi, 2, own[copy] == hi).astype(np.int8)), pa.array(common[row[copy]])],
+                names=["pair", "block", "cls", "n", "sketch", "side", "common"])
 
-    posted = arrow_map(classes.select("cls", "n", "sig"), post, "pair long, block long, cls long, n long, sketch long, side tinyint")
+    posted = arrow_map(classes.select("cls", "n", "sig"), post,
+                       "pair long, block long, cls long, n long, sketch long, side tinyint, common long")
     posted = posted.repartition("pair", "block").sortWithinPartitions("pair", "block", "cls")
 
     def gather(batches):
@@ -201,7 +205,7 @@ def _posting_lists(classes: DataFrame) -> DataFrame:
 
 
 def _lists(cols, starts, ends):
-    pair, block, cls, n, sk, side = cols
+    pair, block, cls, n, sk, side, common = cols
     many = np.flatnonzero(ends - starts > 1)
     out = [[] for _ in range(7)]
     for a, b in zip(starts[many], ends[many], strict=True):
@@ -209,7 +213,8 @@ def _lists(cols, starts, ends):
         bits = (s[:, None] >> np.arange(64, dtype=np.uint64)) & U(1)
         middle = (bits.sum(axis=0) * 2 > b - a).astype(np.uint64)
         middle = (middle << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64)
-        m = int(np.bitwise_count(s ^ middle).argmin())  # rows are in order of cls
+        far = np.bitwise_count(s ^ middle).astype(np.int64)
+        m = int(np.lexsort((far, -common[a:b]))[0])  # ties to the smallest cls: rows are in its order
         for o, x in zip(out, (pair[a], block[a], cls[a + m], cls[a:b], n[a:b], sk[a:b], side[a:b]), strict=True):
             o.append(x)
     if out[0]:
@@ -284,33 +289,59 @@ def _needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataF
     return staged(found.groupBy("cls").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("items").alias("items")), "sets")
 
 
+def _within(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of a are in b; both sorted, b not empty."""
+    at = np.searchsorted(b, a)
+    at[at == len(b)] = 0
+    return b[at] == a
+
+
+def _marks(items: np.ndarray) -> bytes:
+    """A bit for each item, by its hash; items that share a bit make the bits fewer than the items."""
+    mark = np.zeros(MARKS, np.uint8)
+    mark[(items % U(MARKS)).astype(np.int64)] = 1
+    return np.packbits(mark).tobytes()
+
+
+def _most_shared(n, size, i, js, shared, outside, missing):
+    """An upper bound of what member i shares with members js, from what each shares with a set of ``size``.
+
+    Inside the set two members share what neither lacks, and every marked bit
+    stands for something lacking; outside it a member's bits that the other
+    does not have stand for something it has alone.
+    """
+    def bits(x):
+        return np.bitwise_count(x).sum(axis=1).astype(np.int64)
+
+    inside = np.minimum(size - bits(missing[i] | missing[js]), np.minimum(shared[i], shared[js]))
+    alone_i, alone_j = bits(outside[i] & ~outside[js]), bits(outside[js] & ~outside[i])
+    return inside + np.minimum(n[i] - shared[i] - alone_i, n[js] - shared[js] - alone_j)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """u, v, shared, outside, link: exact counts, and a sketch of what v has outside u."""
+    """u, v, shared, outside, missing, link: the exact count, and sketches of v without u and of u without v."""
     a = sets.select(F.col("cls").alias("u"), F.col("sig").alias("sig_u"), F.col("items").alias("items_u"))
     b = sets.select(F.col("cls").alias("v"), F.col("sig").alias("sig_v"), F.col("items").alias("items_v"))
     both = pairs.join(b, "v").join(a, "u").select("u", "v", "sig_u", "items_u", "sig_v", "items_v")
 
     def task(batches):
         for batch in batches:
-            shared, outside, link = [], [], []
+            shared, outside, missing, link = [], [], [], []
             for r in range(batch.num_rows):
                 su, iu, sv, iv = (batch.column(c)[r].as_buffer() for c in (2, 3, 4, 5))
                 x, y = np.frombuffer(iu, np.uint64), np.frombuffer(iv, np.uint64)
-                at = np.searchsorted(x, y)
-                at[at == len(x)] = 0
-                inside = x[at] == y
+                inside = _within(y, x)
                 n = int(inside.sum())
                 hits = int((np.frombuffer(su, np.uint32) == np.frombuffer(sv, np.uint32)).sum())
-                mark = np.zeros(OUTSIDE, np.uint8)
-                mark[(y[~inside] % U(OUTSIDE)).astype(np.int64)] = 1
                 shared.append(n)
-                outside.append(np.packbits(mark).tobytes())
+                outside.append(_marks(y[~inside]))
+                missing.append(_marks(x[~_within(x, y)]))
                 link.append(hits >= MATCHES and 100 * n >= PERCENT * (len(x) + len(y) - n))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), _binary(outside), pa.array(link, pa.bool_())],
-                names=["u", "v", "shared", "outside", "link"])
+                [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), _binary(outside), _binary(missing),
+                 pa.array(link, pa.bool_())], names=["u", "v", "shared", "outside", "missing", "link"])
 
-    return staged(arrow_map(both, task, "u long, v long, shared long, outside binary, link boolean"), "verified")
+    return staged(arrow_map(both, task, "u long, v long, shared long, outside binary, missing binary, link boolean"), "verified")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -339,14 +370,14 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, star: DataFrame) -> DataFra
     lists = lists.withColumn("list", F.struct("pair", "block"))
     m = lists.select("list", "middle", F.explode(F.arrays_zip("cls", "n", "sketch", "side")).alias("m")).select("list", "middle", "m.*")
     m = m.join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    known = star.select(F.col("u").alias("middle"), F.col("v").alias("cls"), "shared", "outside")
+    known = star.select(F.col("u").alias("middle"), F.col("v").alias("cls"), "shared", "outside", "missing")
     m = m.join(known, ["middle", "cls"], "left")
-    one = F.struct("cls", "n", "sketch", "side", "label", "shared", "outside")
+    one = F.struct("cls", "n", "sketch", "side", "label", "shared", "outside", "missing")
     groups = (m.groupBy("list").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.first("middle").alias("middle"),
                                     F.collect_list(one).alias("m"))
               .filter(F.col("a") != F.col("b")))  # a list is two blocks at most
     groups = groups.select("middle", *[F.col(f"m.{c}").alias(c) for c in
-                                       ("cls", "n", "sketch", "side", "label", "shared", "outside")])
+                                       ("cls", "n", "sketch", "side", "label", "shared", "outside", "missing")])
 
     def task(batches):
         for b in batches:
@@ -356,9 +387,11 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, star: DataFrame) -> DataFra
                 cls, n, sk, side, label = (b.column(c)[r].values.to_numpy(zero_copy_only=False) for c in range(1, 6))
                 sk = sk.view(np.uint64)
                 shared = np.array([-1 if x is None else x for x in b.column(6)[r].as_py()], np.int64)
-                marks = np.stack([np.frombuffer(x or bytes(OUTSIDE // 8), np.uint64) for x in b.column(7)[r].as_py()])
-                ids, size = np.unique(label, return_counts=True)
-                main = ids[size.argmax()]  # members of the largest label are not compared with each other
+                outside, missing = (np.stack([np.frombuffer(x or bytes(MARKS // 8), np.uint64) for x in b.column(c)[r].as_py()])
+                                    for c in (7, 8))
+                size = int(n[cls == middle][0])
+                ids, members = np.unique(label, return_counts=True)
+                main = ids[members.argmax()]  # members of the largest label are not compared with each other
                 rest = np.flatnonzero((label != main) & (cls != middle))
                 for k, i in enumerate(rest):
                     later = np.ones(len(cls), bool)
@@ -368,8 +401,7 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, star: DataFrame) -> DataFra
                     ok &= cls != cls[i]
                     if shared[i] >= 0:
                         js = np.flatnonzero(ok & (shared >= 0))
-                        own = np.bitwise_count(marks[i] & ~marks[js]).sum(axis=1)
-                        most = np.minimum(shared[i], shared[js]) + np.minimum(n[i] - shared[i] - own, n[js] - shared[js])
+                        most = _most_shared(n, size, i, js, shared, outside, missing)
                         ok[js[100 * most < PERCENT * (n[i] + n[js] - most)]] = False
                     j = cls[ok]
                     out.append(np.stack([np.minimum(j, cls[i]), np.maximum(j, cls[i])], 1))
