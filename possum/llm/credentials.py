@@ -53,8 +53,9 @@ COMMON_WORDS = (
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _LEET = str.maketrans("4@83105$7", "aabelossT".lower())
 _STEP = math.log10(2)  # each further span doubles the tries
-_DATE = re.compile(r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?"
-                   r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
+_YEAR = re.compile(r"(?:19|20)\d\d", re.ASCII)
+_DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])"
+                   r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d", re.ASCII)
 
 
 def _keyboard() -> dict[str, set[str]]:
@@ -92,52 +93,46 @@ def guess_cost(value: str, words: dict[str, int] = _RANK, longest: int = _LONGES
         low = value
     plain = low.translate(_LEET)
     best = [0.0] + [math.inf] * n
-    in_brute = [False] * (n + 1)
-    walk_end = 0
+    brute = math.inf          # of plans whose last span, brute force, ends here
+    walk = run_up = run_down = (math.inf,) * 3  # of plans ending in 1, 2, 3 or more keys of a walk or run
     for i in range(n):
         base = best[i] + (_STEP if i else 0.0)
 
         def offer(j: int, cost: float, base: float = base) -> None:
-            if base + cost < best[j]:
-                best[j], in_brute[j] = base + cost, False
+            best[j] = min(best[j], base + cost)
+
+        def longer(run: tuple, goes_on: bool, start: float, step: float, base: float = base) -> tuple:
+            if not goes_on:
+                return base + start, math.inf, math.inf
+            return base + start, run[0] + step, min(run[1], run[2]) + step
 
         for j in range(i + 3, min(n, i + longest) + 1):  # words, also with digits for letters
             if (rank := words.get(low[i:j])) is not None:
                 offer(j, math.log10(rank) + _case(value[i:j]))
             elif (rank := words.get(plain[i:j])) is not None:
                 offer(j, math.log10(rank) + 2 * _STEP + _case(value[i:j]))
-        if value[i].isdigit() and (m := _DATE.match(value, i)):  # dates and years
-            offer(m.end(), math.log10(119 if m.end() - i == 4 else 119 * 365 * 4))
+        if "0" <= value[i] <= "9":  # dates and years
+            if m := _DATE.match(value, i):
+                offer(m.end(), math.log10(119 * 365 * 4))
+            if _YEAR.match(value, i):
+                offer(i + 4, math.log10(119))
         for unit in (1, 2, 3, 4):  # repeats of a short unit
-            j = i + unit
+            j, cost = i + unit, sum(map(_brute, value[i:i + unit]))
             while value[j:j + unit] == value[i:i + unit] and j + unit <= n:
                 j += unit
-                if j - i >= 3:
-                    offer(j, sum(map(_brute, value[i:i + unit])) + math.log10((j - i) / unit))
-                if j - i > 64 * unit:  # the rest of a long repeat in one step
-                    while value[j:j + unit] == value[i:i + unit] and j + unit <= n:
-                        j += unit
-                    offer(j, sum(map(_brute, value[i:i + unit])) + math.log10((j - i) / unit))
-                    break
-        if i + 1 < n and i >= walk_end - 1:  # keyboard walks and runs like abc or 321
-            j, turns, step = i + 1, 0, None
-            while j < n and low[j] in _NEAR.get(low[j - 1], ()):
-                turns, step = turns + (step is not None and step != low[j]), low[j]
-                j += 1
-            if j - i >= 3:
-                for k in range(i + 3, j + 1):
-                    offer(k, math.log10(47) + math.log10(k - i) + (k - i - 2) * _STEP)
-                walk_end = j
-            delta = ord(low[i + 1]) - ord(low[i])
-            j = i + 2
-            if abs(delta) == 1:
-                while j < n and ord(low[j]) - ord(low[j - 1]) == delta:
-                    j += 1
-                if j - i >= 3:
-                    offer(j, math.log10(52) + math.log10(j - i))
-        cost = best[i] + (0.0 if in_brute[i] or not i else _STEP) + _brute(value[i])
-        if cost < best[i + 1]:
-            best[i + 1], in_brute[i + 1] = cost, True
+                if 3 <= j - i <= 64:
+                    offer(j, cost + math.log10((j - i) / unit))
+                if j - i > 16 and i > unit and value[i - unit:i] == value[i:i + unit]:
+                    break  # inside a long repeat, whose first unit has gone to its end
+            if j - i > 64:
+                offer(j, cost + math.log10((j - i) / unit))
+        # keyboard walks, and runs like abc or 321
+        walk = longer(walk, i > 0 and low[i] in _NEAR.get(low[i - 1], ()), math.log10(47), _STEP)
+        step = ord(low[i]) - ord(low[i - 1]) if i else 0
+        run_up = longer(run_up, step == 1, math.log10(52), _STEP / 2)
+        run_down = longer(run_down, step == -1, math.log10(52), _STEP / 2)
+        brute = min(brute, base) + _brute(value[i])
+        best[i + 1] = min(best[i + 1], walk[2], run_up[2], run_down[2], brute)
     return best[n]
 
 
