@@ -34,7 +34,7 @@ from possum.llm.tasks import arrow_map
 from possum.llm.words import ALNUM, chunks, split
 
 WINDOW = 10
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 BLOCK_WORDS = 4_000_000  # 32 MB of hashes
 _TEXT = "__sfx_text"
 _FOUND = [T.StructField("__sfx_n_words", T.LongType()), T.StructField("__sfx_starts", T.ArrayType(T.IntegerType())),
