@@ -43,19 +43,14 @@ class Bundle:
         merged.update(tables)
         return Bundle(merged, self.branches)
 
-    def branch_order(self) -> DataFrame:
-        """(branch, branch_rank, branch_label): one row per configured branch.
-
-        Built from the configuration list, so its size is the number of
-        branches and it is safe to broadcast.
-        """
-        rows = [(b.name, i, b.label) for i, b in enumerate(self.branches)]
-        return F.broadcast(self.spark.createDataFrame(
-            rows, "branch string, branch_rank int, branch_label string"))
-
     def with_branch_order(self, df: DataFrame) -> DataFrame:
-        """``df`` with branch_rank and branch_label of its branch. A branch
-        missing from the configuration keeps its rows: it ranks after the
-        configured ones (then by name) and has no label."""
-        j = df.join(self.branch_order(), ["branch"], "left")
-        return j.withColumn("branch_rank", F.coalesce(F.col("branch_rank"), F.lit(len(self.branches))))
+        """``df`` with branch_rank and branch_label of its branch, from the
+        configuration (literals in the plan, no join). A branch missing from
+        the configuration keeps its rows: it ranks after the configured ones
+        (then by name) and has no label."""
+        rank, label = F.lit(len(self.branches)), F.lit(None).cast("string")
+        for i, b in reversed(list(enumerate(self.branches))):
+            here = F.col("branch") == F.lit(b.name)
+            rank = F.when(here, F.lit(i)).otherwise(rank)
+            label = F.when(here, F.lit(b.label).cast("string")).otherwise(label)
+        return df.withColumn("branch_rank", rank).withColumn("branch_label", label)

@@ -59,42 +59,52 @@ def day_documents(stores: DataFrame, depts: DataFrame, sellers: DataFrame,
 
 
 def flatten_day_documents(docs: DataFrame) -> DataFrame:
-    """One row per list element; an empty list gives one row of nulls."""
-    parts = []
+    """One row per list element; an empty list gives one row of nulls. The four
+    lists become one array, exploded once."""
     spec = {"stores": ("StoreName", None, "TotalSales", "Transactions"),
             "depts": ("Dept", None, "TotalSales", None),
             "sellers": ("SellerName", None, "TotalSales", "Transactions"),
             "payments": ("StoreName", "PayMethod", "TotalAmount", "Cnt")}
+
+    def row(fam, name, method, amount, count):
+        return F.struct(F.lit(fam).alias("family"), name.cast("string").alias("name"), method.cast("string").alias("method"),
+                        amount.cast("double").alias("amount"), count.cast("bigint").alias("cnt"))
+
+    none = F.lit(None)
+
+    def from_entry(fam, name, method, amount, count):
+        return lambda e: row(fam, e[name], e[method] if method else none, e[amount], e[count] if count else none)
+
+    lists = []
     for fam, (name, method, amount, count) in spec.items():
-        e = docs.select("SaleDate", F.explode_outer(fam).alias("e"))
-        parts.append(e.select(
-            "SaleDate", F.lit(fam).alias("family"), F.col(f"e.{name}").alias("name"),
-            (F.col(f"e.{method}") if method else F.lit(None).cast("string")).alias("method"),
-            F.col(f"e.{amount}").cast("double").alias("amount"),
-            (F.col(f"e.{count}") if count else F.lit(None)).cast("bigint").alias("cnt")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u
+        rows = F.transform(fam, from_entry(fam, name, method, amount, count))
+        lists.append(F.when(F.size(fam) > 0, rows).otherwise(F.array(row(fam, none, none, none, none))))
+    return docs.select("SaleDate", F.explode(F.concat(*lists)).alias("e")).select("SaleDate", "e.*")
 
 
 def net_feed_days(feed: DataFrame) -> DataFrame:
     """(day, net) with ``d/m/yyyy`` keys re-keyed to ISO dates.
 
-    ``feed`` has day_key (string) and net, and optionally raw (the entry's
-    JSON text, kept alongside). Unparsable keys stay as they are. Two keys
-    naming the same day keep the value of the greatest raw key.
+    ``feed`` has day_key (string) and net; optional columns are kept alongside:
+    raw (the entry's JSON text) and session_ok. Unparsable keys stay as they
+    are. Of several entries of one day one whole entry is kept: the latest
+    fetched (``fetched``, when the feed has it), then the greatest file name,
+    then the greatest raw key.
     """
-    extra = ["raw"] if "raw" in feed.columns else []
-    keyed = feed.select(day_key_to_iso(F.col("day_key")).alias("day"), "day_key", "net", *extra)
-    return keyed.groupBy("day").agg(F.max_by("net", "day_key").alias("net"),
-                                    *[F.max_by(c, "day_key").alias(c) for c in extra])
+    order = [c for c in ("fetched", "file", "day_key") if c in feed.columns]
+    kept = ["net", *[c for c in ("raw", "session_ok") if c in feed.columns]]
+    keyed = feed.select(day_key_to_iso(F.col("day_key")).alias("day"), *order, *kept)
+    picked = keyed.groupBy("day").agg(F.max_by(F.struct(*kept), F.struct(*order)).alias("e"))
+    return picked.select("day", *[F.col(f"e.{c}").alias(c) for c in kept])
 
 
 def net_feed_today(days: DataFrame, as_of: datetime) -> DataFrame:
-    """One row: today's ISO date and its net amount (null when absent)."""
+    """One row: today's ISO date and its net amount (null when absent), and, for
+    a feed that has them, its raw entry and sessionOk (when the entry is an object)."""
     day = today_iso(as_of)
-    extra = ["raw"] if "raw" in days.columns else []
-    return days.agg(F.lit(day).alias("day"),
-                    F.max(F.when(F.col("day") == F.lit(day), F.col("net"))).alias("net"),
-                    *[F.max(F.when(F.col("day") == F.lit(day), F.col(c))).alias(c) for c in extra])
+    today = F.col("day") == F.lit(day)
+    extra = [F.max(F.when(today, F.col("raw"))).alias("raw")] if "raw" in days.columns else []
+    if "session_ok" in days.columns:
+        is_object = today & F.ltrim("raw").startswith("{")
+        extra.append(F.max(F.when(is_object, F.col("session_ok"))).alias("sessionOk"))
+    return days.agg(F.lit(day).alias("day"), F.max(F.when(today, F.col("net"))).alias("net"), *extra)

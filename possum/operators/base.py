@@ -3,7 +3,7 @@ the main group of an item and the on-hand stock base."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from possum.bundle import Bundle
@@ -11,11 +11,16 @@ from possum.functions.filters import catalogue_item, fact_live, master_live
 from possum.rules import Rules
 
 
+# the name shown for a store that has none (store names key maps)
+NO_STORE = "No store name"
+
+
 def live_stores(bundle: Bundle) -> DataFrame:
     """Active stores. A small dimension: Spark broadcasts it when its
     estimated size is under the broadcast threshold, else shuffles."""
     return bundle["store"].where(master_live(F.col("Status"))).select(
-        "branch", "StoreID", "StoreName", "StoreNameOrig", "Code", "Sort")
+        "branch", "StoreID", F.coalesce("StoreName", F.lit(NO_STORE)).alias("StoreName"),
+        F.coalesce("StoreNameOrig", F.lit(NO_STORE)).alias("StoreNameOrig"), "Code", "Sort")
 
 
 def item_dimension(bundle: Bundle, rules: Rules) -> DataFrame:
@@ -70,23 +75,20 @@ def stock_base(bundle: Bundle, rules: Rules) -> DataFrame:
               .join(item_dimension(bundle, rules), ["branch", "ItemID"]))
 
 
-def id_floor(facts: DataFrame, col: str, qualifying: DataFrame, bundle: Bundle,
-             qualifying_col: str | None = None) -> DataFrame:
-    """Keep the ``facts`` rows whose ``col`` is at least the smallest id of
-    ``qualifying`` in the same branch.
+MONTH = "SaleMonth"
+
+
+def from_month(facts: DataFrame, since: Column) -> DataFrame:
+    """``facts`` without the sale months before ``since``'s, where the table
+    stores its sale month.
 
-    Exact for any id order: a fact row that joins a qualifying row carries
-    one of its ids, so it is never below their minimum; the join that
-    follows removes the rest. When ids grow with time (identity keys in an
-    append-only table) the bound skips the old history: each branch's
-    minimum is a scalar subquery, evaluated once and pushed into the Parquet
-    scan as a row-group filter, so years of lines are neither read nor
-    shuffled. A branch without qualifying rows keeps no facts.
+    Sale and tender lines carry no date. A table written with
+    :func:`possum.sources.months.with_sale_months` carries the month of its
+    transaction as a partition column, so old months are neither listed nor
+    read. Every row of the window has a month of the window: the join to the
+    transactions, which follows in each operator, removes the rest. A table
+    without the column is returned as it is.
     """
-    qcol = qualifying_col or col
-    cond = None
-    for br in bundle.branches:
-        lo = qualifying.where(F.col("branch") == br.name).agg(F.min(qcol)).scalar()
-        c = (F.col("branch") == F.lit(br.name)) & (F.col(col) >= lo)
-        cond = c if cond is None else cond | c
-    return facts.where(cond)
+    if MONTH not in facts.columns:
+        return facts
+    return facts.where(F.col(MONTH) >= F.date_format(since, "yyyy-MM"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from possum.bundle import Bundle
 from possum.functions.dates import day_label
 from possum.functions.filters import fact_live
-from possum.functions.money import out
 from possum.operators.base import live_stores
 from possum.rules import Rules
 
@@ -43,5 +42,5 @@ def payments_by_day(bundle: Bundle, rules: Rules) -> DataFrame:
     merged = lines.groupBy("SaleDate", "StoreName", "PayMethod").agg(
         F.sum("TotalAmount").alias("TotalAmount"), F.count(F.lit(1)).alias("Cnt"))
     return merged.select("SaleDate", "StoreName", "PayMethod",
-                         out(F.coalesce(F.col("TotalAmount"), F.lit(0))).alias("TotalAmount"),
+                         F.coalesce(F.col("TotalAmount"), F.lit(0)).alias("TotalAmount"),
                          F.col("Cnt").cast("bigint").alias("Cnt"))

@@ -13,9 +13,6 @@ from possum.functions import codes
 from possum.functions.money import whole
 from possum.rules import Rules
 
-# entries per CASE expression; longer lists are split (see apply_price_list)
-PRICE_LIST_CHUNK = 200
-
 
 def impute_cost(items: DataFrame) -> DataFrame:
     """Fill a zero cost from items sharing a code prefix.
@@ -28,28 +25,22 @@ def impute_cost(items: DataFrame) -> DataFrame:
     Plan: one aggregate builds all three lookups (known items exploded into
     <= 3 (level, prefix) rows). The items to fill are exploded the same way
     as slim (key, level, prefix) rows, joined on (branch, level, prefix) and
-    reduced to the best fill per key; only that one value per item is
-    joined back, so the wide item rows (with their store maps) are shuffled
-    once, not three times. Items without a parsable code never enter the
-    prefix join (their null prefixes would all hash to one partition); they
-    are unioned back unchanged.
+    reduced to the best fill per key; that small frame is joined once to all
+    items. ``items`` is read three times: pass a staged frame.
     """
     lv = codes.prefix_levels(F.col("b"))
     known = (items.where((F.col("p") > 0) & (F.col("b") != ""))
              .select("branch", "p", F.explode(lv).alias("e"))
              .groupBy("branch", F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre"))
              .agg(F.max("p").alias("fill")))
-    cols = items.columns
-    need_mask = (F.col("p") == 0) & (F.col("b") != "") & (F.size(lv) > 0)
-    need = items.where(need_mask)
-    rest = items.where(~need_mask | need_mask.isNull())
-    slim = need.select("branch", "key", F.explode(lv).alias("e")).select(
-        "branch", "key", F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre"))
+    slim = (items.where((F.col("p") == 0) & (F.col("b") != ""))
+            .select("branch", "key", F.explode(lv).alias("e"))
+            .select("branch", "key", F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre")))
     best = slim.join(known, ["branch", "lvl", "pre"]).groupBy("branch", "key").agg(
         F.min_by("fill", "lvl").alias("fill"))
-    filled = need.join(best, ["branch", "key"], "left").withColumn(
-        "p", F.coalesce(F.col("fill"), F.col("p"))).select(*cols)
-    return rest.unionByName(filled)
+    # a key is in ``best`` only if its cost is zero
+    return items.join(best, ["branch", "key"], "left").withColumn(
+        "p", F.coalesce(F.col("fill"), F.col("p"))).select(*items.columns)
 
 
 def apply_price_list(items: DataFrame, price_list: Sequence[tuple[str, str | Decimal]]) -> DataFrame:
@@ -57,24 +48,15 @@ def apply_price_list(items: DataFrame, price_list: Sequence[tuple[str, str | Dec
     sets the cost, over everything else. An empty list changes nothing.
 
     The list is driver-side configuration (a hand-kept list), so it becomes
-    column expressions: a projection in whole-stage codegen, no join and no
-    shuffle. Each chunk of entries is one CASE (its first matching entry's
-    price, else null) and ``coalesce`` over the chunks keeps the first chunk
-    with a match: the first matching entry of the whole list, for a list of
-    any length, while each expression stays small enough to compile.
+    one literal array and a filter over it: a projection, no join and no
+    shuffle, for a list of any length.
     """
     if not price_list:
         return items
-    entries = [(name, Decimal(str(price))) for name, price in price_list]
-    chunks = []
-    for start in range(0, len(entries), PRICE_LIST_CHUNK):
-        expr = None
-        for name, price in entries[start:start + PRICE_LIST_CHUNK]:
-            cond = F.col("n").contains(F.lit(name))
-            val = F.lit(price).cast("decimal(18,2)")
-            expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-        chunks.append(expr)
-    return items.withColumn("p", F.coalesce(*chunks, F.col("p")))
+    entries = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(Decimal(str(price))).cast("decimal(18,2)").alias("price"))
+                        for name, price in price_list])
+    hits = F.filter(entries, lambda e: F.col("n").contains(e["name"]))
+    return items.withColumn("p", F.coalesce(F.get(hits, F.lit(0))["price"], F.col("p")))
 
 
 def revalue_stock(summary: DataFrame, by_dept: DataFrame, items: DataFrame,

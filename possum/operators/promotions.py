@@ -12,7 +12,7 @@ from possum.functions.dates import lookback, month_label
 from possum.functions.filters import discount_live, fact_live
 from possum.functions.money import out
 from possum.functions.text import ustrip
-from possum.operators.base import id_floor, live_stores
+from possum.operators.base import from_month, live_stores
 from possum.rules import Rules
 
 
@@ -22,22 +22,19 @@ def promotion_redemptions(bundle: Bundle, rules: Rules, as_of: datetime) -> Data
     Chain: discount line -> discount header -> sale line -> transaction ->
     store -> promotion. Store and promotion are small dimensions; the three
     fact joins are hash joins that AQE may turn into broadcasts at runtime.
-    Sale lines and discount lines carry no date: id floors taken from the
-    window's transactions (then from their lines) skip older history at the
-    scan.
+    Sale lines stored with their sale month skip older history at the scan.
     """
     ted = bundle["tentry_discount"].where(discount_live(F.col("Status"))).select(
         "branch", "TDiscountID", "TransactionEntryID", "QtyInSale", "DiscAmount")
     td = bundle["transaction_discounts"].where(discount_live(F.col("Status"))).select(
         "branch", "TDiscountID", "PromotionID")
-    te = bundle["transaction_entry"].where(fact_live(F.col("Status"))).select(
+    since = lookback(as_of, rules.promotion_months, "MONTH")
+    te = from_month(bundle["transaction_entry"], since).where(fact_live(F.col("Status"))).select(
         "branch", "TransactionEntryID", "TransactionID")
-    t = bundle["pos_transaction"].where(
-        fact_live(F.col("Status")) & (F.col("SaleTime") >= lookback(as_of, rules.promotion_months, "MONTH"))
+    t = from_month(bundle["pos_transaction"], since).where(
+        fact_live(F.col("Status")) & (F.col("SaleTime") >= since)
     ).select("branch", "TransactionID", "StoreID", month_label(F.col("SaleTime")).alias("ym"))
     p = bundle["promotion"].select("branch", F.col("ID").alias("PromotionID"), "Description")
-    te = id_floor(te, "TransactionID", t, bundle)
-    ted = id_floor(ted, "TransactionEntryID", te, bundle)
     j = (ted.join(td, ["branch", "TDiscountID"])
          .join(te, ["branch", "TransactionEntryID"])
          .join(t, ["branch", "TransactionID"])

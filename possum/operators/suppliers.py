@@ -11,7 +11,6 @@ from possum.bundle import Bundle
 from possum.functions.dates import day_label, lookback, month_label
 from possum.functions.filters import doc_live
 from possum.functions.money import dec, out
-from possum.operators.base import id_floor
 from possum.rules import Rules
 
 
@@ -28,13 +27,13 @@ def _documents(bundle: Bundle, rules: Rules, since: Column) -> DataFrame:
 
     Lines are reduced per document id before the join (partial aggregate),
     so the join sees one row per document on both sides, and both sides
-    are hash-partitioned on the same key. Lines carry no date: an id floor
-    from the window's documents skips older lines at the scan.
+    are hash-partitioned on the same key. Lines carry no date, so all of
+    them are read once.
     """
     sd = bundle["suppliers_docs"].where(
         doc_live(F.col("Status")) & ~F.col("Type").isin(*rules.excluded_doc_types)
         & F.col("DocStatus").isin(*rules.doc_states) & (F.col("DateT") >= since))
-    entries = id_floor(bundle["suppliers_docs_entry"].where(doc_live(F.col("Status"))), "ID", sd, bundle)
+    entries = bundle["suppliers_docs_entry"].where(doc_live(F.col("Status")))
     lines = entries.groupBy("branch", "ID").agg(
         F.count(F.lit(1)).alias("LineCount"), F.sum("Qty").alias("LineQty"),
         F.sum(F.coalesce(F.col("ExtPrice"), F.col("Cost") * F.col("Qty"))).alias("LineAmount"))

@@ -8,9 +8,11 @@ and read back both for their own folders and for D23.
 from __future__ import annotations
 
 import os
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from possum.bundle import Bundle
@@ -82,25 +84,43 @@ ORDER = {
 DROP = {"promos": ("key", "promo_total")}
 
 
-def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
-    """D26 manifest: today, synced and the dataset folders (one row)."""
+def manifest(bundle: Bundle, as_of: datetime, names: list[str], run_dir: str) -> DataFrame:
+    """D26 manifest: today, synced, the datasets and the folder that holds them (one row)."""
     return bundle.spark.createDataFrame(
-        [(as_of.strftime("%Y-%m-%d"), as_of.strftime("%d/%m/%Y %H:%M"), names)],
-        "today string, synced string, datasets array<string>")
+        [(as_of.strftime("%Y-%m-%d"), as_of.strftime("%d/%m/%Y %H:%M"), names, run_dir)],
+        "today string, synced string, datasets array<string>, folder string")
+
+
+def published(spark: SparkSession, out_dir: str, fmt: str = "json") -> str:
+    """The folder of the run that ``out_dir``'s manifest names, or ``out_dir``
+    itself when no run has been published there."""
+    try:
+        row = spark.read.format(fmt).load(os.path.join(out_dir, "_manifest")).select("folder").first()
+    except AnalysisException:
+        return out_dir
+    return row.folder
 
 
 def run_daily_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
-                  feed_path: str | None = None, fmt: str = "json",
-                  run_id: str = "daily_job") -> dict[str, str]:
-    stage = Stage(bundle.spark, run_id)
+                  feed_path: str | None = None, fmt: str = "json") -> dict[str, str]:
+    """Build and write every dataset into a folder of this run, then publish it.
+
+    Everything is written under ``out_dir/run-<id>`` first; the manifest, written
+    last, names that folder, so readers that go by the manifest see the old run
+    or the new one, never a mix. Earlier runs' folders stay until removed.
+    Returns dataset -> folder.
+    """
+    stage = Stage(bundle.spark, "daily_job")
+    run_dir = os.path.join(out_dir, f"run-{uuid.uuid4().hex}")
     paths = {}
     datasets = build_daily(bundle, rules, as_of, feed_path, stage)
     for name, df in datasets.items():
-        path = os.path.join(out_dir, name)
+        path = os.path.join(run_dir, name)
         if name in DAY_KEYED:
             write_ordered(bundle, with_month(df), path, ORDER.get(name, ()), fmt, partition_by=[MONTH])
         else:
             write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, drop=DROP.get(name, ()))
         paths[name] = path
-    write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
+    write_dataset(manifest(bundle, as_of, sorted(paths), run_dir), os.path.join(out_dir, "_manifest"), fmt=fmt)
+    stage.drop()
     return paths

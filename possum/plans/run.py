@@ -111,7 +111,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if a.job == "refresh":
         feeds = dict(c.split("=", 1) for c in a.changes)
         q = start_refresh(spark, feeds, lambda: load_bundle(spark, config, a.canonical, a.tables), rules,
-                          a.out, a.stream_checkpoint)
+                          a.out, a.stream_checkpoint, fmt=a.format)
         q.awaitTermination()
         return {"refresh": a.out}
     return run_daily_job(bundle, rules, as_of, a.out, feed_path=a.feed, fmt=a.format)

@@ -69,14 +69,14 @@ def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
 
 
 def run_stock_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
-                  price_list: Sequence[tuple[str, str]] = (), fmt: str = "json",
-                  run_id: str = "stock_job") -> dict[str, str]:
+                  price_list: Sequence[tuple[str, str]] = (), fmt: str = "json") -> dict[str, str]:
     """Build and write every dataset; returns dataset -> folder."""
-    stage = Stage(bundle.spark, run_id)
+    stage = Stage(bundle.spark, "stock_job")
     paths = {}
     for name, df in build_stock(bundle, rules, as_of, price_list, stage).items():
         path = os.path.join(out_dir, name)
         write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, drop=DROP.get(name, ()))
         paths[name] = path
     write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
+    stage.drop()
     return paths

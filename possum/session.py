@@ -47,10 +47,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Raises when it is unset: a machine-local folder would not survive the
-    loss of an executor, so the library never invents one.
+    On a cluster it must be set: a machine-local folder would not survive the
+    loss of an executor. A local session that names none gets one of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
+        path = tempfile.mkdtemp(prefix="possum-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", path)
     return path

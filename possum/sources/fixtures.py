@@ -19,8 +19,7 @@ FROM nation
 """
 
 VIEWS["department"] = """
-SELECT CAST(row_number() OVER (ORDER BY p_type) AS INT) AS DepartmentID, p_type AS Name
-FROM (SELECT DISTINCT p_type FROM part) x
+SELECT CAST(MIN(p_partkey) AS INT) AS DepartmentID, p_type AS Name FROM part GROUP BY p_type
 """
 
 VIEWS["item_main"] = """
@@ -35,15 +34,20 @@ FROM part p JOIN department d ON d.Name = p.p_type
 """
 
 VIEWS["item_group"] = """
-SELECT CAST(row_number() OVER (ORDER BY n) AS INT) AS ItemGroupID, n AS ItemGroupName,
-       CASE WHEN n = 'Brand#7' THEN 0 ELSE 1 END AS Status
-FROM (SELECT DISTINCT p_brand AS n FROM part UNION SELECT DISTINCT p_type FROM part) x
+SELECT CAST(2 * MIN(p_partkey) AS INT) AS ItemGroupID, p_brand AS ItemGroupName,
+       CASE WHEN p_brand = 'Brand#7' THEN 0 ELSE 1 END AS Status
+FROM part GROUP BY p_brand
+UNION ALL
+SELECT CAST(2 * MIN(p_partkey) + 1 AS INT), p_type, 1 FROM part GROUP BY p_type
 """
 
 VIEWS["item_to_group"] = """
 SELECT p.p_partkey AS ItemID, g.ItemGroupID, CASE WHEN g.ItemGroupName = p.p_brand AND p.p_partkey % 3 > 0 THEN 1 ELSE 0 END AS IsMainGroup,
        CASE WHEN p.p_partkey % 31 = 0 THEN 0 ELSE 1 END AS Status
-FROM part p JOIN item_group g ON g.ItemGroupName = p.p_brand OR g.ItemGroupName = p.p_type
+FROM part p JOIN item_group g ON g.ItemGroupName = p.p_brand
+UNION ALL
+SELECT p.p_partkey, g.ItemGroupID, 0, CASE WHEN p.p_partkey % 31 = 0 THEN 0 ELSE 1 END
+FROM part p JOIN item_group g ON g.ItemGroupName = p.p_type
 """
 
 VIEWS["item_store"] = """
@@ -66,14 +70,14 @@ SELECT o_orderkey AS TransactionID, c_nationkey AS StoreID,
        o_orderdate + INTERVAL '1' HOUR * (o_orderkey % 24) + INTERVAL '1' MINUTE * (o_orderkey % 60) AS SaleTime,
        CAST(o_totalprice AS DECIMAL(18,2)) AS Total,
        CASE WHEN o_orderkey % 50 = 0 THEN 14 WHEN o_orderkey % 50 = 1 THEN 21 ELSE 1 END AS TransactionType,
-       CASE WHEN o_custkey % 41 = 0 THEN NULL ELSE o_custkey % 40 END AS SellerID,
+       CASE WHEN o_custkey % 41 = 0 THEN NULL ELSE o_custkey END AS SellerID,
        CASE WHEN o_orderstatus = 'P' AND o_orderkey % 7 = 0 THEN -1 ELSE 1 END AS Status
 FROM orders JOIN customer ON c_custkey = o_custkey
 """
 
 VIEWS["transaction_entry"] = """
-SELECT l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey
-         ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS TransactionEntryID,
+SELECT l_orderkey * 10000000000000 + l_linenumber * 1000000000000 + (l_partkey % 100000) * 10000000
+         + CAST(round(l_extendedprice * 100) AS BIGINT) % 10000000 AS TransactionEntryID,
        l_orderkey AS TransactionID, l_partkey * 100 + s_nationkey AS ItemStoreID, m.DepartmentID1 AS DepartmentID,
        CAST(l_quantity AS DECIMAL(18,1)) AS Qty,
        CAST(CASE WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(18,2)) AS Total,
@@ -100,11 +104,11 @@ SELECT c_custkey AS UserId, CAST(c_custkey AS STRING) AS UserNo, c_name AS UserN
        CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE substr(c_name, 10) END AS UserLName,
        CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS IsSuperAdmin, CASE WHEN c_custkey % 11 = 0 THEN 0 ELSE 1 END AS IsUser,
        CASE WHEN c_custkey % 8 = 0 THEN 0 ELSE 1 END AS Status
-FROM customer WHERE c_custkey < 40
+FROM customer
 """
 
 VIEWS["user_store"] = """
-SELECT DISTINCT o_custkey % 40 AS UserID, c_nationkey AS StoreID FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_custkey % 5 > 0
+SELECT DISTINCT o_custkey AS UserID, c_nationkey AS StoreID FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_custkey % 5 > 0
 """
 
 VIEWS["suppliers_docs"] = """
@@ -147,7 +151,7 @@ VIEWS["punches"] = """
 SELECT user_id AS UserID, CAST(ts AS DATE) AS PreDate, CAST(user_id % 25 AS INT) AS StoreID, rn,
        CASE WHEN event_type = 'signup' THEN NULL ELSE ts END AS Login,
        CASE WHEN event_type = 'error' THEN NULL ELSE ts + INTERVAL '1' MINUTE * CAST(floor(value) AS INT) END AS Logout
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn FROM events) x WHERE rn <= 6
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS rn FROM events) x
 """
 
 VIEWS["ledger_monthly"] = """
@@ -163,14 +167,15 @@ FROM events WHERE event_type = 'purchase' GROUP BY 1
 """
 
 VIEWS["presence_view"] = """
-SELECT UserID, concat('user ', CAST(UserID AS STRING), ' ') AS Name, CAST(UserID AS STRING) AS UserNo, StoreID, PreDate,
+SELECT UserID, concat('user ', CAST(UserID AS STRING), ' ') AS Name, CAST(UserID AS STRING) AS UserNo, StoreID, PreDate, part,
        MAX(CASE WHEN rn = 1 THEN Login END) AS Login1, MAX(CASE WHEN rn = 1 THEN Logout END) AS Logout1,
        MAX(CASE WHEN rn = 2 THEN Login END) AS Login2, MAX(CASE WHEN rn = 2 THEN Logout END) AS Logout2,
        MAX(CASE WHEN rn = 3 THEN Login END) AS Login3, MAX(CASE WHEN rn = 3 THEN Logout END) AS Logout3,
        MAX(CASE WHEN rn = 4 THEN Login END) AS Login4, MAX(CASE WHEN rn = 4 THEN Logout END) AS Logout4,
        MAX(CASE WHEN rn = 5 THEN Login END) AS Login5, MAX(CASE WHEN rn = 5 THEN Logout END) AS Logout5,
        MAX(CASE WHEN rn = 6 THEN Login END) AS Login6, MAX(CASE WHEN rn = 6 THEN Logout END) AS Logout6
-FROM punches GROUP BY UserID, StoreID, PreDate
+FROM (SELECT UserID, StoreID, PreDate, Login, Logout, CAST((rn - 1) % 6 + 1 AS INT) AS rn, CAST(floor((rn - 1) / 6) AS INT) AS part FROM punches) y
+GROUP BY UserID, StoreID, PreDate, part
 """
 
 VIEWS["ledger_invoices"] = """

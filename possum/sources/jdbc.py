@@ -8,9 +8,12 @@ dimensions are read in one query.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,17 +35,17 @@ SOURCE_TABLES: dict[str, tuple[str, str | None]] = {
     "transaction_entry": ("TransactionEntry", "TransactionEntryID"),
     "tender": ("Tender", None),
     "tender_entry": ("TenderEntry", "TransactionID"),
-    "users": ("Users", None),
-    "user_store": ("UserStore", None),
+    "users": ("Users", "UserId"),
+    "user_store": ("UserStore", "UserID"),
     "suppliers_docs": ("SuppliersDocs", "ID"),
     "suppliers_docs_entry": ("SuppliersDocsEntry", "ID"),
     "supplier_dim": ("Supplier", None),
     "promotion": ("Promotion", None),
     "transaction_discounts": ("TransactionDiscounts", "TDiscountID"),
     "tentry_discount": ("TEntryDiscount", "TransactionEntryID"),
-    "presence_view": ("PresenceView", None),
+    "presence_view": ("PresenceView", "UserID"),
     "ledger_monthly": ("RivhitMonthly", None),
-    "ledger_invoices": ("RivhitInvoices", None),
+    "ledger_invoices": ("RivhitInvoices", "HenNum"),
 }
 
 
@@ -69,7 +72,9 @@ def jdbc_options(src: JdbcBranch, table: str, partition_column: str | None = Non
                  lower: int | None = None, upper: int | None = None,
                  num_partitions: int | None = None) -> dict[str, str]:
     opts = {"url": src.url, "dbtable": table, "driver": src.driver,
-            "fetchsize": str(src.fetchsize), "queryTimeout": str(src.query_timeout_s)}
+            "fetchsize": str(src.fetchsize), "queryTimeout": str(src.query_timeout_s),
+            # source times have no zone: read as they are, no shift by the JVM's zone
+            "preferTimestampNTZ": "true"}
     if src.user is not None:
         opts["user"] = src.user
     if src.password is not None:
@@ -103,16 +108,27 @@ def read_table(spark: SparkSession, src: JdbcBranch, canonical: str,
     else:
         opts = jdbc_options(src, table)
     df = reader.options(**opts).load()
-    cols = schemas.schema(canonical)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cols.fields])
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    # no cast where the types agree: a bound on a bare column reaches the database
+    return df.select(*[F.col(f.name).alias(f.name) if kinds.get(f.name.lower()) == f.dataType
+                       else F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.schema(canonical).fields])
+
+
+def read_optional(spark: SparkSession, src: JdbcBranch, canonical: str, num_partitions: int) -> DataFrame:
+    """The table, or an empty frame with a warning when it is missing or can't be opened."""
+    try:
+        return read_table(spark, src, canonical, num_partitions)
+    except (PySparkException, Py4JJavaError) as e:
+        warnings.warn(f"{src.name}: optional table {canonical} is taken as empty: {str(e).splitlines()[0]}", stacklevel=2)
+        return empty(spark, canonical)
 
 
 def read_branch(spark: SparkSession, src: JdbcBranch, num_partitions: int = 64,
                 missing: tuple[str, ...] = ()) -> Bundle:
     """All canonical tables of one branch, tagged with its name.
 
-    ``missing`` names optional tables the branch does not have (S2); they
-    become empty frames of the declared schema.
+    Optional tables that are missing or can't be opened are empty frames of the
+    declared schema (S2); ``missing`` names some that aren't even tried.
     """
     tables: dict[str, DataFrame] = {}
     for canonical in SOURCE_TABLES:
@@ -121,7 +137,8 @@ def read_branch(spark: SparkSession, src: JdbcBranch, num_partitions: int = 64,
                 raise ValueError(f"{canonical} is required")
             df = empty(spark, canonical)
         else:
-            df = read_table(spark, src, canonical, num_partitions)
+            read = read_optional if canonical in schemas.OPTIONAL else read_table
+            df = read(spark, src, canonical, num_partitions)
         tables[canonical] = df.withColumn("branch", F.lit(src.name))
     tables["store"] = tables["store"].withColumn("StoreNameOrig", F.col("StoreName"))
     return Bundle(tables, (Branch(src.name),))

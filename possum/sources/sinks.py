@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -39,14 +40,15 @@ def sink_order(spec: Sequence[str]) -> list[Column]:
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "json",
                   partition_by: Sequence[str] = (), mode: str = "overwrite",
-                  order_by: Sequence[Column] = (), drop: Sequence[str] = ()) -> None:
+                  order_by: Sequence[Column] = (), drop: Sequence[str] = (), dynamic: bool = False) -> None:
     """Write one dataset folder.
 
     JSON keeps nulls and renders timestamps as ``yyyy-MM-dd HH:mm``. With
     ``partition_by``, rows are first rebalanced on those columns (one file
-    per folder unless a folder is too big for one task) and overwrite is
-    dynamic: only the partitions present in ``df`` are replaced, so a run
-    that recomputes some months leaves the others in place. Use coarse
+    per folder unless a folder is too big for one task). A full run replaces
+    the whole dataset, months that have vanished included; with ``dynamic``
+    only the partitions present in ``df`` are replaced, for a run that
+    recomputes some months and leaves the others in place. Use coarse
     partition columns (a month, not a day) for small aggregated datasets.
 
     ``order_by`` sorts at the sink only: a global sort (range partitions, so
@@ -65,7 +67,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "json",
         df = df.orderBy(*order_by)
     if drop:
         df = df.drop(*drop)
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "json":
@@ -75,26 +77,40 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "json",
         w.format(fmt).save(path)
 
 
+def row_key(key: Column, salt: Column) -> Column:
+    """The key of the rows that carry ``salt``."""
+    return F.unhex(F.sha2(F.concat(key, salt), 256))
+
+
 def seal(df: DataFrame, key: Column, payload: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Per-row sealed payload.
 
     ``key`` is a 32-byte binary column, best ``key_frame.select("key").scalar()``
     (a scalar subquery: the key is not in the plan and no join is needed).
-    Out: ``keep`` columns + v, iv, ct; ``ct`` is ciphertext followed by the
-    16-byte tag, the layout browsers' Web Crypto expects. The IV is random
+    Out: ``keep`` columns + v, salt, iv, ct; ``ct`` is ciphertext followed by
+    the 16-byte tag, the layout browsers' Web Crypto expects. The IV is random
     per row, so equal payloads give different envelopes.
+
+    Rows are not sealed under ``key`` itself but under the SHA-256 of key and
+    salt. The salt is 16 bytes of this call and two random bytes of the row:
+    random IVs stay far from the 2**32 rows one key may seal, each call has keys
+    of its own, and the envelope says which.
     """
+    call = F.lit(uuid.uuid4().bytes)
     # The IV is its own column, drawn from uuid() (non-deterministic, so the
     # optimizer never copies it into two expressions); the cipher call is
     # then used once.
-    with_iv = df.withColumn("_iv", F.unhex(F.substring(F.sha2(F.expr("uuid()"), 256), 1, 2 * GCM_IV_BYTES)))
-    blob = F.aes_encrypt(F.to_json(F.struct(*payload)), key, F.lit("GCM"), F.lit("DEFAULT"), F.col("_iv"))
-    return with_iv.select(*keep, F.lit(1).alias("v"), F.base64("_iv").alias("iv"),
+    drawn = df.withColumn("_r", F.unhex(F.sha2(F.expr("uuid()"), 256)))
+    with_iv = drawn.withColumn("_iv", F.substring("_r", 1, GCM_IV_BYTES)).withColumn(
+        "_salt", F.concat(call, F.substring("_r", GCM_IV_BYTES + 1, 2)))
+    blob = F.aes_encrypt(F.to_json(F.struct(*payload)), row_key(key, F.col("_salt")), F.lit("GCM"), F.lit("DEFAULT"),
+                         F.col("_iv"))
+    return with_iv.select(*keep, F.lit(1).alias("v"), F.base64("_salt").alias("salt"), F.base64("_iv").alias("iv"),
                           F.base64(F.substring(blob, GCM_IV_BYTES + 1, 1 << 30)).alias("ct"))
 
 
 def unseal(sealed: DataFrame, key: Column, schema: StructType | str, keep: Sequence[str] = ()) -> DataFrame:
-    """Inverse of :func:`seal`: the payload columns back from iv + ct."""
+    """Inverse of :func:`seal`: the payload columns back from salt, iv and ct."""
     blob = F.concat(F.unbase64("iv"), F.unbase64("ct"))
-    text = F.aes_decrypt(blob, key, F.lit("GCM")).cast("string")
+    text = F.aes_decrypt(blob, row_key(key, F.unbase64("salt")), F.lit("GCM")).cast("string")
     return sealed.select(*keep, F.from_json(text, schema).alias("_p")).select(*keep, "_p.*")

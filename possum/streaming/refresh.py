@@ -22,7 +22,7 @@ executor leaves the same output.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +33,8 @@ from possum import schemas
 from possum.bundle import Bundle
 from possum.functions.dates import month_label
 from possum.operators import assemble, payments, sales
-from possum.plans.common import Stage, write_ordered
-from possum.plans.daily_job import MONTH, ORDER, with_month
+from possum.plans.common import Stage, remove_folder, write_ordered
+from possum.plans.daily_job import MONTH, ORDER, published, with_month
 from possum.rules import Rules
 
 DAY_DATASETS: dict[str, Callable[[Bundle, Rules], DataFrame]] = {
@@ -50,60 +50,89 @@ DAY_DATASETS: dict[str, Callable[[Bundle, Rules], DataFrame]] = {
 CHANGE_TABLES = ("pos_transaction", "transaction_entry", "tender_entry")
 
 
-def touched_months(changes: DataFrame, bundle: Bundle) -> DataFrame:
-    """Distinct sale months (``SaleMonth``) touched by a batch of changes.
+def touched_months(changes: DataFrame, bundle: Bundle) -> list[str]:
+    """Sale months touched by a batch of changes, a short list on the driver.
 
-    ``changes`` has TransactionID and SaleTime; SaleTime is null for changed
-    lines (sale or tender lines carry no date), whose months come from their
-    transactions through a semi-join on the batch's ids.
+    ``changes`` has branch, TransactionID, SaleTime and SaleTimeBefore. A moved
+    transaction touches the month it came from (its before image) as well as
+    the month it is in. SaleTime is null for changed lines (sale or tender
+    lines carry no date), whose months come from their transactions, matched
+    by branch and id (ids are per branch; a change without branch matches any).
     """
-    dated = changes.where(F.col("SaleTime").isNotNull()).select(
-        month_label(F.col("SaleTime")).alias(MONTH))
-    ids = changes.where(F.col("SaleTime").isNull()).select("TransactionID")
+    dated = changes.select(F.explode(F.array("SaleTime", "SaleTimeBefore")).alias("t")).where("t IS NOT NULL")
+    ids = changes.where(F.col("SaleTime").isNull()).select(F.col("branch").alias("b"), F.col("TransactionID").alias("id"))
     t = bundle["pos_transaction"]
-    undated = t.join(ids, "TransactionID", "left_semi").select(month_label(F.col("SaleTime")).alias(MONTH))
-    return dated.unionByName(undated).distinct()
+    same = (t["TransactionID"] == F.col("id")) & (F.col("b").isNull() | (t["branch"] == F.col("b")))
+    undated = t.join(ids, same, "left_semi").select(F.col("SaleTime").alias("t"))
+    months = dated.unionByName(undated).select(month_label(F.col("t")).alias(MONTH)).distinct()
+    return sorted(r[0] for r in months.where(F.col(MONTH).isNotNull()).toLocalIterator())
 
 
-def restrict_to_months(bundle: Bundle, months: DataFrame) -> Bundle:
-    """The bundle with transactions limited to ``months`` (a left-semi join on
-    the sale month; with a month-partitioned transaction table Spark prunes
-    the other months' files at runtime)."""
+def restrict_to_months(bundle: Bundle, months: Sequence[str]) -> Bundle:
+    """The bundle with its transactions limited to ``months``.
+
+    The bounds on SaleTime reach the scan. Facts stored with their sale month
+    (:mod:`possum.sources.months`) are limited on that partition column, so the
+    other months' folders are not listed.
+    """
+    months = sorted(months)
     t = bundle["pos_transaction"]
-    keep = t.join(months, month_label(t["SaleTime"]) == months[MONTH], "left_semi")
-    return bundle.with_tables(pos_transaction=keep)
+    if not months:
+        return bundle.with_tables(pos_transaction=t.where(F.lit(False)))
+    first, last = (F.to_timestamp_ntz(F.lit(f"{m}-01"), F.lit("yyyy-MM-dd")) for m in (months[0], months[-1]))
+    t = t.where((F.col("SaleTime") >= first) & (F.col("SaleTime") < last + F.expr("INTERVAL 1 MONTH"))
+                & month_label(F.col("SaleTime")).isin(*months))
+    tables = {"pos_transaction": t, **{n: bundle[n] for n in CHANGE_TABLES[1:]}}
+    return bundle.with_tables(**{n: df.where(F.col(MONTH).isin(*months)) if MONTH in df.columns else df
+                                 for n, df in tables.items()})
 
 
-def refresh_months(bundle: Bundle, rules: Rules, months: DataFrame, out_dir: str, fmt: str = "json") -> None:
+def refresh_months(bundle: Bundle, rules: Rules, months: Sequence[str], out_dir: str, fmt: str = "json") -> None:
     """Recompute the day-keyed datasets (and the date document) for ``months``
-    and overwrite only their partitions under ``out_dir/<dataset>/SaleMonth=...``."""
+    and replace their partitions ``<dataset>/SaleMonth=...`` of the published
+    run. A month that has no rows any more loses its folder."""
+    if not months:
+        return
+    spark = bundle.spark
+    folder = published(spark, out_dir, fmt)
     scoped = restrict_to_months(bundle, months)
-    stage = Stage(bundle.spark, "refresh")
+    stage = Stage(spark, "refresh")
     built = {name: stage.put(name, build(scoped, rules)) for name, build in DAY_DATASETS.items()}
     built["daily"] = sales.daily_from_stores(built["stores"])
     built["by_date"] = assemble.day_documents(built["stores"], built["depts"], built["sellers"],
                                               built["payments"])
     for name, df in built.items():
-        write_ordered(bundle, with_month(df), os.path.join(out_dir, name), ORDER.get(name, ()), fmt,
-                      partition_by=[MONTH])
+        df = with_month(df)
+        path = os.path.join(folder, name)
+        write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, partition_by=[MONTH], dynamic=True)
+        left = {r[0] for r in df.select(MONTH).distinct().toLocalIterator()}
+        for month in set(months) - left:
+            remove_folder(spark, os.path.join(path, f"{MONTH}={month}"))
+    stage.drop()
 
 
 def change_stream(spark: SparkSession, changes: Mapping[str, str]) -> DataFrame:
-    """One stream of (TransactionID, SaleTime) over the change feeds, given
-    as table -> folder of Parquet files with that table's schema."""
+    """One stream of (branch, TransactionID, SaleTime, SaleTimeBefore) over the
+    change feeds, given as table -> folder of Parquet files with that table's
+    schema. A feed may also carry ``branch``, and a transaction feed
+    ``SaleTimeBefore``, the time before the change; without them they are null."""
     streams = []
     for table, path in changes.items():
         if table not in CHANGE_TABLES:
             raise ValueError(f"{table} is not followed incrementally; run the full daily job")
-        s = spark.readStream.schema(schemas.schema(table)).parquet(path)
-        ts = F.col("SaleTime") if table == "pos_transaction" else F.lit(None).cast("timestamp_ntz")
-        streams.append(s.select("TransactionID", ts.alias("SaleTime")))
+        none = F.lit(None).cast("timestamp_ntz")
+        schema = schemas.schema(table).add("branch", "string")
+        if table == "pos_transaction":
+            schema = schema.add("SaleTimeBefore", "timestamp_ntz")
+        s = spark.readStream.schema(schema).parquet(path)
+        ts, before = (F.col("SaleTime"), F.col("SaleTimeBefore")) if table == "pos_transaction" else (none, none)
+        streams.append(s.select("branch", "TransactionID", ts.alias("SaleTime"), before.alias("SaleTimeBefore")))
     return reduce(lambda a, b: a.unionByName(b), streams)
 
 
 def start_refresh(spark: SparkSession, changes: str | Mapping[str, str], load_bundle: Callable[[], Bundle],
                   rules: Rules, out_dir: str, checkpoint_location: str,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True, fmt: str = "json") -> StreamingQuery:
     """Start the refresh stream over the change feeds.
 
     ``changes`` is a folder of changed transactions, or a mapping of the
@@ -117,7 +146,9 @@ def start_refresh(spark: SparkSession, changes: str | Mapping[str, str], load_bu
 
     def batch(batch_changes: DataFrame, _epoch: int) -> None:
         bundle = load_bundle()
-        refresh_months(bundle, rules, touched_months(batch_changes, bundle), out_dir)
+        batch_changes = batch_changes.persist()
+        refresh_months(bundle, rules, touched_months(batch_changes, bundle), out_dir, fmt)
+        batch_changes.unpersist()
 
     writer = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 minutes")

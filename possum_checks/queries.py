@@ -11,9 +11,11 @@ use staged Parquet).
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from possum_checks.params import AS_OF, AS_OF_PEOPLE, LABEL_B, PRICE_LIST, RULES
@@ -21,7 +23,14 @@ from possum.bundle import Bundle
 from possum.functions.money import out
 from possum.operators import (assemble, attendance, branches, ledger, payments, people, pricing,
                               promotions, sales, stock, suppliers)
+from possum.operators.base import stock_base
+from possum.plans.common import Stage, write_ordered
+from possum.plans.daily_job import ORDER, published, run_daily_job
 from possum.sources.adapters import fixture_bundle, split_branches
+from possum.sources.feed import read_feed
+from possum.sources.optional import optional_table
+from possum.sources.parquet import write_bundle
+from possum.sources.sinks import seal, unseal
 
 
 def catalogue(b: Bundle) -> DataFrame:
@@ -29,7 +38,8 @@ def catalogue(b: Bundle) -> DataFrame:
 
 
 def imputed(b: Bundle) -> DataFrame:
-    return pricing.impute_cost(catalogue(b))
+    # read three times: staged in the shared folder, as the stock job does
+    return pricing.impute_cost(Stage(b.spark, "catalogue").put("items", catalogue(b)))
 
 
 def priced(b: Bundle) -> DataFrame:
@@ -42,8 +52,12 @@ def items_flat(items: DataFrame) -> DataFrame:
 
 
 def revalued(b: Bundle) -> tuple[DataFrame, DataFrame]:
-    return pricing.revalue_stock(stock.stock_summary(b, RULES), stock.stock_by_department(b, RULES),
-                                 priced(b), RULES)
+    stage = Stage(b.spark, "revalue")
+    base = stage.put("stock_base", stock_base(b, RULES))
+    items = stage.put("catalogue", stock.item_catalogue(stock.stock_lines(b, RULES, base=base)))
+    items = pricing.apply_price_list(pricing.impute_cost(items), PRICE_LIST)
+    return pricing.revalue_stock(stock.stock_summary(b, RULES, base=base),
+                                 stock.stock_by_department(b, RULES, base=base), items, RULES)
 
 
 def stock_lines_out(b: Bundle) -> DataFrame:
@@ -66,7 +80,7 @@ def merged_sellers(parts: Parts) -> DataFrame:
         df = sales.sales_by_seller_day(bundle, RULES).withColumn("rank", F.lit(rank))
         per_branch = df if per_branch is None else per_branch.unionByName(df)
     m = branches.merge_sum(per_branch, ["SaleDate", "SellerName"], ["TotalSales", "Transactions"], ["rank"])
-    return m.select("SaleDate", "SellerName", F.round("TotalSales", 2).alias("TotalSales"), "Transactions")
+    return sales.amounts_out(m.select("SaleDate", "SellerName", "TotalSales", "Transactions"))
 
 
 def deduped_users(parts: Parts) -> DataFrame:
@@ -75,7 +89,11 @@ def deduped_users(parts: Parts) -> DataFrame:
 
 
 def branch_sales(parts: Parts) -> DataFrame:
-    return sales.sales_by_store_day(branches.union_branches(parts), RULES)
+    return sales.amounts_out(sales.sales_by_store_day(branches.union_branches(parts), RULES))
+
+
+def branch_monthly_sales(parts: Parts) -> DataFrame:
+    return sales.monthly_sales(branches.union_branches(parts), RULES, AS_OF)
 
 
 def day_docs(b: Bundle) -> DataFrame:
@@ -83,6 +101,84 @@ def day_docs(b: Bundle) -> DataFrame:
                                   sales.sales_by_seller_day(b, RULES), payments.payments_by_day(b, RULES))
 
 
+def out_folder(b: Bundle, name: str) -> str:
+    return Stage(b.spark, name).root
+
+
+# datasets of the daily bundle that are counted after reading them back: amount column
+BUNDLE_AMOUNTS = {"daily": "TotalSales", "stores": "TotalSales", "depts": "TotalSales", "sellers": "TotalSales",
+                  "payments": "TotalAmount", "ledger_monthly": "Total", "ledger_invoices": "TtlMam",
+                  "sup_monthly": "TotalAmount", "sup_docs": "TotalAmount", "hours_by_store": "TotalSales",
+                  "today_total": "TodayTotal"}
+
+
+def daily_bundle(b: Bundle) -> DataFrame:
+    """The whole daily job, read back: rows and amount of each written dataset."""
+    out_dir = out_folder(b, "daily-bundle")
+    run_daily_job(b, RULES, AS_OF, out_dir)
+    folder = published(b.spark, out_dir)
+    parts = []
+    for name, amount in BUNDLE_AMOUNTS.items():
+        back = b.spark.read.json(os.path.join(folder, name))
+        parts.append(back.agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n"),
+                              out(F.sum(F.col(amount).cast("decimal(28,2)"))).alias("amount")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def written_order(b: Bundle) -> DataFrame:
+    """O1: the hours dataset written in order and read back with each row's position."""
+    path = os.path.join(out_folder(b, "written-order"), "hours_by_store")
+    write_ordered(b, sales.sales_by_hour(b, RULES, AS_OF), path, ORDER["hours_by_store"], "json")
+    back = b.spark.read.schema("branch string, Hour int, StoreName string, Transactions bigint, TotalSales double").json(path)
+    back = back.select("branch", "Hour", "StoreName", F.col("_metadata.file_name").alias("file"),
+                       F.monotonically_increasing_id().alias("line"))
+    # rows of one branch and hour are few; positions count the rows of earlier hours
+    place = F.row_number().over(Window.partitionBy("branch").orderBy("file", "line"))
+    return back.select("branch", place.cast("bigint").alias("position"), "Hour", "StoreName")
+
+
+def sealed_invoices(b: Bundle) -> DataFrame:
+    """The invoices sealed row by row, written, read back and unsealed."""
+    plain = ledger.ledger_invoices(b["ledger_invoices"])
+    key = b.spark.range(1).select(F.unhex(F.sha2(F.lit("possum check key"), 256)).alias("key")).select("key").scalar()
+    path = os.path.join(out_folder(b, "sealed"), "ledger_invoices")
+    seal(plain, key, [c for c in plain.columns if c != "branch"], keep=["branch"]).write.json(path)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema.fields if f.name != "branch")
+    envelope = "branch string, v int, salt string, iv string, ct string"
+    return unseal(b.spark.read.schema(envelope).json(path), key, kinds, keep=["branch"])
+
+
+def feed_from_json(b: Bundle) -> DataFrame:
+    """The feed written as JSON files of unknown keys, read back and re-keyed."""
+    path = os.path.join(out_folder(b, "feed"), "files")
+    entry = F.to_json(F.struct(F.col("net").cast("string").alias("net"), F.lit(True).alias("closed")))
+    text = F.concat(F.lit('{"sessionOk": false, "days": {'), F.array_join(F.collect_list(
+        F.concat(F.lit('"'), "day_key", F.lit('": '), entry)), ", "), F.lit("}}"))
+    # one file per month of the feed
+    b["net_feed"].groupBy(F.substring("day_key", 4, 7).alias("m")).agg(text.alias("value")).repartition("m") \
+        .write.partitionBy("m").text(path)
+    got = assemble.net_feed_days(read_feed(b.spark, path))
+    return got.select("day", out(F.col("net")).alias("net"), F.col("session_ok"))
+
+
+def optional_presence(b: Bundle) -> DataFrame:
+    """The attendance of a stored bundle, and of one whose presence table is absent (no rows)."""
+    root = out_folder(b, "optional")
+    names = ("store", "presence_view")
+    write_bundle(Bundle({n: b[n] for n in names}, b.branches), os.path.join(root, "full"))
+    write_bundle(Bundle({"store": b["store"]}, b.branches), os.path.join(root, "without"))
+    parts = []
+    for kind in ("full", "without"):
+        tables = {"store": b.spark.read.parquet(os.path.join(root, kind, "store")),
+                  "presence_view": optional_table(b.spark, "presence_view", lambda k=kind: b.spark.read.parquet(
+                      os.path.join(root, k, "presence_view")))}
+        if "branch" not in tables["presence_view"].columns:
+            tables["presence_view"] = tables["presence_view"].withColumn("branch", F.lit("main"))
+        got = attendance.attendance(Bundle(tables, b.branches), RULES, AS_OF_PEOPLE)
+        parts.append(got.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n")))
+    return parts[0].unionByName(parts[1])
+
+
 def net_days(b: Bundle) -> DataFrame:
     return assemble.net_feed_days(b["net_feed"])
 
@@ -102,13 +198,13 @@ ON_BUNDLE: dict[str, Callable[[Bundle], DataFrame]] = {
     "monthly_sales": lambda b: sales.monthly_sales(b, RULES, AS_OF),
     "stock_report": lambda b: stock.flatten_stock_report(stock.stock_report(b, RULES)),
     # daily job
-    "sales_by_store_day": lambda b: sales.sales_by_store_day(b, RULES),
-    "sales_by_department_day": lambda b: sales.sales_by_department_day(b, RULES),
-    "sales_by_seller_day": lambda b: sales.sales_by_seller_day(b, RULES),
-    "sales_daily": lambda b: sales.sales_daily(b, RULES),
+    "sales_by_store_day": lambda b: sales.amounts_out(sales.sales_by_store_day(b, RULES)),
+    "sales_by_department_day": lambda b: sales.amounts_out(sales.sales_by_department_day(b, RULES)),
+    "sales_by_seller_day": lambda b: sales.amounts_out(sales.sales_by_seller_day(b, RULES)),
+    "sales_daily": lambda b: sales.amounts_out(sales.daily_from_stores(sales.sales_by_store_day(b, RULES))),
     "sales_by_hour": lambda b: sales.sales_by_hour(b, RULES, AS_OF),
-    "today_total": lambda b: sales.today_total(sales.sales_by_store_day(b, RULES), AS_OF),
-    "payments_by_day": lambda b: payments.payments_by_day(b, RULES),
+    "today_total": lambda b: sales.amounts_out(sales.today_total_from_sales(b, RULES, AS_OF)),
+    "payments_by_day": lambda b: sales.amounts_out(payments.payments_by_day(b, RULES)),
     "ledger_monthly": lambda b: ledger.ledger_monthly(b["ledger_monthly"]),
     "ledger_invoices": lambda b: ledger.ledger_invoices(b["ledger_invoices"]),
     "supplier_monthly": lambda b: suppliers.supplier_monthly(b, RULES, AS_OF),
@@ -123,11 +219,18 @@ ON_BUNDLE: dict[str, Callable[[Bundle], DataFrame]] = {
     "net_feed_today": lambda b: assemble.net_feed_today(net_days(b), AS_OF_PEOPLE).select(
         "day", out(F.col("net")).alias("net")),
     "user_directory": lambda b: people.user_directory(b, RULES),
+    # written and read back
+    "daily_bundle": daily_bundle,
+    "written_order": written_order,
+    "sealed_invoices": sealed_invoices,
+    "feed_from_json": feed_from_json,
+    "optional_presence": optional_presence,
 }
 
 # datasets over two branches (A: even stores; B: odd stores, labelled)
 ON_PARTS: dict[str, Callable[[Parts], DataFrame]] = {
     "union_branches": branch_sales,
+    "monthly_sales_two_branches": branch_monthly_sales,
     "relabel_branch": relabelled_catalogue,
     "merge_sum": merged_sellers,
     "dedupe_first": deduped_users,

@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from possum_checks.params import AS_OF, PRICE_LIST, RULES
-from possum.operators import branches, payments, sales
+from possum.bundle import Branch
+from possum.operators import branches, payments, promotions, sales, suppliers
 from possum.plans.stock_job import build_stock
 from possum.sources.adapters import split_branches
+from possum.sources.parquet import read_bundle, write_bundle
 
 
 def _rows(df):
@@ -80,3 +82,28 @@ def test_stored_multi_branch_bundle_keeps_every_branch(spark, fixture_bundle):
     bare = people.user_directory(read_bundle(spark, root), RULES)
     assert bare.count() == len(want)
     assert {r.branch for r in bare.collect()} == {"A", "B"}
+
+
+@pytest.mark.parametrize("build", [
+    lambda b: sales.monthly_sales(b, RULES, AS_OF),
+    lambda b: suppliers.supplier_monthly(b, RULES, AS_OF),
+    lambda b: suppliers.supplier_documents(b, RULES, AS_OF),
+    lambda b: promotions.promotion_redemptions(b, RULES, AS_OF),
+    lambda b: promotions.flatten_promotion_matrix(
+        promotions.promotion_matrix(promotions.promotion_redemptions(b, RULES, AS_OF), b, RULES))],
+    ids=["D9", "D17", "D18", "D21", "D22"])
+def test_rows_do_not_depend_on_the_configured_branches(stored_pair, build):
+    spark, root, union = stored_pair
+    want = _rows(build(union))
+    assert want
+    for configured in ((Branch("A"), Branch("B", "Branch B")), (Branch("A"),), (Branch("main"),)):
+        assert _rows(build(read_bundle(spark, root, configured))) == want
+
+
+@pytest.fixture(scope="module")
+def stored_pair(spark, fixture_bundle):
+    import tempfile
+    union = branches.union_branches(split_branches(fixture_bundle, "Branch B"))
+    root = tempfile.mkdtemp(prefix="possum-pair-")
+    write_bundle(union, root)
+    return spark, root, union

@@ -13,7 +13,7 @@ ROWS = {
     "transaction_entry": (6000, 60000),
     "suppliers_docs": (4951, 58785),
     "tentry_discount": (5710, 57059),
-    "presence_view": (397, 4006),
+    "presence_view": (401, 4038),
 }
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from possum_checks.params import AS_OF, PRICE_LIST, RULES
 from possum_checks.queries import QUERIES
-from possum.plans.daily_job import run_daily_job
+from possum.plans.daily_job import published, run_daily_job
 from possum.plans.stock_job import run_stock_job
 from possum.sources.jdbc import JdbcBranch, jdbc_options
 from possum.sources.sinks import seal, unseal
@@ -41,6 +43,41 @@ def test_daily_job_writes_every_dataset_and_manifest(spark, fixture_bundle):
     m = spark.read.json(os.path.join(out, "_manifest")).first()
     assert m.today == "2001-08-01" and m.synced == "01/08/2001 12:00" and "by_date" in m.datasets
     assert spark.read.json(paths["net_feed_today"]).first().net == 7.0
+    assert published(spark, out) == m.folder == os.path.dirname(paths["daily"])
+
+
+def test_a_full_run_leaves_no_stale_month(spark, fixture_bundle):
+    """A second run without a month does not show it, and the first run's folder is untouched."""
+    out = tempfile.mkdtemp(prefix="possum-stale-")
+    first = run_daily_job(fixture_bundle, RULES, AS_OF, out)
+    t = fixture_bundle["pos_transaction"]
+    gone = t.where("Status > -1").select(F.min(F.date_format("SaleTime", "yyyy-MM"))).first()[0]
+    less = fixture_bundle.with_tables(pos_transaction=t.where(F.date_format("SaleTime", "yyyy-MM") != gone))
+    run_daily_job(less, RULES, AS_OF, out)
+    for name in ("stores", "depts", "sellers", "daily", "payments", "by_date"):
+        now = spark.read.json(os.path.join(published(spark, out), name))
+        assert now.where(F.col("SaleMonth") == gone).count() == 0
+        assert spark.read.json(first[name]).where(F.col("SaleMonth") == gone).count() > 0
+
+
+def test_static_overwrite_replaces_vanished_partitions(spark):
+    from possum.sources.sinks import write_dataset
+    path = os.path.join(tempfile.mkdtemp(prefix="possum-static-"), "d")
+    two = spark.createDataFrame([("a", 1), ("b", 2)], "m string, x int")
+    write_dataset(two, path, partition_by=["m"])
+    write_dataset(two.where("m = 'a'"), path, partition_by=["m"], dynamic=True)
+    assert spark.read.json(path).count() == 2
+    write_dataset(two.where("m = 'a'"), path, partition_by=["m"])
+    assert spark.read.json(path).count() == 1
+
+
+def test_staged_folders_are_unique_and_removed(spark, fixture_bundle):
+    from possum.plans.common import Stage
+    from possum.session import checkpoint_dir
+    assert Stage(spark, "x").root != Stage(spark, "x").root
+    run_stock_job(fixture_bundle, RULES, AS_OF, tempfile.mkdtemp(prefix="possum-drop-"), PRICE_LIST)
+    root = os.path.join(checkpoint_dir(spark), "possum-stage")
+    assert not [d for d in os.listdir(root) if d.startswith("stock_job-")]
 
 
 def test_seal_round_trip(spark):
@@ -52,6 +89,9 @@ def test_seal_round_trip(spark):
     back = spark.read.parquet(path)
     rows = back.collect()
     assert rows[0].iv != rows[1].iv and rows[0].ct != rows[1].ct   # random IV per row
+    assert all(len(base64.b64decode(r.salt)) == 18 for r in rows)
+    again = seal(df, key, ["name", "v"], keep=["k"]).collect()
+    assert base64.b64decode(again[0].salt)[:16] != base64.b64decode(rows[0].salt)[:16]   # keys of its own
     assert len(F.unbase64(F.lit(rows[0].iv)).__repr__()) > 0
     plain = unseal(back, key, "name string, v double", keep=["k"]).collect()
     assert sorted(map(tuple, plain)) == [("d1", "A", 1.5), ("d1", "A", 1.5)]
@@ -101,7 +141,13 @@ def test_jdbc_branch_reader_against_embedded_derby(spark, fixture_bundle):
     for k in required:   # tables this check does not use: empty copies
         spark.createDataFrame([], schemas.schema(k)).write.mode("overwrite").option("driver", driver) \
             .jdbc(url, names[k])
-    bundle = read_branch(spark, src, num_partitions=4, missing=optional)
+    assert optional
+    with pytest.warns(UserWarning, match="taken as empty"):   # absent optional tables, not listed as missing
+        bundle = read_branch(spark, src, num_partitions=4)
+    assert all(bundle[k].count() == 0 for k in optional)
+    since = bundle["pos_transaction"].where(F.col("SaleTime") >= F.lit(AS_OF).cast("timestamp_ntz"))
+    text = since._jdf.queryExecution().toString()
+    assert "PushedFilters: [*IsNotNull(SaleTime), *GreaterThanOrEqual(SaleTime" in text
     got = sales.sales_by_seller_day(bundle, RULES)
     want = sales.sales_by_seller_day(fixture_bundle, RULES)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -284,23 +284,57 @@ def test_rules_defaults_are_english():
     assert TEST_RULES.general_department == "PROMO" and R.general_department == "General"
 
 
-def test_id_floor_per_branch(spark):
-    from possum.operators.base import id_floor
-    a = frames.bundle(spark, "A", pos_transaction=[_txn(100, None), _txn(101, None)],
+def test_sale_months_lose_no_row_and_windows_keep_every_branch(spark):
+    from possum.operators.base import MONTH, from_month
+    from possum.sources.months import with_sale_months
+    a = frames.bundle(spark, "A", pos_transaction=[_txn(100, None, ts="2001-01-05 10:00:00"), _txn(101, None, ts="2001-07-05 10:00:00")],
                       transaction_entry=[{"TransactionEntryID": 1, "TransactionID": 100, "Status": 1},
                                          {"TransactionEntryID": 2, "TransactionID": 101, "Status": 1},
                                          {"TransactionEntryID": 3, "TransactionID": 99, "Status": 1}])
-    b = frames.bundle(spark, "B", pos_transaction=[_txn(1, None), _txn(2, None)],
-                      transaction_entry=[{"TransactionEntryID": 4, "TransactionID": 1, "Status": 1},
-                                         {"TransactionEntryID": 5, "TransactionID": 2, "Status": 1}])
-    u = branches.union_branches([(a, None), (b, None)])
-    qualifying = u["pos_transaction"].where(F.col("TransactionID").isin(101, 2))
-    kept = id_floor(u["transaction_entry"], "TransactionID", qualifying, u)
-    assert sorted((r.branch, r.TransactionEntryID) for r in kept.collect()) == [("A", 2), ("B", 5)]
-    # a branch without qualifying rows keeps nothing
-    none_b = u["pos_transaction"].where(F.col("TransactionID") == 101)
-    kept = id_floor(u["transaction_entry"], "TransactionID", none_b, u)
-    assert sorted((r.branch, r.TransactionEntryID) for r in kept.collect()) == [("A", 2)]
+    b = frames.bundle(spark, "B", pos_transaction=[_txn(100, None, ts="2001-07-06 10:00:00")],
+                      transaction_entry=[{"TransactionEntryID": 4, "TransactionID": 100, "Status": 1}])
+    u = with_sale_months(branches.union_branches([(a, None), (b, None)]))
+    months = {(r.branch, r.TransactionEntryID): r[MONTH] for r in u["transaction_entry"].collect()}
+    assert months == {("A", 1): "2001-01", ("A", 2): "2001-07", ("A", 3): "none", ("B", 4): "2001-07"}
+    late = from_month(u["transaction_entry"], F.lit("2001-06-30").cast("timestamp_ntz"))
+    assert {r.TransactionEntryID for r in late.collect()} >= {2, 4} and 1 not in {r.TransactionEntryID for r in late.collect()}
+    plain = from_month(a["transaction_entry"], F.lit("2001-06-30").cast("timestamp_ntz"))
+    assert plain.count() == 3   # no month stored: nothing is left out
+
+
+def test_feed_choice_does_not_depend_on_row_order(spark):
+    rows = [("1/8/2001", "7", "7", True, "2001-08-01 10:00:00", "b"), ("01/08/2001", "100", '{"net": 100}', False, "2001-08-01 10:00:00", "c"),
+            ("1/8/2001", "9", "9", True, "2001-08-01 09:00:00", "z")]
+    kinds = "day_key string, net string, raw string, session_ok boolean, fetched string, file string"
+    for k in range(3):
+        feed = spark.createDataFrame(rows[k:] + rows[:k], kinds).withColumn("net", F.col("net").cast("decimal(18,2)"))
+        days = assemble.net_feed_days(feed)
+        r = days.collect()[0]
+        assert (r.day, float(r.net), r.raw, r.session_ok) == ("2001-08-01", 100.0, '{"net": 100}', False)
+        t = assemble.net_feed_today(days, datetime(2001, 8, 1)).collect()[0]
+        assert (float(t.net), t.sessionOk) == (100.0, False)
+    bare = assemble.net_feed_days(spark.createDataFrame(rows[:1], kinds))
+    assert assemble.net_feed_today(bare, datetime(2001, 8, 1)).collect()[0].sessionOk is None   # not an object
+
+
+def test_null_store_names_are_labelled(spark, fixture_bundle):
+    from possum.operators import stock
+    from possum.operators.base import NO_STORE
+    null = F.lit(None).cast("string")
+    b = fixture_bundle.with_tables(store=fixture_bundle["store"].withColumn("StoreName", null).withColumn("StoreNameOrig", null))
+    maps = stock.item_catalogue(stock.stock_lines(b, TEST_RULES)).select(F.map_keys("s").alias("k")).distinct().collect()
+    assert [r.k for r in maps] == [[NO_STORE]]
+
+
+def test_amounts_are_exact_decimals(spark):
+    """One large and many small amounts: a sum of doubles would be off."""
+    from possum.operators import sales
+    stores = spark.createDataFrame([("2001-08-01", "big", Decimal("90000000000000.00"), 1)]
+                                   + [("2001-08-01", f"s{k}", Decimal("0.01"), 1) for k in range(41)],
+                                   "SaleDate string, StoreName string, TotalSales decimal(28,2), Transactions bigint")
+    assert sales.daily_from_stores(stores).first().TotalSales == Decimal("90000000000000.41")
+    assert sales.today_total(stores, datetime(2001, 8, 1)).first().TodayTotal == Decimal("90000000000000.41")
+
 
 
 def test_day_document_list_order(spark):
@@ -317,8 +351,7 @@ def test_day_document_list_order(spark):
 
 
 def test_long_price_list_first_entry_wins(spark):
-    from possum.operators.pricing import PRICE_LIST_CHUNK
-    n = 3 * PRICE_LIST_CHUNK + 7
+    n = 607
     plist = [(f"nomatch{i}", "1") for i in range(n)] + [("abc", "5"), ("a", "6")]
     items = _items(spark, [{"key": "k", "n": "xabcx", "b": "x", "p": 4},
                            {"key": "m", "n": "zzz", "b": "y", "p": 4},
