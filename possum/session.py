@@ -52,7 +52,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder")
         path = tempfile.mkdtemp(prefix="possum-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

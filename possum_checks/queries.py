@@ -227,6 +227,9 @@ ON_BUNDLE: dict[str, Callable[[Bundle], DataFrame]] = {
     "optional_presence": optional_presence,
 }
 
+# written and read back; the bench times the jobs instead
+WRITTEN = ("daily_bundle", "written_order", "sealed_invoices", "feed_from_json", "optional_presence")
+
 # datasets over two branches (A: even stores; B: odd stores, labelled)
 ON_PARTS: dict[str, Callable[[Parts], DataFrame]] = {
     "union_branches": branch_sales,
