@@ -58,6 +58,10 @@ def finish_stock_summary(summary: DataFrame) -> DataFrame:
                           out(F.col("StockValue")).alias("StockValue"), "Sort")
 
 
+# ask low_stock for every row under its reorder point, unranked
+ALL_ROWS = -1
+
+
 def low_stock(bundle: Bundle, rules: Rules, n: int | None = None,
               base: DataFrame | None = None) -> DataFrame:
     """Items at or under their reorder point, largest shortage first.
@@ -66,6 +70,7 @@ def low_stock(bundle: Bundle, rules: Rules, n: int | None = None,
     window with a group limit (WindowGroupLimit) that also runs before the
     shuffle, so each task ships at most n rows per branch, however large
     a branch is. The order ends in row ids, so the cut at n is unique.
+    ``n=ALL_ROWS`` gives every such row, with a null Rank and no window.
     """
     n = rules.low_stock_limit if n is None else n
     b = _base(bundle, rules, base)
@@ -80,7 +85,10 @@ def low_stock(bundle: Bundle, rules: Rules, n: int | None = None,
     order = [F.col("_short").asc(), F.col("Sort").asc_nulls_first(), F.col("StoreID").asc(),
              F.col("ItemID").asc(), F.col("OnHandRowID").asc(), F.col("AttrRowID").asc()]
     w = Window.partitionBy("branch").orderBy(*order)
-    ranked = cand.withColumn("Rank", F.row_number().over(w)).where(F.col("Rank") <= n)
+    if n == ALL_ROWS:
+        ranked = cand.withColumn("Rank", F.lit(None).cast("int"))
+    else:
+        ranked = cand.withColumn("Rank", F.row_number().over(w)).where(F.col("Rank") <= n)
     return ranked.select("branch", F.col("Rank").cast("bigint").alias("Rank"), "Name", "BarcodeNumber", "ModelNumber", "StoreName",
                          out(F.col("OnHand")).alias("OnHand"),
                          out(F.col("ReorderPoint")).alias("ReorderPoint"),

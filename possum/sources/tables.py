@@ -6,6 +6,11 @@ transaction lines to transactions, tender lines to transactions, the
 item-store self join, supplier lines to documents. Bucket counts must match
 between tables joined together; pick them so that one bucket file is a
 few hundred MB at full size.
+
+The price of reading without a shuffle: AQE splits skewed partitions only
+behind a shuffle, so one hot key's bucket is one task. The keys here are row
+ids (a transaction, an item-store pair, a document), whose groups stay small;
+leave a table unbucketed where one key may hold a large part of it.
 """
 
 from __future__ import annotations

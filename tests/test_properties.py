@@ -77,6 +77,7 @@ def test_store_code_int_like_python(spark, values):
 
 
 # --- D6 against a brute force written from the specification ---------------
+# fixed values: code prefixes of the imputation levels
 LEVELS = (re.compile(r"^(\d{2}[A-Za-z]+\d{2}[A-Za-z0-9]{2})", re.ASCII),
           re.compile(r"^\d{2}([A-Za-z]+\d{2}[A-Za-z0-9]{2})", re.ASCII),
           re.compile(r"^\d{2}[A-Za-z]+(\d{2}[A-Za-z0-9]{2})", re.ASCII))
@@ -124,14 +125,17 @@ def test_impute_like_brute_force(spark, rows):
 
 # --- D5 against a brute force written from the specification ---------------
 def _brute_catalogue(lines):
-    """lines: (item_id, row_id, name, barcode, store, qty, price)."""
+    """lines: (item_id, row_id, name, barcode, store, qty, price). Group by key, then reduce each group."""
+    def key_of(line):
+        return (line[3] or "").strip() or line[2]
+
     out = {}
-    for item, row, name, barcode, store, qty, price in sorted(lines, key=lambda x: (x[0], x[1])):
-        key = (barcode or "").strip() or name
-        e = out.setdefault(key, {"n": name, "b": barcode or "", "p": 0, "s": {}, "q": 0})
-        e["s"][store] = qty                       # later (higher ItemID) lines overwrite
-        e["q"] += qty
-        e["p"] = max(e["p"], price or 0)
+    for key in {key_of(x) for x in lines}:
+        group = sorted((x for x in lines if key_of(x) == key), key=lambda x: x[:2])
+        lowest = group[0]
+        out[key] = {"n": lowest[2], "b": lowest[3] or "", "q": sum(x[5] for x in group),
+                    "p": max(x[6] or 0 for x in group),
+                    "s": {store: [x[5] for x in group if x[4] == store][-1] for store in {x[4] for x in group}}}
     return out
 
 

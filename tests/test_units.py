@@ -387,3 +387,10 @@ def test_impute_no_cascade(spark):
         {"key": "c", "b": "23X0404M2", "p": 0}])
     got = _p(pricing.impute_cost(items))
     assert got["b"] == 0.0 and got["c"] == 0.0   # nothing known for 0404: no value appears from nowhere
+
+
+def test_low_stock_of_all_rows(spark, fixture_bundle):
+    from possum.operators import stock
+    every = stock.low_stock(fixture_bundle, TEST_RULES, n=stock.ALL_ROWS)
+    assert every.count() > stock.low_stock(fixture_bundle, TEST_RULES, n=5).count() == 5
+    assert every.where("Rank IS NOT NULL").count() == 0
