@@ -78,12 +78,15 @@ def context_counts(texts: pa.Array, index: np.ndarray, out: np.ndarray) -> None:
     for i, j, data, offs in chunks(texts):
         b, first = token_buckets(data, offs)
         doc = np.repeat(np.arange(j - i), np.diff(first))
+        cells, weights = [], []
         for d in range(1, WINDOW + 1):
             ok = doc[d:] == doc[:-d]
             left, right = b[:-d][ok], b[d:][ok]
             for a, c in ((left, right), (right, left)):
                 for k in range(NONZERO):
-                    out += np.bincount(a * DIM + at[c, k], weights=sign[c, k], minlength=out.size).astype(np.int64)
+                    cells.append(a * DIM + at[c, k])
+                    weights.append(sign[c, k])
+        out += np.bincount(np.concatenate(cells), np.concatenate(weights), out.size).astype(np.int64)
 
 
 def context_vectors(docs: DataFrame) -> np.ndarray:
