@@ -10,14 +10,14 @@ with its parent's, in proportion to the number of symbols seen; the root with
 one count for each byte. A text is read from its longest kept suffix at every
 position, by an automaton over the kept contexts.
 
-Like the base score, the model speaks of the words of the training part and one
-unknown word. With s the tree's probability of a word's bytes and of the symbol
+Like the base score, the model speaks of the words of the training part and of
+unknown words, which the tree spells. With s the tree's probability of a word's bytes and of the symbol
 after it, f the word's share of the training words, r the share of that symbol
 (text goes on, or ends) and u the share of words seen once (the chance that
 the next word is a new one):
 
     known word    (1 - u) * (SHARE * f * r + (1 - SHARE) * s)
-    unknown word  u * r
+    unknown word  u * s
 
 A text without words is the end symbol.
 
@@ -36,6 +36,8 @@ empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -285,7 +287,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return mix(mix(texts) + id_key.view(np.uint64)).view(np.int64)
 
     def tokens(data, offs, tree):
-        """Words, and of each the tree's probability and whether it ends its text; the texts' words-free score."""
+        """Words, and of each the tree's log10 probability and whether it ends its text; the texts' words-free score."""
         w = split(data, offs)
         stream, begin = symbols(data, offs, w)
         ok = _predicted(begin)
@@ -297,7 +299,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         bare = np.repeat(n == 0, np.maximum(n, 1))  # the end symbols of texts without words
         empty = np.zeros(len(n))
         empty[n == 0] = spelled[bare]
-        return w, 10.0 ** spelled[~bare], (stream[stop] == END)[~bare], empty
+        return w, spelled[~bare], (stream[stop] == END)[~bare], empty
 
     def score(batches):
         _, found, tree = shared.value
@@ -309,13 +311,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 at, known = look_up(w.hashes)
                 n = np.where(known, found[at] if len(found) else 0, 0)
                 r = np.where(ends, last, 1 - last)
-                p = np.where(known, (1 - new) * (SHARE * n / max(n_words, 1) * r + (1 - SHARE) * spelled), new * r)
+                p = SHARE * n / max(n_words, 1) * r + (1 - SHARE) * 10.0 ** spelled
+                lp = np.log10(np.where(known, (1 - new) * p, 1.0)) + np.where(known, 0.0, math.log10(new) + spelled)
 
                 def per_text(x, first=w.first):
                     return np.diff(np.concatenate([np.zeros(1, x.dtype), np.cumsum(x)])[first])
 
                 out.append((row_key(w, id_key[i:j]), np.diff(w.first) + 1, per_text(known.astype(np.int64)),
-                            per_text(np.log10(n + 1.0)), per_text(np.log10(p)) + empty))
+                            per_text(np.log10(n + 1.0)), per_text(lp) + empty))
             cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 5
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), *[pa.array(c, t) for c, t in zip(
@@ -331,19 +334,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keys = np.repeat(row_key(w, id_key[i:j]), np.diff(w.first))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(w.hashes[rare].view(np.int64)), pa.array(keys[rare]),
-                     pa.array(spelled[rare].astype(np.float32)), pa.array(ends[rare])],
+                     pa.array(spelled[rare]), pa.array(ends[rare])],
                     names=["key", "row_key", "spelled", "ends"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = staged(arrow_map(docs, score, f"doc_id {kind}, held_out boolean, row_key long, n_tokens long, known long, "
                                          "part double, score double"), "scored")
-    rest = arrow_map(docs, rare_words, "key long, row_key long, spelled float, ends boolean")
+    rest = arrow_map(docs, rare_words, "key long, row_key long, spelled double, ends boolean")
     # rare words count as unknown above: those the training part has are put right here
     r = F.when(F.col("ends"), F.lit(last)).otherwise(F.lit(1 - last))
-    known = (1 - new) * (SHARE * F.col("n") / max(n_words, 1) * r + (1 - SHARE) * F.col("spelled").cast("double"))
+    known = (1 - new) * (SHARE * F.col("n") / max(n_words, 1) * r + (1 - SHARE) * F.pow(F.lit(10.0), F.col("spelled")))
+    unknown = math.log10(new) + F.col("spelled")
     sums = (rest.join(words.filter(~is_common).select("key", "n"), "key").groupBy("row_key")
             .agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("more"),
-                 F.sum(F.log10(known) - F.log10(new * r)).alias("more_score")))
+                 F.sum(F.log10(known) - unknown).alias("more_score")))
     same = rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("same"))
     per = same.join(sums, "row_key").select(
         "row_key", (F.col("more_known") / F.col("same")).cast("long").alias("more_known"),

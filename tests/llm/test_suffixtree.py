@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -12,6 +13,7 @@ from possum.llm.words import chunks, split
 from tests.llm.brute import base_scores, spaced
 
 BIG = "/root/testdata/sf0.01"
+HELD = [k for k in range(10_000_000, 10_000_200) if zlib.crc32(str(k).encode()) % 7 == 2][:5]  # held-out ids
 ODD = [(None, None), (None, "zzz the"), (900_001, ""), (900_002, None), (900_003, "  A  b\n"), (900_003, "  A  b\n"), (900_004, "w " * 20_000)]
 
 
@@ -46,6 +48,18 @@ def test_better_than_the_base_on_held_out_texts(spark):
     assert sum(r.score > r.base_score for r in rows) > 0.8 * len(rows)
 
 
+def test_unknown_words_are_spelled_by_the_tree(spark, docs):
+    """Random letters score below clean held-out text, and below a plausible new word; long ones are not cut short."""
+    table = spark.read.parquet(f"{BIG}/documents.parquet").select("doc_id", "text")
+    odd = [(k, t) for k, t in zip(HELD, ["xqzvjk wqxjzv " * 40, "zqxj" * 200, "zqxj" * 400, "thering", "zqxjvkw"], strict=True)]
+    rows = suffixtree.score_texts(table.unionByName(docs(odd).select("doc_id", "text"))).filter("held_out").collect()
+    score = {r.doc_id: r.score for r in rows}
+    clean = [r.score / r.n_tokens for r in rows if r.doc_id not in HELD and r.n_tokens > 20]
+    assert score[HELD[0]] / 81 < min(clean)
+    assert score[HELD[2]] < 1.5 * score[HELD[1]] < -308
+    assert score[HELD[4]] < score[HELD[3]] - 2
+
+
 def spelled(texts):
     """Each text's symbols with the end symbols that start it."""
     end = chr(suffixtree.END)
