@@ -2,13 +2,12 @@
 
 The tree's symbols are bytes: a text is its lower-cased words (A-Z only) joined
 by one space, then an end symbol. A tree node is a context of up to ``DEPTH``
-bytes. A context is a candidate if it makes up at least ``RARE`` of all
-positions, and is kept if its next-symbol distribution diverges from its
+bytes. A context is a candidate from ``LEAST`` occurrences on, at every size of
+the input, and is kept if its next-symbol distribution diverges from its
 parent's (the context without its oldest byte) by at least ``GAIN`` nats over
-its occurrences, or if a kept context needs it. Each distribution is smoothed
-with its parent's, in proportion to the number of symbols seen; the root with
-one count for each byte. A text is read from its longest kept suffix at every
-position, by an automaton over the kept contexts.
+its occurrences. Each distribution is smoothed with its parent's, in proportion
+to the number of symbols seen; the root with one count for each byte. A symbol
+is read from the longest kept context before it.
 
 Like the base score, the model speaks of the words of the training part and of
 unknown words, which the tree spells. With s the tree's probability of a word's bytes and of the symbol
@@ -22,9 +21,14 @@ the next word is a new one):
 A text without words is the end symbol.
 
 All counting is done over the whole training part: packed byte strings of
-``DEPTH + 1`` and word hashes are counted in every task and summed by key. The
-tree has at most ``(DEPTH + 1) / RARE`` contexts of at most 256 symbols, so it
-is fitted on the driver and sent to the executors. The base score needs the
+``DEPTH + 1`` and word hashes are counted in every task and summed by key; the
+byte strings of held-out texts are listed beside them, for they are to be
+scored. The tree grows with the input and is never in one place: contexts of up
+to ``NEAR`` bytes, a table of the corpus' byte triples, are fitted on the driver;
+the byte strings are dealt out by the ``NEAR + 1`` bytes before their last, so
+that a context meets its parent, and every byte string gets its probability
+there. The most frequent byte strings, at most ``COMMON``, are sent along with
+the texts; words that hold another one have it joined. The base score needs the
 count of every word: words that make up at least 1 / ``COMMON`` of all tokens
 are at most ``COMMON`` and are sent along; the others are joined by hash.
 
@@ -40,6 +44,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +54,8 @@ from possum.llm.tasks import arrow_map
 from possum.llm.words import LOWER, U, chunks, mix, split
 
 DEPTH = 5
-RARE = 1e-5
+NEAR = 2
+LEAST = 4
 GAIN = 20.0
 COMMON = 1 << 20
 SHARE = 0.2
@@ -132,29 +138,132 @@ class _Counter:
                  pa.array(n[part].astype(np.int64))], names=["kind", "key", "n"])
 
 
-def corpus_counts(train: DataFrame) -> DataFrame:
-    """kind, key, n over the texts: 0 word hashes, 1 packed byte strings, 2 the number of texts."""
+def corpus_counts(docs: DataFrame) -> DataFrame:
+    """kind, key, n over text, held_out: 0 word hashes, 1 packed byte strings, 2 the number of texts of the
+    training part; 3 packed byte strings of the other texts."""
     def task(batches):
-        words, grams, texts = _Counter(), _Counter(), 0
+        words, grams, others, texts = _Counter(), _Counter(), _Counter(), 0
         for b in batches:
-            for i, j, data, offs in chunks(b.column(0)):
+            held = b.column(1)
+            for i, j, data, offs in chunks(b.column(0).filter(pc.invert(held))):
                 w = split(data, offs)
                 words.add(w.hashes)
                 grams.add(packed(*symbols(data, offs, w)))
                 texts += j - i
-                for c, kind in ((words, 0), (grams, 1)):
-                    if c.size > _FLUSH // 2:  # many distinct keys: hand them over
-                        yield from c.rows(kind)
+            for _, _, data, offs in chunks(b.column(0).filter(held)):
+                others.add(packed(*symbols(data, offs, split(data, offs))))
+            for c, kind in ((words, 0), (grams, 1), (others, 3)):
+                if c.size > _FLUSH // 2:  # many distinct keys: hand them over
+                    yield from c.rows(kind)
         yield from words.rows(0)
         yield from grams.rows(1)
+        yield from others.rows(3)
         yield pa.RecordBatch.from_arrays([pa.array([2], pa.int8()), pa.array([0]), pa.array([texts])], names=["kind", "key", "n"])
 
-    rows = arrow_map(train.select("text"), task, "kind tinyint, key long, n long")
+    rows = arrow_map(docs.select("text", "held_out"), task, "kind tinyint, key long, n long")
     return rows.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
+def _level(k: int, keys: np.ndarray, n: np.ndarray, parent: np.ndarray, read: np.ndarray,
+           least: int, gain: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of every key: the probability of its last symbol after the k before it, and after the longest kept context up to k.
+
+    parent and read are the same of k - 1. All keys that end in the same k + 1
+    symbols, or have the same k before the last, are among the keys.
+    """
+    if not len(keys):
+        return parent, read
+    ends, first, at = np.unique(keys & U((1 << 8 * (k + 1)) - 1), return_index=True, return_inverse=True)
+    n = np.bincount(at, n, len(ends))
+    up = parent[first]
+    context = ends >> U(8)
+    new = np.append(True, context[1:] != context[:-1])
+    start, of = np.flatnonzero(new), np.cumsum(new) - 1
+    total = np.add.reduceat(n, start)[of]
+    kinds = np.add.reduceat((n > 0).astype(np.float64), start)[of]
+    enough = total >= max(least, 1)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        far = np.add.reduceat(np.where(n > 0, n * np.log(n / total / up), 0.0), start)[of]
+        prob = np.where(enough, (n + kinds * up) / (total + kinds), up)
+    return prob[at], np.where((enough & (far >= gain))[at], prob[at], read)
+
+
+def gram_logs(counts: DataFrame, least: int = LEAST, gain: float = GAIN) -> DataFrame:
+    """key, log10 probability of its last symbol, n in all texts: every packed byte string in ``corpus_counts``."""
+    grams = counts.filter("kind IN (1, 3)")
+    trained = F.when(F.col("kind") == 1, F.col("n")).otherwise(0)
+    near = (grams.groupBy((F.col("key").bitwiseAND((1 << 8 * (NEAR + 1)) - 1)).alias("key"))
+            .agg(F.sum(trained).alias("n")).toArrow())  # the byte triples of the texts
+    low, n = near["key"].to_numpy().view(np.uint64), near["n"].to_numpy().astype(np.float64)
+    order = np.argsort(low)
+    low, n = low[order], n[order]
+    symbol = np.bincount((low & U(255)).astype(np.int64), n, 256)
+    prob = read = ((symbol + 1) / (symbol.sum() + 256))[(low & U(255)).astype(np.int64)]
+    for k in range(1, NEAR + 1):
+        prob, read = _level(k, low, n, prob, read, least, gain)
+    shared = counts.sparkSession.sparkContext.broadcast((low, prob, read))
+
+    def task(batches):
+        parts = [tuple(b.column(c).to_numpy() for c in range(3)) for b in batches]
+        if not parts:
+            return
+        kind, key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        keys, at = np.unique(key.view(np.uint64), return_inverse=True)
+        every = np.bincount(at, n, len(keys)).astype(np.int64)
+        n = np.bincount(at, np.where(kind == 1, n, 0), len(keys))
+        low, prob, read = shared.value
+        at = np.searchsorted(low, keys & U((1 << 8 * (NEAR + 1)) - 1))
+        prob, read = prob[at], read[at]
+        for k in range(NEAR + 1, DEPTH + 1):
+            prob, read = _level(k, keys, n, prob, read, least, gain)
+        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.log10(read)), pa.array(every)],
+                                         names=["key", "log", "n"])
+
+    dealt = grams.select("kind", "key", "n").repartition(F.expr(f"(key >> 8) & {(1 << 8 * (NEAR + 1)) - 1}"))
+    return arrow_map(dealt, task, "key long, log double, n long")
+
+
+class _Lookup:
+    """A hash table of uint64 keys below 2 ** 64 - 1."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys = np.full(1 << self.bits, U(0xFFFFFFFFFFFFFFFF))
+        self.values = np.zeros(1 << self.bits, values.dtype)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = self.keys[at] == U(0xFFFFFFFFFFFFFFFF)
+            self.keys[at[free]] = keys[left[free]]
+            mine = self.keys[at] == keys[left]
+            self.values[at[mine]] = values[left[mine]]
+            at, left = (at[~mine] + 1) & ((1 << self.bits) - 1), left[~mine]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * U(0x9E3779B97F4A7C15)) >> U(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The keys' values, 0 for others, and whether the table has them."""
+        at = self._slot(keys)
+        there = self.keys[at]
+        found = there == keys
+        out = np.where(found, self.values[at], 0)
+        left = np.flatnonzero(~found & (there != U(0xFFFFFFFFFFFFFFFF)))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & ((1 << self.bits) - 1)
+            there = self.keys[at]
+            mine = there == keys[left]
+            out[left[mine]], found[left[mine]] = self.values[at[mine]], True
+            on = ~mine & (there != U(0xFFFFFFFFFFFFFFFF))
+            at, left = at[on], left[on]
+        return out, found
+
+
 class SuffixTree:
-    """The kept contexts as an automaton: for a state and a symbol, the log10 probability and the next state."""
+    """A small tree in memory, as an automaton: for a state and a symbol, the log10 probability and the next state.
+
+    It also keeps the contexts that kept ones are reached through.
+    """
 
     def __init__(self, contexts: list[tuple[int, int, dict[int, int]]], gain: float = GAIN):
         """contexts: (length, packed context, next symbol -> count); the empty context is one of them."""
@@ -232,28 +341,25 @@ class SuffixTree:
         return np.concatenate([np.zeros(DEPTH, np.float32), out.T.ravel()[:n]])
 
 
-def fit_tree(counts: DataFrame, rare: float = RARE, gain: float = GAIN) -> SuffixTree:
-    """The tree of the packed byte strings in ``corpus_counts``."""
-    grams = counts.filter("kind = 1").select("key", "n")
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    mask = "CASE k " + " ".join(f"WHEN {k} THEN {(1 << 8 * (k + 1)) - 1}" for k in range(DEPTH + 1)) + " END"
-    levels = grams.select(F.explode(F.array(*[F.lit(k) for k in range(DEPTH + 1)])).alias("k"), "key", "n")
-    nexts = levels.groupBy("k", F.expr(f"key & ({mask})").alias("s")).agg(F.sum("n").alias("n"))
-    found = (nexts.groupBy("k", F.shiftright("s", 8).alias("c"))
-             .agg(F.sum("n").alias("total"), F.collect_list(F.struct((F.col("s") % 256).cast("int").alias("a"), "n")).alias("next"))
-             .filter((F.col("total") >= rare * total)))
-    rows = found.select("k", "c", F.map_from_entries("next").alias("next")).toArrow()  # (DEPTH + 1) / rare rows at most
-    return SuffixTree([(k, c, dict(nxt)) for k, c, nxt in zip(*(rows[x].to_pylist() for x in ("k", "c", "next")), strict=True)], gain)
+def frequent(grams: DataFrame) -> int:
+    """The smallest count, a power of two, that at most ``COMMON`` byte strings reach."""
+    size = F.length(F.bin("n")) - 1
+    left = COMMON
+    for k, many in sorted(grams.groupBy(size.alias("k")).count().collect(), reverse=True):  # 64 rows at most
+        left -= many
+        if left < 0:
+            return 2 << k
+    return 0
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                rare: float = RARE, gain: float = GAIN) -> DataFrame:
+                least: int = LEAST, gain: float = GAIN) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     docs = docs.withColumn("held_out", held_out(F.col("doc_id"), 7, 2))
     docs = docs.withColumn("id_key", F.xxhash64(F.col("doc_id").cast("string"), F.col("doc_id").isNull()))
-    counts = staged(corpus_counts(docs.filter(~F.col("held_out"))), "counts")
+    counts = staged(corpus_counts(docs), "counts")
     words = counts.filter("kind = 0")
     n_words, n_kinds, n_once, n_texts = (x or 0 for x in counts.agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))), F.count(F.when(F.col("kind") == 0, 1)),
@@ -266,8 +372,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     common = words.filter(is_common).select("key", "n").toArrow()  # COMMON rows at most
     keys = common["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
+    grams = staged(gram_logs(counts, least, gain), "grams")
+    often = frequent(grams)
+    sent = grams.filter(F.col("n") >= often).select("key", "log").toArrow()  # COMMON rows at most
     shared = spark.sparkContext.broadcast((keys[order], common["n"].to_numpy()[order],
-                                           fit_tree(counts, rare, gain)))
+                                           _Lookup(sent["key"].to_numpy().view(np.uint64), sent["log"].to_numpy())))
     end_log = float(np.log10(n_texts + 1.0))
 
     def look_up(hashes):
@@ -286,68 +395,107 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         texts = total[w.first[1:]] - total[w.first[:-1]]
         return mix(mix(texts) + id_key.view(np.uint64)).view(np.int64)
 
-    def tokens(data, offs, tree):
-        """Words, and of each the tree's log10 probability and whether it ends its text; the texts' words-free score."""
+    def tokens(data, offs):
+        """Words, and for each stop, a word's or that of a text without words: the text, the place among the words
+        (-1), the log10 probability of the byte strings sent along, whether it ends its text, and its other byte
+        strings, with their bounds."""
         w = split(data, offs)
         stream, begin = symbols(data, offs, w)
-        ok = _predicted(begin)
-        lp = np.where(ok, tree.log_probs(stream), 0).astype(np.float64)
-        stop = np.flatnonzero(ok & ((stream == SPACE) | (stream == END)))
-        upto = np.cumsum(lp)[stop]
-        spelled = np.diff(upto, prepend=0.0)
+        key = packed(stream, begin)
+        lp, found = shared.value[2].get(key)
+        last_byte = key & U(255)
+        stop = np.flatnonzero((last_byte == SPACE) | (last_byte == END))
+        spelled = np.diff(np.cumsum(lp)[stop], prepend=0.0)
         n = np.diff(w.first)
-        bare = np.repeat(n == 0, np.maximum(n, 1))  # the end symbols of texts without words
-        empty = np.zeros(len(n))
-        empty[n == 0] = spelled[bare]
-        return w, spelled[~bare], (stream[stop] == END)[~bare], empty
+        doc = np.repeat(np.arange(len(n)), np.maximum(n, 1))
+        bare = n[doc] == 0
+        word = np.where(bare, -1, np.cumsum(~bare) - 1)
+        other = np.flatnonzero(~found)
+        bounds = np.concatenate([np.zeros(1, np.int64), np.searchsorted(other, stop, "right")])
+        return w, doc, word, spelled, last_byte[stop] == END, key[other], bounds
+
+    def counted(w, word):
+        """Of each stop, the word's count if it was sent along, else 0."""
+        at, known = look_up(w.hashes)
+        n = np.where(known, shared.value[1][at] if len(shared.value[1]) else 0, 0)
+        return known, n, (np.append(n, 0)[word], np.append(known, False)[word])
 
     def score(batches):
-        _, found, tree = shared.value
         for b in batches:
             id_key = b.column(3).to_numpy(zero_copy_only=False)
             out = []
             for i, j, data, offs in chunks(b.column(1)):
-                w, spelled, ends, empty = tokens(data, offs, tree)
-                at, known = look_up(w.hashes)
-                n = np.where(known, found[at] if len(found) else 0, 0)
-                r = np.where(ends, last, 1 - last)
-                p = SHARE * n / max(n_words, 1) * r + (1 - SHARE) * 10.0 ** spelled
-                lp = np.log10(np.where(known, (1 - new) * p, 1.0)) + np.where(known, 0.0, math.log10(new) + spelled)
+                w, doc, word, spelled, ends, _, bounds = tokens(data, offs)
+                known, n, (m, is_known) = counted(w, word)
+                p = SHARE * m / max(n_words, 1) * np.where(ends, last, 1 - last) + (1 - SHARE) * 10.0 ** spelled
+                lp = np.log10(np.where(is_known, (1 - new) * p, 1.0)) + np.where(is_known, 0.0, math.log10(new) + spelled)
+                lp = np.where(word < 0, spelled, lp)
+                lp[bounds[1:] > bounds[:-1]] = 0.0  # put right below, like words that were not sent along
 
                 def per_text(x, first=w.first):
                     return np.diff(np.concatenate([np.zeros(1, x.dtype), np.cumsum(x)])[first])
 
                 out.append((row_key(w, id_key[i:j]), np.diff(w.first) + 1, per_text(known.astype(np.int64)),
-                            per_text(np.log10(n + 1.0)), per_text(lp) + empty))
+                            per_text(np.log10(n + 1.0)), np.bincount(doc, lp, j - i)))
             cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 5
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), *[pa.array(c, t) for c, t in zip(
                     cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)]],
                 names=["doc_id", "held_out", "row_key", "n_tokens", "known", "part", "score"])
 
-    def rare_words(batches):
-        for b in batches:
-            id_key = b.column(3).to_numpy(zero_copy_only=False)
-            for i, j, data, offs in chunks(b.column(1)):
-                w, spelled, ends, _ = tokens(data, offs, shared.value[2])
-                rare = np.flatnonzero(~look_up(w.hashes)[1])
-                keys = np.repeat(row_key(w, id_key[i:j]), np.diff(w.first))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(w.hashes[rare].view(np.int64)), pa.array(keys[rare]),
-                     pa.array(spelled[rare]), pa.array(ends[rare])],
-                    names=["key", "row_key", "spelled", "ends"])
+    def left_over(partial):
+        """Stops whose word was not sent along; those with byte strings that were not if ``partial``, else the others."""
+        def task(batches):
+            from pyspark import TaskContext
+            done = TaskContext.get().partitionId() << 40  # numbers the stops
+            for b in batches:
+                id_key = b.column(3).to_numpy(zero_copy_only=False)
+                for i, j, data, offs in chunks(b.column(1)):
+                    w, doc, word, spelled, ends, other, bounds = tokens(data, offs)
+                    _, _, (m, is_known) = counted(w, word)
+                    is_partial = bounds[1:] > bounds[:-1]
+                    at = np.flatnonzero(is_partial if partial else ~is_partial & ~is_known & (word >= 0))
+                    if not len(at):
+                        continue
+                    keys = row_key(w, id_key[i:j])[doc[at]]
+                    cols = [np.append(w.hashes, U(0)).view(np.int64)[word[at]], keys, spelled[at], ends[at]]
+                    names = ["key", "row_key", "spelled", "ends"]
+                    if partial:
+                        number = np.arange(done, done + len(at))
+                        done += len(at)
+                        size = np.diff(bounds)[at]
+                        cols = [np.repeat(c, size) for c in (number, np.where(word[at] < 0, -1, np.where(is_known[at], m[at], 0)), *cols)]
+                        cols.append(other.view(np.int64))
+                        names = ["stop", "sent", *names, "gram"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+
+        kinds = "key long, row_key long, spelled double, ends boolean"
+        return arrow_map(docs, task, f"stop long, sent long, {kinds}, gram long" if partial else kinds)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = staged(arrow_map(docs, score, f"doc_id {kind}, held_out boolean, row_key long, n_tokens long, known long, "
                                          "part double, score double"), "scored")
-    rest = arrow_map(docs, rare_words, "key long, row_key long, spelled double, ends boolean")
-    # rare words count as unknown above: those the training part has are put right here
+    rare = words.filter(~is_common).select("key", "n")
     r = F.when(F.col("ends"), F.lit(last)).otherwise(F.lit(1 - last))
-    known = (1 - new) * (SHARE * F.col("n") / max(n_words, 1) * r + (1 - SHARE) * F.pow(F.lit(10.0), F.col("spelled")))
+
+    def known(n):
+        return F.log10((1 - new) * (SHARE * n / max(n_words, 1) * r + (1 - SHARE) * F.pow(F.lit(10.0), F.col("spelled"))))
+
+    # words that were not sent along count as unknown above: those the training part has are put right here
     unknown = math.log10(new) + F.col("spelled")
-    sums = (rest.join(words.filter(~is_common).select("key", "n"), "key").groupBy("row_key")
-            .agg(F.count(F.lit(1)).alias("more_known"), F.sum(F.log10(F.col("n") + 1.0)).alias("more"),
-                 F.sum(F.log10(known) - unknown).alias("more_score")))
+    fixed = left_over(False).join(rare, "key").select("row_key", "n", (known(F.col("n")) - unknown).alias("more_score"))
+    if often:  # stops with byte strings that were not sent along count 0 above
+        stops = (left_over(True).join(grams.select(F.col("key").alias("gram"), "log"), "gram").groupBy("stop")
+                 .agg(*[F.first(c).alias(c) for c in ("sent", "key", "row_key", "ends")],
+                      (F.first("spelled") + F.sum("log")).alias("spelled")))
+        # only words that were not sent along are looked up; the others are spread over the tasks
+        stops = stops.withColumn("key", F.when(F.col("sent") == 0, F.col("key")).otherwise(F.xxhash64("stop")))
+        stops = stops.join(rare, "key", "left").withColumn("n", F.when(F.col("sent") == 0, F.col("n")))
+        fixed = fixed.unionByName(stops.select(
+            "row_key", "n", F.when(F.col("sent") < 0, F.col("spelled")).when(F.col("sent") > 0, known(F.col("sent")))
+            .when(F.col("n").isNotNull(), known(F.col("n"))).otherwise(unknown).alias("more_score")))
+    sums = fixed.groupBy("row_key").agg(F.count("n").alias("more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("more"),
+                                        F.sum("more_score").alias("more_score"))
     same = rows.groupBy("row_key").agg(F.count(F.lit(1)).alias("same"))
     per = same.join(sums, "row_key").select(
         "row_key", (F.col("more_known") / F.col("same")).cast("long").alias("more_known"),

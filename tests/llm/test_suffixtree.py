@@ -14,6 +14,7 @@ from tests.llm.brute import base_scores, spaced
 
 BIG = "/root/testdata/sf0.01"
 HELD = [k for k in range(10_000_000, 10_000_200) if zlib.crc32(str(k).encode()) % 7 == 2][:5]  # held-out ids
+TRAIN = [k for k in range(20_000_000, 20_000_200) if zlib.crc32(str(k).encode()) % 7 != 2][:12]
 ODD = [(None, None), (None, "zzz the"), (900_001, ""), (900_002, None), (900_003, "  A  b\n"), (900_003, "  A  b\n"), (900_004, "w " * 20_000)]
 
 
@@ -128,6 +129,49 @@ def test_automaton_reads_the_longest_kept_suffix(gain):
         assert lp[i] == pytest.approx(math.log10(prob(n, int.from_bytes(bytes(stream[i - n:i]), "big"), int(stream[i]))), abs=1e-5)
 
 
+def test_a_small_part_of_the_text_keeps_its_contexts(spark, docs):
+    """Twelve words in two million symbols: too few for a share of the text, enough for the divergence."""
+    rng = np.random.default_rng(3)
+    bulk = [(7 * k, " ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(1250))) for k in range(200)]
+    bulk = [(i, t) for i, t in bulk if zlib.crc32(str(i).encode()) % 7 != 2]
+    small = [(k, f"zyqxw{c}") for k, c in zip(TRAIN, "abcdefabcdef", strict=True)]
+    got = suffixtree.score_texts(docs([*bulk, *small, (HELD[0], "zyqxwh")])).filter(f"doc_id = {HELD[0]}").first()
+    assert got.score > -8  # about -19 if each letter is read near the root
+
+
+@pytest.mark.parametrize("gain", [0.0, 3.0])
+def test_byte_strings_are_read_as_by_the_tree(spark, docs, gain):
+    """Distributed against a walk; the strings of held-out texts are there too."""
+    train = ["the cat sat on the mat", "the cat ran", "a cat and a mat", "on and on"]
+    nodes, _ = tree_of(train, 0.0)
+    counts = suffixtree.corpus_counts(spark.createDataFrame(
+        [(t, False) for t in train] + [("the dog sat on a zebra mat", True)], "text string, held_out boolean"))
+    got = {r.key: r.log for r in suffixtree.gram_logs(counts, 1, gain).collect()}
+    total = sum(nodes[0, 0].values())
+
+    def walk(c, a):
+        p = best = (nodes[0, 0].get(a, 0) + 1) / (total + 256)
+        for n in range(1, suffixtree.DEPTH + 1):
+            if (nxt := nodes.get((n, c % 256 ** n))) is None:
+                break
+            up = {b: prob(n - 1, c % 256 ** (n - 1), b) for b in nxt}
+            far = sum(x * math.log(x / sum(nxt.values()) / up[b]) for b, x in nxt.items())
+            p = (nxt.get(a, 0) + len(nxt) * p) / (sum(nxt.values()) + len(nxt))
+            best = p if far >= gain else best
+        return best
+
+    def prob(n, c, a):
+        if n == 0:
+            return (nodes[0, 0].get(a, 0) + 1) / (total + 256)
+        nxt = nodes[n, c]
+        return (nxt.get(a, 0) + len(nxt) * prob(n - 1, c % 256 ** (n - 1), a)) / (sum(nxt.values()) + len(nxt))
+
+    (_, stream, begin), = stream_of([*train, "the dog sat on a zebra mat"])
+    assert set(got) == set(suffixtree.packed(stream, begin).tolist())
+    for key, log in got.items():
+        assert log == pytest.approx(math.log10(walk(key >> 8, key & 255)), abs=1e-9)
+
+
 def test_probabilities_sum_to_one():
     _, tree = tree_of(["the cat sat", "the mat"], 0.0)
     unseen = 256 - (tree.width - 1)
