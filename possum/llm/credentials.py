@@ -3,7 +3,7 @@
 Three fixed kinds of span are found by pattern (``assign``, ``access``,
 ``hex``). The method adds a fourth, ``guess``: values that stand in a
 credential context and that a guesser would need at least
-``10 ** MIN_GUESSES`` tries for. The number of tries is the cheapest way to
+``10 ** MIN_GUESSES`` tries for, unless other spans cover them whole. The number of tries is the cheapest way to
 cut the value into common words, dates, repeats, keyboard walks or sequences,
 and brute-force characters, found by dynamic programming over its positions.
 
@@ -144,6 +144,15 @@ class Span(NamedTuple):
     guesses: float  # log10 tries of the value; nan for access and hex
 
 
+def _covered(start: int, end: int, spans: list[Span]) -> bool:
+    """Whether the spans, sorted by start, cover all of start to end."""
+    for s in spans:
+        if s.start > start or start >= end:
+            break
+        start = max(start, s.end)
+    return start >= end
+
+
 def scan(text: str, min_guesses: float = MIN_GUESSES) -> list[Span]:
     """All spans of a text, by start, then kind."""
     found = [Span(m.start(), m.end(), 0, m.start(2), guess_cost(m[2]))
@@ -151,10 +160,11 @@ def scan(text: str, min_guesses: float = MIN_GUESSES) -> list[Span]:
     found += [Span(m.start(), m.end(), 1, m.start(), math.nan) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [Span(m.start(), m.end(), 2, m.start(), math.nan) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
     found.sort()
+    base = list(found)
     for m in CONTEXT.finditer(text):
         value = m[1].rstrip(".,;:!?)]}")
         start, end = m.start(1), m.start(1) + len(value)
-        if any(s.start < end and start < s.end for s in found if s.kind < 3):
+        if _covered(start, end, base):
             continue
         # a plain word is prose: it takes a digit or a sign inside to make a secret
         if len(value) < 6 or value.isalpha() or not any(c.isalnum() for c in value):

@@ -71,6 +71,15 @@ def test_redaction(spark, docs):
         (1, 'é token = "[secret]" x', "s"), (2, "clean", "s"), (3, None, "s"), (4, "", "s"), (1, "clean", "s")]))
 
 
+def test_a_secret_goes_to_its_end(spark, docs):
+    """A sign ends the base span, not the secret; both spans stay, and their union is redacted."""
+    text = "password: hunter22!Xy#9 and token=AKIA" + "Z" * 18 + "!q8 end"
+    spans = [(s.kind, text[s.start:s.end]) for s in scan(text)]
+    assert spans == [(0, "password: hunter22"), (3, "hunter22!Xy#9"), (0, "token=AKIA" + "Z" * 18),
+                     (1, "AKIA" + "Z" * 18), (3, "AKIA" + "Z" * 18 + "!q8")]
+    assert [r.text for r in redact(docs([(1, text)])).collect()] == ["password: [secret] and token=[secret] end"]
+
+
 @settings(max_examples=40, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.too_slow])
 @given(st.lists(st.sampled_from(["password", "=", ":", " ", '"', "abcdef", "AKIA", "ABCDEFGH01234567", "0123456789ab", "é", "api_key"]),
                 max_size=14).map("".join))
