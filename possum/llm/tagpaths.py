@@ -8,7 +8,8 @@ in page order, fused into one score, and a path is content if its score
 reaches ``THRESHOLD`` of the page's best. A path is lifted by the best path of
 the section it stands in, so a short heading or closing line is kept with its
 article. Regions that are boilerplate by their tag, role or class (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) take no part.
+headers, footers, sidebars, notices, adverts, forms, comments) take no part; of
+a block that holds an inline element of this kind only that element goes.
 
 Nulls and odd input: a null, empty or text-free page has the text ""; broken
 markup is read as far as it goes (an unclosed script or comment runs to the
@@ -90,35 +91,36 @@ class _Element:
 
 
 class _Block:
-    __slots__ = ("text", "linked", "chain")
+    __slots__ = ("pieces", "chain")
 
     def __init__(self, chain: list[_Element]):
-        self.text: list[str] = []
-        self.linked, self.chain = 0, chain
+        self.pieces: list[tuple[str, bool, _Element | None]] = []  # text, linked, innermost inline element dropped by class
+        self.chain = chain
 
 
 def read_blocks(page: str) -> Iterator[tuple[str, int, list[_Element]]]:
-    """(text, characters of it in links, open elements) of every block, in page order."""
+    """(text, characters of it in links, open block-level elements) of every block, in page order."""
     stack: list[_Element] = []
     done: list[_Block] = []
     block: _Block | None = None
     links = 0
+    inline: list[_Element] = []  # open inline elements that are dropped, or are unless they hold the main part
 
     def add(text: str) -> None:
         nonlocal block
-        if not text:
+        if not text or (inline and inline[-1].dropped):
             return
         if block is None:
-            block = _Block(list(stack))
+            block = _Block([e for e in stack if e.tag in BLOCK])
             done.append(block)
-        block.text.append(text)
-        if links:
-            block.linked += len(text.strip())
+        block.pieces.append((text, links > 0, inline[-1] if inline else None))
 
     def close(n: int) -> None:
         nonlocal links, block
-        for e in stack[n:]:
+        for e in reversed(stack[n:]):
             links -= e.tag == "a"
+            if inline and inline[-1] is e:
+                inline.pop()
             if e.tag in BLOCK:
                 block = None
         del stack[n:]
@@ -182,11 +184,15 @@ def read_blocks(page: str) -> Iterator[tuple[str, int, list[_Element]]]:
             for e in stack:
                 e.holds_main = True
         stack.append(element)
+        if tag not in BLOCK and element.dropped is not False:
+            element.dropped = element.dropped or (inline[-1].dropped if inline else None)  # what it stands in goes too
+            inline.append(element)
         links += tag == "a"
     for b in done:
-        text = _SPACE.sub(" ", "".join(b.text)).strip()
+        pieces = [(text, linked) for text, linked, e in b.pieces if e is None or e.holds_main]
+        text = _SPACE.sub(" ", "".join(text for text, _ in pieces)).strip()
         if text:
-            yield text, b.linked, b.chain
+            yield text, sum(len(t.strip()) for t, linked in pieces if linked), b.chain
 
 
 def _boilerplate(chain: list[_Element]) -> bool:

@@ -46,6 +46,16 @@ def test_boilerplate_goes_and_the_article_stays():
     assert main_text(page) == "\n".join(want)
 
 
+@pytest.mark.parametrize("inline", [
+    "<button>Play</button>", "<math>x</math>", "<svg><text>x</text></svg>", '<a class="social-handle">@x</a>',
+    '<span class="alert">Note</span>', '<span role="alert">Note</span>', "<span hidden>Note</span>"])
+def test_an_inline_element_goes_and_its_paragraph_stays(inline):
+    more = "<p>Another paragraph, with some words, and more of them.</p>"
+    for page, text in ((f"<p>{inline} long text, and so on.</p>", "long text, and so on."),
+                       (f"<p>A long text, {inline} and so on.</p>", "A long text, and so on.")):
+        assert main_text(f"<article>{page}{more}</article>") == text + "\nAnother paragraph, with some words, and more of them."
+
+
 def test_a_long_page_and_deep_nesting():
     long = "<article>" + "<p>word, " * 20_000 + "</article>"
     assert main_text(long) == "\n".join(["word,"] * 20_000)
