@@ -6,8 +6,9 @@ length, the punctuation and the link text of its blocks are added up and
 divided by their number. The two ratios are smoothed over neighbouring paths
 in page order, fused into one score, and a path is content if its score
 reaches ``THRESHOLD`` of the page's best. A path is lifted by the best path of
-the section it stands in, so a short heading or closing line is kept with its
-article. Regions that are boilerplate by their tag, role or class (menus,
+the article or main part it stands in, table cells and all, or else of its
+section, so a short heading or closing line is kept with its article. Link text
+counts against paths outside article and main only. Regions that are boilerplate by their tag, role or class (menus,
 headers, footers, sidebars, notices, adverts, forms, comments) take no part; of
 a block that holds an inline element of this kind only that element goes.
 
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 from possum.llm.tasks import arrow_map
 
 THRESHOLD = 0.25
-LIFT = 0.6      # share of the section's best score that its other paths have
+LIFT = 0.6      # share of the article's or section's best score that its other paths have
 OUTSIDE = 0.3   # weight of paths outside article or main, on pages that have one
 SMOOTHING = (0.25, 0.5, 0.25)
 
@@ -218,27 +219,27 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     blocks = [(text, linked, chain) for text, linked, chain in read_blocks(page or "") if not _boilerplate(chain)]
     if not blocks:
         return ""
-    paths: dict[str, list] = {}  # path -> blocks, characters, punctuation, link characters, sections, in article
+    paths: dict[str, list] = {}  # path -> blocks, characters, punctuation, link characters, sections, articles
     for text, linked, chain in blocks:
         path = chain[-1].path if chain else ""
-        p = paths.setdefault(path, [0, 0, 0, 0, set(), False])
+        p = paths.setdefault(path, [0, 0, 0, 0, set(), set()])
         p[0] += 1
         p[1] += len(text)
         p[2] += len(_PUNCTUATION.findall(text))
         p[3] += min(linked, len(text))
         p[4].add(id(chain[-1].section) if chain else 0)
-        p[5] = p[5] or any(e.tag in ("article", "main") for e in chain)
+        p[5].update(id(e) for e in chain if e.tag in ("article", "main"))
     stats = list(paths.values())
     length = _smooth([p[1] / p[0] for p in stats])
     marks = _smooth([p[2] / p[0] for p in stats])
-    scores = [math.log1p(a) * (1 + math.log1p(b)) * (1 - p[3] / p[1]) for a, b, p in zip(length, marks, stats, strict=True)]
+    scores = [math.log1p(a) * (1 + math.log1p(b)) * (1 if p[5] else 1 - p[3] / p[1]) for a, b, p in zip(length, marks, stats, strict=True)]
     if any(p[5] for p in stats):
         scores = [s * (1 if p[5] else OUTSIDE) for s, p in zip(scores, stats, strict=True)]
     section: dict[int, float] = {}
     for s, p in zip(scores, stats, strict=True):
-        for k in p[4]:
+        for k in p[4] | p[5]:
             section[k] = max(section.get(k, 0.0), s)
-    fused = {path: max(s, LIFT * max(section[k] for k in p[4])) if p[3] < p[1] else s
+    fused = {path: max(s, LIFT * max(section[k] for k in p[5] or p[4])) if p[5] or p[3] < p[1] else s
              for path, s, p in zip(paths, scores, stats, strict=True)}
     limit = threshold * max(fused.values())
     return "\n".join(text for text, _, chain in blocks if fused[chain[-1].path if chain else ""] >= limit)

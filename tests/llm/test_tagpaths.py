@@ -56,6 +56,21 @@ def test_an_inline_element_goes_and_its_paragraph_stays(inline):
         assert main_text(f"<article>{page}{more}</article>") == text + "\nAnother paragraph, with some words, and more of them."
 
 
+PROSE = "A paragraph of the article, with commas, and as many words as prose has, one after another, and more. " * 2
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_an_article_is_kept_whole(tag):
+    """A linked headline, a list of sources, a data table and a small box beside prose; links outside go."""
+    rows = [["Year", "Sold", "Lost"], ["2001", "7", "12"], ["2002", "9", "3"]]
+    table = "".join("<tr>" + "".join(f"<{c}>{x}</{c}>" for x in r) + "</tr>" for c, r in zip(("th", "td", "td"), rows, strict=True))
+    page = (f"<body><{tag}><h1><a href=/a>Title</a></h1><p>{PROSE}</p><p>{PROSE}</p><table>{table}</table><p>{PROSE}</p>"
+            f"<div>7 km</div><ul><li><a href=/1>One source</a></li><li><a href=/2>Two</a></li></ul></{tag}>"
+            "<div><ul><li><a href=/x>Elsewhere</a></li></ul></div></body>")
+    prose = PROSE.strip()
+    assert main_text(page).split("\n") == ["Title", prose, prose, *(x for r in rows for x in r), prose, "7 km", "One source", "Two"]
+
+
 def test_a_long_page_and_deep_nesting():
     long = "<article>" + "<p>word, " * 20_000 + "</article>"
     assert main_text(long) == "\n".join(["word,"] * 20_000)
