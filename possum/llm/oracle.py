@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries of this package that SQL can express.
 
-The others (op2, op5, op7, op9, op10 and the pipeline) are tested in
+The others (op2, op5, op7, op9, op10, op13 and the pipeline) are tested in
 tests/llm against brute force, held-out accuracy or a round trip.
 """
 
@@ -142,10 +142,62 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(doc_
 FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN comp USING (doc_id)
 """
 
+OP11 = f"""
+WITH RECURSIVE tab AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda a, k:
+           CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END)) AS tab),
+r AS (
+  SELECT coalesce(doc_id::VARCHAR, 'null') AS i, unnest(regexp_extract_all({LOWER.format('text')}, '[a-zÀ-ÿ]+')) AS run FROM documents),
+p AS (
+  SELECT run, length(run) AS l, count(*) AS c, hex(encode(i || ':' || run)) AS x FROM r WHERE length(run) >= 7 GROUP BY i, run),
+h AS (
+  SELECT run, l, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda k: ('0x' || substr(x, 2 * k + 1, 2))::BIGINT)),
+                        lambda a, b: xor(a >> 8, tab[xor(a & 255, b) + 1])), 4294967295) AS h FROM p, tab),
+v AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT c, CASE WHEN h % 31 = 0 THEN left(run, h % l) || substr(run, h % l + 2) ELSE run END AS word FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+d AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS d FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+shorter AS (SELECT DISTINCT d.word AS long, v.word AS short FROM d JOIN v ON d.d = v.word),
+pairs AS (
+  SELECT a.word, b.word AS near FROM d a JOIN d b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT long, short FROM shorter UNION ALL SELECT short, long FROM shorter),
+best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near,
+         row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place
+  FROM (SELECT p.word, near, v.n AS near_n FROM pairs p JOIN v ON v.word = p.near)),
+f AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form,
+         CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+  FROM v LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (word)),
+walk AS (
+  SELECT word, word AS here, 0 AS hop FROM f
+  UNION ALL SELECT w.word, f.form, hop + 1 FROM walk w JOIN f ON f.word = w.here WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(here, hop) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN roots USING (word)
+"""
+
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (
+  SELECT r, doc_id, i, line, {LOWER.format(f"trim(line, {_BLANKS})")} AS key
+  FROM (SELECT r, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM d)),
+repeated AS (
+  SELECT key, max(doc_id) AS largest FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT l.*, coalesce(doc_id < largest, false) AS gone FROM l LEFT JOIN repeated USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r
+"""
+
 ORACLES: dict[str, str] = {
     "op1_norm_bucket_topk": OP1,
     "op3_chat_formatting": OP3,
     "op4_suffix_decontamination": OP4,
     "op6_pareto_mixing": _op6(),
     "op8_minhash_neardup": OP8,
+    "op11_spelling_variants": OP11,
+    "op12_line_dedup": OP12,
 }

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from possum.llm import chat, credentials, mixing, neardup, quality, suffix, suffixtree, tagpaths, topk, toxicity
+from possum.llm import (chat, credentials, linededup, mixing, neardup, periodic, quality, spelling, suffix, suffixtree,
+                        tagpaths, topk, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,7 +74,25 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return credentials.secret_digest(credentials.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its more common form, if it has one."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, and what is left of them without repeated lines."""
+    kept = linededup.deduplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("__line_total").alias("n_lines"), F.col("__line_dropped").alias("n_dropped"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, planted ones included."""
+    return periodic.run_digest(periodic.periodic_runs(table(spark, sf_dir, "documents"), periodic.planted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
     op1_norm_bucket_topk, op2_tag_path_ratios, op3_chat_formatting, op4_suffix_decontamination, op5_quality_classifier, op6_pareto_mixing,
-    op7_toxicity_cnn, op8_minhash_neardup, op9_suffix_tree_lm, op10_secret_scan)}
+    op7_toxicity_cnn, op8_minhash_neardup, op9_suffix_tree_lm, op10_secret_scan,
+    op11_spelling_variants, op12_line_dedup, op13_periodic_runs)}
