@@ -8,16 +8,20 @@
    apart are one edit or none apart when reduced, so the reduced form of one is
    in the neighbourhood of the other.
 3. The neighbourhoods are joined with the reduced forms of the vocabulary. An
-   edit leaves one end of a word as it was: neighbours made by an edit behind
-   the first ``END`` letters carry these letters, the others the last ``END``
-   letters, so only words that also agree there meet. This keeps the groups
-   small however few the symbols are.
-4. The pairs that meet are verified on the original strings (edit distance 1).
+   edit leaves one half of a word as it was: neighbours made by an edit behind
+   the first half carry these letters, the others those of the last half, so
+   only words that also agree there meet, and a group holds what differs in the
+   other half alone. Neighbours that no word of the vocabulary has, by a bitmap
+   of fixed size, are not sent: most of them.
+4. The pairs that meet are verified on the original strings (edit distance 1)
+   where they meet.
 
 Reduced forms are compared by a polynomial hash, from which the hash of every
 neighbour follows in constant time: the work is linear in the letters of the
-vocabulary, also for words of a million letters. Rows of the join are two
-integers; a chance meeting of hashes is undone by the verification.
+vocabulary, also for words of a million letters. Words above ``LONG`` letters
+meet by number and are verified afterwards, so that no row repeats a long word
+for each of its neighbours. A chance meeting of hashes is undone by the
+verification.
 
 A word's form is its near word of largest count, if that is ``TIMES`` the
 word's own. Counts grow by that factor along a chain of forms, so at most
@@ -33,6 +37,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -48,9 +53,10 @@ MIN_LENGTH = 7
 MIN_COUNT = 2
 TIMES = 10
 SYMBOLS = 4
-END = 3
 DROP = 31              # a run loses a letter if this divides its checksum
+LONG = 64              # letters
 SLICE = 1 << 16        # letters of one step of the neighbourhood generation
+BITS = 1 << 27         # of the bitmap of the vocabulary's keys, 16 MB
 _B = 0x9E3779B97F4A7C15
 _B_INV = pow(_B, -1, 1 << 64)
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -88,13 +94,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def _ends(code: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the first and the last END letters of each word."""
-    head, tail = np.ones(len(first), np.uint64), np.full(len(first), U(2))
-    for k in range(END):
-        head = head * U(1 << 21) + code[first + k]
-        tail = tail * U(1 << 21) + code[last - END + k]
-    return mix(head), mix(tail ^ U(_B))
+def _key(value: np.ndarray, head: np.ndarray) -> np.ndarray:
+    """A 48-bit key whose last bit tells which half it holds (0: the first)."""
+    return (mix(value) >> U(17) << U(1)) | (~head).astype(np.uint64)
+
+
+def _spans(code: np.ndarray, first: np.ndarray, size: np.ndarray, power: np.ndarray, inverse: np.ndarray) -> Callable:
+    """Hash of the letters i to j (word by word) of the words ``w``."""
+    place = np.arange(len(code)) - np.repeat(first, size)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((code + U(1)) * power[place], dtype=np.uint64)])
+
+    def span(w: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return mix((total[first[w] + j] - total[first[w] + i]) * inverse[i])
+
+    return span
 
 
 def _letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -105,80 +118,124 @@ def _letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def neighbourhood(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(word number, key) of every neighbour of every word; words have at least 2 * END + 1 letters."""
+    """(word number, key) of every neighbour of every word; words have at least 3 letters."""
     code, at = _letters(words)
-    first, last, size = at[:-1], at[1:], np.diff(at)
+    first, size = at[:-1], np.diff(at)
     s = symbol(code)
-    head, tail = _ends(code, first, last)
     power, inverse = _powers(int(size.max()) + 2)
+    span = _spans(code, first, size, power, inverse)
     # gaps: one before each letter and one behind the last
     who = np.repeat(np.arange(len(size)), size + 1)
     p = np.arange(len(who)) - np.repeat(first + np.arange(len(size)), size + 1)
-    inside = p < size[who]
     letter = np.minimum(first[who] + p, len(code) - 1)
     place = np.arange(len(code)) - np.repeat(first, size)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(s * power[place], dtype=np.uint64)])
-    whole = (total[last] - total[first])[who]
+    whole = (total[at[1:]] - total[first])[who]
     before = total[first[who] + p] - total[first[who]]       # the p letters before the gap
-    step = power[p]
+    inside = p < size[who]
     here = np.where(inside, s[letter], U(0))
+    left = np.where(p == 0, U(0), s[np.maximum(first[who] + p - 1, 0)])
     behind = whole - before                                  # the letters from the gap on
-    start = (p == 0) | (p == END)                            # the first gap of either end's share
-    left = np.where(start, U(0), s[np.maximum(first[who] + p - 1, 0)])
-    anchor = np.where(p >= END, head[who], tail[who])
+    step = power[p]
     keys, owners = [], []
 
-    def add(where: np.ndarray, value: np.ndarray) -> None:
-        keys.append(mix(value[where] ^ anchor[where]))
-        owners.append(who[where])
+    ends = {}
+    for more in (-1, 0, 1):     # the letters that neighbours of this many letters more must share, and where either share of the gaps starts
+        half = ((size + more - 1) // 2)[who]
+        head = p >= half
+        n = size[who]
+        span_of = span(who, np.where(head, 0, n - half), np.where(head, half, n))
+        ends[more] = (span_of ^ np.where(head, U(0), U(_B)), head, (p == 0) | (p == half))
+
+    def add(more: int, use: np.ndarray, value: np.ndarray) -> None:
+        keys.append(_key(value[use] ^ ends[more][0][use], ends[more][1][use]))
+        owners.append(who[use])
 
-    add(start, whole)
-    add(inside & (left != here), before + (behind - here * step) * inverse[1])
+    add(0, ends[0][2], whole)
+    add(-1, inside & (ends[-1][2] | (left != here)), before + (behind - here * step) * inverse[1])
     for c in range(1, SYMBOLS + 1):
-        add(inside & (here != U(c)), whole + (U(c) - here) * step)
-        add(left != U(c), before + U(c) * step + behind * power[1])
+        add(0, inside & (here != U(c)), whole + (U(c) - here) * step)
+        add(1, ends[1][2] | (left != U(c)), before + U(c) * step + behind * power[1])
     return np.concatenate(owners), np.concatenate(keys)
 
 
 def reduced(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(word number, key): each word's reduced form, once with either end."""
     code, at = _letters(words)
-    first, last, size = at[:-1], at[1:], np.diff(at)
-    power, _ = _powers(int(size.max()) + 1)
+    first, size = at[:-1], np.diff(at)
+    power, inverse = _powers(int(size.max()) + 2)
+    span = _spans(code, first, size, power, inverse)
     place = np.arange(len(code)) - np.repeat(first, size)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(symbol(code) * power[place], dtype=np.uint64)])
-    whole = total[last] - total[first]
-    head, tail = _ends(code, first, last)
-    n = np.arange(len(size))
-    return np.concatenate([n, n]), np.concatenate([mix(whole ^ head), mix(whole ^ tail)])
+    whole = total[at[1:]] - total[first]
+    n, half = np.arange(len(size)), (size - 1) // 2
+    head, tail = span(n, 0 * n, half), span(n, size - half, size)
+    yes = np.ones(len(size), bool)
+    return np.concatenate([n, n]), np.concatenate([_key(whole ^ head, yes), _key(whole ^ tail ^ U(_B), ~yes)])
+
 
+def _keyed(vocabulary: DataFrame, make: Callable, send: list[str], present: np.ndarray | None = None) -> DataFrame:
+    """key and the columns ``send`` for what ``make`` gives for the words (the
+    first column), a bounded number of letters at a time.
 
-def _keyed(vocabulary: DataFrame, make, name: str) -> DataFrame:
-    """(key, name) rows of ``make`` over the words, a bounded number of letters at a time."""
+    ``present`` is a bitmap of the keys worth sending.
+    """
     def task(batches):
         for b in batches:
-            ids, words = b.column(0).to_numpy(), b.column(1)
+            words = b.column(0)
             size = np.concatenate([[0], np.cumsum(np.asarray(pc.utf8_length(words), np.int64))])
             i = 0
             while i < len(words):
                 j = max(i + 1, int(np.searchsorted(size, size[i] + SLICE, "right")) - 1)
                 who, key = make(words.slice(i, j - i))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[i:j][who])], names=["key", name])
+                if present is not None:
+                    slot = (key >> U(1)) & U(BITS - 1)
+                    some = (present[slot >> U(3)] >> (slot & U(7)).astype(np.uint8)) & 1 == 1
+                    who, key = who[some], key[some]
+                for k in range(0, max(1, len(who)), 1 << 18):
+                    rows = pa.array(i + who[k:k + (1 << 18)])
+                    yield pa.RecordBatch.from_arrays([pa.array(key[k:k + (1 << 18)].view(np.int64)), *[c.take(rows) for c in b.columns[1:]]],
+                                                     names=["key", *b.schema.names[1:]])
                 i = j
 
-    return arrow_map(vocabulary.select("id", "word"), task, f"key long, {name} long")
+    sent = vocabulary.select(F.col(vocabulary.columns[0]).alias("__word"), *send)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sent.schema.fields[1:])
+    return arrow_map(sent, task, f"key long, {kinds}")
+
+
+def _present(keys: DataFrame) -> np.ndarray:
+    """Bitmap of the keys, BITS long: at most BITS / 32768 rows of 4 kB come to the driver, whatever the vocabulary."""
+    slot = F.shiftright("key", 1).bitwiseAND(F.lit(BITS - 1))
+    # the functions count positions from 1
+    rows = (keys.select(F.bitmap_bucket_number(slot + 1).alias("bucket"), F.bitmap_bit_position(slot + 1).alias("bit"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect())
+    out = np.zeros(BITS // 8, np.uint8)
+    for bucket, bits in rows:
+        at = (bucket - 1) * 4096
+        out[at:at + 4096] = np.frombuffer(bytes(bits), np.uint8)
+    return out
 
 
 def near_words(vocabulary: DataFrame) -> DataFrame:
     """word, near, near_n: all ordered pairs of the vocabulary (word, n) that are one edit apart.
 
-    Words must be distinct and have at least 2 * END + 1 letters.
+    Words must be distinct and have at least 3 letters; pass a staged frame.
     """
-    v = vocabulary.select(F.xxhash64("word").alias("id"), "word", "n")
-    met = (_keyed(v, neighbourhood, "a").join(_keyed(v, reduced, "b"), "key").select("a", "b").distinct())
-    left = v.select(F.col("id").alias("a"), "word")
-    right = v.select(F.col("id").alias("b"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return met.join(left, "a").join(right, "b").where(F.levenshtein("word", "near", 1) == 1).select("word", "near", "near_n")
+    one_edit = F.levenshtein("word", "near", 1) == 1
+    short = vocabulary.where(F.length("word") <= LONG)
+    posted = staged(_keyed(short.select(F.col("word").alias("near"), F.col("n").alias("near_n")), reduced, ["near", "near_n"]), "reduced")
+    met = _keyed(short, neighbourhood, ["word"], _present(posted)).join(posted, "key")
+    # each pair once: by its first half if the two share it, or else by its last
+    half = ((F.length("near") - 1) / 2).cast("int")
+    same = F.substring(F.col("word"), F.lit(1), half) == F.substring(F.col("near"), F.lit(1), half)
+    pairs = met.where(one_edit & (same == (F.col("key").bitwiseAND(F.lit(1)) == 0))).select("word", "near", "near_n")
+    # long words, and their near words of LONG letters
+    long = vocabulary.where(F.length("word") >= LONG).select("word", F.xxhash64("word").alias("id"), "n")
+    left = long.select("word", F.col("id").alias("a"))
+    right = long.select(F.col("word").alias("near"), F.col("id").alias("b"), F.col("n").alias("near_n"))
+    numbers = _keyed(left, neighbourhood, ["a"]).join(_keyed(right, reduced, ["b"]), "key").select("a", "b").distinct()
+    others = numbers.join(left, "a").join(right, "b").where(one_edit & (F.greatest(F.length("word"), F.length("near")) > LONG))
+    return pairs.unionByName(others.select("word", "near", "near_n"))
 
 
 def _roots(forms: DataFrame, most: int) -> DataFrame:
