@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from possum.functions import codes
@@ -59,6 +59,49 @@ def apply_price_list(items: DataFrame, price_list: Sequence[tuple[str, str | Dec
     return items.withColumn("p", F.coalesce(F.get(hits, F.lit(0))["price"], F.col("p")))
 
 
+GRAM = 3
+
+
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """The distinct substrings of these sizes (0: the empty one)."""
+    def of(size: int) -> Column:
+        if size == 0:
+            return F.array(F.lit(""))
+        starts = F.sequence(F.lit(1), F.length(text) - (size - 1))
+        return F.when(F.length(text) >= size, F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))).otherwise(
+            F.array().cast("array<string>"))
+
+    return F.array_distinct(F.concat(*[of(k) for k in sizes]))
+
+
+def apply_long_price_list(items: DataFrame, price_list: DataFrame) -> DataFrame:
+    """D7 for a list of any length: price_list has position, name, price.
+
+    An inverted index instead of a comparison of every name with every entry.
+    A name that contains an entry contains each of the entry's trigrams, so an
+    entry is posted under one trigram only, the one that the fewest item names
+    have; an entry with a trigram that no name has can't match and is gone.
+    Distinct names are joined with the postings on their trigrams, ``contains``
+    is verified, and the first position wins (ties: the lowest price). Entries
+    shorter than a trigram are posted under themselves; names list their shorter
+    substrings only if there are such entries. A null name or entry matches
+    nothing. The plan has equality joins alone.
+    """
+    entries = price_list.select("position", "name", F.col("price").cast("decimal(18,2)").alias("price")).where(F.col("name").isNotNull())
+    names = items.select("n").where(F.col("n").isNotNull()).distinct()
+    sizes = F.array_sort(F.collect_set(F.when(F.length("name") < GRAM, F.length("name"))))
+    short = entries.agg(sizes.alias("sizes")).first()["sizes"]      # of 0, 1, 2
+    grams = names.select("n", F.explode(_grams(F.col("n"), [*short, GRAM])).alias("gram"))
+    common = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
+    own = F.when(F.length("name") < GRAM, F.array("name")).otherwise(_grams(F.col("name"), [GRAM]))
+    wanted = entries.select("position", "name", "price", F.size(own).alias("size"), F.explode(own).alias("gram")).join(common, "gram")
+    posted = (wanted.groupBy("position", "name", "price", "size").agg(F.count(F.lit(1)).alias("found"), F.min_by("gram", F.struct("df", "gram")).alias("gram"))
+              .where(F.col("found") % F.col("size") == 0))      # all trigrams known; equal entries count together
+    hits = grams.join(posted.select("gram", "position", "name", "price"), "gram").where(F.col("n").contains(F.col("name")))
+    best = hits.groupBy("n").agg(F.min(F.struct("position", "price"))["price"].alias("list_price"))
+    return items.join(best, "n", "left").withColumn("p", F.coalesce("list_price", "p")).select(*items.columns)
+
+
 def revalue_stock(summary: DataFrame, by_dept: DataFrame, items: DataFrame,
                   rules: Rules) -> tuple[DataFrame, DataFrame]:
     """Stock value at the final item cost.

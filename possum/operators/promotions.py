@@ -13,11 +13,13 @@ from possum.functions.filters import discount_live, fact_live
 from possum.functions.money import out
 from possum.functions.text import ustrip
 from possum.operators.base import from_month, live_stores
+from possum.operators.skew import HeavyKeys, salted_join
 from possum.rules import Rules
 
 
-def promotion_redemptions(bundle: Bundle, rules: Rules, as_of: datetime) -> DataFrame:
+def promotion_redemptions(bundle: Bundle, rules: Rules, as_of: datetime, heavy: HeavyKeys | None = None) -> DataFrame:
     """Branch, id, name, ym, store, qty, total (decimal) for 25 months.
+    ``heavy`` are transactions with a large part of all lines, whose join is salted.
 
     Chain: discount line -> discount header -> sale line -> transaction ->
     store -> promotion. Store and promotion are small dimensions; the three
@@ -35,9 +37,8 @@ def promotion_redemptions(bundle: Bundle, rules: Rules, as_of: datetime) -> Data
         fact_live(F.col("Status")) & (F.col("SaleTime") >= since)
     ).select("branch", "TransactionID", "StoreID", month_label(F.col("SaleTime")).alias("ym"))
     p = bundle["promotion"].select("branch", F.col("ID").alias("PromotionID"), "Description")
-    j = (ted.join(td, ["branch", "TDiscountID"])
-         .join(te, ["branch", "TransactionEntryID"])
-         .join(t, ["branch", "TransactionID"])
+    lines = ted.join(td, ["branch", "TDiscountID"]).join(te, ["branch", "TransactionEntryID"])
+    j = ((lines.join(t, ["branch", "TransactionID"]) if heavy is None else salted_join(lines, t, heavy))
          .join(live_stores(bundle).select("branch", "StoreID", "StoreName"), ["branch", "StoreID"])
          .join(p, ["branch", "PromotionID"]))
     g = j.groupBy("branch", "PromotionID", "Description", "StoreName", "ym").agg(

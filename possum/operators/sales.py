@@ -25,6 +25,7 @@ from possum.functions.filters import fact_live, master_live
 from possum.functions.money import dec, out, whole
 from possum.functions.text import plus, ustrip
 from possum.operators.base import from_month, item_dimension, live_stores, main_group
+from possum.operators.skew import HeavyKeys, salted_join
 from possum.rules import Rules
 from possum.sources.sinks import decimals_to_double
 
@@ -55,25 +56,32 @@ def sales_by_store_day(bundle: Bundle, rules: Rules) -> DataFrame:
     return _by_day(sales_transactions(bundle, rules), "StoreName")
 
 
-def sale_lines(bundle: Bundle, rules: Rules) -> DataFrame:
-    """Live sale lines (entry types not excluded) of sale transactions."""
+def sale_lines(bundle: Bundle, rules: Rules, heavy: HeavyKeys | None = None) -> DataFrame:
+    """Live sale lines (entry types not excluded) of sale transactions; ``heavy``
+    are transactions with a large part of all lines, whose join is salted."""
     te = bundle["transaction_entry"].where(
         fact_live(F.col("Status"))
         & ~F.col("TransactionEntryType").isin(*rules.excluded_entry_types)
     ).select("branch", "TransactionID", "DepartmentID", F.col("Total").alias("LineTotal"))
     t = sales_transactions(bundle, rules).select("branch", "TransactionID", "SaleTime")
-    return te.join(t, ["branch", "TransactionID"])
+    return te.join(t, ["branch", "TransactionID"]) if heavy is None else salted_join(te, t, heavy)
 
 
-def sales_by_department_day(bundle: Bundle, rules: Rules) -> DataFrame:
-    """SaleDate, Dept, TotalSales. The department is the line's own
-    (a small dimension joined before the one aggregate)."""
-    lines = sale_lines(bundle, rules).withColumn("SaleDate", day_label(F.col("SaleTime")))
+def department_day_sums(bundle: Bundle, rules: Rules, heavy: HeavyKeys | None = None) -> DataFrame:
+    """D11 with the number of lines: SaleDate, Dept, TotalSales, Lines. The
+    department is the line's own (a small dimension joined before the one
+    aggregate)."""
+    lines = sale_lines(bundle, rules, heavy).withColumn("SaleDate", day_label(F.col("SaleTime")))
     d = bundle["department"].select("branch", "DepartmentID", F.col("Name").alias("DeptName"))
     labelled = lines.join(d, ["branch", "DepartmentID"], "left").withColumn(
         "Dept", F.coalesce(F.col("DeptName"), F.lit(rules.no_department)))
-    g = labelled.groupBy("SaleDate", "Dept").agg(F.sum("LineTotal").alias("TotalSales"))
-    return g.select("SaleDate", "Dept", F.coalesce(F.col("TotalSales"), F.lit(0)).alias("TotalSales"))
+    g = labelled.groupBy("SaleDate", "Dept").agg(F.sum("LineTotal").alias("TotalSales"), F.count(F.lit(1)).alias("Lines"))
+    return g.select("SaleDate", "Dept", F.coalesce(F.col("TotalSales"), F.lit(0)).alias("TotalSales"), "Lines")
+
+
+def sales_by_department_day(bundle: Bundle, rules: Rules, heavy: HeavyKeys | None = None) -> DataFrame:
+    """SaleDate, Dept, TotalSales."""
+    return department_day_sums(bundle, rules, heavy).drop("Lines")
 
 
 def sales_by_seller_day(bundle: Bundle, rules: Rules) -> DataFrame:

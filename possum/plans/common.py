@@ -53,3 +53,9 @@ def write_ordered(bundle: Bundle, df: DataFrame, path: str, spec: Sequence[str],
         spec = [x for c in spec for x in (("branch_rank", "branch") if c == "branch" else (c,))]
         drop = [*drop, "branch_rank"]
     write_dataset(df, path, fmt=fmt, partition_by=partition_by, order_by=sink_order(spec), drop=drop, dynamic=dynamic)
+
+
+def write_clustered(df: DataFrame, path: str, column: str) -> None:
+    """Parquet clustered on ``column``: a filter on it skips files and row groups
+    by their bounds, without a folder for each value."""
+    df.hint("rebalance", column).sortWithinPartitions(column).write.parquet(path)

@@ -12,6 +12,7 @@ dataset.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -22,8 +23,8 @@ from possum.bundle import Bundle
 from possum.operators import branches, people, pricing, sales, stock
 from possum.operators.base import stock_base
 from possum.plans.common import Stage, write_ordered
+from possum.plans.publish import Manifest, commit, expire, read_manifest
 from possum.rules import Rules
-from possum.sources.sinks import write_dataset
 
 
 def build_stock(bundle: Bundle, rules: Rules, as_of: datetime,
@@ -62,21 +63,22 @@ ORDER = {
 DROP = {"store_summary": ("Sort",), "by_department": ("SortValue",), "search_items": ("key",)}
 
 
-def manifest(bundle: Bundle, as_of: datetime, names: list[str]) -> DataFrame:
-    """One row: last_updated ('dd/MM/yyyy HH:mm') and the dataset folders."""
-    return bundle.spark.createDataFrame([(as_of.strftime("%d/%m/%Y %H:%M"), names)],
-                                        "last_updated string, datasets array<string>")
-
-
 def run_stock_job(bundle: Bundle, rules: Rules, as_of: datetime, out_dir: str,
-                  price_list: Sequence[tuple[str, str]] = (), fmt: str = "json") -> dict[str, str]:
-    """Build and write every dataset; returns dataset -> folder."""
-    stage = Stage(bundle.spark, "stock_job")
+                  price_list: Sequence[tuple[str, str]] = (), fmt: str = "json", keep: int = 2) -> dict[str, str]:
+    """Build and write every dataset into a folder of this run, then publish it
+    (:mod:`possum.plans.publish`): a run that fails half-way changes nothing that
+    readers see. The last ``keep`` versions stay. Returns dataset -> folder."""
+    spark = bundle.spark
+    stage = Stage(spark, "stock_job")
+    run_dir = os.path.join(out_dir, f"run-{uuid.uuid4().hex}")
     paths = {}
     for name, df in build_stock(bundle, rules, as_of, price_list, stage).items():
-        path = os.path.join(out_dir, name)
+        path = os.path.join(run_dir, name)
         write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, drop=DROP.get(name, ()))
         paths[name] = path
-    write_dataset(manifest(bundle, as_of, sorted(paths)), os.path.join(out_dir, "_manifest"), fmt=fmt)
+    last = read_manifest(spark, out_dir)
+    commit(spark, out_dir, Manifest(last.version if last else 0, run_dir, tuple(sorted(paths)),
+                                    last_updated=as_of.strftime("%d/%m/%Y %H:%M")))
     stage.drop()
+    expire(spark, out_dir, keep)
     return paths

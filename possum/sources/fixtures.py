@@ -76,8 +76,8 @@ FROM orders JOIN customer ON c_custkey = o_custkey
 """
 
 VIEWS["transaction_entry"] = """
-SELECT l_orderkey * 10000000000000 + l_linenumber * 1000000000000 + (l_partkey % 100000) * 10000000
-         + CAST(round(l_extendedprice * 100) AS BIGINT) % 10000000 AS TransactionEntryID,
+SELECT l_orderkey * 10000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice,
+         l_quantity, l_discount, l_returnflag, l_linestatus) AS TransactionEntryID,
        l_orderkey AS TransactionID, l_partkey * 100 + s_nationkey AS ItemStoreID, m.DepartmentID1 AS DepartmentID,
        CAST(l_quantity AS DECIMAL(18,1)) AS Qty,
        CAST(CASE WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(18,2)) AS Total,

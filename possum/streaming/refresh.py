@@ -5,23 +5,24 @@ Structured Streaming source of changes (new or edited rows of the
 transaction, sale-line and tender-line tables, e.g. files dropped by change
 capture) drives the refresh: each micro-batch finds the sale months it touches, recomputes the
 day-keyed datasets (D10-D14 and the date document D23) for those months
-only, and replaces just those month folders of the outputs (dynamic
-partition overwrite), the layout ``run_daily_job`` writes. Other months are
-neither read for output nor rewritten.
+only, writes them into a folder of their own and publishes them as a whole
+(:mod:`possum.plans.publish`). Other months are neither read for output nor
+rewritten. A feed that carries before and after images needs no month
+recomputed: :mod:`possum.streaming.retract`.
 
 Exactness: every refreshed dataset groups by the sale day, so a month's
 rows depend only on that month's transactions; recomputing a touched month
 from the full tables gives the same rows as a full run.
 
 Failures: ``foreachBatch`` delivers a micro-batch at least once. The batch
-function is idempotent (recompute the touched months from the tables,
-overwrite their folders), so a batch replayed after a lost driver or
-executor leaves the same output.
+function is idempotent (recompute the touched months from the tables),
+so a batch replayed after a lost driver or executor leaves the same output.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
@@ -33,9 +34,13 @@ from possum import schemas
 from possum.bundle import Bundle
 from possum.functions.dates import month_label
 from possum.operators import assemble, payments, sales
-from possum.plans.common import Stage, remove_folder, write_ordered
-from possum.plans.daily_job import MONTH, ORDER, published, with_month
+from possum.operators.base import MONTH
+from possum.operators.daysums import DAY_SUMS, as_dataset, day_sums
+from possum.plans.common import Stage, write_clustered, write_ordered
+from possum.plans.daily_job import ORDER, with_month
+from possum.plans.publish import Manifest, commit, expire, read_manifest, with_moves
 from possum.rules import Rules
+from possum.sources.months import NO_MONTH
 
 DAY_DATASETS: dict[str, Callable[[Bundle, Rules], DataFrame]] = {
     "stores": sales.sales_by_store_day,
@@ -68,12 +73,22 @@ def touched_months(changes: DataFrame, bundle: Bundle) -> list[str]:
     return sorted(r[0] for r in months.where(F.col(MONTH).isNotNull()).toLocalIterator())
 
 
-def restrict_to_months(bundle: Bundle, months: Sequence[str]) -> Bundle:
+def month_moves(changes: DataFrame) -> list[tuple[str, str]]:
+    """(old, new) sale months of the moved transactions of a batch, a short list on the driver."""
+    moves = changes.where(F.col("SaleTimeBefore").isNotNull() & F.col("SaleTime").isNotNull()).select(
+        month_label(F.col("SaleTimeBefore")).alias("old"), month_label(F.col("SaleTime")).alias("new")).where("old <> new").distinct()
+    return sorted((r.old, r.new) for r in moves.toLocalIterator())
+
+
+def restrict_to_months(bundle: Bundle, months: Sequence[str], line_months: Sequence[str] = ()) -> Bundle:
     """The bundle with its transactions limited to ``months``.
 
     The bounds on SaleTime reach the scan. Facts stored with their sale month
     (:mod:`possum.sources.months`) are limited on that partition column, so the
-    other months' folders are not listed.
+    other months' folders are not listed. Lines stay in the folder they were
+    stored in when their transaction moves: ``line_months`` are further folders
+    that may hold lines of these months, and lines that came before their
+    transaction lie in one of their own.
     """
     months = sorted(months)
     t = bundle["pos_transaction"]
@@ -82,33 +97,45 @@ def restrict_to_months(bundle: Bundle, months: Sequence[str]) -> Bundle:
     first, last = (F.to_timestamp_ntz(F.lit(f"{m}-01"), F.lit("yyyy-MM-dd")) for m in (months[0], months[-1]))
     t = t.where((F.col("SaleTime") >= first) & (F.col("SaleTime") < last + F.expr("INTERVAL 1 MONTH"))
                 & month_label(F.col("SaleTime")).isin(*months))
-    tables = {"pos_transaction": t, **{n: bundle[n] for n in CHANGE_TABLES[1:]}}
-    return bundle.with_tables(**{n: df.where(F.col(MONTH).isin(*months)) if MONTH in df.columns else df
-                                 for n, df in tables.items()})
-
-
-def refresh_months(bundle: Bundle, rules: Rules, months: Sequence[str], out_dir: str, fmt: str = "json") -> None:
-    """Recompute the day-keyed datasets (and the date document) for ``months``
-    and replace their partitions ``<dataset>/SaleMonth=...`` of the published
-    run. A month that has no rows any more loses its folder."""
+    tables = {"pos_transaction": t.where(F.col(MONTH).isin(*months)) if MONTH in t.columns else t}
+    folders = sorted({*months, *line_months, NO_MONTH})
+    for name in CHANGE_TABLES[1:]:
+        df = bundle[name]
+        tables[name] = df.where(F.col(MONTH).isin(*folders)) if MONTH in df.columns else df
+    return bundle.with_tables(**tables)
+
+
+def refresh_months(bundle: Bundle, rules: Rules, months: Sequence[str], out_dir: str, fmt: str = "json", keep: int = 2,
+                   moves: Sequence[tuple[str, str]] = ()) -> None:
+    """Recompute the day-keyed datasets (and the date document) for ``months``,
+    write them into a folder of their own and publish that: readers see all of
+    them change at once. A month that has no rows any more has none there.
+
+    ``moves`` are the (old, new) months of transactions that moved. The manifest
+    keeps them, so a later refresh of the new month still finds lines stored
+    under the old one.
+    """
     if not months:
         return
     spark = bundle.spark
-    folder = published(spark, out_dir, fmt)
-    scoped = restrict_to_months(bundle, months)
+    last = read_manifest(spark, out_dir)
+    lines_of = with_moves(last.lines_of if last else {}, moves)
+    scoped = restrict_to_months(bundle, months, sorted({f for m in months for f in lines_of.get(m, ())}))
     stage = Stage(spark, "refresh")
-    built = {name: stage.put(name, build(scoped, rules)) for name, build in DAY_DATASETS.items()}
+    folder = os.path.join(out_dir, f"refresh-{uuid.uuid4().hex}")
+    sums = {name: stage.put(name, day_sums(name, scoped, rules)) for name in DAY_SUMS}
+    built = {name: as_dataset(name, df) for name, df in sums.items()}
     built["daily"] = sales.daily_from_stores(built["stores"])
     built["by_date"] = assemble.day_documents(built["stores"], built["depts"], built["sellers"],
                                               built["payments"])
     for name, df in built.items():
-        df = with_month(df)
-        path = os.path.join(folder, name)
-        write_ordered(bundle, df, path, ORDER.get(name, ()), fmt, partition_by=[MONTH], dynamic=True)
-        left = {r[0] for r in df.select(MONTH).distinct().toLocalIterator()}
-        for month in set(months) - left:
-            remove_folder(spark, os.path.join(path, f"{MONTH}={month}"))
+        write_ordered(bundle, with_month(df), os.path.join(folder, name), ORDER.get(name, ()), fmt, partition_by=[MONTH])
+    for name, df in sums.items():
+        write_clustered(with_month(df), os.path.join(folder, "_state", name), MONTH)
+    m = last or Manifest(0, folder, tuple(sorted(built)))
+    commit(spark, out_dir, m._replace(months={**m.months, **{k: folder for k in months}}, lines_of=lines_of))
     stage.drop()
+    expire(spark, out_dir, keep)
 
 
 def change_stream(spark: SparkSession, changes: Mapping[str, str]) -> DataFrame:
@@ -147,7 +174,7 @@ def start_refresh(spark: SparkSession, changes: str | Mapping[str, str], load_bu
     def batch(batch_changes: DataFrame, _epoch: int) -> None:
         bundle = load_bundle()
         batch_changes = batch_changes.persist()
-        refresh_months(bundle, rules, touched_months(batch_changes, bundle), out_dir, fmt)
+        refresh_months(bundle, rules, touched_months(batch_changes, bundle), out_dir, fmt, moves=month_moves(batch_changes))
         batch_changes.unpersist()
 
     writer = source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint_location)

@@ -22,8 +22,9 @@ from possum_checks.params import AS_OF, AS_OF_PEOPLE, LABEL_B, PRICE_LIST, RULES
 from possum.bundle import Bundle
 from possum.functions.money import out
 from possum.operators import (assemble, attendance, branches, ledger, payments, people, pricing,
-                              promotions, sales, stock, suppliers)
+                              promotions, sales, skew, stock, suppliers)
 from possum.operators.base import stock_base
+from possum.operators.daysums import DAY_SUMS, day_sums
 from possum.plans.common import Stage, write_ordered
 from possum.plans.daily_job import ORDER, published, run_daily_job
 from possum.sources.adapters import fixture_bundle, split_branches
@@ -31,6 +32,7 @@ from possum.sources.feed import read_feed
 from possum.sources.optional import optional_table
 from possum.sources.parquet import write_bundle
 from possum.sources.sinks import seal, unseal
+from possum.streaming import retract
 
 
 def catalogue(b: Bundle) -> DataFrame:
@@ -101,6 +103,61 @@ def day_docs(b: Bundle) -> DataFrame:
                                   sales.sales_by_seller_day(b, RULES), payments.payments_by_day(b, RULES))
 
 
+def changed_days(b: Bundle) -> DataFrame:
+    """D10, D11, D12 and D14 by retraction: the day sums of the tables as they were
+    (times, totals, sellers and states of transactions, lines and tenders differ
+    or are missing), and the differences that the images of all changes make."""
+    now = {n: b[n] for n in retract.CHANGE_TABLES}
+    t, te, tn = (now[n] for n in retract.CHANGE_TABLES)
+    i = F.col("TransactionID")
+    was = {
+        "pos_transaction": (t.where(i % 19 != 0)
+                            .withColumn("SaleTime", F.when(i % 11 == 0, F.col("SaleTime") - F.expr("INTERVAL 40 DAY")).otherwise(F.col("SaleTime")))
+                            .withColumn("Status", F.when(i % 13 == 0, -F.col("Status")).otherwise(F.col("Status")).cast("int"))
+                            .withColumn("Total", F.when(i % 17 == 0, F.col("Total") + 5).otherwise(F.col("Total")).cast("decimal(18,2)"))
+                            .withColumn("SellerID", F.when(i % 7 == 0, F.lit(None)).otherwise(F.col("SellerID")).cast("bigint"))),
+        "transaction_entry": (te.where(F.col("TransactionEntryID") % 23 != 0)
+                              .withColumn("Total", F.when(i % 5 == 0, -F.col("Total")).otherwise(F.col("Total")).cast("decimal(18,2)"))),
+        "tender_entry": tn.where(i % 29 != 0).withColumn("Amount", F.when(i % 3 == 0, F.col("Amount") * 2).otherwise(F.col("Amount")).cast("decimal(18,2)")),
+    }
+    stage = Stage(b.spark, "changed-days")
+    changes = {}
+    for name in now:
+        both = now[name].withColumn("Sign", F.lit(1)).unionByName(was[name].select(*now[name].columns, F.lit(-1).alias("Sign")))
+        net = both.groupBy(*now[name].columns).agg(F.sum("Sign").alias("net")).where("net <> 0")
+        changes[name] = stage.put(name, net.withColumn("Sign", F.explode(F.array_repeat(F.signum("net").cast("int"), F.abs("net").cast("int")))).drop("net"))
+    before = b.with_tables(**was)
+    differences = retract.day_differences(b, RULES, changes)
+    parts = []
+    for name, (keys, _, _) in DAY_SUMS.items():
+        sums = retract.merge(day_sums(name, before, RULES), differences[name])
+        labels = [F.col(k) for k in keys] + [F.lit("")] * (3 - len(keys))
+        parts.append(sums.select(F.lit(name).alias("dataset"), *[c.alias(a) for c, a in zip(labels, ("SaleDate", "label", "method"), strict=True)],
+                                 out(F.col("Amount")).alias("amount"), F.col("Rows").alias("n")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def heavy_lines(b: Bundle) -> skew.HeavyKeys:
+    # the tables' largest transactions hold few lines: a low share, so that several are salted
+    return skew.heavy_keys(b["transaction_entry"], ["branch", "TransactionID"], share=1e-3)
+
+
+def long_price_list(b: Bundle) -> DataFrame:
+    """A price list with an entry for every item: its name from the third character on."""
+    im = b["item_main"]
+    return im.select(F.col("ItemID").alias("position"), F.substring("Name", 3, 100).alias("name"),
+                     (F.col("ItemID") % 1000 + F.lit(1)).cast("decimal(18,2)").alias("price"))
+
+
+def merged_supplier_months(b: Bundle) -> DataFrame:
+    """D17 from two states, one of the lines with an even item count and one of the others, merged."""
+    e = b["suppliers_docs_entry"]
+    even = F.col("Qty") % 2 == 0
+    states = [suppliers.supplier_month_state(b.with_tables(suppliers_docs_entry=e.where(part)), RULES, AS_OF)
+              for part in (even, ~even | even.isNull())]
+    return suppliers.supplier_monthly_from_state(suppliers.merge_month_states(*states), RULES)
+
+
 def out_folder(b: Bundle, name: str) -> str:
     return Stage(b.spark, name).root
 
@@ -219,6 +276,12 @@ ON_BUNDLE: dict[str, Callable[[Bundle], DataFrame]] = {
     "net_feed_today": lambda b: assemble.net_feed_today(net_days(b), AS_OF_PEOPLE).select(
         "day", out(F.col("net")).alias("net")),
     "user_directory": lambda b: people.user_directory(b, RULES),
+    # under change, skew and long lists
+    "changed_days": changed_days,
+    "salted_department_day": lambda b: sales.amounts_out(sales.sales_by_department_day(b, RULES, heavy_lines(b))),
+    "salted_redemptions": lambda b: promotions.finish_redemptions(promotions.promotion_redemptions(b, RULES, AS_OF, heavy_lines(b))),
+    "long_price_list": lambda b: items_flat(pricing.apply_long_price_list(catalogue(b), long_price_list(b))),
+    "merged_supplier_months": merged_supplier_months,
     # written and read back
     "daily_bundle": daily_bundle,
     "written_order": written_order,
@@ -228,7 +291,7 @@ ON_BUNDLE: dict[str, Callable[[Bundle], DataFrame]] = {
 }
 
 # written and read back; the bench times the jobs instead
-WRITTEN = ("daily_bundle", "written_order", "sealed_invoices", "feed_from_json", "optional_presence")
+WRITTEN = ("changed_days", "daily_bundle", "written_order", "sealed_invoices", "feed_from_json", "optional_presence")
 
 # datasets over two branches (A: even stores; B: odd stores, labelled)
 ON_PARTS: dict[str, Callable[[Parts], DataFrame]] = {

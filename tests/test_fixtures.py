@@ -5,6 +5,9 @@ from __future__ import annotations
 import pytest
 
 from possum.sources.adapters import canonical_views
+from possum.sources.fixtures import RAW_TABLES
+
+from conftest import SF_SMALL
 
 # fixed values: FIXTURES.md section 2 (sf0.001, sf0.01)
 ROWS = {
@@ -37,3 +40,28 @@ def test_coverage_counts_sf001(spark):
     as_of = F.expr("TIMESTAMP_NTZ '2001-08-01 12:00:00'")
     assert t.where(F.col("SaleTime") >= as_of - F.expr("INTERVAL 13 MONTH")).count() == 2484
     assert t.where(F.col("SaleTime") >= as_of - F.expr("INTERVAL 90 DAY")).count() == 572
+
+
+@pytest.mark.parametrize("name", ["promotion_redemptions", "promotion_matrix", "salted_redemptions"])
+def test_large_order_keys(spark, tmp_path, name):
+    """Line ids stay unique and in range for order keys of 6,000,000 and far beyond."""
+    import duckdb
+
+    from possum_checks.compare import _rows
+    from possum_checks.oracle_sql import ORACLES
+    from possum_checks.queries import QUERIES
+    con = duckdb.connect()
+    for t in RAW_TABLES:
+        shift = {"orders": "REPLACE (CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey + 6000000 ELSE o_orderkey + 600000000000 END AS o_orderkey)",
+                 "lineitem": "REPLACE (CASE WHEN l_orderkey % 2 = 0 THEN l_orderkey + 6000000 ELSE l_orderkey + 600000000000 END AS l_orderkey)"}.get(t, "")
+        con.execute(f"COPY (SELECT * {shift} FROM read_parquet('{SF_SMALL}/{t}.parquet')) TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    df = QUERIES[name](spark, str(tmp_path))
+    got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    rel = con.execute(ORACLES[name])
+    assert got[1] and got == _rows([c[0] for c in rel.description], rel.fetchall())
+
+
+def test_line_ids_are_unique(spark, fixture_bundle):
+    te = fixture_bundle["transaction_entry"]
+    assert te.select("TransactionEntryID").distinct().count() == te.count()

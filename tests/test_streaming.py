@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from possum_checks.params import AS_OF, RULES
 from possum.functions.dates import month_label
 from possum.operators import sales
-from possum.plans.daily_job import published, run_daily_job
+from possum.plans.daily_job import run_daily_job
+from possum.plans.publish import read_published
 from possum.sources.parquet import read_bundle, write_bundle
 from possum.sources.sinks import decimals_to_double
 from possum.streaming.refresh import DAY_DATASETS, start_refresh, touched_months
 
 
 def _read(spark, path):
-    return spark.read.json(path).drop("SaleMonth")
+    return read_published(spark, *os.path.split(path)).drop("SaleMonth")
 
 
 def _rows(df, cols):
@@ -102,8 +103,7 @@ def test_voided_and_moved_transactions(spark, fixture_bundle):
     feed = os.path.join(root, "all")
     t.where(F.col("m").isin(months)).drop("m").write.parquet(feed)
     _refresh(spark, canon, feed, out, root)
-    stores = os.path.join(out, "stores")
-    assert {r.SaleMonth for r in spark.read.json(stores).select("SaleMonth").distinct().collect()} == set(months)
+    assert {r.SaleMonth for r in read_published(spark, out, "stores").select("SaleMonth").distinct().collect()} == set(months)
     # month 0 voided; one transaction of month 1 moves to month 2
     moved = t.where((F.col("m") == months[1]) & (F.col("Status") > -1)).orderBy("TransactionID").first()
     to = t.where(F.col("m") == months[2]).orderBy("TransactionID").first().SaleTime
@@ -119,7 +119,7 @@ def test_voided_and_moved_transactions(spark, fixture_bundle):
         full = build(read_bundle(spark, canon2), RULES).where(F.substring("SaleDate", 1, 7).isin(months))
         got = _read(spark, os.path.join(out, name))
         assert _rows(got, sorted(full.columns)) == _rows(decimals_to_double(full), sorted(full.columns)), name
-    assert not os.path.exists(os.path.join(stores, f"SaleMonth={months[0]}"))
+    assert {r.SaleMonth for r in read_published(spark, out, "stores").select("SaleMonth").distinct().collect()} == set(months[1:])
 
 
 def test_format_passes_through_and_the_published_run_is_refreshed(spark, fixture_bundle):
@@ -127,14 +127,15 @@ def test_format_passes_through_and_the_published_run_is_refreshed(spark, fixture
     out, canon, feed = (os.path.join(root, n) for n in ("out", "canonical", "feed"))
     write_bundle(fixture_bundle, canon)
     run_daily_job(fixture_bundle, RULES, AS_OF, out, fmt="parquet")
-    folder = published(spark, out, "parquet")
     t = fixture_bundle["pos_transaction"]
     t.where(F.date_format("SaleTime", "yyyy-MM") == "2001-07").write.parquet(feed)
-    before = _rows(spark.read.parquet(os.path.join(folder, "stores")), ["SaleDate", "StoreName", "TotalSales"])
+    before = _rows(read_published(spark, out, "stores", "parquet"), ["SaleDate", "StoreName", "TotalSales"])
     _refresh(spark, canon, feed, out, root, "parquet")
-    files = [f for d, _, fs in os.walk(os.path.join(folder, "stores")) for f in fs if not f.startswith((".", "_"))]
+    folders = [d for d in os.listdir(out) if d.startswith("refresh-")]
+    assert len(folders) == 1 and os.listdir(os.path.join(out, folders[0], "stores", "SaleMonth=2001-07"))
+    files = [f for d, _, fs in os.walk(os.path.join(out, folders[0])) for f in fs if not f.startswith((".", "_"))]
     assert files and all(f.endswith(".parquet") for f in files)
-    assert _rows(spark.read.parquet(os.path.join(folder, "stores")), ["SaleDate", "StoreName", "TotalSales"]) == before
+    assert _rows(read_published(spark, out, "stores", "parquet"), ["SaleDate", "StoreName", "TotalSales"]) == before
 
 
 def test_ids_are_matched_within_their_branch(spark, fixture_bundle):
