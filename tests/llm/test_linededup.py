@@ -9,7 +9,7 @@ import pytest
 
 from possum.llm import linededup as ld
 
-from llm.brute import UP
+from tests.llm.brute import UP
 
 BLANKS = " \t\n\x0b\x0c\r"
 

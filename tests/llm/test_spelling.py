@@ -13,7 +13,7 @@ import pytest
 
 from possum.llm import spelling
 
-from llm.brute import UP
+from tests.llm.brute import UP
 
 
 def one_edit(a, b):
