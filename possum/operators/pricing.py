@@ -14,7 +14,37 @@ from possum.functions.money import whole
 from possum.rules import Rules
 
 
-def impute_cost(items: DataFrame) -> DataFrame:
+_PREFIX = ["branch", "lvl", "pre"]
+
+
+def cost_multiset(items: DataFrame) -> DataFrame:
+    """branch, lvl, pre, cost, n: how often each known cost stands under each code prefix.
+
+    A state for D6 that can be kept: with the number of items behind every cost,
+    the next highest cost of a prefix is there when the highest one goes.
+    """
+    return (items.where((F.col("p") > 0) & (F.col("b") != ""))
+            .select("branch", F.col("p").alias("cost"), F.explode(codes.prefix_levels(F.col("b"))).alias("e"))
+            .groupBy("branch", F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre"), "cost").agg(F.count(F.lit(1)).alias("n")))
+
+
+def change_multiset(state: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:
+    """The state after items (branch, b, p) were removed and added: only these are read.
+
+    Removing a cost that the state does not hold fails.
+    """
+    less = cost_multiset(removed).withColumn("n", -F.col("n"))
+    g = state.unionByName(less).unionByName(cost_multiset(added)).groupBy(*_PREFIX, "cost").agg(F.sum("n").alias("n"))
+    wrong = F.when(F.col("n") < 0, F.raise_error(F.lit("a removed cost is not in the state; build it anew")).cast("bigint"))
+    return g.withColumn("n", F.coalesce(wrong, "n")).where(F.col("n") > 0)
+
+
+def highest_costs(state: DataFrame) -> DataFrame:
+    """branch, lvl, pre, fill: the highest known cost of each prefix."""
+    return state.groupBy(*_PREFIX).agg(F.max("cost").alias("fill"))
+
+
+def impute_cost(items: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Fill a zero cost from items sharing a code prefix.
 
     Levels: 1 = year+season+model+colour, 2 = season+model+colour,
@@ -26,13 +56,16 @@ def impute_cost(items: DataFrame) -> DataFrame:
     <= 3 (level, prefix) rows). The items to fill are exploded the same way
     as slim (key, level, prefix) rows, joined on (branch, level, prefix) and
     reduced to the best fill per key; that small frame is joined once to all
-    items. ``items`` is read three times: pass a staged frame.
+    items. ``items`` is read three times: pass a staged frame. ``known`` is the
+    lookup of a kept state (:func:`highest_costs`) instead of a pass over the
+    items.
     """
     lv = codes.prefix_levels(F.col("b"))
-    known = (items.where((F.col("p") > 0) & (F.col("b") != ""))
-             .select("branch", "p", F.explode(lv).alias("e"))
-             .groupBy("branch", F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre"))
-             .agg(F.max("p").alias("fill")))
+    if known is None:
+        known = (items.where((F.col("p") > 0) & (F.col("b") != ""))
+                 .select("branch", "p", F.explode(lv).alias("e"))
+                 .groupBy("branch", F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre"))
+                 .agg(F.max("p").alias("fill")))
     slim = (items.where((F.col("p") == 0) & (F.col("b") != ""))
             .select("branch", "key", F.explode(lv).alias("e"))
             .select("branch", "key", F.col("e.lvl").alias("lvl"), F.col("e.pre").alias("pre")))

@@ -114,3 +114,35 @@ def unseal(sealed: DataFrame, key: Column, schema: StructType | str, keep: Seque
     blob = F.concat(F.unbase64("iv"), F.unbase64("ct"))
     text = F.aes_decrypt(blob, row_key(key, F.unbase64("salt")), F.lit("GCM")).cast("string")
     return sealed.select(*keep, F.from_json(text, schema).alias("_p")).select(*keep, "_p.*")
+
+
+_PARTS = 4              # sums of a digest
+_HEX = 15               # hexadecimal digits of a summand: below 2**60, so sums stay exact in DECIMAL(38,0)
+
+
+def sealed_digest(sealed: DataFrame, key: Column) -> DataFrame:
+    """One row (n, digest) that stands for the multiset of all sealed rows.
+
+    An envelope proves its own row; nothing proves that all rows are there. Each
+    row, kept columns included, gets a keyed hash of 240 bits, and the hashes are
+    added up: the sum does not depend on the order of rows or files and is a
+    partial aggregate, so no row is shuffled. Without the key nobody can make
+    rows whose hashes make up for a dropped, doubled or changed one. The digest
+    is a hash of the key, the number of rows and the sums.
+    """
+    names = sorted(sealed.columns)
+    # lengths before values: no two rows read alike
+    text = F.concat(*[F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+                      for c in names])
+    own = F.hex(key)
+    row = sealed.select(F.sha2(F.concat(own, F.sha2(F.concat(own, F.lit("/"), text), 256)), 256).alias("h"))
+    sums = [F.sum(F.conv(F.substring("h", 1 + k * _HEX, _HEX), 16, 10).cast("decimal(38,0)")).alias(f"s{k}") for k in range(_PARTS)]
+    total = row.agg(F.count(F.lit(1)).alias("n"), *sums)
+    parts = [F.coalesce(F.col(f"s{k}"), F.lit(0)).cast("string") for k in range(_PARTS)]
+    return total.select("n", F.sha2(F.concat_ws("|", own, F.lit("rows"), F.col("n").cast("string"), *parts), 256).alias("digest"))
+
+
+def is_complete(sealed: DataFrame, key: Column, n: int, digest: str) -> bool:
+    """Whether the rows are those that ``sealed_digest`` stands for, all of them and no other."""
+    found = sealed_digest(sealed, key).first()
+    return found.n == n and found.digest == digest

@@ -158,6 +158,20 @@ def merged_supplier_months(b: Bundle) -> DataFrame:
     return suppliers.supplier_monthly_from_state(suppliers.merge_month_states(*states), RULES)
 
 
+def refilled_cost(b: Bundle) -> DataFrame:
+    """D6 from a kept state: the costs by prefix of the items as they were (some
+    dearer, some unknown, some not there), changed by the items that differ."""
+    stage = Stage(b.spark, "refilled")
+    items = stage.put("items", catalogue(b))
+    h = F.pmod(F.xxhash64("key"), F.lit(7))
+    was = items.where(h != 0).withColumn("p", F.when(h == 1, F.col("p") * 3).when(h == 2, 0).otherwise(F.col("p")).cast(items.schema["p"].dataType))
+    net = (items.select("branch", "b", "p", F.lit(1).alias("s")).unionByName(was.select("branch", "b", "p", F.lit(-1).alias("s")))
+           .groupBy("branch", "b", "p").agg(F.sum("s").alias("s")).where("s <> 0"))
+    net = stage.put("net", net.withColumn("s", F.explode(F.array_repeat(F.signum("s").cast("int"), F.abs("s").cast("int")))))
+    state = pricing.change_multiset(pricing.cost_multiset(was), net.where("s < 0"), net.where("s > 0"))
+    return items_flat(pricing.impute_cost(items, pricing.highest_costs(state)))
+
+
 def out_folder(b: Bundle, name: str) -> str:
     return Stage(b.spark, name).root
 
@@ -282,6 +296,7 @@ ON_BUNDLE: dict[str, Callable[[Bundle], DataFrame]] = {
     "salted_redemptions": lambda b: promotions.finish_redemptions(promotions.promotion_redemptions(b, RULES, AS_OF, heavy_lines(b))),
     "long_price_list": lambda b: items_flat(pricing.apply_long_price_list(catalogue(b), long_price_list(b))),
     "merged_supplier_months": merged_supplier_months,
+    "refilled_cost": refilled_cost,
     # written and read back
     "daily_bundle": daily_bundle,
     "written_order": written_order,

@@ -1,0 +1,74 @@
+"""Highest costs under deletions, and the completeness of a sealed export."""
+
+from __future__ import annotations
+
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from possum.operators import pricing
+from possum.sources.sinks import is_complete, seal, sealed_digest
+
+
+def items(spark, rows):
+    return spark.createDataFrame([("main", str(k), b, Decimal(p)) for k, (b, p) in rows.items()], "branch string, key string, b string, p decimal(18,2)")
+
+
+def costs(df):
+    return {r.key: r.p for r in df.collect()}
+
+
+def test_incremental_fill_equals_the_full_fill(spark):
+    rng = random.Random(6)
+
+    def item():
+        code = f"{rng.randrange(20, 23)}{rng.choice('WS')}{rng.randrange(10, 13)}{rng.randrange(10, 12)}M{rng.randrange(9)}"
+        return rng.choice([code, code, code, "", "plain"]), rng.choice([0, 0, 5, 7, 7, 30, rng.randrange(1, 99)])
+
+    now = {k: item() for k in range(80)}
+    state = pricing.cost_multiset(items(spark, now))
+    for _ in range(3):
+        old, top = dict(now), max(p for _, p in now.values())
+        for k in [k for k, (_, p) in now.items() if p == top]:
+            del now[k]                      # the highest cost goes; the next one must come up
+        for _ in range(10):
+            now[rng.randrange(120)] = item()
+        gone = {k: v for k, v in old.items() if now.get(k) != v}
+        new = {k: v for k, v in now.items() if old.get(k) != v}
+        changed = pricing.change_multiset(state, items(spark, gone), items(spark, new))
+        state = spark.createDataFrame(changed.collect(), state.schema)
+        full = items(spark, now)
+        assert costs(pricing.impute_cost(full, pricing.highest_costs(state))) == costs(pricing.impute_cost(full))
+        assert sorted(map(tuple, state.collect())) == sorted(map(tuple, pricing.cost_multiset(full).collect()))
+
+
+def test_removing_an_unknown_cost_fails(spark):
+    some = items(spark, {1: ("20W1010M1", 5)})
+    state = pricing.cost_multiset(some)
+    with pytest.raises(PySparkException, match="not in the state"):
+        pricing.change_multiset(state, items(spark, {1: ("20W1010M1", 6)}), some.limit(0)).collect()
+
+
+def test_a_sealed_export_is_complete(spark, tmp_path):
+    key = spark.createDataFrame([(bytes(range(32)),)], "key binary").select("key").scalar()
+    other = spark.createDataFrame([(bytes(32),)], "key binary").select("key").scalar()
+    plain = spark.createDataFrame([(f"d{k % 3}", None if k == 5 else "same", 1.5) for k in range(20)], "day string, name string, v double")
+    seal(plain, key, ["name", "v"], keep=["day"]).write.json(str(tmp_path / "s"))
+    sealed = spark.read.json(str(tmp_path / "s"))
+    n, digest = sealed_digest(sealed, key).first()
+    assert n == 20 and is_complete(sealed, key, n, digest)
+    assert is_complete(sealed.repartition(5).orderBy("ct"), key, n, digest)             # whatever the order
+    one = sealed.limit(1).cache()
+    rest = sealed.exceptAll(one)
+    assert not is_complete(rest, key, n, digest)                                        # a row dropped
+    assert not is_complete(sealed.unionByName(one), key, n, digest)                     # a row doubled
+    twin = rest.limit(1)
+    assert not is_complete(rest.unionByName(twin), key, n, digest)                      # one dropped, another doubled
+    moved = sealed.withColumn("day", F.when(F.col("day") == "d0", "d1").when(F.col("day") == "d1", "d0").otherwise(F.col("day")))
+    assert not is_complete(moved, key, n, digest)                                       # kept columns swapped between rows
+    assert not is_complete(sealed, other, n, digest)                                    # made with another key
+    none = sealed_digest(sealed.limit(0), key).first()
+    assert none.n == 0 and none.digest != digest
