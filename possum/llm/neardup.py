@@ -18,11 +18,17 @@
 4. What is left are pairs of members of one list with different labels. They are
    passed over if their sizes or sketches rule a link out, or if what both share
    with the list's middle member, known exactly, plus what they can share
-   outside it does; the others are verified like the first.
-
-No step lists all pairs of a group: members that already have one label are not
-compared. Lists of frequent pairs are cut into blocks of ``BLOCK`` members, and
-blocks meet two by two, so no list is larger than two blocks.
+   outside it does. The members with an open pair go with their sets into one
+   task per list, where collisions are counted and full sets compared; what
+   leaves it is a spanning forest of the links found.
+
+No step puts out the pairs of a group: every output has at most one row per
+member of a list. Members that already have one label are not compared, and two
+classes are compared in one list only. Lists of frequent pairs are cut into
+blocks of ``BLOCK`` members, open members into chunks of ``CHUNK_ITEMS``
+shingles, and blocks and chunks meet two by two, so no task holds more than two
+of them, however large a group is. The comparisons inside a group of near
+copies that are not linked still grow with the square of the group.
 
 Nulls and odd input: a text without words has an empty set and is linked with
 nothing; a text of fewer than five words is one shingle; rows without id are
@@ -50,7 +56,9 @@ PREFIX = K - MATCHES + 1
 AGREE = 42        # of 64 sketch bits; two sets of similarity 0.75 agree in 56 on average
 FREQUENT = 2000   # a pair is frequent if at least 1 / FREQUENT of the classes have it
 BLOCK = 2048
+CHUNK_ITEMS = 1 << 19  # shingles of a list's open members that are compared as one chunk
 SLOTS = 1 << 24   # bits of the filter of documents whose sets are needed
+HEAVY = 4096      # a class is heavy if more than 1 / HEAVY of the rows are its copies
 MARKS = 512       # bits of the sketches of what a set lacks of the middle member, and has beside it
 _STEP = U(0x9E3779B97F4A7C15)
 
@@ -106,7 +114,7 @@ def _binary(parts: list[bytes]) -> pa.Array:
 
 
 def _sign(docs: DataFrame) -> DataFrame:
-    """doc_id, n, f1, f2, sig of every row; sig is null for an empty set."""
+    """doc_id, tag, n, f1, f2, sig of every row; tag is a hash of the text, sig is null for an empty set."""
     def task(batches):
         for b in batches:
             n, f1, f2, sig = [], [], [], []
@@ -120,11 +128,12 @@ def _sign(docs: DataFrame) -> DataFrame:
                     f2.append(y)
                     sig.append(next(some).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)),
-                 pa.array(np.array(f2, np.uint64).view(np.int64)), _binary(sig)], names=["doc_id", "n", "f1", "f2", "sig"])
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(np.array(f1, np.uint64).view(np.int64)),
+                 pa.array(np.array(f2, np.uint64).view(np.int64)), _binary(sig)], names=["doc_id", "tag", "n", "f1", "f2", "sig"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return arrow_map(docs, task, f"doc_id {kind}, n long, f1 long, f2 long, sig binary")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("tag"))
+    return arrow_map(docs, task, f"doc_id {kind}, tag long, n long, f1 long, f2 long, sig binary")
 
 
 def _signature_rows(col: pa.Array) -> np.ndarray:
@@ -153,26 +162,28 @@ def _frequent_pairs(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return got["pair"].to_numpy(), got["n"].to_numpy()
 
 
-def _posting_lists(classes: DataFrame) -> DataFrame:
-    """pair, block, middle, and arrays cls, n, sketch, side: the lists of two or more classes."""
-    frequent = classes.sparkSession.sparkContext.broadcast(_frequent_pairs(classes))
+def _prefix(sig: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per signature: its ``PREFIX`` rarest pairs, about how many classes have each, and the sum over all its pairs."""
+    p = _pairs_of(sig)
+    if len(pairs):
+        at = np.minimum(np.searchsorted(pairs, p), len(pairs) - 1)
+        known = np.where(pairs[at] == p, counts[at], 0)
+    else:
+        known = np.zeros(p.shape, np.int64)
+    order = np.minimum(known, (1 << 24) - 1) << 38 | p
+    pick = np.argpartition(order, PREFIX - 1, axis=1)[:, :PREFIX]
+    return np.take_along_axis(p, pick, axis=1), np.take_along_axis(known, pick, axis=1), known.sum(axis=1)
+
 
+def _posting_lists(classes: DataFrame, frequent) -> DataFrame:
+    """pair, block, middle, and arrays cls, n, sketch, side: the lists of two or more classes."""
     def post(batches):
-        pairs, counts = frequent.value
         for b in batches:
             cls, n = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
             sig = _signature_rows(b.column(2))
-            p = _pairs_of(sig)
-            if len(pairs):
-                at = np.minimum(np.searchsorted(pairs, p), len(pairs) - 1)
-                known = np.where(pairs[at] == p, counts[at], 0)
-            else:
-                known = np.zeros(p.shape, np.int64)
-            common = known.sum(axis=1)
-            order = np.minimum(known, (1 << 24) - 1) << 38 | p  # rare pairs first
-            pick = np.argpartition(order, PREFIX - 1, axis=1)[:, :PREFIX]
+            p, known, common = _prefix(sig, *frequent.value)
+            p, known = p.ravel(), known.ravel()
             row = np.repeat(np.arange(len(cls)), PREFIX)
-            p, known = (np.take_along_axis(x, pick, axis=1).ravel() for x in (p, known))
             blocks = np.maximum(1, -(-known // BLOCK))
             own = (mix(cls.view(np.uint64))[row] % blocks.astype(np.uint64)).astype(np.int64)
             # a member of block i meets every block j under (min, max)
@@ -249,10 +260,9 @@ def _star(lists: DataFrame) -> DataFrame:
     return staged(arrow_map(lists, task, "u long, v long").distinct(), "star")
 
 
-def _needed_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """cls, sig, items of every class in pairs, made again from its smallest document."""
-    ids = pairs.select(F.col("u").alias("cls")).unionAll(pairs.select("v")).distinct()
-    need = staged(classes.select("cls", "rep").join(ids, "cls").select("cls", F.xxhash64("rep").alias("id_key")), "need")
+def _needed_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """cls, sig, items of the classes in ids (cls), made again from each one's smallest document."""
+    need = staged(classes.select("cls", "rep").join(ids.distinct(), "cls").select("cls", F.xxhash64("rep").alias("id_key")), "need")
     slot = F.pmod(F.col("id_key"), F.lit(SLOTS)) + 1  # bitmaps count from 1
     bits = need.select(F.bitmap_bucket_number(slot).alias("b"), F.bitmap_bit_position(slot).alias("p")) \
         .groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).collect()  # SLOTS bits at most
@@ -365,8 +375,14 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _open_pairs(lists: DataFrame, labels: DataFrame, star: DataFrame) -> DataFrame:
-    """u, v: pairs of one list with different labels that may still be linked."""
+def _open_members(lists: DataFrame, labels: DataFrame, star: DataFrame) -> DataFrame:
+    """pair, block, lo, hi, part, cls, label: members of a list that may still be linked to one of another label.
+
+    What a list leaves open is cut into chunks of ``CHUNK_ITEMS`` shingles;
+    chunks meet two by two in a cell (lo, hi), so no cell holds more than two
+    chunks. Two bits of ``part`` name a member's chunk and block in the cell,
+    the two above them say which of these must differ for two members to meet.
+    """
     lists = lists.withColumn("list", F.struct("pair", "block"))
     m = lists.select("list", "middle", F.explode(F.arrays_zip("cls", "n", "sketch", "side")).alias("m")).select("list", "middle", "m.*")
     m = m.join(labels.select(F.col("id").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
@@ -374,76 +390,197 @@ def _open_pairs(lists: DataFrame, labels: DataFrame, star: DataFrame) -> DataFra
     m = m.join(known, ["middle", "cls"], "left")
     one = F.struct("cls", "n", "sketch", "side", "label", "shared", "outside", "missing")
     groups = (m.groupBy("list").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.first("middle").alias("middle"),
-                                    F.collect_list(one).alias("m"))
+                                    F.sort_array(F.collect_list(one)).alias("m"))
               .filter(F.col("a") != F.col("b")))  # a list is two blocks at most
-    groups = groups.select("middle", *[F.col(f"m.{c}").alias(c) for c in
-                                       ("cls", "n", "sketch", "side", "label", "shared", "outside", "missing")])
+    groups = groups.select("list.pair", "list.block", "middle", *[F.col(f"m.{c}").alias(c) for c in
+                                                                  ("cls", "n", "sketch", "side", "label", "shared", "outside", "missing")])
 
     def task(batches):
         for b in batches:
-            out = []
+            rows = [np.zeros((0, 7), np.int64)]
             for r in range(b.num_rows):
-                middle = b.column(0)[r].as_py()
-                cls, n, sk, side, label = (b.column(c)[r].values.to_numpy(zero_copy_only=False) for c in range(1, 6))
-                sk = sk.view(np.uint64)
-                shared = np.array([-1 if x is None else x for x in b.column(6)[r].as_py()], np.int64)
+                pair, block, middle = (b.column(c)[r].as_py() for c in range(3))
+                cls, n, sk, side, label = (b.column(c)[r].values.to_numpy(zero_copy_only=False) for c in range(3, 8))
+                shared = np.array([-1 if x is None else x for x in b.column(8)[r].as_py()], np.int64)
                 outside, missing = (np.stack([np.frombuffer(x or bytes(MARKS // 8), np.uint64) for x in b.column(c)[r].as_py()])
-                                    for c in (7, 8))
-                size = int(n[cls == middle][0])
-                ids, members = np.unique(label, return_counts=True)
-                main = ids[members.argmax()]  # members of the largest label are not compared with each other
-                rest = np.flatnonzero((label != main) & (cls != middle))
-                for k, i in enumerate(rest):
-                    later = np.ones(len(cls), bool)
-                    later[rest[:k + 1]] = False
-                    ok = later & (label != label[i]) & (cls != middle) & _fits(n, n[i], sk, sk[i])
-                    ok &= (side == 2) | (side != side[i])
-                    ok &= cls != cls[i]
-                    if shared[i] >= 0:
-                        js = np.flatnonzero(ok & (shared >= 0))
-                        most = _most_shared(n, size, i, js, shared, outside, missing)
-                        ok[js[100 * most < PERCENT * (n[i] + n[js] - most)]] = False
-                    j = cls[ok]
-                    out.append(np.stack([np.minimum(j, cls[i]), np.maximum(j, cls[i])], 1))
-            p = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["u", "v"])
-
-    found = arrow_map(groups, task, "u long, v long").distinct()
-    tested = star.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    return staged(found.join(tested, ["u", "v"], "left_anti"), "open")
-
+                                    for c in (9, 10))
+                is_open = _still_open(middle, cls, n, sk.view(np.uint64), side, label, shared, outside, missing)
+                if len(is_open):
+                    rows.append(_cells(pair, block, cls[is_open], n[is_open], side[is_open], label[is_open]))
+            out = np.concatenate(rows)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, k]) for k in range(7)], names=list(_CELL))
+
+    return staged(arrow_map(groups, task, ", ".join(f"{c} long" for c in _CELL)), "open")
+
+
+_CELL = ("pair", "block", "lo", "hi", "part", "cls", "label")
+
+
+def _still_open(middle, cls, n, sk, side, label, shared, outside, missing) -> np.ndarray:
+    """The members of one list with a partner of another label that nothing known so far rules out."""
+    size = int(n[cls == middle][0])
+    ids, members = np.unique(label, return_counts=True)
+    main = ids[members.argmax()]  # members of the largest label are not compared with each other
+    rest = np.flatnonzero((label != main) & (cls != middle))
+    found = np.zeros(len(cls), bool)
+    for k, i in enumerate(rest):
+        later = np.ones(len(cls), bool)
+        later[rest[:k + 1]] = False
+        ok = later & (label != label[i]) & (cls != middle) & _fits(n, n[i], sk, sk[i])
+        ok &= (side == 2) | (side != side[i])
+        if shared[i] >= 0:
+            js = np.flatnonzero(ok & (shared >= 0))
+            most = _most_shared(n, size, i, js, shared, outside, missing)
+            ok[js[100 * most < PERCENT * (n[i] + n[js] - most)]] = False
+        found |= ok
+        found[i] |= ok.any()
+    return np.flatnonzero(found)
+
+
+def _cells(pair, block, cls, n, side, label) -> np.ndarray:
+    """One row of ``_CELL`` per member and chunk it meets."""
+    chunk = (np.cumsum(n) - n) // CHUNK_ITEMS
+    chunk = np.unique(chunk, return_inverse=True)[1]
+    copies = int(chunk.max()) + 1
+    row = np.repeat(np.arange(len(cls)), copies)
+    own, other = chunk[row], np.tile(np.arange(copies), len(cls))
+    lo, hi = np.minimum(own, other), np.maximum(own, other)
+    code = 2 * (own == hi) + (side[row] == 1)
+    need = 2 * (lo != hi) + (side[row] != 2)  # side 2: a list of one block, where all meet
+    return np.stack([np.full(len(row), pair), np.full(len(row), block), lo, hi, 4 * need + code, cls[row], label[row]], 1)
+
+
+def _meet(one: int, others: np.ndarray) -> np.ndarray:
+    """Whether members of one cell are of different chunks and blocks, where it has two."""
+    return ((one ^ others) & (one >> 2)) == one >> 2
+
+
+def _links_of_cells(cells: DataFrame, sets: DataFrame, frequent) -> DataFrame:
+    """u, v: links between members of one cell, confirmed on full sets; not more than its members.
+
+    A pair is looked at in the first list that both its classes are posted
+    under, and only while the two are not connected by links of the cell.
+    """
+    cells = cells.join(sets.select("cls", "sig", "items"), "cls").select(*_CELL, "sig", "items")
+    key = ["pair", "block", "lo", "hi"]
+    cells = cells.repartition(*key).sortWithinPartitions(*key, "cls")
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of docs."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    def task(batches):
+        pairs, counts = frequent.value
+        at, members = None, []
+        for b in batches:
+            keys = list(zip(*(b.column(c).to_pylist() for c in range(4)), strict=True))
+            for r, k in enumerate(keys):
+                if k != at:
+                    yield _links(at, members, pairs, counts)
+                    at, members = k, []
+                members.append((*(b.column(c)[r].as_py() for c in (4, 5, 6)), b.column(7)[r].as_py(), b.column(8)[r].as_py()))
+        yield _links(at, members, pairs, counts)
+
+    return staged(arrow_map(cells, task, "u long, v long"), "links")
+
+
+def _links(at, members, pairs, counts) -> pa.RecordBatch:
+    """A spanning forest of the links in one cell."""
+    found = []
+    if len(members) > 1:
+        part, cls, label = (np.array(x, np.int64) for x in list(zip(*members, strict=True))[:3])
+        sig = np.stack([np.frombuffer(m[3], np.uint32) for m in members])
+        sets = [np.frombuffer(m[4], np.uint64) for m in members]
+        n = np.array([len(s) for s in sets])
+        posted = _prefix(sig, pairs, counts)[0]
+        posted = np.where(posted < at[0], posted, -1)  # an earlier list of both has the pair
+        items, code = np.unique(np.concatenate(sets), return_inverse=True)
+        first = np.cumsum(n) - n
+        mark = np.zeros(len(items), np.int64)
+        for i in range(len(cls) - 1):
+            js = np.arange(i + 1, len(cls))
+            js = js[_meet(part[i], part[js]) & (label[js] != label[i])
+                    & (100 * np.minimum(n[js], n[i]) >= PERCENT * np.maximum(n[js], n[i]))]
+            js = js[(sig[js] == sig[i]).sum(axis=1) >= MATCHES]
+            if len(js):
+                js = js[~np.isin(posted[js], posted[i][posted[i] >= 0]).any(axis=1)]
+            if not len(js):
+                continue
+            mine = code[first[i]:first[i] + n[i]]
+            mark[mine] = 1
+            theirs = mark[np.concatenate([code[first[j]:first[j] + n[j]] for j in js])]
+            shared = np.add.reduceat(theirs, np.cumsum(n[js]) - n[js])
+            mark[mine] = 0
+            for j in js[100 * shared >= PERCENT * (n[i] + n[js] - shared)]:
+                if label[j] != label[i]:
+                    found.append((cls[i], cls[j]))
+                    label[label == label[j]] = label[i]
+    p = np.array(found, np.int64).reshape(-1, 2)
+    return pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["u", "v"])
+
+
+def _components(docs: DataFrame) -> DataFrame:
+    """doc_id, tag, n_shingles, component, group of every row of docs (doc_id, text).
+
+    tag is a hash of the text; component is the smallest id of the group, which
+    two groups share if texts of both have that id.
+    """
     signed = staged(_sign(docs).withColumn("cls", F.when(F.col("sig").isNotNull() & F.col("doc_id").isNotNull(),
                                                          F.xxhash64("f1", "f2", "n"))), "signed")
     classes = staged(signed.filter(F.col("cls").isNotNull()).groupBy("cls").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
-    lists = _posting_lists(classes)
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig"),
+        F.count(F.lit(1)).alias("copies")), "classes")
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent_pairs(classes))
+    lists = _posting_lists(classes, frequent)
     pairs = _star(lists)
-    star = _verify(pairs, _needed_sets(docs, classes, pairs))
+    ends = pairs.select(F.col("u").alias("cls")).unionAll(pairs.select("v"))
+    star = _verify(pairs, _needed_sets(docs, classes, ends))
     links = star.filter("link").select("u", "v")
     labels = connected(links)
-    pairs = _open_pairs(lists, labels, star)
-    if not pairs.isEmpty():
-        more = _verify(pairs, _needed_sets(docs, classes, pairs)).filter("link").select("u", "v")
-        labels = connected(links.unionAll(more))
+    cells = _open_members(lists, labels, star)
+    if not cells.isEmpty():
+        more = _links_of_cells(cells, _needed_sets(docs, classes, cells.select("cls")), frequent)
+        if not more.isEmpty():
+            labels = connected(links.unionAll(more))
     linked = classes.select("cls", "rep").join(labels.withColumnRenamed("id", "cls"), "cls")
     best = linked.groupBy("label").agg(F.min("rep").alias("best"))
-    of = linked.join(best, "label").select("cls", "best")
-    per = classes.select("cls", "rep").join(of, "cls", "left").select(
-        "cls", F.coalesce("best", "rep").alias("component"))
-    out = signed.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(per, "cls", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    of = linked.join(best, "label").select("cls", "label", "best")
+    per = staged(classes.select("cls", "rep", "copies").join(of, "cls", "left").select(
+        "cls", "copies", F.coalesce("best", "rep").alias("component"), F.coalesce("label", "cls").alias("group")), "components")
+    # classes of many copies are at most HEAVY and sent to all tasks; the rest meet their rows by key
+    rows = signed.select("doc_id", "tag", F.col("n").alias("n_shingles"), "cls")
+    heavy = F.broadcast(per.filter(F.col("copies") * HEAVY > signed.count()).select("cls", "component", "group"))
+    light = rows.filter(F.col("cls").isNotNull()).join(heavy, "cls", "left_anti").join(per.drop("copies"), "cls")
+    alone = rows.filter(F.col("cls").isNull()).withColumn("component", F.col("doc_id")).withColumn("group", F.lit(None).cast("long"))
+    columns = ["doc_id", "tag", "n_shingles", "component", "group"]
+    return rows.join(heavy, "cls").select(columns).unionAll(light.select(columns)).unionAll(alone.select(columns))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of docs."""
+    found = _components(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"),
+                        F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each component, the one with the smallest id; all columns kept.
+    """docs with one row of each component; all columns kept.
 
-    Repeated rows of that id stay once each.
+    Rows are told apart by id and text: of a component the row with the
+    smallest id stays, of several texts of that id the one with the smallest
+    hash, and of equal rows of it (which differ in other columns at most) one.
+    A row of the same id whose text is in another component is not touched,
+    and rows without id all stay.
     """
-    away = near_duplicates(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__dup_id")).distinct()
-    return docs.join(away, F.col(id_col) == F.col("__dup_id"), "left_anti")
+    rows = staged(_components(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+                  .filter(F.col("doc_id").isNotNull()), "rows")
+    some = rows.filter(F.col("group").isNotNull())
+    best = some.groupBy("group").agg(F.min(F.struct("doc_id", "tag")).alias("b")).select("b.*")
+    keys = [F.col("doc_id").alias("__dup_id"), F.col("tag").alias("__dup_tag")]
+    away = some.join(best, ["doc_id", "tag"], "left_anti").select(*keys).distinct()
+    same = (F.col(f"`{id_col}`") == F.col("__dup_id")) & (F.xxhash64(f"`{text_col}`") == F.col("__dup_tag"))
+    kept = docs.join(away, same, "left_anti")
+    twice = staged(some.groupBy("doc_id", "tag").count().filter("count > 1")
+                   .join(best, ["doc_id", "tag"], "left_semi").select(*keys), "twice")
+    if twice.isEmpty():
+        return kept
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = (kept.join(twice, same, "left_semi").select(F.col(f"`{id_col}`").alias("__id"), F.xxhash64(f"`{text_col}`").alias("__tag"), row.alias("__row"))
+            .groupBy("__id", "__tag").agg(F.min_by("__row", F.to_json("__row")).alias("__row")).select("__row.*"))
+    return kept.join(twice, same, "left_anti").unionAll(once)

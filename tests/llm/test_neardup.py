@@ -27,9 +27,10 @@ def want(rows):
     return [(i, n, c, i == c) for i, n, c in components(rows)]
 
 
-@pytest.mark.parametrize("block", [2048, 16])
-def test_groups_against_all_pairs(spark, docs, monkeypatch, block):
+@pytest.mark.parametrize(("block", "items"), [(2048, 1 << 19), (16, 1 << 19), (16, 300), (2048, 300)])
+def test_groups_against_all_pairs(spark, docs, monkeypatch, block, items):
     monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "CHUNK_ITEMS", items)
     rng = np.random.default_rng(5)
     texts = near_copies(rng, 60, 60, 5) + near_copies(rng, 150, 60, 14) + near_copies(rng, 30, 25, 3)
     passage = " ".join(f"p{k}" for k in range(40))  # one passage that many texts share
@@ -88,3 +89,56 @@ def test_bound_never_excludes_what_is_shared():
     for i in range(40):
         most = neardup._most_shared(n, 200, i, np.arange(40), shared, out, gone)
         assert all(m >= len(np.intersect1d(sets[i], s)) for m, s in zip(most, sets, strict=True))
+
+
+def just_unlinked(n, seed=6):
+    """Copies of one text, each with enough changed words that few are linked."""
+    return list(enumerate(near_copies(np.random.default_rng(seed), 200, n, 16)))
+
+
+@pytest.mark.parametrize("n", [100, 400])
+def test_an_unlinked_group_puts_out_no_pairs(spark, docs, monkeypatch, n):
+    made = {}
+    was = neardup.staged
+
+    def counted(df, name):
+        out = was(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "staged", counted)
+    rows = just_unlinked(n)
+    assert got(spark, docs, rows) == want(rows)
+    assert made["open"] <= neardup.PREFIX * n and made["links"] <= neardup.PREFIX * n
+
+
+def test_cells_compare_every_pair_once():
+    """Whatever the chunks and blocks, each pair that the list compares meets in one cell."""
+    rng = np.random.default_rng(9)
+    for two in (False, True):
+        cls, n = np.arange(30), rng.integers(1, 60, 30)
+        side = rng.integers(0, 2, 30) if two else np.full(30, 2)
+        old, neardup.CHUNK_ITEMS = neardup.CHUNK_ITEMS, 200
+        try:
+            rows = neardup._cells(5, 0, cls, n, side, cls)
+        finally:
+            neardup.CHUNK_ITEMS = old
+        met = []
+        for cell in {tuple(r[2:4]) for r in rows.tolist()}:
+            m = [r for r in rows.tolist() if tuple(r[2:4]) == cell]
+            for i in range(len(m)):
+                ok = neardup._meet(m[i][4], np.array([x[4] for x in m[i + 1:]], np.int64))
+                met += [tuple(sorted((m[i][5], x[5]))) for x, y in zip(m[i + 1:], ok, strict=True) if y]
+        want = [(i, j) for i in range(30) for j in range(i + 1, 30) if not two or side[i] != side[j]]
+        assert sorted(met) == want
+
+
+def test_deduplicate_keeps_one_row_of_each_group(spark):
+    a, b, c = "a b c d e f g h i j k l m n o p q r s t", "other words of another text stand here", "third text with words of its own"
+    rows = [(1, a, "x"), (1, a, "y"), (1, a, "x"), (1, b, "x"), (2, a + " u", "x"), (3, b, "x"), (4, None, "x"), (4, None, "x"),
+            (5, "", "x"), (None, a, "x"), (None, a, "x"), (6, c, None), (6, c, None), (7, a.upper(), "z")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    got = sorted(map(tuple, neardup.deduplicate(table).collect()), key=str)
+    assert got == sorted([(1, a, "x"), (1, b, "x"), (4, None, "x"), (4, None, "x"), (5, "", "x"), (None, a, "x"), (None, a, "x"),
+                          (6, c, None)], key=str)
+    assert neardup.deduplicate(table.limit(0)).collect() == []
