@@ -8,14 +8,20 @@ in page order, fused into one score, and a path is content if its score
 reaches ``THRESHOLD`` of the page's best. A path is lifted by the best path of
 the article or main part it stands in, table cells and all, or else of its
 section, so a short heading or closing line is kept with its article. Link text
-counts against paths outside article and main only. Regions that are boilerplate by their tag, role or class (menus,
-headers, footers, sidebars, notices, adverts, forms, comments) take no part; of
-a block that holds an inline element of this kind only that element goes.
+counts against paths outside article and main only. Class names are a further
+factor of a path's score, in articles too: the share of boilerplate words in
+them is taken off, and off again by the share of link text, so ``related-work``
+holding prose stays and holding links goes. Regions that are boilerplate by
+their tag, role or whole class name (menus, headers, footers, sidebars, notices,
+adverts, forms, comments) take no part; of a block that holds an inline element
+of this kind only that element goes.
 
 Nulls and odd input: a null, empty or text-free page has the text ""; broken
 markup is read as far as it goes (an unclosed script or comment runs to the
-end); whole pages are read, whatever their length; repeated rows are extracted
-one by one; an empty table gives no rows; other columns are ignored.
+end, a page cut off inside a tag ends with that tag's text) in time linear in
+the page; whole pages are read, whatever their length; repeated rows are extracted
+one by one; an empty table gives no rows; other columns pass through, but for
+one that has the text column's name.
 """
 
 from __future__ import annotations
@@ -59,34 +65,64 @@ DROPPED_NAMES = frozenset(
     "navigation menu breadcrumb breadcrumbs sidebar aside widget footer masthead topbar toolbar cookie cookies consent "
     "gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing "
     "social related recommended recommendations comment comments respond reply replies disqus pagination pager "
-    "copyright legal disclaimer skip".split())
-
-_TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*)>""")
+    "copyright legal disclaimer skip byline bio author tag tags discussion feedback reader readers responses policy privacy "
+    "follow".split())
+# words of a class name that say nothing of what an element holds
+PLAIN_NAMES = frozenset(
+    "a an the my our your this us with and of for in on at to id js box boxes container wrapper wrap list lists item items "
+    "inner outer section sections block blocks area panel region group row col column grid post posts link links button "
+    "buttons bar article entry site page content body text top bottom left right small large slot unit cloud form".split())
+MAX_DEPTH = 512  # as in browsers; what is nested deeper belongs to the element at this depth
+
+_OPEN = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
+_STOP = re.compile(r"""=\s*["']|>""")
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？¿¡]")
 
 
+def _name_share(names: str) -> float:
+    """The largest share of boilerplate words in one of the class names, plain words apart."""
+    best = 0.0
+    for name in names.split():
+        words = [w for w in (x.lower() for x in _NAME.findall(name)) if w not in PLAIN_NAMES]
+        if words:
+            best = max(best, sum(w in DROPPED_NAMES for w in words) / len(words))
+    return best
+
+
+def _tag_end(page: str, at: int, quotes: bool) -> int:
+    """Where the ``>`` of a tag stands, from its name's end on; -1 if it has none outside quoted values."""
+    if not quotes:
+        return page.find(">", at)
+    while (m := _STOP.search(page, at)) is not None:
+        if m[0] == ">":
+            return m.start()
+        end = page.find(m[0][-1], m.end())
+        at = m.end() if end < 0 else end + 1
+    return -1
+
+
 class _Element:
-    __slots__ = ("tag", "label", "dropped", "holds_main", "path", "section")
+    __slots__ = ("tag", "label", "dropped", "share", "holds_main", "path", "section")
 
     def __init__(self, tag: str, attrs: str, parent: _Element | None):
         self.tag, self.label, self.holds_main = tag, tag, False
         self.dropped = tag in DROPPED  # by its tag; a class can be outweighed, see holds_main
-        named = False
+        self.share = 0.0
         if attrs:
             values = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
             names = f"{values.get('class', '')} {values.get('id', '')}".strip()
             if names:
                 self.label = tag + "." + ".".join(sorted(names.split()))
-                named = any(x.lower() in DROPPED_NAMES for x in _NAME.findall(names))
+                self.share = _name_share(names) if tag not in ("html", "body", "article", "main") else 0.0
             self.dropped |= ("hidden" in values or values.get("aria-hidden") == "true"
                              or values.get("role", "") in DROPPED_ROLES
                              or "display:none" in values.get("style", "").replace(" ", ""))
-        if named and tag not in ("html", "body", "article", "main"):
-            self.dropped = self.dropped or None  # None: dropped unless it holds the main part
         block = tag in BLOCK
+        if self.share == 1 or (self.share >= 0.5 and tag == "a"):
+            self.dropped = self.dropped or None  # None: dropped unless it holds the main part
         self.path = (f"{parent.path}/{self.label}" if parent else self.label) if block or not parent else parent.path
         self.section = self if tag in SECTION or not parent else parent.section
 
@@ -107,26 +143,32 @@ def read_blocks(page: str) -> Iterator[tuple[str, int, list[_Element]]]:
     links = 0
     inline: list[_Element] = []  # open inline elements that are dropped, or are unless they hold the main part
 
+    chain: list[_Element] | None = None  # open block-level elements, shared by the blocks they hold
+
     def add(text: str) -> None:
-        nonlocal block
+        nonlocal block, chain
         if not text or (inline and inline[-1].dropped):
             return
         if block is None:
-            block = _Block([e for e in stack if e.tag in BLOCK])
+            if chain is None:
+                chain = [e for e in stack if e.tag in BLOCK]
+            block = _Block(chain)
             done.append(block)
         block.pieces.append((text, links > 0, inline[-1] if inline else None))
 
     def close(n: int) -> None:
-        nonlocal links, block
+        nonlocal links, block, chain
         for e in reversed(stack[n:]):
             links -= e.tag == "a"
             if inline and inline[-1] is e:
                 inline.pop()
             if e.tag in BLOCK:
-                block = None
+                block = chain = None
         del stack[n:]
 
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
+    quotes = True  # until a tag is found whose quotes swallow the rest of the page
+    over: dict[str, int] = {}  # open elements beyond MAX_DEPTH, by tag
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -143,14 +185,26 @@ def read_blocks(page: str) -> Iterator[tuple[str, int, list[_Element]]]:
             end = page.find(">", lt)
             at = n if end < 0 else end + 1
             continue
-        m = _TAG.match(page, lt)
+        if lt > last:  # no tag ends any more: a page cut off inside a tag, or plain text
+            add(html.unescape(page[lt:]))
+            break
+        m = _OPEN.match(page, lt)
         if m is None:
             add("<")
             at = lt + 1
             continue
-        at = m.end()
+        end = _tag_end(page, m.end(), quotes)
+        if end < 0:
+            quotes = False
+            end = page.find(">", m.end())
+        attrs, at = page[m.end():end], end + 1
         tag = m[2].lower()
         if m[1]:
+            if over.get(tag):
+                over[tag] -= 1
+                if tag in BLOCK:
+                    block = None
+                continue
             k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag), None)
             if k is not None:
                 close(k)
@@ -176,7 +230,7 @@ def read_blocks(page: str) -> Iterator[tuple[str, int, list[_Element]]]:
             block = None
         if tag in VOID:
             continue
-        element = _Element(tag, m[3], stack[-1] if stack else None)
+        element = _Element(tag, attrs, stack[-1] if stack else None)
         if tag in RAW:
             end = re.compile(f"</{tag}[\\s/>]", re.IGNORECASE).search(page, at)
             at = n if end is None else max(at, page.find(">", end.start()) + 1 or n)
@@ -184,7 +238,12 @@ def read_blocks(page: str) -> Iterator[tuple[str, int, list[_Element]]]:
         if tag in ("article", "main", "h1"):
             for e in stack:
                 e.holds_main = True
+        if len(stack) >= MAX_DEPTH:
+            over[tag] = over.get(tag, 0) + 1
+            continue
         stack.append(element)
+        if tag in BLOCK:
+            chain = None
         if tag not in BLOCK and element.dropped is not False:
             element.dropped = element.dropped or (inline[-1].dropped if inline else None)  # what it stands in goes too
             inline.append(element)
@@ -209,6 +268,11 @@ def _boilerplate(chain: list[_Element]) -> bool:
     return head and not any(re.fullmatch("h[1-6]", e.tag) for e in chain)
 
 
+def _named(chain: list[_Element]) -> float:
+    """What the class names leave of a path's score: 1 without boilerplate words."""
+    return math.prod(1 - e.share for e in chain if not e.holds_main)
+
+
 def _smooth(values: list[float]) -> list[float]:
     padded = [values[0], *values, values[-1]]
     return [sum(w * x for w, x in zip(SMOOTHING, padded[k:k + 3], strict=True)) for k in range(len(values))]
@@ -216,19 +280,25 @@ def _smooth(values: list[float]) -> list[float]:
 
 def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     """The content blocks of a page, joined by newlines."""
-    blocks = [(text, linked, chain) for text, linked, chain in read_blocks(page or "") if not _boilerplate(chain)]
+    blocks = list(read_blocks(page or ""))
+    gone = {key: _boilerplate(chain) for key, chain in {id(chain): chain for _, _, chain in blocks}.items()}
+    blocks = [b for b in blocks if not gone[id(b[2])]]
     if not blocks:
         return ""
-    paths: dict[str, list] = {}  # path -> blocks, characters, punctuation, link characters, sections, articles
+    paths: dict[str, list] = {}  # path -> blocks, characters, punctuation, link characters, sections, articles, names' weight
+    seen: set[int] = set()  # chains
     for text, linked, chain in blocks:
         path = chain[-1].path if chain else ""
-        p = paths.setdefault(path, [0, 0, 0, 0, set(), set()])
+        if (p := paths.get(path)) is None:
+            p = paths[path] = [0, 0, 0, 0, set(), set(), _named(chain)]
         p[0] += 1
         p[1] += len(text)
         p[2] += len(_PUNCTUATION.findall(text))
         p[3] += min(linked, len(text))
-        p[4].add(id(chain[-1].section) if chain else 0)
-        p[5].update(id(e) for e in chain if e.tag in ("article", "main"))
+        if id(chain) not in seen:
+            seen.add(id(chain))
+            p[4].add(id(chain[-1].section) if chain else 0)
+            p[5].update(id(e) for e in chain if e.tag in ("article", "main"))
     stats = list(paths.values())
     length = _smooth([p[1] / p[0] for p in stats])
     marks = _smooth([p[2] / p[0] for p in stats])
@@ -239,7 +309,8 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
     for s, p in zip(scores, stats, strict=True):
         for k in p[4] | p[5]:
             section[k] = max(section.get(k, 0.0), s)
-    fused = {path: max(s, LIFT * max(section[k] for k in p[5] or p[4])) if p[5] or p[3] < p[1] else s
+    fused = {path: (max(s, LIFT * max(section[k] for k in p[5] or p[4])) if p[5] or p[3] < p[1] else s)
+             * p[6] * (1 - (1 - p[6]) * p[3] / p[1])
              for path, s, p in zip(paths, scores, stats, strict=True)}
     limit = threshold * max(fused.values())
     return "\n".join(text for text, _, chain in blocks if fused[chain[-1].path if chain else ""] >= limit)
@@ -247,6 +318,8 @@ def main_text(page: str | None, threshold: float = THRESHOLD) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html", column: str = "text") -> DataFrame:
     """pages with the main text in place of the html."""
+    if column != html_col:
+        pages = pages.drop(column)
     place = pages.columns.index(html_col)
     fields = list(pages.schema.fields)
     fields[place] = T.StructField(column, T.StringType())

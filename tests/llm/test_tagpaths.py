@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -83,3 +84,31 @@ def test_rows_and_clashing_columns(spark):
     got = [tuple(r) for r in extract(pages).collect()]
     assert sorted(got, key=str) == sorted([(1, "", "a"), (1, "x", "b"), (1, "x", "b"), (None, "", "c")], key=str)
     assert extract(pages.limit(0)).collect() == []
+    same = pages.withColumnRenamed("text_", "text")
+    assert extract(same).columns == ["page_id", "text"]
+
+
+@pytest.mark.parametrize("tail", ["<a " + 'x="y" ' * 200_000, "<" * 1_000_000, "<a x=\"" * 150_000, "<a x=\">\" " * 120_000,
+                                  "<div>w" * 150_000, "<a<b" * 250_000 + ">", "<p>" + "</x>" * 250_000, "x='<a " * 150_000 + ">"])
+def test_a_cut_off_or_broken_page_takes_linear_time(tail):
+    start = time.perf_counter()
+    text = main_text(f"<article><p>{PROSE}</p>" + tail)
+    assert PROSE.strip() in text and time.perf_counter() - start < 10
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+@pytest.mark.parametrize("box", [
+    f'<div class="author-bio"><p>{PROSE}</p></div>', f'<section class="discussion"><p>{PROSE}</p></section>',
+    f'<div class="reader-feedback"><p>{PROSE}</p></div>', f'<div id="comment-12"><p>{PROSE}</p></div>',
+    '<ul class="post-tags"><li><a href=/t>History</a><li><a href=/u>Spain</a></ul>', '<p class="byline">By Jane Doe</p>',
+    '<div class="related-reading"><a href=/1>One more</a> <a href=/2>And another one</a></div>'])
+def test_named_boxes_go_inside_articles_too(tag, box):
+    page = f"<body><{tag}><h1>Title</h1><p>{PROSE}</p><p>{PROSE}</p>{box}<p>{PROSE}</p></{tag}></body>"
+    assert main_text(page).split("\n") == ["Title", *[PROSE.strip()] * 3]
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_one_word_of_a_class_name_does_not_outvote_prose(tag):
+    page = (f'<body><{tag}><h1>Title</h1><p>{PROSE}</p><div class="related-work"><p>{PROSE}</p></div><p class="legal-history">{PROSE}</p>'
+            f'<p>The <span class="search-term">price</span> fell, and {PROSE}</p></{tag}></body>')
+    assert main_text(page).split("\n") == ["Title", *[PROSE.strip()] * 3, "The price fell, and " + PROSE.strip()]
