@@ -220,11 +220,11 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source",
 def mixed_documents(docs: DataFrame, **kwargs) -> DataFrame:
     """The documents the mix takes, whole, with copies (1 or more) and taken.
 
-    docs has doc_id, source and text; its other columns are kept but for those
-    named size, copies and taken.
+    docs has doc_id, source and text; its other columns are kept, whatever
+    their names, but for those named copies and taken.
     """
     plan = source_plan(_sizes(docs), **kwargs)
-    kept = docs.drop("size", "copies", "taken")
-    out = apply_plan(kept.withColumn("size", word_count(F.col("text"))), plan)
-    return (out.filter(F.col("copies") > 0).withColumn("taken", F.col("copies") * F.col("size"))
-            .select(*kept.columns, "copies", "taken"))
+    kept = docs.drop("copies", "taken")
+    whole = F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("__mix_row")  # no name of it meets the plan's
+    out = apply_plan(kept.select("doc_id", "source", word_count(F.col("text")).alias("size"), whole), plan)
+    return (out.filter(F.col("copies") > 0).select("__mix_row.*", "copies", (F.col("copies") * F.col("size")).alias("taken")))

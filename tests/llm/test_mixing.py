@@ -3,6 +3,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from possum.llm import mixing
 from tests.llm.brute import spaced
@@ -91,3 +92,14 @@ def test_documents_of_the_mix(spark, docs):
 def test_plan_is_native(spark, docs):
     text = mixing.mix(docs([(1, "a b")]))._jdf.queryExecution().toString()
     assert not any(x in text for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_columns_named_like_the_plans(spark, docs):
+    names = ("last", "target", "share", "rest", "whole", "size", "odds", "bin", "cut_bin", "closing", "source_size", "copies", "taken", "__s")
+    table = docs([(i, "w " * (i % 9 + 1)) for i in range(60)])
+    for k, c in enumerate(names):
+        table = table.withColumn(c, F.lit(k))
+    out = mixing.mixed_documents(table)
+    rows = out.collect()
+    assert out.columns == [c for c in table.columns if c not in ("copies", "taken")] + ["copies", "taken"]
+    assert rows and all(r[c] == k for r in rows for k, c in enumerate(names) if c not in ("copies", "taken"))
