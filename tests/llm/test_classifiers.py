@@ -103,3 +103,41 @@ def test_random_indexing_counts_neighbours():
                     if i != j:
                         want[b[i]] += index[b[j]]
     assert (got.reshape(want.shape) == want).all()
+
+
+def auc(score, y):
+    order = np.argsort(score, kind="stable")
+    rank = np.empty(len(y))
+    rank[order] = np.arange(1, len(y) + 1)
+    return (rank[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
+
+
+def test_long_texts_train_too(spark, docs):
+    """Every text is longer than the window that training reads of it."""
+    rng = np.random.default_rng(3)
+    rows, labels = [], []
+    for i in range(300):
+        words = [f"w{k}" for k in rng.integers(0, 500, toxicity.TRAIN_WORDS + 100)]
+        if i % 2:
+            for k in rng.choice(len(words), 60, replace=False):
+                words[k] = "vile"
+        rows.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = [r for r in toxicity.score_toxicity(docs(rows), labels).collect() if r.held_out]
+    assert auc(np.array([r.score for r in got]), np.array([r.doc_id % 2 for r in got])) > 0.9
+
+
+def test_convolution_and_pooling_against_loops():
+    rng = np.random.default_rng(11)
+    net = toxicity.Cnn(np.arange(0, 60, 2).astype(np.int32))
+    texts = [rng.integers(0, 31, n) for n in (0, 1, 2, 3, 17)]
+    first = np.cumsum([0] + [len(t) for t in texts])
+    got = net.pooled(np.concatenate(texts), first)
+    for t, row in zip(texts, got, strict=True):
+        want = []
+        for w, f in zip(toxicity.WIDTHS, net.conv, strict=True):
+            for c in range(toxicity.FILTERS):
+                at = [sum(net.emb[t[p + j]] @ f[j, :, c] for j in range(w) if p + j < len(t)) for p in range(len(t))]
+                want.append(max(at, default=0.0))
+        np.testing.assert_allclose(row, want, atol=1e-5)
