@@ -40,7 +40,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 CONTEXT = re.compile(
     r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|bearer|auth|credentials?|api[_-]?key"""
-    r"""|(?:private|access|client|secret)[_-]?(?:key|secret))["']?\x20{0,4}(?::=|=>|[:=]|\bis\b)\x20{0,4}["']?"""
+    r"""|(?:private|access|client|secret)[_-]?(?:key|secret))["']?\x20*(?::=|=>|[:=]|\bis\b)\x20*["']?"""
     r"""([^\s"'<>]+)""", re.ASCII | re.IGNORECASE)
 _HINTS = (b"pass", b"pwd", b"pin", b"secret", b"token", b"bearer", b"auth", b"credential", b"key")
 

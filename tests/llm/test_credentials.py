@@ -85,3 +85,8 @@ def test_a_secret_goes_to_its_end(spark, docs):
                 max_size=14).map("".join))
 def test_any_text_has_its_base_spans(text):
     assert [(("assign", "access", "hex")[s.kind], s.start, s.end) for s in scan(text) if s.kind < 3] == base_secrets(text)
+
+
+def test_any_number_of_blanks(docs):
+    text = "password      :     hunterXX!q9 and so on"
+    assert [r.text for r in redact(docs([(1, text)])).collect()] == ["password      :     [secret] and so on"]
