@@ -18,9 +18,10 @@
 4. What is left are pairs of members of one list with different labels. They are
    passed over if their sizes or sketches rule a link out, or if what both share
    with the list's middle member, known exactly, plus what they can share
-   outside it does. The members with an open pair go with their sets into one
-   task per list, where collisions are counted and full sets compared; what
-   leaves it is a spanning forest of the links found.
+   outside it does. The members with an open pair meet again with their
+   signatures, where collisions are counted; those of a pair with at least
+   ``MATCHES`` meet with their full sets. What leaves a task is its members, and
+   in the end a spanning forest of the links found.
 
 No step puts out the pairs of a group: every output has at most one row per
 member of a list. Members that already have one label are not compared, and two
@@ -455,53 +456,70 @@ def _meet(one: int, others: np.ndarray) -> np.ndarray:
     return ((one ^ others) & (one >> 2)) == one >> 2
 
 
-def _links_of_cells(cells: DataFrame, sets: DataFrame, frequent) -> DataFrame:
-    """u, v: links between members of one cell, confirmed on full sets; not more than its members.
-
-    A pair is looked at in the first list that both its classes are posted
-    under, and only while the two are not connected by links of the cell.
-    """
-    cells = cells.join(sets.select("cls", "sig", "items"), "cls").select(*_CELL, "sig", "items")
-    key = ["pair", "block", "lo", "hi"]
-    cells = cells.repartition(*key).sortWithinPartitions(*key, "cls")
+def _by_cell(cells: DataFrame, more: list[str], work, schema: str, name: str) -> DataFrame:
+    """What ``work(key, columns)`` makes of every cell; columns are those of ``_CELL`` after the key, then ``more``."""
+    key = list(_CELL[:4])
+    cells = cells.select(*_CELL, *more).repartition(*key).sortWithinPartitions(*key, "cls")
 
     def task(batches):
-        pairs, counts = frequent.value
         at, members = None, []
         for b in batches:
-            keys = list(zip(*(b.column(c).to_pylist() for c in range(4)), strict=True))
-            for r, k in enumerate(keys):
+            for r, k in enumerate(zip(*(b.column(c).to_pylist() for c in range(4)), strict=True)):
                 if k != at:
-                    yield _links(at, members, pairs, counts)
+                    if len(members) > 1:
+                        yield work(at, list(zip(*members, strict=True)))
                     at, members = k, []
-                members.append((*(b.column(c)[r].as_py() for c in (4, 5, 6)), b.column(7)[r].as_py(), b.column(8)[r].as_py()))
-        yield _links(at, members, pairs, counts)
+                members.append([b.column(c)[r].as_py() for c in range(4, b.num_columns)])
+        if len(members) > 1:
+            yield work(at, list(zip(*members, strict=True)))
 
-    return staged(arrow_map(cells, task, "u long, v long"), "links")
+    return staged(arrow_map(cells, task, schema), name)
 
 
-def _links(at, members, pairs, counts) -> pa.RecordBatch:
-    """A spanning forest of the links in one cell."""
-    found = []
-    if len(members) > 1:
-        part, cls, label = (np.array(x, np.int64) for x in list(zip(*members, strict=True))[:3])
-        sig = np.stack([np.frombuffer(m[3], np.uint32) for m in members])
-        sets = [np.frombuffer(m[4], np.uint64) for m in members]
+def _candidates(at, part, label, sig, n, posted):
+    """(i, members after it that it has to be compared with), by signatures; label may change between rounds.
+
+    A pair is looked at in the first list that both its classes are posted under.
+    """
+    posted = np.where(posted < at[0], posted, -1)  # an earlier list of both has the pair
+    for i in range(len(part) - 1):
+        js = np.arange(i + 1, len(part))
+        js = js[_meet(part[i], part[js]) & (label[js] != label[i])
+                & (100 * np.minimum(n[js], n[i]) >= PERCENT * np.maximum(n[js], n[i]))]
+        js = js[(sig[js] == sig[i]).sum(axis=1) >= MATCHES]
+        if len(js):
+            js = js[~np.isin(posted[js], posted[i][posted[i] >= 0]).any(axis=1)]
+        if len(js):
+            yield i, js
+
+
+def _collisions(cells: DataFrame, classes: DataFrame, frequent) -> DataFrame:
+    """The rows of cells whose class agrees with another of its cell in ``MATCHES`` coordinates."""
+    def work(at, members):
+        part, cls, label = (np.array(x, np.int64) for x in members[:3])
+        sig = np.stack([np.frombuffer(x, np.uint32) for x in members[3]])
+        found = np.zeros(len(cls), bool)
+        for i, js in _candidates(at, part, label, sig, np.array(members[4]), _prefix(sig, *frequent.value)[0]):
+            found[i] = found[js] = True
+        rows = [np.full(int(found.sum()), k) for k in at] + [x[found] for x in (part, cls, label)]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows], names=list(_CELL))
+
+    return _by_cell(cells.join(classes.select("cls", "sig", "n"), "cls"), ["sig", "n"], work,
+                    ", ".join(f"{c} long" for c in _CELL), "collisions")
+
+
+def _links_of_cells(cells: DataFrame, sets: DataFrame, frequent) -> DataFrame:
+    """u, v: links between members of one cell, confirmed on full sets: a spanning forest of them."""
+    def work(at, members):
+        part, cls, label = (np.array(x, np.int64) for x in members[:3])
+        sig = np.stack([np.frombuffer(x, np.uint32) for x in members[3]])
+        sets = [np.frombuffer(x, np.uint64) for x in members[4]]
         n = np.array([len(s) for s in sets])
-        posted = _prefix(sig, pairs, counts)[0]
-        posted = np.where(posted < at[0], posted, -1)  # an earlier list of both has the pair
         items, code = np.unique(np.concatenate(sets), return_inverse=True)
         first = np.cumsum(n) - n
         mark = np.zeros(len(items), np.int64)
-        for i in range(len(cls) - 1):
-            js = np.arange(i + 1, len(cls))
-            js = js[_meet(part[i], part[js]) & (label[js] != label[i])
-                    & (100 * np.minimum(n[js], n[i]) >= PERCENT * np.maximum(n[js], n[i]))]
-            js = js[(sig[js] == sig[i]).sum(axis=1) >= MATCHES]
-            if len(js):
-                js = js[~np.isin(posted[js], posted[i][posted[i] >= 0]).any(axis=1)]
-            if not len(js):
-                continue
+        found = []
+        for i, js in _candidates(at, part, label, sig, n, _prefix(sig, *frequent.value)[0]):
             mine = code[first[i]:first[i] + n[i]]
             mark[mine] = 1
             theirs = mark[np.concatenate([code[first[j]:first[j] + n[j]] for j in js])]
@@ -511,8 +529,10 @@ def _links(at, members, pairs, counts) -> pa.RecordBatch:
                 if label[j] != label[i]:
                     found.append((cls[i], cls[j]))
                     label[label == label[j]] = label[i]
-    p = np.array(found, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["u", "v"])
+        p = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(p[:, 0]), pa.array(p[:, 1])], names=["u", "v"])
+
+    return _by_cell(cells.join(sets.select("cls", "sig", "items"), "cls"), ["sig", "items"], work, "u long, v long", "links")
 
 
 def _components(docs: DataFrame) -> DataFrame:
@@ -533,7 +553,7 @@ def _components(docs: DataFrame) -> DataFrame:
     star = _verify(pairs, _needed_sets(docs, classes, ends))
     links = star.filter("link").select("u", "v")
     labels = connected(links)
-    cells = _open_members(lists, labels, star)
+    cells = _collisions(_open_members(lists, labels, star), classes, frequent)
     if not cells.isEmpty():
         more = _links_of_cells(cells, _needed_sets(docs, classes, cells.select("cls")), frequent)
         if not more.isEmpty():
