@@ -420,61 +420,60 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         n = np.where(known, shared.value[1][at] if len(shared.value[1]) else 0, 0)
         return known, n, (np.append(n, 0)[word], np.append(known, False)[word])
 
+    texts = ("doc_id", "held_out", "row_key", "n_tokens", "known", "part", "score")
+    types = (None, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+             pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.list_(pa.int64()))
+    stops = ("stop", "key", "sent", "spelled", "ends", "grams")
+
     def score(batches):
+        """A row for each text, then rows for its stops that are not done: those whose word or some of whose byte
+        strings were not sent along."""
+        from pyspark import TaskContext
+        done = TaskContext.get().partitionId() << 40  # numbers the stops
+
+        def batch(id_type, cols):
+            size = len(next(iter(cols.values())))
+            kinds = (id_type, *types[1:])
+            return pa.RecordBatch.from_arrays(
+                [cols[c] if isinstance(cols.get(c), pa.Array) else pa.array(cols[c], t) if c in cols else pa.nulls(size, t)
+                 for c, t in zip((*texts, *stops), kinds, strict=True)], names=[*texts, *stops])
+
         for b in batches:
             id_key = b.column(3).to_numpy(zero_copy_only=False)
-            out = []
             for i, j, data, offs in chunks(b.column(1)):
-                w, doc, word, spelled, ends, _, bounds = tokens(data, offs)
+                w, doc, word, spelled, ends, other, bounds = tokens(data, offs)
                 known, n, (m, is_known) = counted(w, word)
                 p = SHARE * m / max(n_words, 1) * np.where(ends, last, 1 - last) + (1 - SHARE) * 10.0 ** spelled
                 lp = np.log10(np.where(is_known, (1 - new) * p, 1.0)) + np.where(is_known, 0.0, math.log10(new) + spelled)
                 lp = np.where(word < 0, spelled, lp)
-                lp[bounds[1:] > bounds[:-1]] = 0.0  # put right below, like words that were not sent along
+                is_partial = bounds[1:] > bounds[:-1]
+                lp[is_partial] = 0.0  # put right below, like words that were not sent along
 
                 def per_text(x, first=w.first):
                     return np.diff(np.concatenate([np.zeros(1, x.dtype), np.cumsum(x)])[first])
 
-                out.append((row_key(w, id_key[i:j]), np.diff(w.first) + 1, per_text(known.astype(np.int64)),
-                            per_text(np.log10(n + 1.0)), np.bincount(doc, lp, j - i)))
-            cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 5
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), *[pa.array(c, t) for c, t in zip(
-                    cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()), strict=True)]],
-                names=["doc_id", "held_out", "row_key", "n_tokens", "known", "part", "score"])
-
-    def left_over(partial):
-        """Stops whose word was not sent along; those with byte strings that were not if ``partial``, else the others."""
-        def task(batches):
-            from pyspark import TaskContext
-            done = TaskContext.get().partitionId() << 40  # numbers the stops
-            for b in batches:
-                id_key = b.column(3).to_numpy(zero_copy_only=False)
-                for i, j, data, offs in chunks(b.column(1)):
-                    w, doc, word, spelled, ends, other, bounds = tokens(data, offs)
-                    _, _, (m, is_known) = counted(w, word)
-                    is_partial = bounds[1:] > bounds[:-1]
-                    at = np.flatnonzero(is_partial if partial else ~is_partial & ~is_known & (word >= 0))
-                    if not len(at):
-                        continue
-                    keys = row_key(w, id_key[i:j])[doc[at]]
-                    cols = [np.append(w.hashes, U(0)).view(np.int64)[word[at]], keys, spelled[at], ends[at]]
-                    names = ["key", "row_key", "spelled", "ends"]
-                    if partial:
-                        number = np.arange(done, done + len(at))
-                        done += len(at)
-                        size = np.diff(bounds)[at]
-                        cols = [np.repeat(c, size) for c in (number, np.where(word[at] < 0, -1, np.where(is_known[at], m[at], 0)), *cols)]
-                        cols.append(other.view(np.int64))
-                        names = ["stop", "sent", *names, "gram"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
-
-        kinds = "key long, row_key long, spelled double, ends boolean"
-        return arrow_map(docs, task, f"stop long, sent long, {kinds}, gram long" if partial else kinds)
+                keys = row_key(w, id_key[i:j])
+                yield batch(b.column(0).type, {
+                    "doc_id": b.column(0).slice(i, j - i), "held_out": b.column(2).slice(i, j - i), "row_key": keys,
+                    "n_tokens": np.diff(w.first) + 1, "known": per_text(known.astype(np.int64)),
+                    "part": per_text(np.log10(n + 1.0)), "score": np.bincount(doc, lp, j - i)})
+                at = np.flatnonzero(is_partial | (~is_known & (word >= 0)))
+                if len(at):
+                    size = np.diff(bounds)[at]
+                    yield batch(b.column(0).type, {
+                        "row_key": keys[doc[at]], "stop": np.arange(done, done + len(at)),
+                        "key": np.append(w.hashes, U(0)).view(np.int64)[word[at]],
+                        "sent": np.where(word[at] < 0, -1, np.where(is_known[at], m[at], 0)),
+                        "spelled": spelled[at], "ends": ends[at],
+                        "grams": pa.ListArray.from_arrays(np.append(0, np.cumsum(size)).astype(np.int32),
+                                                          pa.array(other[:bounds[-1]].view(np.int64)))})
+                    done += len(at)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = staged(arrow_map(docs, score, f"doc_id {kind}, held_out boolean, row_key long, n_tokens long, known long, "
-                                         "part double, score double"), "scored")
+    read = staged(arrow_map(docs, score, f"doc_id {kind}, held_out boolean, row_key long, n_tokens long, known long, part double, "
+                                         "score double, stop long, key long, sent long, spelled double, ends boolean, "
+                                         "grams array<long>"), "scored")
+    rows, open_stops = read.filter("stop IS NULL").select(*texts), read.filter("stop IS NOT NULL")
     rare = words.filter(~is_common).select("key", "n")
     r = F.when(F.col("ends"), F.lit(last)).otherwise(F.lit(1 - last))
 
@@ -483,9 +482,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # words that were not sent along count as unknown above: those the training part has are put right here
     unknown = math.log10(new) + F.col("spelled")
-    fixed = left_over(False).join(rare, "key").select("row_key", "n", (known(F.col("n")) - unknown).alias("more_score"))
+    whole = open_stops.filter("size(grams) = 0").select("key", "row_key", "spelled", "ends")
+    fixed = whole.join(rare, "key").select("row_key", "n", (known(F.col("n")) - unknown).alias("more_score"))
     if often:  # stops with byte strings that were not sent along count 0 above
-        stops = (left_over(True).join(grams.select(F.col("key").alias("gram"), "log"), "gram").groupBy("stop")
+        kept = ("stop", "sent", "key", "row_key", "spelled", "ends")
+        stops = (open_stops.select(*kept, F.explode("grams").alias("gram"))
+                 .join(grams.select(F.col("key").alias("gram"), "log"), "gram").groupBy("stop")
                  .agg(*[F.first(c).alias(c) for c in ("sent", "key", "row_key", "ends")],
                       (F.first("spelled") + F.sum("log")).alias("spelled")))
         # only words that were not sent along are looked up; the others are spread over the tasks
