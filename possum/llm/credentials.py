@@ -6,6 +6,14 @@ credential context and that a guesser would need at least
 ``10 ** MIN_GUESSES`` tries for, unless other spans cover them whole. The number of tries is the cheapest way to
 cut the value into common words, dates, repeats, keyboard walks or sequences,
 and brute-force characters, found by dynamic programming over its positions.
+After ``:`` and ``=`` the cost alone decides; after ``is`` a plain word is prose.
+
+A guesser knows the words people write: the corpus' most frequent words, by a
+count over all texts, stand beside a few words that passwords are made of. Values in credential
+contexts take no part in the count, so a secret that stands in many copies of
+a text does not make itself a common word. The dictionary holds ``WORDS`` words
+of at most ``LONGEST`` letters that occur ``LEAST`` times or more; this bound
+is a parameter of the guesser, and no text or value is left out by it.
 
 Whole texts are scanned. Bytes decide first which texts can hold a span at
 all; only those are read as strings, so offsets are code points.
@@ -30,17 +38,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from possum.llm.tasks import arrow_map
-from possum.llm.words import LOWER, chunks, runs
+from possum.llm.words import LOWER, chunks, runs, split
 
 KINDS = ("assign", "access", "hex", "guess")
 MIN_GUESSES = 7.0
+WORDS = 1 << 15
+LONGEST = 24
+LEAST = 3
+_FLUSH = 200_000
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 CONTEXT = re.compile(
     r"""(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|bearer|auth|credentials?|api[_-]?key"""
-    r"""|(?:private|access|client|secret)[_-]?(?:key|secret))["']?\x20*(?::=|=>|[:=]|\bis\b)\x20*["']?"""
+    r"""|(?:private|access|client|secret)[_-]?(?:key|secret))["']?\x20*(:=|=>|[:=]|\bis\b)\x20*["']?"""
     r"""([^\s"'<>]+)""", re.ASCII | re.IGNORECASE)
 _HINTS = (b"pass", b"pwd", b"pin", b"secret", b"token", b"bearer", b"auth", b"credential", b"key")
 
@@ -70,8 +82,18 @@ def _keyboard() -> dict[str, set[str]]:
 
 
 _NEAR = _keyboard()
-_RANK = {w: i + 1 for i, w in enumerate(COMMON_WORDS)}
-_LONGEST = max(map(len, COMMON_WORDS))
+class Dictionary:
+    """Words and their ranks, 1 for the most frequent."""
+
+    def __init__(self, ranks: dict[str, int]):
+        self.ranks = ranks
+        self.longest = max(map(len, ranks), default=0)
+        self.heads = {w[:3] for w in ranks}
+
+
+PASSWORD_WORDS = Dictionary({w: i + 1 for i, w in enumerate(COMMON_WORDS)})
+_byte = np.arange(256)
+_LETTER = ((_byte >= 0x61) & (_byte <= 0x7A)) | (_byte >= 0x80)
 
 
 def _brute(ch: str) -> float:
@@ -85,7 +107,7 @@ def _case(s: str) -> float:
     return 0.0 if not ups else _STEP if ups == len(s) or (ups == 1 and s[0].isupper()) else ups * 2 * _STEP
 
 
-def guess_cost(value: str, words: dict[str, int] = _RANK, longest: int = _LONGEST) -> float:
+def guess_cost(value: str, words: Dictionary = PASSWORD_WORDS) -> float:
     """log10 of the tries the cheapest segmentation of value needs; 0 for ""."""
     n = len(value)
     low = value.lower()
@@ -106,11 +128,12 @@ def guess_cost(value: str, words: dict[str, int] = _RANK, longest: int = _LONGES
                 return base + start, math.inf, math.inf
             return base + start, run[0] + step, min(run[1], run[2]) + step
 
-        for j in range(i + 3, min(n, i + longest) + 1):  # words, also with digits for letters
-            if (rank := words.get(low[i:j])) is not None:
-                offer(j, math.log10(rank) + _case(value[i:j]))
-            elif (rank := words.get(plain[i:j])) is not None:
-                offer(j, math.log10(rank) + 2 * _STEP + _case(value[i:j]))
+        if low[i:i + 3] in words.heads or plain[i:i + 3] in words.heads:
+            for j in range(i + 3, min(n, i + words.longest) + 1):  # words, also with digits for letters
+                if (rank := words.ranks.get(low[i:j])) is not None:
+                    offer(j, math.log10(rank) + _case(value[i:j]))
+                if (rank := words.ranks.get(plain[i:j])) is not None:
+                    offer(j, math.log10(rank) + 2 * _STEP + _case(value[i:j]))
         if "0" <= value[i] <= "9":  # dates and years
             if m := _DATE.match(value, i):
                 offer(m.end(), math.log10(119 * 365 * 4))
@@ -153,23 +176,22 @@ def _covered(start: int, end: int, spans: list[Span]) -> bool:
     return start >= end
 
 
-def scan(text: str, min_guesses: float = MIN_GUESSES) -> list[Span]:
+def scan(text: str, min_guesses: float = MIN_GUESSES, words: Dictionary = PASSWORD_WORDS) -> list[Span]:
     """All spans of a text, by start, then kind."""
-    found = [Span(m.start(), m.end(), 0, m.start(2), guess_cost(m[2]))
+    found = [Span(m.start(), m.end(), 0, m.start(2), guess_cost(m[2], words))
              for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     found += [Span(m.start(), m.end(), 1, m.start(), math.nan) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [Span(m.start(), m.end(), 2, m.start(), math.nan) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
     found.sort()
     base = list(found)
     for m in CONTEXT.finditer(text):
-        value = m[1].rstrip(".,;:!?)]}")
-        start, end = m.start(1), m.start(1) + len(value)
+        value = m[2].rstrip(".,;:!?)]}")
+        start, end = m.start(2), m.start(2) + len(value)
         if _covered(start, end, base):
             continue
-        # a plain word is prose: it takes a digit or a sign inside to make a secret
-        if len(value) < 6 or value.isalpha() or not any(c.isalnum() for c in value):
+        if m[1].lower() == "is" and value.replace("-", "").isalpha():
             continue
-        if (cost := guess_cost(value)) >= min_guesses:
+        if (cost := guess_cost(value, words)) >= min_guesses:
             found.append(Span(start, end, 3, start, cost))
     return sorted(found)
 
@@ -192,17 +214,61 @@ def _suspects(texts: pa.Array):
         yield i, j, row, raw, offs
 
 
-def _spans_of(texts: pa.Array, min_guesses: float):
+def _spans_of(texts: pa.Array, min_guesses: float, words: Dictionary):
     for i, j, row, raw, offs in _suspects(texts):
         for k in range(j - i):
             text = raw[offs[k]:offs[k + 1]].decode() if row[k] else ""
-            yield text, scan(text, min_guesses) if row[k] else []
+            yield text, scan(text, min_guesses, words) if row[k] else []
+
+
+def _without_values(text: str) -> str:
+    for pattern in (CONTEXT, ASSIGN):
+        text = pattern.sub(" ", text)
+    return text
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word, n: how often each word of 3 to ``LONGEST`` letters, in lower case, stands in the texts outside credential values."""
+    def rows(held):
+        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], names=["word", "n"])
+
+    def task(batches):
+        held: dict[str, int] = {}
+        for b in batches:
+            for i, j, row, raw, offs in _suspects(b.column(0)):
+                parts = [raw[offs[k]:offs[k + 1]] for k in range(j - i)]
+                for k in np.flatnonzero(row):
+                    parts[k] = _without_values(parts[k].decode()).encode()
+                data = np.frombuffer(b" ".join(parts), np.uint8)
+                w = split(data, np.array([0, len(data)]), _LETTER)
+                _, first, n = np.unique(w.hashes, return_index=True, return_counts=True)
+                low = LOWER[data].tobytes()
+                for at, to, many in zip(w.starts[first].tolist(), w.ends[first].tolist(), n.tolist(), strict=True):
+                    if to - at <= 4 * LONGEST and 3 <= len(word := low[at:to].decode().lower()) <= LONGEST:
+                        held[word] = held.get(word, 0) + many
+                if len(held) > _FLUSH:
+                    yield rows(held)
+                    held = {}
+        yield rows(held)
+
+    return arrow_map(docs.select(text_col), task, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def corpus_dictionary(docs: DataFrame, text_col: str = "text", size: int = WORDS, least: int = LEAST) -> Dictionary:
+    """The most frequent words of the texts by rank (ties in code-point order), with ``COMMON_WORDS`` at their own ranks or better."""
+    top = word_counts(docs, text_col).filter(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(size)
+    ranks = {r.word: i + 1 for i, r in enumerate(top.collect())}  # size rows at most
+    return Dictionary({**ranks, **{w: min(r, ranks.get(w, r)) for w, r in PASSWORD_WORDS.ranks.items()}})
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 min_guesses: float = MIN_GUESSES) -> DataFrame:
-    """Per document: id, spans array<struct<kind, start, end, value_start, log10_guesses>>."""
+                 min_guesses: float = MIN_GUESSES, words: Dictionary | None = None) -> DataFrame:
+    """Per document: id, spans array<struct<kind, start, end, value_start, log10_guesses>>.
+
+    ``words`` is the guesser's dictionary; by default that of ``docs``.
+    """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(words or corpus_dictionary(docs))
     span = T.StructType.fromDDL("kind string, start long, end long, value_start long, log10_guesses double")
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("spans", T.ArrayType(span))])
 
@@ -210,7 +276,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             rows = [[{"kind": KINDS[s.kind], "start": s.start, "end": s.end, "value_start": s.value,
                       "log10_guesses": None if math.isnan(s.guesses) else s.guesses} for s in spans]
-                    for _, spans in _spans_of(b.column(1), min_guesses)]
+                    for _, spans in _spans_of(b.column(1), min_guesses, shared.value)]
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
                                        ("value_start", pa.int64()), ("log10_guesses", pa.float64())]))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, kind)], names=["doc_id", "spans"])
@@ -219,14 +285,18 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[secret]",
-           min_guesses: float = MIN_GUESSES) -> DataFrame:
-    """docs with each secret value replaced by ``mark``; other texts and columns as they were."""
+           min_guesses: float = MIN_GUESSES, words: Dictionary | None = None) -> DataFrame:
+    """docs with each secret value replaced by ``mark``; other texts and columns as they were.
+
+    ``words`` is the guesser's dictionary; by default that of ``docs``.
+    """
     place = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(words or corpus_dictionary(docs, text_col))
 
     def task(batches):
         for b in batches:
             out = []
-            for text, spans in _spans_of(b.column(place), min_guesses):
+            for text, spans in _spans_of(b.column(place), min_guesses, shared.value):
                 parts, at = [], 0
                 for s in sorted(spans, key=lambda s: (s.value, s.end)):
                     if s.value >= at:

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import math
+import re
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from possum.llm import credentials
 from possum.llm.credentials import guess_cost, redact, scan, secret_digest, secret_spans
 from tests.llm.brute import base_secrets, sha
 
@@ -90,3 +94,69 @@ def test_any_text_has_its_base_spans(text):
 def test_any_number_of_blanks(docs):
     text = "password      :     hunterXX!q9 and so on"
     assert [r.text for r in redact(docs([(1, text)])).collect()] == ["password      :     [secret] and so on"]
+
+
+def cheapest(value, words):
+    """The cheapest of all cuts of value into spans, each priced by itself."""
+    low = value.lower()
+    plain = low.translate(credentials._LEET)
+    step = math.log10(2)
+
+    def price(i, j):
+        part, n = value[i:j], j - i
+        costs = [sum(map(credentials._brute, part))]
+        for seen, more in ((low[i:j], 0), (plain[i:j], 2 * step)):
+            if seen in words.ranks:
+                costs.append(math.log10(words.ranks[seen]) + more + credentials._case(part))
+        if re.fullmatch("(19|20)[0-9][0-9]", part):
+            costs.append(math.log10(119))
+        if credentials._DATE.fullmatch(part):
+            costs.append(math.log10(119 * 365 * 4))
+        for unit in (1, 2, 3, 4):
+            if n >= 3 and n > unit and n % unit == 0 and part == part[:unit] * (n // unit):
+                costs.append(sum(map(credentials._brute, part[:unit])) + math.log10(n / unit))
+        if n >= 3:
+            if all(b in credentials._NEAR.get(a, ()) for a, b in zip(low[i:j], low[i + 1:j], strict=False)):
+                costs.append(math.log10(47) + (n - 1) * step)
+            gaps = {ord(b) - ord(a) for a, b in zip(low[i:j], low[i + 1:j], strict=False)}
+            if gaps in ({1}, {-1}):
+                costs.append(math.log10(52) + (n - 1) * step / 2)
+        return min(costs)
+
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        best.append(min(best[i] + (step if i else 0) + price(i, j) for i in range(j)))
+    return best[-1]
+
+
+@settings(max_examples=150, deadline=None, derandomize=True)
+@given(st.lists(st.sampled_from(["a", "b", "Pass", "p@ss", "word", "elephant", "2024", "-01-31", "31.12.1999", "qwe", "asd", "123", "cba",
+                                 "aa", "xyxy", "!", "Z", "7", "é"]), max_size=5).map("".join))
+def test_cost_against_every_cut(value):
+    words = credentials.Dictionary({"pass": 3, "word": 7, "password": 1, "elephant": 900, "ant": 40, "élé": 5})
+    assert guess_cost(value, words) == pytest.approx(cheapest(value, words))
+
+
+def test_the_cost_alone_decides_after_a_sign(docs):
+    """Letters only, short values and words the corpus has or lacks."""
+    prose = "the elephant walked over the mountain and the required form was signed "
+    rows = [(k, prose) for k in range(4)] + [
+        (10, "bearer: kJhGfDsAqWeRtYuIoPzXcV"), (11, "pwd=xkqzvbnmwrtplkjh"), (12, "pin: 48213"), (13, "pwd: elephant7"),
+        (14, "passphrase: required"), (15, "the pin is kxqvzjwpl"), (16, "the pin is q7!kz#W0pd"), (17, "pwd=X!q#$"),
+        (18, "credentials = mountain-elephant"), (19, None), (20, "")]
+    got = {r.doc_id: [t for t in r.spans] for r in secret_spans(docs(rows)).collect()}
+    found = {k: [dict(rows)[k][s.start:s.end] for s in v if s.kind == "guess"] for k, v in got.items()}
+    assert {k: v for k, v in found.items() if v} == {
+        10: ["kJhGfDsAqWeRtYuIoPzXcV"], 11: ["xkqzvbnmwrtplkjh"], 16: ["q7!kz#W0pd"], 17: ["X!q#$"]}
+
+
+def test_copies_of_a_secret_are_no_common_word(docs):
+    rows = [(k, "bearer: kqzvbnmwrtpl and more of it") for k in range(50)] + [(99, "AND more, and More")]
+    words = credentials.corpus_dictionary(docs(rows))
+    assert words.ranks["and"] == 1 and "more" in words.ranks and "kqzvbnmwrtpl" not in words.ranks
+    assert all(s.kind == "guess" for r in secret_spans(docs(rows)).filter("doc_id < 50").collect() for s in r.spans)
+    counts = {r.word: r.n for r in credentials.word_counts(docs(rows)).collect()}
+    assert counts == {"and": 52, "more": 52}
+    few = credentials.corpus_dictionary(docs(rows), size=1, least=1)
+    assert set(few.ranks) == {*credentials.COMMON_WORDS, "and"}
+    assert set(credentials.corpus_dictionary(docs([])).ranks) == set(credentials.COMMON_WORDS)
