@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from possum.llm.staging import staged
 from possum.llm.tasks import arrow_map
 from possum.llm.words import LOWER, chunks, runs, split
 
@@ -255,9 +256,20 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def corpus_dictionary(docs: DataFrame, text_col: str = "text", size: int = WORDS, least: int = LEAST) -> Dictionary:
-    """The most frequent words of the texts by rank (ties in code-point order), with ``COMMON_WORDS`` at their own ranks or better."""
-    top = word_counts(docs, text_col).filter(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(size)
-    ranks = {r.word: i + 1 for i, r in enumerate(top.collect())}  # size rows at most
+    """The texts' most frequent words, at most ``size``, by rank (ties in code-point order), with ``COMMON_WORDS`` at their own ranks or better.
+
+    Words whose counts lie within a sixteenth of a doubling enter together or not at all.
+    """
+    counts = staged(word_counts(docs, text_col).filter(F.col("n") >= least), "words")
+    near = F.floor(F.log2("n") * 16)
+    left, lowest = size, None
+    for k, many in sorted(counts.groupBy(near.alias("k")).count().collect(), reverse=True):  # 16 * 64 rows at most
+        left -= many
+        if left < 0:
+            break
+        lowest = k
+    rows = counts.filter(near >= lowest).collect() if lowest is not None else []  # size rows at most
+    ranks = {r.word: i + 1 for i, r in enumerate(sorted(rows, key=lambda r: (-r.n, r.word)))}
     return Dictionary({**ranks, **{w: min(r, ranks.get(w, r)) for w, r in PASSWORD_WORDS.ranks.items()}})
 
 

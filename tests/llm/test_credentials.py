@@ -157,6 +157,9 @@ def test_copies_of_a_secret_are_no_common_word(docs):
     assert all(s.kind == "guess" for r in secret_spans(docs(rows)).filter("doc_id < 50").collect() for s in r.spans)
     counts = {r.word: r.n for r in credentials.word_counts(docs(rows)).collect()}
     assert counts == {"and": 52, "more": 52}
-    few = credentials.corpus_dictionary(docs(rows), size=1, least=1)
-    assert set(few.ranks) == {*credentials.COMMON_WORDS, "and"}
+    rows.append((100, "and"))  # 53 and 52 are of one class, 52 and 26 are not
+    assert set(credentials.corpus_dictionary(docs(rows), size=1).ranks) == set(credentials.COMMON_WORDS)
+    rows += [(200, "rare " * 26)]
+    words = credentials.corpus_dictionary(docs(rows), size=2)
+    assert set(words.ranks) == {*credentials.COMMON_WORDS, "and", "more"} and words.ranks["and"] < words.ranks["more"]
     assert set(credentials.corpus_dictionary(docs([])).ranks) == set(credentials.COMMON_WORDS)
