@@ -29,6 +29,7 @@ from possum.plans.common import Stage, write_ordered
 from possum.plans.daily_job import ORDER, published, run_daily_job
 from possum.sources.adapters import fixture_bundle, split_branches
 from possum.sources.feed import read_feed
+from possum.streaming.feed import read_days, start_feed
 from possum.sources.optional import optional_table
 from possum.sources.parquet import write_bundle
 from possum.sources.sinks import seal, unseal
@@ -219,19 +220,34 @@ def sealed_invoices(b: Bundle) -> DataFrame:
     return unseal(b.spark.read.schema(envelope).json(path), key, kinds, keep=["branch"])
 
 
-def feed_from_json(b: Bundle) -> DataFrame:
-    """The feed written as JSON files of unknown keys, read back and re-keyed."""
-    path = os.path.join(out_folder(b, "feed"), "files")
+def _write_feed(feed: DataFrame, path: str) -> None:
+    """The feed as JSON files of unknown keys."""
     entry = F.to_json(F.struct(F.col("net").cast("string").alias("net"), F.lit(True).alias("closed")))
     text = F.concat(F.lit('{"sessionOk": false, "days": {'), F.array_join(F.collect_list(
         F.concat(F.lit('"'), "day_key", F.lit('": '), entry)), ", "), F.lit("}}"))
     # one file per month of the feed
-    b["net_feed"].groupBy(F.substring("day_key", 4, 7).alias("m")).agg(text.alias("value")).repartition("m") \
-        .write.partitionBy("m").text(path)
+    feed.groupBy(F.substring("day_key", 4, 7).alias("m")).agg(text.alias("value")).repartition("m") \
+        .write.partitionBy("m").mode("append").text(path)
+
+
+def feed_from_json(b: Bundle) -> DataFrame:
+    """The feed written as JSON files of unknown keys, read back and re-keyed."""
+    path = os.path.join(out_folder(b, "feed"), "files")
+    _write_feed(b["net_feed"], path)
     got = assemble.net_feed_days(read_feed(b.spark, path))
     return got.select("day", out(F.col("net")).alias("net"), F.col("session_ok"))
 
 
+def followed_feed(b: Bundle) -> DataFrame:
+    """D24 as files arrive: provisional amounts first, then the files that correct them."""
+    root = out_folder(b, "followed-feed")
+    files, days, state = (os.path.join(root, x) for x in ("files", "days", "state"))
+    for feed in (b["net_feed"].withColumn("net", F.col("net") + 1), b["net_feed"]):
+        _write_feed(feed, files)
+        start_feed(b.spark, files, days, state).awaitTermination()
+    return read_days(b.spark, days).select("day", out(F.col("net")).alias("net"), "session_ok")
+
+
 def optional_presence(b: Bundle) -> DataFrame:
     """The attendance of a stored bundle, and of one whose presence table is absent (no rows)."""
     root = out_folder(b, "optional")
@@ -302,11 +318,12 @@ ON_BUNDLE: dict[str, Callable[[Bundle], DataFrame]] = {
     "written_order": written_order,
     "sealed_invoices": sealed_invoices,
     "feed_from_json": feed_from_json,
+    "followed_feed": followed_feed,
     "optional_presence": optional_presence,
 }
 
 # written and read back; the bench times the jobs instead
-WRITTEN = ("changed_days", "daily_bundle", "written_order", "sealed_invoices", "feed_from_json", "optional_presence")
+WRITTEN = ("changed_days", "daily_bundle", "written_order", "sealed_invoices", "feed_from_json", "followed_feed", "optional_presence")
 
 # datasets over two branches (A: even stores; B: odd stores, labelled)
 ON_PARTS: dict[str, Callable[[Parts], DataFrame]] = {
