@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from possum import schemas
 from possum.bundle import Branch, Bundle
 from possum.sources.optional import empty
+from possum.sources.splits import equal_predicates
 
 # fixed values: canonical table -> (source table, range-split column or None);
 # the names are the POS database's own (the two ledger tables are extracts of
@@ -61,6 +62,8 @@ class JdbcBranch:
     driver: str = "com.microsoft.sqlserver.jdbc.SQLServerDriver"
     fetchsize: int = 10_000
     query_timeout_s: int = 0
+    # range splits of equal row counts instead of equal width (sources.splits)
+    equal_splits: bool = False
     # canonical table -> source table, where a database names them otherwise
     table_names: Mapping[str, str] = field(default_factory=dict, repr=False)
 
@@ -98,16 +101,28 @@ def _bounds(spark: SparkSession, src: JdbcBranch, table: str, col: str) -> tuple
     return int(row[0]), int(row[1])
 
 
+def _query(spark: SparkSession, src: JdbcBranch, sql: str) -> list[tuple]:
+    """The rows of a query that the database answers, bucket counts only."""
+    opts = jdbc_options(src, "")
+    opts.pop("dbtable")
+    return [tuple(r) for r in spark.read.format("jdbc").options(**opts, query=sql).load().collect()]
+
+
 def read_table(spark: SparkSession, src: JdbcBranch, canonical: str,
                num_partitions: int = 64) -> DataFrame:
     table, split = src.source_table(canonical), SOURCE_TABLES[canonical][1]
     reader = spark.read.format("jdbc")
-    bounds = _bounds(spark, src, table, split) if split else None
-    if bounds is not None:
-        opts = jdbc_options(src, table, split, bounds[0], bounds[1] + 1, num_partitions)
-    else:
+    if split and src.equal_splits:
         opts = jdbc_options(src, table)
-    df = reader.options(**opts).load()
+        df = spark.read.jdbc(opts.pop("url"), opts.pop("dbtable"), properties=opts, predicates=equal_predicates(
+            lambda sql: _query(spark, src, sql), table, f'"{split}"', num_partitions))
+    else:
+        bounds = _bounds(spark, src, table, split) if split else None
+        if bounds is not None:
+            opts = jdbc_options(src, table, split, bounds[0], bounds[1] + 1, num_partitions)
+        else:
+            opts = jdbc_options(src, table)
+        df = reader.options(**opts).load()
     kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
     # no cast where the types agree: a bound on a bare column reaches the database
     return df.select(*[F.col(f.name).alias(f.name) if kinds.get(f.name.lower()) == f.dataType
