@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql.types import (ArrayType, DataType, DecimalType, DoubleType, MapType, StructField,
                                StructType)
 
@@ -77,6 +78,66 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "json",
         w.format(fmt).save(path)
 
 
+FILE, BLOCK, LINE = "__file", "__block", "__line"
+
+
+def with_places(df: DataFrame) -> DataFrame:
+    """Rows just read from files, with the file name, the start of the split and a number that grows within a split."""
+    return df.select("*", F.col("_metadata.file_name").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
+                     F.monotonically_increasing_id().alias(LINE))
+
+
+def _per_file(df: DataFrame, by: Sequence[str], *aggs: Column) -> DataFrame:
+    return df.groupBy(*by, FILE, BLOCK).agg(*aggs)
+
+
+def positions(df: DataFrame, by: Sequence[str] = (), name: str = "position") -> DataFrame:
+    """``with_places`` rows with their position (from 1) in the files in name order, per ``by``.
+
+    Rows are numbered within their split of a file, which a task has read
+    anyway; the splits' counts give the rows before each split. No window
+    spans more rows than a split: only the splits' counts, one row for each,
+    are added up in order.
+    """
+    counts = _per_file(df, by, F.count(F.lit(1)).alias("__rows"))
+    ahead = Window.partitionBy(*by).orderBy(FILE, BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(c).alias(f"__{k}") for k, c in enumerate((*by, FILE, BLOCK))],
+                           F.coalesce(F.sum("__rows").over(ahead), F.lit(0)).alias("__before"))
+    place = F.row_number().over(Window.partitionBy(*by, FILE, BLOCK).orderBy(LINE))
+    numbered = df.withColumn("__place", place)
+    same = [F.col(c).eqNullSafe(F.col(f"__{k}")) for k, c in enumerate((*by, FILE, BLOCK))]
+    joined = numbered.join(before, same)
+    return joined.select(*[c for c in df.columns if c not in (FILE, BLOCK, LINE)],
+                         (F.col("__before") + F.col("__place")).cast("long").alias(name))
+
+
+def disorder(df: DataFrame, order_by: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The places where ``with_places`` rows are out of order (``sink_order`` names), per ``by``: none when the files hold them in order.
+
+    Neighbours are compared within a split, then the last row of each split
+    with the first of the next one.
+    """
+    names = [c.lstrip("-") for c in order_by]
+
+    def after(a, b):
+        """Whether row a must come after row b."""
+        out = F.lit(False)
+        for c in reversed(order_by):
+            n = c.lstrip("-")
+            x, y = (b[n], a[n]) if c.startswith("-") else (a[n], b[n])  # descending: nulls last, as ascending read backwards
+            more = F.when(x.isNull(), False).when(y.isNull(), True).otherwise(x > y)
+            out = F.when(x.eqNullSafe(y), out).otherwise(more)
+        return out
+
+    row = F.struct(*names)
+    inside = Window.partitionBy(*by, FILE, BLOCK).orderBy(LINE)
+    pairs = df.select(*by, FILE, BLOCK, row.alias("b"), F.lag(row).over(inside).alias("a"))
+    ends = _per_file(df, by, F.min_by(row, LINE).alias("b"), F.max_by(row, LINE).alias("last"))
+    ends = ends.select(*by, FILE, BLOCK, "b", F.lag("last").over(Window.partitionBy(*by).orderBy(FILE, BLOCK)).alias("a"))
+    wrong = pairs.unionByName(ends).filter(F.col("a").isNotNull() & after(F.col("a"), F.col("b")))
+    return wrong.select(*by, F.col(FILE).alias("file"), F.col("a").alias("row"), F.col("b").alias("next_row"))
+
+
 def row_key(key: Column, salt: Column) -> Column:
     """The key of the rows that carry ``salt``."""
     return F.unhex(F.sha2(F.concat(key, salt), 256))

@@ -15,7 +15,7 @@ import os
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from possum_checks.params import AS_OF, AS_OF_PEOPLE, LABEL_B, PRICE_LIST, RULES
@@ -32,7 +32,7 @@ from possum.sources.feed import read_feed
 from possum.streaming.feed import read_days, start_feed
 from possum.sources.optional import optional_table
 from possum.sources.parquet import write_bundle
-from possum.sources.sinks import seal, unseal
+from possum.sources.sinks import positions, seal, unseal, with_places
 from possum.streaming import retract
 
 
@@ -202,11 +202,8 @@ def written_order(b: Bundle) -> DataFrame:
     path = os.path.join(out_folder(b, "written-order"), "hours_by_store")
     write_ordered(b, sales.sales_by_hour(b, RULES, AS_OF), path, ORDER["hours_by_store"], "json")
     back = b.spark.read.schema("branch string, Hour int, StoreName string, Transactions bigint, TotalSales double").json(path)
-    back = back.select("branch", "Hour", "StoreName", F.col("_metadata.file_name").alias("file"),
-                       F.monotonically_increasing_id().alias("line"))
-    # rows of one branch and hour are few; positions count the rows of earlier hours
-    place = F.row_number().over(Window.partitionBy("branch").orderBy("file", "line"))
-    return back.select("branch", place.cast("bigint").alias("position"), "Hour", "StoreName")
+    back = positions(with_places(back), ["branch"])
+    return back.select("branch", "position", "Hour", "StoreName")
 
 
 def sealed_invoices(b: Bundle) -> DataFrame:
