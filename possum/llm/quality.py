@@ -4,9 +4,9 @@ Every token has a sparse random index vector, made from its hash. Its context
 vector is the sum of the index vectors of its neighbours, counted over all
 documents (a fixed table of ``BUCKETS`` x ``DIM``). A document is the mean of
 its tokens' context vectors, scaled to length 1, beside the mean of their index
-vectors. A two-layer network on that, written in numpy, is trained on a bounded
-sample of labelled rows (``SAMPLE``, outside the held-out fold), and a
-temperature fitted on rows the network did not see turns its logits into
+vectors. A two-layer network on that, written in numpy, is trained on all
+labelled rows outside the held-out fold (in shards: ``possum.llm.labelled``),
+and a temperature fitted on rows the network did not see turns its logits into
 probabilities.
 
 Tokens are runs of word bytes or of signs. A word all in capitals and a word
@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from possum.llm.labelled import Adam, held_out, label_sample, sigmoid, temperature, with_labels
-from possum.llm.staging import staged
+from possum.llm.labelled import Adam, averages, blocks, classes, held_out, shards, sigmoid, temperature_of
 from possum.llm.tasks import arrow_map
 from possum.llm.words import ALNUM, LOWER, SPACED, U, chunks, hash_spans, mix, runs
 
@@ -36,8 +35,9 @@ BUCKETS = 1 << 14
 DIM = 32
 NONZERO = 2
 WINDOW = 2
-SAMPLE = 12_000  # labelled rows the network may be fitted on
 HIDDEN = 32
+EPOCHS = 300
+ROUND = 10  # epochs between two averages
 THRESHOLD = 0.3
 _CAPS, _REPEAT = U(1), U(2)
 
@@ -125,36 +125,87 @@ def document_vectors(texts: pa.Array, vectors: np.ndarray) -> np.ndarray:
 class Network:
     """x -> tanh layer -> logit / temperature -> probability."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, epochs: int = 300, seed: int = 5):
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-        x = ((x - self.mean) / self.scale).astype(np.float32)
-        y = y.astype(np.float32)
+    def __init__(self, mean: np.ndarray, scale: np.ndarray, seed: int = 5):
+        self.mean, self.scale, self.t = mean, scale, 1.0
         rng = np.random.default_rng(seed)
-        fit = np.ones(len(y), bool)
-        fit[rng.permutation(len(y))[:len(y) // 5]] = False
-        self.w1 = rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], HIDDEN)).astype(np.float32)
+        n = len(mean)
+        self.w1 = rng.normal(0, n ** -0.5, (n, HIDDEN)).astype(np.float32)
         self.w2 = rng.normal(0, HIDDEN ** -0.5, HIDDEN).astype(np.float32)
         self.b1, self.b2 = np.zeros(HIDDEN, np.float32), np.zeros(1, np.float32)
-        adam = Adam([self.w1, self.b1, self.w2, self.b2], 0.01)
-        best, kept, self.t = np.inf, None, 1.0
-        for epoch in range(epochs):
+
+    def adam(self) -> Adam:
+        return Adam([self.w1, self.b1, self.w2, self.b2], 0.01)
+
+    def logits(self, x: np.ndarray) -> np.ndarray:
+        x = (x - self.mean) / self.scale
+        return np.tanh(x @ self.w1 + self.b1) @ self.w2 + self.b2
+
+    def train(self, adam: Adam, x: np.ndarray, y: np.ndarray, epochs: int) -> None:
+        x = ((x - self.mean) / self.scale).astype(np.float32)
+        y = y.astype(np.float32)
+        for _ in range(epochs):
             h = np.tanh(x @ self.w1 + self.b1)
-            z = h @ self.w2 + self.b2
-            if epoch % 10 == 0:  # early stopping on the rows left out
-                p = np.clip(sigmoid(z[~fit]), 1e-7, 1 - 1e-7)
-                loss = -(y[~fit] * np.log(p) + (1 - y[~fit]) * np.log(1 - p)).mean()
-                if loss < best:
-                    best, kept = loss, [q.copy() for q in adam.params]
-            g = np.where(fit, sigmoid(z) - y, 0) / fit.sum()
+            g = (sigmoid(h @ self.w2 + self.b2) - y) / len(y)
             back = np.outer(g, self.w2) * (1 - h * h)
             adam.step([x.T @ back + 1e-4 * self.w1, back.sum(axis=0), h.T @ g + 1e-4 * self.w2, np.array([g.sum()])])
-        if kept is not None:
-            self.w1, self.b1, self.w2, self.b2 = kept
-        self.t = temperature((np.tanh(x[~fit] @ self.w1 + self.b1) @ self.w2 + self.b2), y[~fit]) if (~fit).any() else 1.0
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        x = (x - self.mean) / self.scale
-        return sigmoid((np.tanh(x @ self.w1 + self.b1) @ self.w2 + self.b2) / self.t)
+        return sigmoid(self.logits(x) / self.t)
+
+
+def _numbers(batches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """x, y and left of a shard."""
+    x, y, left = [], [], []
+    for b in batches:
+        x.append(b.column("x").flatten().to_numpy().reshape(b.num_rows, -1))
+        y.append(b.column("y").to_numpy().astype(float))
+        left.append(b.column("left").to_numpy(zero_copy_only=False))
+    return (np.concatenate(x), np.concatenate(y), np.concatenate(left)) if y else (np.zeros((0, 2 * DIM)), np.zeros(0), np.zeros(0, bool))
+
+
+def train(rows: DataFrame) -> Network:
+    """A calibrated network from all rows of ``shards``: the numbers of the round with the least loss on the rows left out."""
+    def moments(batches):
+        x, _, _ = _numbers(batches)
+        if len(x):
+            yield blocks(0, np.concatenate([x.sum(axis=0), (x * x).sum(axis=0), [len(x)]]))
+
+    width = 2 * DIM
+    total = averages(rows, moments)[1].ravel().astype(float)
+    n = total[2 * width]
+    mean = total[:width] / n
+    net = Network(mean, np.sqrt(np.maximum(total[width:2 * width] / n - mean * mean, 0)) + 1e-6)
+    state, best, kept = net.adam().state(), np.inf, None
+
+    for r in range(EPOCHS // ROUND):
+        def task(batches, state=state, t=r * ROUND):
+            x, y, left = _numbers(batches)
+            if not len(y):
+                return
+            adam = net.adam()
+            adam.resume(state, t)
+            p = np.clip(sigmoid(net.logits(x[left])), 1e-7, 1 - 1e-7)
+            yield blocks(0, np.array([-(y[left] * np.log(p) + (1 - y[left]) * np.log(1 - p)).sum(), left.sum()]))
+            if not left.all():
+                net.train(adam, x[~left], y[~left], ROUND)
+                yield blocks(1, adam.state())
+
+        _, got = averages(rows, task)
+        loss = got[0, 0] / got[0, 1] if got[0, 1] else 0.0  # of the numbers this round began with
+        if loss < best or not got[0, 1]:
+            best, kept = loss, state
+        if len(got) == 1:  # no row to learn from
+            break
+        state = got[1:].ravel()[:len(state)]
+    net.adam().resume(kept, 0)
+
+    def left_out(batches):
+        for b in batches:
+            x, y, left = _numbers([b])
+            yield pa.RecordBatch.from_arrays([pa.array(net.logits(x[left]).astype(float)), pa.array(y[left])], names=["z", "y"])
+
+    net.t = temperature_of(arrow_map(rows, left_out, "z double, y double"))
+    return net
 
 
 class Constant:
@@ -165,24 +216,25 @@ class Constant:
         return np.full(len(x), self.p)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample: int = SAMPLE):
-    """(token vectors, network) learnt from docs (doc_id, text) and labels (doc_id, label)."""
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality"):
+    """(token vectors, network) learnt from docs (doc_id, text) and labels (doc_id, label).
+
+    Documents become vectors where they lie; only these are dealt out to the shards.
+    """
     vectors = np.concatenate([context_vectors(docs), index_vectors()], axis=1)
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def task(batches):
         for b in batches:
-            x = document_vectors(b.column(2), shared.value)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(x), pa.list_(pa.float64()))],
-                                             names=["doc_id", "y", "x"])
-
-    rows = with_labels(docs, staged(label_sample(labels, label_col, sample), "labels"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    got = arrow_map(rows, task, f"doc_id {kind}, y int, x array<double>").toArrow().sort_by("doc_id")
-    y = got["y"].to_numpy().astype(float)
-    if len(set(y)) < 2:
-        return shared, Constant(float(y.mean()) if len(y) else 0.5)
-    return shared, Network(np.stack(got["x"].to_numpy()), y)
+            x = document_vectors(b.column(1), shared.value)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "x"])
+
+    rows = shards(docs.select("doc_id", "text"), task, "x array<double>", labels, label_col)
+    try:
+        n, mean = classes(rows)
+        return shared, train(rows) if n > 1 else Constant(mean if n else 0.5)
+    finally:
+        rows.unpersist()
 
 
 def scored(docs: DataFrame, model, text_col: str = "text", column: str = "score") -> DataFrame:

@@ -141,3 +141,61 @@ def test_convolution_and_pooling_against_loops():
                 at = [sum(net.emb[t[p + j]] @ f[j, :, c] for j in range(w) if p + j < len(t)) for p in range(len(t))]
                 want.append(max(at, default=0.0))
         np.testing.assert_allclose(row, want, atol=1e-5)
+
+
+def many_labels(spark, docs, n=600):
+    """Only a few rows hold each sign of class 1: what is left unread can't be known."""
+    rows = [(i, f"the cat sat on mat {i % 7} " + (f"vile{i // 20} vile{i // 20}" if i % 2 else f"kind{i // 20} kind{i // 20}")) for i in range(n)]
+    return docs(rows), spark.createDataFrame([(i, 1 - i % 2, i % 2) for i in range(n)], "doc_id long, quality int, toxic int")
+
+
+def test_every_labelled_row_trains(spark, docs, monkeypatch):
+    """All rows outside the held-out fold reach the training, whatever a shard's size; each in one shard."""
+    monkeypatch.setattr(labelled, "SHARD_ROWS", 100)
+    table, labels = many_labels(spark, docs)
+    rows = toxicity.labelled_words(table.unionByName(table), labels, "toxic")
+    want = [i for i in range(600) if not held(i)]
+    assert sorted(r.doc_id for r in rows.select("doc_id").collect()) == want
+    assert rows.rdd.getNumPartitions() == -(-len(want) // 100)
+    learn = [i for i in want if i not in {r.doc_id for r in rows.filter("left").collect()}]
+    assert 0.7 * len(want) < len(learn) < 0.9 * len(want)
+    _, counts, toxic = toxicity.word_counts(rows)
+    words = {i: {*f"the cat sat on mat {i % 7} {'vile' if i % 2 else 'kind'}{i // 20}".split()} for i in want}
+    often = {w for w in set().union(*words.values()) if sum(w in x for x in words.values()) >= toxicity.MIN_DOCS}
+    assert sorted(counts) == sorted(sum(w in words[i] for i in learn) for w in often)
+    assert sorted(toxic) == sorted(sum(i % 2 for i in learn if w in words[i]) for w in often)
+    rows.unpersist()
+
+
+@pytest.mark.parametrize("shard", [60, 8000])
+def test_training_in_shards(spark, docs, monkeypatch, shard):
+    """Words that only one class has tell held-out rows apart, from one shard or from many; the same scores again."""
+    monkeypatch.setattr(labelled, "SHARD_ROWS", shard)
+    table, labels = many_labels(spark, docs)
+    for score in (quality.score_quality, toxicity.score_toxicity):
+        got = {r.doc_id: r.score for r in score(table, labels).collect()}
+        ids = [i for i in got if held(i)]
+        y = np.array([i % 2 if score is toxicity.score_toxicity else 1 - i % 2 for i in ids])
+        assert auc(np.array([got[i] for i in ids]), y) > 0.95
+        again = {r.doc_id: r.score for r in score(table.repartition(3), labels.repartition(2)).collect()}
+        assert again == pytest.approx(got, abs=1e-3)
+
+
+def test_one_step_on_a_long_text_reads_it_whole(monkeypatch):
+    """The largest answers and their places, in pieces and at once."""
+    rng = np.random.default_rng(5)
+    net = toxicity.Cnn(np.arange(200).astype(np.int32))
+    text = rng.integers(0, 201, 5000)
+    monkeypatch.setattr(toxicity, "TRAIN_WORDS", 10_000)
+    once = net.best(text)
+    monkeypatch.setattr(toxicity, "TRAIN_WORDS", 37)
+    pieces = net.best(text)
+    np.testing.assert_allclose(once[1], pieces[1], atol=1e-6)
+    np.testing.assert_allclose(net.pooled(text, np.array([0, len(text)]))[0], pieces[1], atol=1e-6)
+    assert (once[0] == pieces[0]).all()
+
+
+def test_packed_words_read_back():
+    for n in (0, 1, 1000):
+        words = np.arange(n, dtype=np.int32) * 7
+        assert (toxicity.unpacked(toxicity.packed(words)) == words).all()
