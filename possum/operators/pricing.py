@@ -115,12 +115,14 @@ def apply_long_price_list(items: DataFrame, price_list: DataFrame) -> DataFrame:
     entry is posted under one trigram only, the one that the fewest item names
     have; an entry with a trigram that no name has can't match and is gone.
     Distinct names are joined with the postings on their trigrams, ``contains``
-    is verified, and the first position wins (ties: the lowest price). Entries
+    is verified, and the first position wins (ties: the lowest price); of entries
+    of one name only that one can win, so one of each name is posted. Entries
     shorter than a trigram are posted under themselves; names list their shorter
     substrings only if there are such entries. A null name or entry matches
     nothing. The plan has equality joins alone.
     """
     entries = price_list.select("position", "name", F.col("price").cast("decimal(18,2)").alias("price")).where(F.col("name").isNotNull())
+    entries = entries.groupBy("name").agg(F.min(F.struct("position", "price")).alias("e")).select("e.position", "name", "e.price")
     names = items.select("n").where(F.col("n").isNotNull()).distinct()
     sizes = F.array_sort(F.collect_set(F.when(F.length("name") < GRAM, F.length("name"))))
     short = entries.agg(sizes.alias("sizes")).first()["sizes"]      # of 0, 1, 2
