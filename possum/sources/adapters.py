@@ -7,6 +7,7 @@ database itself (``possum.sources.jdbc``) or its Parquet extracts.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,14 @@ def read_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in RAW_TABLES}
 
 
-def canonical_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def canonical_views(spark: SparkSession, sf_dir: str, stored: Sequence[str] = (),
+                    put: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
     """The canonical views of FIXTURES.md as DataFrames.
 
     The shared SQL text is run with its table names bound to DataFrames
     (``spark.sql`` arguments), so no named temp view is left in the session.
+    The ``stored`` views are written by ``put`` (a stage) and read back, as a POS
+    table is: a job that reads a fact several times does not join it up each time.
     """
     frames: dict[str, DataFrame] = dict(read_raw(spark, sf_dir))
     out: dict[str, DataFrame] = {}
@@ -31,7 +35,7 @@ def canonical_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         bound = re.sub(r"\b(" + "|".join(map(re.escape, frames)) + r")\b", r"{\1}", sql)
         used = {n: frames[n] for n in frames if "{" + n + "}" in bound}
         df = spark.sql(bound, **used)
-        frames[name] = out[name] = df
+        frames[name] = out[name] = put(name, df) if name in stored else df
     return out
 
 
@@ -41,9 +45,10 @@ def tag_branch(tables: dict[str, DataFrame], branch: str) -> dict[str, DataFrame
     return tagged
 
 
-def fixture_bundle(spark: SparkSession, sf_dir: str, branch: str = "main") -> Bundle:
+def fixture_bundle(spark: SparkSession, sf_dir: str, branch: str = "main", stored: Sequence[str] = (),
+                   put: Callable[[str, DataFrame], DataFrame] | None = None) -> Bundle:
     """One branch holding every canonical table."""
-    return Bundle(tag_branch(canonical_views(spark, sf_dir), branch), (Branch(branch),))
+    return Bundle(tag_branch(canonical_views(spark, sf_dir, stored, put), branch), (Branch(branch),))
 
 
 def split_branches(bundle: Bundle, label_b: str | None = "Branch B") -> list[tuple[Bundle, str | None]]:

@@ -150,3 +150,29 @@ def test_document_bits_of_any_id(spark):
                supplier_dim=[{"SupplierID": 1, "Name": "S"}])
     got = suppliers.supplier_monthly_from_state(suppliers.supplier_month_state(b, RULES, AS_OF), RULES).collect()
     assert [(r.DocCount, r.TotalAmount) for r in got] == [(len(ids), 4.0 * len(ids))]
+
+
+def test_entries_of_one_name_are_posted_once(spark):
+    """Thousands of entries of one name: the first position wins, and one row of the name meets the names."""
+    many = spark.range(5000).select((F.col("id") + 7).cast("int").alias("position"), F.lit("widget").alias("name"), F.lit(Decimal("3.00")).cast("decimal(18,2)").alias("price"))
+    first = spark.createDataFrame([(3, "widget", Decimal("2.00")), (3, "widget", Decimal("1.50")), (2, None, Decimal("9.00"))], many.schema)
+    items = items_of(spark, ["small widget", "ring", None])
+    df = pricing.apply_long_price_list(items, many.unionByName(first))
+    assert {r.key: r.p for r in df.collect()} == {"0": Decimal("1.50"), "1": Decimal("1.00"), "2": Decimal("1.00")}
+    assert "Aggregate [name" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_changed_rows_against_two_counts(spark):
+    """Images of altered, dropped, repeated and null rows, against the difference of both tables as multisets."""
+    from collections import Counter
+
+    from possum_checks.queries import changed_rows
+    now = spark.createDataFrame([(1, 5), (1, 5), (2, None), (2, 6), (3, 6), (4, 8), (None, 1), (4, 9)], "k int, v int")
+    kept, altered = F.col("k") % 3 != 0, {"v": F.when(F.col("k") == 4, F.col("v") + 1).when(F.col("k") == 1, None).otherwise(F.col("v"))}
+    a, b = Counter(map(tuple, now.collect())), Counter(map(tuple, now.where(kept).withColumns(altered).select("k", "v").collect()))
+    want = Counter({(*r, 1): n for r, n in (a - b).items()}) + Counter({(*r, -1): n for r, n in (b - a).items()})
+    got = changed_rows(now, kept, altered)
+    assert Counter(map(tuple, got.collect())) == want
+    # rows that stay as they were don't reach the exchange
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("Filter")
