@@ -55,6 +55,9 @@ CHANGE_TABLES = ("pos_transaction", "transaction_entry", "tender_entry")
 KEY = ["branch", "TransactionID"]
 # what the lines of a transaction take from it
 _PASSED_ON = ["StoreID", "SaleTime", "TransactionType", "Status"]
+# what the sums of lines (D11, D14) read of each table
+_READ = {"pos_transaction": [*KEY, *_PASSED_ON], "transaction_entry": [*KEY, "DepartmentID", "TransactionEntryType", "Total", "Status"],
+         "tender_entry": [*KEY, "TenderID", "Amount", "Status"]}
 
 
 def images(changes: DataFrame, sign: int) -> DataFrame:
@@ -105,30 +108,33 @@ def image_months(changes: Mapping[str, DataFrame], ids: DataFrame, moved: DataFr
 
 
 def _lookup(bundle: Bundle, ids: DataFrame, months: Sequence[str] | None) -> Bundle:
-    """The facts of the given transactions; facts stored by month are read in ``months`` only."""
+    """What the sums of lines read of the given transactions' facts; facts stored by month are read in ``months`` only."""
     def some(name: str) -> DataFrame:
         df = bundle[name]
         if months is not None and MONTH in df.columns:
             df = df.where(F.col(MONTH).isin(*months))
-        return df.join(ids, KEY, "left_semi")
+        return df.select(*_READ[name]).join(ids, KEY, "left_semi")
 
     return bundle.with_tables(**{name: some(name) for name in CHANGE_TABLES})
 
 
-def day_differences(bundle: Bundle, rules: Rules, changes: Mapping[str, DataFrame], moved: DataFrame | None = None) -> dict[str, DataFrame]:
+def day_differences(bundle: Bundle, rules: Rules, changes: Mapping[str, DataFrame], moved: DataFrame | None = None,
+                    put: Callable[[str, DataFrame], DataFrame] = lambda _name, df: df) -> dict[str, DataFrame]:
     """Differences of the day sums (keys, Amount, Rows) that a batch of changes makes.
 
-    ``bundle`` holds the tables after the changes.
+    ``bundle`` holds the tables after the changes. The affected transactions and
+    their rows, which are read several times, are kept with ``put`` (of a stage).
     """
     t = changes["pos_transaction"]
     out = {}
     for name in ("stores", "sellers"):
         out[name] = _minus(*(day_sums(name, bundle.with_tables(pos_transaction=images(t, s)), rules) for s in (1, -1)))
-    ids = affected(changes)
+    ids = put("affected", affected(changes))
     if not ids.isEmpty():
         now = _lookup(bundle, ids, image_months(changes, ids, moved))
+        now = now.with_tables(**{name: put(f"now-{name}", now[name]) for name in CHANGE_TABLES})
         # a transaction may have more than the images in the feed: all its rows are taken back and added anew
-        was = now.with_tables(**{name: before(now[name], changes[name].join(ids, KEY, "left_semi")) for name in CHANGE_TABLES})
+        was = now.with_tables(**{name: put(f"was-{name}", before(now[name], changes[name].join(ids, KEY, "left_semi"))) for name in CHANGE_TABLES})
         for name in ("depts", "payments"):
             out[name] = _minus(day_sums(name, now, rules), day_sums(name, was, rules))
     return out
@@ -179,7 +185,7 @@ def apply_changes(bundle: Bundle, rules: Rules, changes: Mapping[str, DataFrame]
         return []
     stage = Stage(spark, "retract")
     moved = spark.read.parquet(m.moved) if m.moved else None
-    differences = {name: stage.put(f"difference-{name}", with_month(df)) for name, df in day_differences(bundle, rules, changes, moved).items()}
+    differences = {name: stage.put(f"difference-{name}", with_month(df)) for name, df in day_differences(bundle, rules, changes, moved, stage.put).items()}
     months = sorted({r[0] for df in differences.values() for r in df.select(MONTH).distinct().toLocalIterator()})
     folder = os.path.join(out_dir, f"refresh-{uuid.uuid4().hex}")
     built = {}
