@@ -101,11 +101,17 @@ def _bounds(spark: SparkSession, src: JdbcBranch, table: str, col: str) -> tuple
     return int(row[0]), int(row[1])
 
 
+MOST_COUNTS = 1 << 24   # splits.BUCKETS * splits.FINE for each of 16,384 partitions
+
+
 def _query(spark: SparkSession, src: JdbcBranch, sql: str) -> list[tuple]:
     """The rows of a query that the database answers, bucket counts only."""
     opts = jdbc_options(src, "")
     opts.pop("dbtable")
-    return [tuple(r) for r in spark.read.format("jdbc").options(**opts, query=sql).load().collect()]
+    rows = spark.read.format("jdbc").options(**opts, query=sql).load().take(MOST_COUNTS + 1)
+    if len(rows) > MOST_COUNTS:
+        raise ValueError(f"more than {MOST_COUNTS} bucket counts; ask for fewer partitions")
+    return [tuple(r) for r in rows]
 
 
 def read_table(spark: SparkSession, src: JdbcBranch, canonical: str,
