@@ -57,6 +57,8 @@ def shards(docs: DataFrame, task: Callable, features: str, labels: DataFrame, la
     dealt out: by id, about ``SHARD_ROWS`` to a partition, in hash order, kept on
     the executors' disks (unpersist them). ``left`` marks a fifth that is for
     calibration. Of repeated ids the row with the smallest features counts.
+    Each round starts a task per partition, so a session that deals a key out to
+    more partitions than asked for gets no more shards for it.
     """
     slot = F.shiftright(F.xxhash64(F.col("doc_id").cast("string")), 1).bitwiseAND(F.lit(BITS - 1))
     train = staged(train_labels(labels, label_col), "labels")
@@ -80,7 +82,7 @@ def shards(docs: DataFrame, task: Callable, features: str, labels: DataFrame, la
     rows = both.repartition(n, "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("r").alias("r"))
     rows = rows.filter(F.col("y").isNotNull() & F.col("r").isNotNull()).select(
         "doc_id", "y", (F.pmod(F.xxhash64(F.lit("left"), "doc_id"), F.lit(5)) == 0).alias("left"), "r.*")
-    return rows.sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").persist(StorageLevel.DISK_ONLY)
+    return rows.coalesce(n).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").persist(StorageLevel.DISK_ONLY)
 
 
 def classes(rows: DataFrame) -> tuple[int, float]:
@@ -102,6 +104,12 @@ def numbered(ids: np.ndarray, table: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), *[pa.array(c) for c in fixed.T.copy()]], names=["row", *_NAMES])
 
 
+def means(parts: DataFrame) -> DataFrame:
+    """The mean of each row of ``numbered`` tables, in a task per core at most: a round's few rows don't fill the session's shuffle partitions."""
+    mean = [(F.sum(n) / F.count(F.lit(1)) / F.lit(_ONE)).cast("float").alias(n) for n in _NAMES]
+    return parts.groupBy("row").agg(*mean).coalesce(parts.sparkSession.sparkContext.defaultParallelism)
+
+
 def averages(rows: DataFrame, task: Callable) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers, in order, and the mean of each row over the shards whose ``task`` gave it.
 
@@ -109,8 +117,7 @@ def averages(rows: DataFrame, task: Callable) -> tuple[np.ndarray, np.ndarray]:
     of the shards. The driver gets each row once, however many shards there are.
     """
     parts = arrow_map(rows, task, "row int, " + ", ".join(f"{n} long" for n in _NAMES))
-    means = [(F.sum(n) / F.count(F.lit(1)) / F.lit(_ONE)).cast("float").alias(n) for n in _NAMES]
-    got = parts.groupBy("row").agg(*means).toArrow().sort_by("row")
+    got = means(parts).toArrow().sort_by("row")
     return got["row"].to_numpy(), np.stack([got[n].to_numpy() for n in _NAMES], axis=1).reshape(-1, WIDTH)
 
 

@@ -181,6 +181,44 @@ def test_training_in_shards(spark, docs, monkeypatch, shard):
         assert again == pytest.approx(got, abs=1e-3)
 
 
+def test_shards_follow_the_rows_not_the_session(spark, docs, monkeypatch):
+    """A session that deals keys out to more partitions starts no more tasks in a round; every labelled row is in one shard."""
+    monkeypatch.setattr(labelled, "SHARD_ROWS", 100)
+    table, labels = many_labels(spark, docs)
+    dealt = type(table).repartition
+    monkeypatch.setattr(type(table), "repartition", lambda df, n, *cols: dealt(df, max(n, 40) if cols else n, *cols))
+    rows = toxicity.labelled_words(table, labels, "toxic")
+    want = [i for i in range(600) if not held(i)]
+    assert rows.rdd.getNumPartitions() == -(-len(want) // 100)
+    assert sorted(r.doc_id for r in rows.select("doc_id").collect()) == want
+    rows.unpersist()
+
+
+def test_a_rounds_means_take_few_tasks(spark):
+    """The session's shuffle partitions don't set the tasks of a round; the means are those of numpy."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    cores = spark.sparkContext.defaultParallelism
+    values = np.random.default_rng(1).normal(0, 1, (3, 50 * labelled.WIDTH))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(3 * cores))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        rows = spark.range(0, 3, 1, 3)
+
+        def task(batches):
+            for b in batches:
+                for i in b.column(0).to_pylist():
+                    yield labelled.blocks(0, values[i])
+
+        parts = labelled.arrow_map(rows, task, "row int, " + ", ".join(f"v{k} long" for k in range(labelled.WIDTH)))
+        assert labelled.means(parts).rdd.getNumPartitions() <= cores
+        at, got = labelled.averages(rows, task)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert at.tolist() == list(range(50))
+    np.testing.assert_allclose(got.ravel(), values.mean(axis=0), atol=1e-6)
+
+
 def test_one_step_on_a_long_text_reads_it_whole(monkeypatch):
     """The largest answers and their places, in pieces and at once."""
     rng = np.random.default_rng(5)
