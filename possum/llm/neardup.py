@@ -57,6 +57,8 @@ PREFIX = K - MATCHES + 1
 AGREE = 42        # of 64 sketch bits; two sets of similarity 0.75 agree in 56 on average
 FREQUENT = 2000   # a pair is frequent if at least 1 / FREQUENT of the classes have it
 BLOCK = 2048
+SIGNED = 1024     # signatures that are posted together
+POSTED = 1 << 16  # list members that leave a task as one batch, and the copies of one more
 CHUNK_ITEMS = 1 << 19  # shingles of a list's open members that are compared as one chunk
 SLOTS = 1 << 24   # bits of the filter of documents whose sets are needed
 HEAVY = 4096      # a class is heavy if more than 1 / HEAVY of the rows are its copies
@@ -180,22 +182,27 @@ def _posting_lists(classes: DataFrame, frequent) -> DataFrame:
     """pair, block, middle, and arrays cls, n, sketch, side: the lists of two or more classes."""
     def post(batches):
         for b in batches:
-            cls, n = (b.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
-            sig = _signature_rows(b.column(2))
-            p, known, common = _prefix(sig, *frequent.value)
-            p, known = p.ravel(), known.ravel()
-            row = np.repeat(np.arange(len(cls)), PREFIX)
-            blocks = np.maximum(1, -(-known // BLOCK))
-            own = (mix(cls.view(np.uint64))[row] % blocks.astype(np.uint64)).astype(np.int64)
-            # a member of block i meets every block j under (min, max)
-            copy = np.repeat(np.arange(len(row)), blocks)
-            other = np.arange(len(copy)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-            lo, hi = np.minimum(own[copy], other), np.maximum(own[copy], other)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(p[copy]), pa.array(lo * blocks[copy] + hi), pa.array(cls[row[copy]]), pa.array(n[row[copy]]),
-                 pa.array(sketch(sig)[row[copy]].view(np.int64)),
-                 pa.array(np.where(lo == hi, 2, own[copy] == hi).astype(np.int8)), pa.array(common[row[copy]])],
-                names=["pair", "block", "cls", "n", "sketch", "side", "common"])
+            for at in range(0, b.num_rows, SIGNED):
+                part = b.slice(at, SIGNED)
+                cls, n = (part.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+                sig = _signature_rows(part.column(2))
+                p, known, common = _prefix(sig, *frequent.value)
+                p, known, bits = p.ravel(), known.ravel(), sketch(sig).view(np.int64)
+                row = np.repeat(np.arange(len(cls)), PREFIX)
+                blocks = np.maximum(1, -(-known // BLOCK))
+                own = (mix(cls.view(np.uint64))[row] % blocks.astype(np.uint64)).astype(np.int64)
+                # a member of block i meets every block j under (min, max)
+                before = np.cumsum(blocks) - blocks
+                cuts = np.unique(np.searchsorted(before, np.arange(0, before[-1] + 1, POSTED)))
+                for i, j in zip(cuts, np.append(cuts[1:], len(row)), strict=True):
+                    copy = np.repeat(np.arange(i, j), blocks[i:j])
+                    other = np.arange(len(copy)) + before[i] - before[copy]
+                    lo, hi = np.minimum(own[copy], other), np.maximum(own[copy], other)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(p[copy]), pa.array(lo * blocks[copy] + hi), pa.array(cls[row[copy]]), pa.array(n[row[copy]]),
+                         pa.array(bits[row[copy]]),
+                         pa.array(np.where(lo == hi, 2, own[copy] == hi).astype(np.int8)), pa.array(common[row[copy]])],
+                        names=["pair", "block", "cls", "n", "sketch", "side", "common"])
 
     posted = arrow_map(classes.select("cls", "n", "sig"), post,
                        "pair long, block long, cls long, n long, sketch long, side tinyint, common long")
@@ -222,8 +229,8 @@ def _lists(cols, starts, ends):
     out = [[] for _ in range(7)]
     for a, b in zip(starts[many], ends[many], strict=True):
         s = sk[a:b].view(np.uint64)
-        bits = (s[:, None] >> np.arange(64, dtype=np.uint64)) & U(1)
-        middle = (bits.sum(axis=0) * 2 > b - a).astype(np.uint64)
+        bits = np.unpackbits(s.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        middle = (bits.sum(axis=0, dtype=np.int64) * 2 > b - a).astype(np.uint64)
         middle = (middle << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64)
         far = np.bitwise_count(s ^ middle).astype(np.int64)
         m = int(np.lexsort((far, -common[a:b]))[0])  # ties to the smallest cls: rows are in its order

@@ -142,3 +142,39 @@ def test_deduplicate_keeps_one_row_of_each_group(spark):
     assert got == sorted([(1, a, "x"), (1, b, "x"), (4, None, "x"), (4, None, "x"), (5, "", "x"), (None, a, "x"), (None, a, "x"),
                           (6, c, None)], key=str)
     assert neardup.deduplicate(table.limit(0)).collect() == []
+
+
+def test_posted_members_leave_a_task_in_bounded_batches(spark, docs, monkeypatch):
+    """However many blocks the pairs of a batch have, and with the same groups as all pairs give."""
+    was = neardup.arrow_map
+
+    def bounded(df, task, schema):
+        if not str(schema).startswith("pair long, block long, cls long"):
+            return was(df, task, schema)
+
+        def watched(batches):
+            for b in task(batches):
+                assert b.num_rows <= 500 + 40, b.num_rows
+                yield b
+        return was(df, watched, schema)
+
+    monkeypatch.setattr(neardup, "arrow_map", bounded)
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    monkeypatch.setattr(neardup, "SIGNED", 16, raising=False)
+    monkeypatch.setattr(neardup, "POSTED", 500, raising=False)
+    rng = np.random.default_rng(11)
+    texts = near_copies(rng, 60, 50, 5) + [" ".join(f"y{rng.integers(10_000)}" for _ in range(20)) for _ in range(40)]
+    rows = list(enumerate(texts))
+    assert got(spark, docs, rows) == want(rows)
+
+
+def test_middle_member_by_the_majority_of_sketch_bits():
+    rng = np.random.default_rng(3)
+    for m in (2, 3, 50):
+        s = rng.integers(0, 1 << 63, m, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, m, dtype=np.uint64)
+        cols = [np.zeros(m, np.int64), np.zeros(m, np.int64), np.arange(m), np.ones(m, np.int64), s.view(np.int64),
+                np.full(m, 2, np.int8), np.zeros(m, np.int64)]
+        (got,) = neardup._lists(cols, np.array([0]), np.array([m]))
+        most = sum(1 << k for k in range(64) if 2 * sum(int(x) >> k & 1 for x in s) > m)
+        far = [(int(x) ^ most).bit_count() for x in s]
+        assert got.column(2)[0].as_py() == far.index(min(far))
